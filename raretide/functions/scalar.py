@@ -61,3 +61,15 @@ def interaction_columns(pairs: list[tuple[str, str, str]] | None = None) -> dict
         else:
             raise ValueError(f"unknown interaction op {op!r}")
     return out
+
+
+def fmt_fixed(x: Column, digits: int) -> Column:
+    """Non-negative number as text with ``digits`` decimals, rounding half up on the double value.
+
+    Integer arithmetic on floor(x * 10^d + 0.5), so every engine renders the same text."""
+    scale = 10 ** digits
+    r = F.floor(x * F.lit(float(scale)) + F.lit(0.5)).cast("long")
+    whole = F.floor(r / F.lit(scale)).cast("long").cast("string")
+    if digits == 0:
+        return whole
+    return F.concat(whole, F.lit("."), F.lpad(F.pmod(r, F.lit(scale)).cast("string"), digits, "0"))

@@ -134,7 +134,9 @@ def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
 
     The EMA recursion has no built-in; it runs in pandas per (keys, block of C rows) with a halo of the
     previous M rows, M from ``ema_halo_rows`` (history further back has weight below 1e-20, i.e. it
-    cannot change a double).  Lags use the same halo.  Requires ``rn``.
+    cannot change a double).  Lags use the same halo.  Requires ``rn``.  Pieces are hash-distributed and
+    sorted by (keys, block, rn); each Arrow batch is processed by one vectorised pandas group-by, so the
+    Python cost does not grow with the number of series.
     """
     keys = list(keys)
     halo = max([ema_halo_rows(s) for s in spans] + list(lags) + [1])
@@ -145,18 +147,39 @@ def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
         new += [f"{s}_ema_{sp}" for sp in spans] + [f"{s}_lag_{k}" for k in lags] + [f"{s}_roc_1"]
     out_schema = T.StructType([f for f in d.schema.fields if f.name not in ("_hb", "_home")]
                               + [T.StructField(n, T.DoubleType(), True) for n in new])
+    out_names = [f.name for f in out_schema.fields]
+    gcols = keys + ["_hb"]
     sensors_, spans_, lags_ = list(sensors), list(spans), list(lags)
 
-    def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
+    def process(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.reset_index(drop=True)
+        g = pdf.groupby(gcols, sort=False, dropna=False)
         for s in sensors_:
-            x = pdf[s].astype("float64")
+            pdf[s] = pdf[s].astype("float64")
             for sp in spans_:
-                pdf[f"{s}_ema_{sp}"] = x.ewm(span=sp, adjust=False).mean()
+                e = g[s].ewm(span=sp, adjust=False).mean()
+                pdf[f"{s}_ema_{sp}"] = e.reset_index(level=list(range(len(gcols))), drop=True)
             for k in lags_:
-                pdf[f"{s}_lag_{k}"] = x.shift(k)
-            pdf[f"{s}_roc_1"] = x - x.shift(1)
-        pdf = pdf[pdf["_home"]]
-        return pdf[[f.name for f in out_schema.fields]]
+                pdf[f"{s}_lag_{k}"] = g[s].shift(k)
+            pdf[f"{s}_roc_1"] = pdf[s] - g[s].shift(1)
+        return pdf.loc[pdf["_home"], out_names]
+
+    def per_partition(batches):
+        # rows arrive sorted by (keys, _hb, rn); a group may continue in the next batch, so the last
+        # group of each batch waits (at most block + halo rows)
+        pending = None
+        for pdf in batches:
+            if pending is not None and len(pending):
+                pdf = pd.concat([pending, pdf], ignore_index=True)
+            last = pdf.iloc[-1][gcols]
+            tail = (pdf[gcols] == last.values).all(axis=1)
+            pending = pdf[tail]
+            done = pdf[~tail]
+            if len(done):
+                yield process(done)
+        if pending is not None and len(pending):
+            yield process(pending)
+
+    d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn")
+    return d.mapInPandas(per_partition, out_schema)
 
-    return d.groupBy(*keys, "_hb").applyInPandas(per_block, out_schema)
