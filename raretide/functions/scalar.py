@@ -44,14 +44,21 @@ def clean_double(c: str | Column) -> Column:
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
+DEFAULT_INTERACTIONS = [("temperature", "vibration", "mul"), ("temperature", "pressure", "ratio"),
+                        ("vibration", "pressure", "mul")]
+
+
+def interaction_names(pairs: list[tuple[str, str, str]] | None = None) -> list[str]:
+    return [f"{a}_{b}" for a, b, _ in (pairs or DEFAULT_INTERACTIONS)]
+
+
 def interaction_columns(pairs: list[tuple[str, str, str]] | None = None) -> dict[str, Column]:
     """Pairwise sensor interactions.  Each pair is (left, right, op) with op 'mul' or 'ratio'.
 
     The default reproduces the reference: temperature*vibration, temperature/(pressure+1e-9)
     (named temperature_pressure although it is a ratio), vibration*pressure.
     """
-    pairs = pairs or [("temperature", "vibration", "mul"), ("temperature", "pressure", "ratio"),
-                      ("vibration", "pressure", "mul")]
+    pairs = pairs or DEFAULT_INTERACTIONS
     out = {}
     for a, b, op in pairs:
         if op == "mul":

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from raretide.functions.scalar import interaction_columns
+from raretide.functions.scalar import interaction_columns, interaction_names
 from raretide.operators.scan import DEFAULT_BLOCK_ROWS, DEFAULT_BUCKET_US, carry_last
 from raretide.operators.windows import (EMA_SPANS, LAGS, ROLLING_SPANS, SLOPE_SPAN, ema_lag_features,
                                         hours_since_last_failure, rolling_features, with_order)
@@ -32,7 +32,7 @@ def feature_names(sensors: Sequence[str] = SENSORS, spans: Sequence[str] = ROLLI
             names += [f"{s}_rolling_{st}_{span}" for st in ("mean", "std", "var", "max", "min", "range")]
         names += [f"{s}_ema_{e}" for e in ema_spans] + [f"{s}_lag_{k}" for k in lags]
         names += [f"{s}_roc_1", f"{s}_rolling_slope_{SLOPE_SPAN}", f"{s}_delta_mean_1h_6h"]
-    names += list(interactions if interactions is not None else interaction_columns().keys())
+    names += list(interactions if interactions is not None else interaction_names())
     names.append("hours_since_last_failure")
     return sorted(names)
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from raretide.functions.timecols import DAY_US
@@ -31,6 +32,15 @@ DEFAULT_BLOCK_ROWS = 65_536
 _UNB = Window.unboundedPreceding
 
 
+def _shared(d: DataFrame) -> DataFrame:
+    """Persist a windowed pass that feeds both the row side and the per-piece summary.
+
+    Column pruning makes the two consumers' plans differ, so Spark would not reuse the shuffle and would
+    recompute the whole upstream lineage once per consumer (doubling at every nested scan).  Blocks
+    spill to disk and are recomputed from lineage if an executor is lost."""
+    return d.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _part(keys: Sequence[str], *extra: str) -> Window:
     cols = [*keys, *extra]
     return Window.partitionBy(*cols) if cols else Window.partitionBy()
@@ -52,20 +62,25 @@ def with_row_index(df: DataFrame, keys: Sequence[str], us: str = "_us", tiebreak
     """Add ``name`` = 1-based position of the row in its series ``keys`` ordered by (us, tiebreak).
 
     Optionally ``total_name`` = number of rows of the series.  Works for ``keys=[]`` (one global series):
-    only the per-bucket count table is ordered globally, and it has one row per time bucket.
+    only the per-bucket count table is ordered globally, and it has one row per time bucket.  The bucket
+    sizes come from the same windowed pass as the local row numbers (its first row per bucket), so the
+    input is shuffled once and the small summary reuses that exchange.
     """
     keys = list(keys)
     order = [F.col(us)] + ([F.col(tiebreak)] if tiebreak else [])
-    d = df.withColumn("_bkt", time_bucket(us, bucket_us))
-    d = d.withColumn("_lrn", F.row_number().over(_part(keys, "_bkt").orderBy(*order)))
-    counts = df.groupBy(*keys, time_bucket(us, bucket_us).alias("_bkt")).agg(F.count(F.lit(1)).alias("_n"))
-    w = _series_window(keys, "_bkt")
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w.rowsBetween(_UNB, -1)), F.lit(0)))
+    w = _part(keys, "_bkt")
+    d = (df.withColumn("_bkt", time_bucket(us, bucket_us))
+           .withColumn("_lrn", F.row_number().over(w.orderBy(*order)))
+           .withColumn("_bn", F.count(F.lit(1)).over(w)))
+    d = _shared(d)
+    counts = d.where(F.col("_lrn") == 1).select(*keys, "_bkt", "_bn")
+    sw = _series_window(keys, "_bkt")
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_bn").over(sw.rowsBetween(_UNB, -1)), F.lit(0)))
     cols = [*keys, "_bkt", "_off"]
     if total_name:
-        offs = offs.withColumn(total_name, F.sum("_n").over(_part(keys)))
+        offs = offs.withColumn(total_name, F.sum("_bn").over(_part(keys)))
         cols.append(total_name)
-    d = d.join(offs.select(*cols), on=[*keys, "_bkt"], how="inner")
+    d = d.drop("_bn").join(offs.select(*cols), on=[*keys, "_bkt"], how="inner")
     return d.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_off", "_lrn", "_bkt")
 
 
@@ -109,21 +124,23 @@ def carry_last(df: DataFrame, keys: Sequence[str], rn: str, cols: Sequence[str],
                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Forward fill: replace each column by its last non-null value at or before the row (by ``rn``).
 
-    Local fill per (keys, row block) plus the last non-null value of all earlier blocks, taken from a
-    per-block summary table (one row per block).
+    Local fill per (keys, row block) plus the last non-null value of all earlier blocks, taken from the
+    first row of each block (which carries its block's last non-null values) — one row per block.
     """
     keys, cols = list(keys), list(cols)
     blk = F.floor((F.col(rn) - 1) / F.lit(block_rows)).cast("long")
     d = df.withColumn("_blk", blk)
-    wl = _part(keys, "_blk").orderBy(rn).rowsBetween(_UNB, 0)
+    w = _part(keys, "_blk").orderBy(rn)
+    wl, wall = w.rowsBetween(_UNB, 0), w.rowsBetween(_UNB, Window.unboundedFollowing)
     d = d.select(*[c for c in d.columns if c not in cols],
-                 *[F.last(c, ignorenulls=True).over(wl).alias(c) for c in cols])
-    summ = df.withColumn("_blk", blk).groupBy(*keys, "_blk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(rn))).alias(f"_s{i}") for i, c in enumerate(cols)])
-    w = _series_window(keys, "_blk").rowsBetween(_UNB, -1)
-    carry = summ.select(*keys, "_blk", *[F.last(f"_s{i}", ignorenulls=True).over(w).alias(f"_c{i}")
+                 *[F.last(c, ignorenulls=True).over(wl).alias(c) for c in cols],
+                 *[F.last(c, ignorenulls=True).over(wall).alias(f"_s{i}") for i, c in enumerate(cols)])
+    d = _shared(d)
+    summ = d.where(F.pmod(F.col(rn) - 1, F.lit(block_rows)) == 0).select(*keys, "_blk", *[f"_s{i}" for i in range(len(cols))])
+    sw = _series_window(keys, "_blk").rowsBetween(_UNB, -1)
+    carry = summ.select(*keys, "_blk", *[F.last(f"_s{i}", ignorenulls=True).over(sw).alias(f"_c{i}")
                                          for i in range(len(cols))])
-    d = d.join(carry, on=[*keys, "_blk"], how="inner")
+    d = d.drop(*[f"_s{i}" for i in range(len(cols))]).join(carry, on=[*keys, "_blk"], how="inner")
     return d.select(*[F.coalesce(F.col(c), F.col(f"_c{cols.index(c)}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 
@@ -132,16 +149,20 @@ def carry_max(df: DataFrame, keys: Sequence[str], us: str, value: Column, name:
               bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """Running maximum of ``value`` over all rows with order key <= the row's (peers included).
 
-    Per (keys, time bucket) a RANGE frame gives the local maximum; earlier buckets contribute through a
-    per-bucket summary.  Time buckets never split rows with equal timestamps.
+    Per (keys, time bucket) a RANGE frame gives the local maximum; earlier buckets contribute through the
+    bucket maxima (read from the first row of each bucket of the same windowed pass).  Time buckets never
+    split rows with equal timestamps.
     """
     keys = list(keys)
-    d = df.withColumn("_bkt", time_bucket(us, bucket_us)).withColumn("_v", value)
-    local = F.max("_v").over(_part(keys, "_bkt").orderBy(us).rangeBetween(_UNB, 0))
-    d = d.withColumn("_loc", local)
-    summ = d.groupBy(*keys, "_bkt").agg(F.max("_v").alias("_s"))
+    w = _part(keys, "_bkt").orderBy(us)
+    d = (df.withColumn("_bkt", time_bucket(us, bucket_us)).withColumn("_v", value)
+           .withColumn("_loc", F.max("_v").over(w.rangeBetween(_UNB, 0)))
+           .withColumn("_s", F.max("_v").over(w.rowsBetween(_UNB, Window.unboundedFollowing)))
+           .withColumn("_r", F.row_number().over(w)))
+    d = _shared(d)
+    summ = d.where(F.col("_r") == 1).select(*keys, "_bkt", "_s")
     carry = summ.select(*keys, "_bkt", F.max("_s").over(_series_window(keys, "_bkt").rowsBetween(_UNB, -1)).alias("_c"))
-    d = d.join(carry, on=[*keys, "_bkt"], how="inner")
+    d = d.drop("_s", "_r").join(carry, on=[*keys, "_bkt"], how="inner")
     return d.withColumn(name, F.greatest("_loc", "_c")).drop("_bkt", "_v", "_loc", "_c")
 
 
@@ -150,18 +171,22 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
     """Running sums of ``cols`` in ``order`` (unique per row) for each series ``keys``.
 
     ``bucket`` must be monotone in ``order``.  Local sums per (keys, bucket) plus carried totals of all
-    earlier buckets from a per-bucket summary.
+    earlier buckets (bucket totals read from the first row of each bucket of the same windowed pass).
     """
     keys, cols = list(keys), list(cols)
-    d = df.withColumn("_bkt", bucket)
     upper = 0 if inclusive else -1
-    wl = _part(keys, "_bkt").orderBy(order).rowsBetween(_UNB, upper)
-    d = d.select("*", *[F.coalesce(F.sum(c).over(wl), F.lit(0)).alias(f"_l{i}") for i, c in enumerate(cols)])
-    summ = df.withColumn("_bkt", bucket).groupBy(*keys, "_bkt").agg(
-        *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(cols)])
-    w = _series_window(keys, "_bkt").rowsBetween(_UNB, -1)
-    carry = summ.select(*keys, "_bkt", *[F.coalesce(F.sum(f"_s{i}").over(w), F.lit(0)).alias(f"_c{i}")
+    w = _part(keys, "_bkt").orderBy(order)
+    wall = w.rowsBetween(_UNB, Window.unboundedFollowing)
+    d = df.withColumn("_bkt", bucket)
+    d = d.select("*", *[F.coalesce(F.sum(c).over(w.rowsBetween(_UNB, upper)), F.lit(0)).alias(f"_l{i}")
+                        for i, c in enumerate(cols)],
+                 *[F.sum(c).over(wall).alias(f"_s{i}") for i, c in enumerate(cols)],
+                 F.row_number().over(w).alias("_r"))
+    d = _shared(d)
+    summ = d.where(F.col("_r") == 1).select(*keys, "_bkt", *[f"_s{i}" for i in range(len(cols))])
+    sw = _series_window(keys, "_bkt").rowsBetween(_UNB, -1)
+    carry = summ.select(*keys, "_bkt", *[F.coalesce(F.sum(f"_s{i}").over(sw), F.lit(0)).alias(f"_c{i}")
                                          for i in range(len(cols))])
-    d = d.join(carry, on=[*keys, "_bkt"], how="inner")
+    d = d.drop("_r", *[f"_s{i}" for i in range(len(cols))]).join(carry, on=[*keys, "_bkt"], how="inner")
     d = d.select("*", *[(F.col(f"_l{i}") + F.col(f"_c{i}")).alias(f"{prefix}{c}") for i, c in enumerate(cols)])
     return d.drop("_bkt", *[f"_l{i}" for i in range(len(cols))], *[f"_c{i}" for i in range(len(cols))])

@@ -1,7 +1,7 @@
 """Output contract shared by a Spark query and its SQL oracle.
 
 A spec is a string of ``name:type`` items; types: l bigint, i int, d double (rounded to 6 digits, no
-negative zero), s string, t timestamp, b boolean.  The Spark result and the oracle are projected onto
+negative zero), s string, t timestamp, b boolean; dN rounds a double to N digits (large sums of squares).  The Spark result and the oracle are projected onto
 the same names, order and types, so that their value hashes can be compared.
 """
 
@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 DIGITS = 6
+# v: sums of squares of decimal data are often exact decimal halves (445.51125); last-bit summation
+# differences between engines would flip the rounded digit, so they are scaled by 1 + 2**-33 (moving
+# exact halves off the boundary identically in both engines) and rounded to 4 places.
+NUDGE = 1.0 + 2.0 ** -33
 
 
 def parse(spec: str) -> list[tuple[str, str]]:
@@ -24,8 +28,10 @@ def spark_project(df: DataFrame, spec: str) -> DataFrame:
     cols = []
     for name, typ in parse(spec):
         c = F.col(f"`{name}`")
-        if typ == "d":
-            c = F.round(c.cast("double"), DIGITS) + F.lit(0.0)
+        if typ == "v":
+            c = F.round(c.cast("double") * F.lit(NUDGE), 4) + F.lit(0.0)
+        elif typ.startswith("d"):
+            c = F.round(c.cast("double"), int(typ[1:]) if len(typ) > 1 else DIGITS) + F.lit(0.0)
         elif typ == "l":
             c = c.cast("long")
         elif typ == "i":
@@ -42,8 +48,10 @@ def sql_project(inner: str, spec: str) -> str:
     cols = []
     for name, typ in parse(spec):
         q = f'"{name}"'
-        if typ == "d":
-            cols.append(f"round(CAST({q} AS DOUBLE), {DIGITS}) + 0.0 AS {q}")
+        if typ == "v":
+            cols.append(f"round(CAST({q} AS DOUBLE) * {NUDGE!r}::DOUBLE, 4) + 0.0 AS {q}")
+        elif typ.startswith("d"):
+            cols.append(f"round(CAST({q} AS DOUBLE), {int(typ[1:]) if len(typ) > 1 else DIGITS}) + 0.0 AS {q}")
         elif typ == "l":
             cols.append(f"CAST({q} AS BIGINT) AS {q}")
         elif typ == "i":
