@@ -80,3 +80,9 @@ def fmt_fixed(x: Column, digits: int) -> Column:
     if digits == 0:
         return whole
     return F.concat(whole, F.lit("."), F.lpad(F.pmod(r, F.lit(scale)).cast("string"), digits, "0"))
+
+
+def literal_table(spark, rows: list[tuple], names: list[str]):
+    """A small parameter table (thresholds, k values, targets) as a JVM-side local relation."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

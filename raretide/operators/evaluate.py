@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from raretide.functions.scalar import fmt_fixed, safe_div, threshold_predict
+from raretide.functions.scalar import fmt_fixed, literal_table, safe_div, threshold_predict
 from raretide.operators.curves import curve_points, roc_curve, totals
 from raretide.operators.scan import with_row_index
 from raretide.operators.thresholds import HOURS_PER_DAY, threshold_sweep
@@ -80,7 +80,7 @@ def precision_at_top_k(scored: DataFrame, ks: Sequence[int] = TOP_K, score: str
     top = scored.orderBy(F.col(score).desc(), F.col(order_id).desc()).limit(kmax)
     top = top.withColumn("_r", F.row_number().over(Window.orderBy(F.col(score).desc(), F.col(order_id).desc())))
     tot = totals(scored, label)
-    ksdf = scored.sparkSession.createDataFrame([(int(k),) for k in ks], "k int")
+    ksdf = literal_table(scored.sparkSession, [(int(k),) for k in ks], ["k"])
     j = F.broadcast(ksdf).crossJoin(top.select("_r", score, label))   # len(ks) x max(k) rows
     agg = j.where(F.col("_r") <= F.col("k")).groupBy("k").agg(
         F.sum(F.col(label).cast("long")).alias("tp"), F.min(score).alias("threshold"))
@@ -95,7 +95,7 @@ def recall_at_fixed_fpr(scored: DataFrame, targets: Sequence[float] = FPR_TARGET
     """For each target FPR: the ROC vertex nearest to it (ties: highest threshold; the (0,0) start point
     has threshold +inf and raises no alert), and recall, precision, fpr, alert_rate there."""
     roc = roc_curve(scored, **kw)
-    t = scored.sparkSession.createDataFrame([(float(x),) for x in targets], "target_fpr double")
+    t = literal_table(scored.sparkSession, [(float(x),) for x in targets], ["target_fpr"])
     j = roc.crossJoin(F.broadcast(t))      # vertices x 3 targets
     key = F.struct(F.abs(F.col("fpr") - F.col("target_fpr")), -F.col("threshold"))
     best = j.groupBy("target_fpr").agg(F.min_by(F.struct("threshold", "tp", "fp", "n_rows", "n_pos", "n_neg"), key).alias("v"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from raretide.functions.scalar import safe_div
+from raretide.functions.scalar import literal_table, safe_div
 from raretide.operators.curves import pr_curve
 
 # Fixed values of the reference's searches.
@@ -134,12 +134,14 @@ def threshold_sweep(scored: DataFrame, thresholds: list[float], score: str = "sc
     """
     spark: SparkSession = scored.sparkSession
     grid = sorted(float(t) for t in thresholds)
-    arr = F.array(*[F.lit(t) for t in grid])
-    reach = F.size(F.filter(arr, lambda t: t <= F.col(score)))
+    # number of grid thresholds <= score, as one code-generated CASE (highest threshold first)
+    reach = F.lit(0)
+    for i, t in enumerate(grid):
+        reach = F.when(F.col(score) >= F.lit(t), F.lit(i + 1)).otherwise(reach)
     y = F.col(label).cast("long")
     counts = scored.groupBy(reach.alias("_reach")).agg(
         F.count(F.lit(1)).alias("_c"), F.coalesce(F.sum(y), F.lit(0)).alias("_p"))
-    g = spark.createDataFrame([(i, t) for i, t in enumerate(grid)], "_i int, threshold double")
+    g = literal_table(spark, [(i, float(t)) for i, t in enumerate(grid)], ["_i", "threshold"])
     # row reaches threshold i iff _reach > i; both sides hold at most len(grid)+1 rows
     j = F.broadcast(g).crossJoin(F.broadcast(counts))
     hit = F.col("_reach") > F.col("_i")
