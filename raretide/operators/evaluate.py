@@ -189,3 +189,25 @@ def pr_auc_only(scored: DataFrame, **kw) -> DataFrame:
     pts = curve_points(scored, **kw)
     dr = F.col("recall") - F.col("recall_prev")
     return pts.agg(F.sum(dr * (F.col("precision") + F.col("precision_prev")) / F.lit(2.0)).alias("pr_auc"))
+
+
+def model_metrics(scored: DataFrame, model: str, **kw) -> DataFrame:
+    """One comparison row: pr_auc, accuracy and failure-class precision/recall/f1 at 0.5, the best-F1
+    threshold of the report table and the 60 %-precision threshold with its alerts/day and FP per 1000."""
+    from raretide.operators.curves import pr_areas
+    from raretide.operators.thresholds import best_f1_threshold, for_precision
+    auc = pr_areas(scored, **kw).select("pr_auc")
+    cm = confusion(scored, 0.5, **kw)
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    p, r = safe_div(tp, tp + fp), safe_div(tp, tp + fn)
+    fc = cm.select(p.alias("failure_precision"), r.alias("failure_recall"),
+                   F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0)).alias("failure_f1"))
+    acc = accuracy(scored, 0.5, **kw)
+    best = best_f1_threshold(scored, **kw)
+    pt = for_precision(scored, **kw).crossJoin(F.broadcast(totals(scored)))
+    pt = pt.select(F.col("threshold").alias("precision_threshold"), F.col("precision").alias("precision_at_threshold"),
+                   F.col("recall").alias("recall_at_threshold"), (F.col("alert_rate") * 24).alias("alerts_per_day"),
+                   (F.col("fp").cast("double") / F.col("n_rows") * 1000).alias("false_positives_per_1000"))
+    # every part is a one-row aggregate
+    out = auc.crossJoin(acc).crossJoin(fc).crossJoin(best).crossJoin(pt)
+    return out.select(F.lit(model).alias("model"), "*")

@@ -81,5 +81,5 @@ def features_sql(src: str, pkeys: list[str], sensors: list[str], order_tiebreak:
             fills.append(f"{lv} AS {c}")
     ctes.append(f"ffill AS (SELECT {', '.join(carry_cols)}, {', '.join(fills)} FROM fpre)")
     notnull = " AND ".join(f"{c} IS NOT NULL" for c in feats + carry_cols)
-    ctes.append(f"feat AS (SELECT * FROM ffill WHERE {notnull})")
+    ctes.append(f"feat AS MATERIALIZED (SELECT * FROM ffill WHERE {notnull})")
     return ",\n".join(ctes)
