@@ -24,7 +24,11 @@ _FEAT_HOURLY = split_sql("hourly") + ",\n" + features_sql("sp", ["split"], SENSO
 
 
 def hourly_features(spark, sf_dir):
-    return build_features(labelled_split(spark, sf_dir, "hourly"), [], SENSORS, split_col="split", tiebreak=None)
+    """Feature table of the hourly series; persisted because statistics, scaling and explanations all
+    read it (spills to disk; recomputed from lineage if an executor is lost)."""
+    from pyspark import StorageLevel
+    f = build_features(labelled_split(spark, sf_dir, "hourly"), [], SENSORS, split_col="split", tiebreak=None)
+    return f.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _stats_sql() -> str:
