@@ -211,3 +211,105 @@ def q_stream_score(spark, sf_dir):
     """Streaming decision per reading (file sink)."""
     return S.run_available_now(S.stream_score(S.read_events_stream(spark, sf_dir)), "score").select(
         "row_id", "failure_probability", "decision")
+
+
+# ---------------------------------------------------------------- sources and sinks (round trips)
+
+from raretide.session import checkpoint_dir  # noqa: E402
+from raretide.sources import io as IO  # noqa: E402
+from raretide.operators.scale import load_scaler, save_scaler  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/io/{name}-{_uuid.uuid4().hex[:8]}"
+
+
+@register("read_readings_csv", "row_id:l entity_id:l ts:t temperature:d vibration:d pressure:d failure:i",
+          with_ctes(READINGS) + "SELECT * FROM readings")
+def q_read_readings_csv(spark, sf_dir):
+    """Readings written as CSV with header and read back with the fixed schema."""
+    p = _scratch(spark, "readings_csv")
+    IO.write_readings_csv(fx.readings(spark, sf_dir), p)
+    schema = "row_id long, entity_id long, temperature double, vibration double, pressure double, failure int, timestamp string"
+    from pyspark.sql import types as T
+    st = T._parse_datatype_string(schema)
+    return IO.read_readings(spark, p, schema=st)
+
+
+@register("write_splits", "split:s rows:l", split_sql("readings") + " SELECT split, count(*) AS rows FROM sp GROUP BY split")
+def q_write_splits(spark, sf_dir):
+    """Labelled split written partitioned by split and read back."""
+    p = _scratch(spark, "splits")
+    IO.write_splits(labelled_split(spark, sf_dir, "readings"), p)
+    return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("save_load_scaler", "feature:s mean:v scale:v", _FEAT_HOURLY + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
+def q_save_load_scaler(spark, sf_dir):
+    """Scaler statistics saved to parquet and loaded back."""
+    p = _scratch(spark, "scaler")
+    save_scaler(fit_scaler(hourly_features(spark, sf_dir).where("split = 'train'"), FEATURES), p)
+    return load_scaler(spark, p)
+
+
+@register("write_reports", "report:s rows:l")
+def q_write_reports(spark, sf_dir):
+    """Report tables (threshold table, rare-event metrics, model comparison) written as CSV and re-read."""
+    s = fx.scored(spark, sf_dir)
+    p = _scratch(spark, "reports")
+    reps = {"threshold_table": T.threshold_table(s), "rare_event_metrics": E.rare_event_metrics(s),
+            "model_comparison": model_comparison(spark, sf_dir)}
+    IO.write_reports(reps, p)
+    out = None
+    for name in reps:
+        d = spark.read.option("header", True).csv(f"{p}/{name}").agg(F.count(F.lit(1)).alias("rows")) \
+            .select(F.lit(name).alias("report"), "rows")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+@register("save_load_model", "ts:t label:i score:d prediction:i")
+def q_save_load_model(spark, sf_dir):
+    """Class-weighted logistic model saved with its metadata, loaded and used to score validation rows."""
+    f = hourly_features(spark, sf_dir)
+    model = M.train(f.where("split = 'train'"), FEATURES, "logistic_regression")
+    p = _scratch(spark, "model")
+    M.save_model(model, p, FEATURES, "logistic_regression", spark)
+    loaded, feats, _ = M.load_model(p, spark)
+    return M.predict(loaded, f.where("split = 'val'"), feats, keep=("ts",))
+
+
+@register("feature_importance", "feature:s importance:d")
+def q_feature_importance(spark, sf_dir):
+    """Random-forest feature importances, highest first."""
+    f = hourly_features(spark, sf_dir)
+    model = M.train(f.where("split = 'train'"), FEATURES, "random_forest")
+    return M.feature_importance(model, FEATURES, spark)
+
+
+# ---------------------------------------------------------------- report unions
+
+from raretide.plans.q_eval import _metric_sql as _msql  # noqa: E402
+
+_OPT_SQL = "\nUNION ALL\n".join(
+    [f"SELECT * FROM ({_msql('recall', r)})" for r in T.RECALL_TARGETS] +
+    [f"SELECT * FROM ({_msql('budget', b)})" for b in T.ALERT_BUDGETS])
+
+
+@register("optimize_thresholds", "strategy:s target:d threshold:d precision:d recall:d f1:d tp:l fp:l fn:l tn:l "
+          "alert_rate:d alerts_per_day_scaled:d specificity:d fallback:b", _OPT_SQL)
+def q_optimize_thresholds(spark, sf_dir):
+    """Recall targets 70/80/90 % and alert budgets 1/5/10 per day in one table."""
+    return T.optimize_thresholds(fx.scored(spark, sf_dir))
+
+
+@register("evaluation_basic_metrics", "pr_auc:d roc_auc:d avg_precision:d avg_recall:d",
+          "SELECT a.pr_auc, b.roc_auc, c.avg_precision, c.avg_recall FROM (" + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["pr_auc"]
+          + ") a, (" + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["roc_auc"] + ") b, ("
+          + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["curve_means"] + ") c")
+def q_eval_basic(spark, sf_dir):
+    """Basic block of the evaluation report: PR-AUC, ROC-AUC, mean precision and recall of the curve."""
+    from raretide.operators.curves import roc_auc
+    s = fx.scored(spark, sf_dir)
+    return pr_areas(s).select("pr_auc", "avg_precision", "avg_recall").crossJoin(roc_auc(s))
