@@ -313,3 +313,15 @@ def q_eval_basic(spark, sf_dir):
     from raretide.operators.curves import roc_auc
     s = fx.scored(spark, sf_dir)
     return pr_areas(s).select("pr_auc", "avg_precision", "avg_recall").crossJoin(roc_auc(s))
+
+
+@register("stream_features", "entity_id:l row_id:l ts:t temperature_rolling_mean_6h:d temperature_ema_12:d "
+          "pressure_rolling_slope_6h:d hours_since_last_failure:d")
+def q_stream_features(spark, sf_dir):
+    """Stateful per-entity features from the event stream (availableNow replay into a file sink)."""
+    from raretide.sources.fixtures import readings_from_events
+    from raretide.streaming.features import stream_features
+    r = readings_from_events(S.read_events_stream(spark, sf_dir))
+    out = S.run_available_now(stream_features(r), "features")
+    return out.select("entity_id", "row_id", "ts", "temperature_rolling_mean_6h", "temperature_ema_12",
+                      "pressure_rolling_slope_6h", "hours_since_last_failure")
