@@ -47,7 +47,8 @@ def curve_points(scored: DataFrame, score: str = "score", label: str = "label")
     """
     sc = score_counts(scored, score, label)
     ps = prefix_sums(sc, [], "score", _bucket(), ["pos", "neg"], prefix="below_", inclusive=False)
-    tot = totals(scored, label)
+    # totals from the per-score counts (no second scan of the scored table)
+    tot = sc.agg((F.sum("pos") + F.sum("neg")).alias("n_rows"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     # one-row table: broadcast is size-proven
     d = ps.crossJoin(F.broadcast(tot))
     tp = F.col("n_pos") - F.col("below_pos")

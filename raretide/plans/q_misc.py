@@ -91,7 +91,7 @@ def q_decisions(spark, sf_dir):
 @register("failure_rows", "row_id:l entity_id:l ts:t temperature:d", with_ctes(READINGS) +
           "SELECT row_id, entity_id, ts, temperature FROM readings WHERE failure = 1")
 def q_failure_rows(spark, sf_dir):
-    return fx.readings(spark, sf_dir).where("failure = 1").select("row_id", "entity_id", "ts", "temperature")
+    return fx.failure_rows(spark, sf_dir).select("row_id", "entity_id", "ts", "temperature")
 
 
 # ---------------------------------------------------------------- class statistics and split details
