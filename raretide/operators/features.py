@@ -52,13 +52,14 @@ def build_features(df: DataFrame, keys: Sequence[str] = ("entity_id",), sensors:
     pkeys = list(keys) + ([split_col] if split_col else [])
     base_cols = df.columns
     d = with_order(df, pkeys, ts, tiebreak, bucket_us)
+    # the as-of scan needs only keys, time and failure: run it while the table is still narrow
+    d = hours_since_last_failure(d, pkeys, bucket_us=bucket_us)
     d = ema_lag_features(d, pkeys, sensors, block_rows=block_rows)
     d = rolling_features(d, pkeys, sensors, bucket_us=bucket_us)
     inter = interaction_columns()
     d = d.withColumns(inter)
     d = d.withColumns({f"{s}_delta_mean_1h_6h": F.col(f"{s}_rolling_mean_1h") - F.col(f"{s}_rolling_mean_6h")
                        for s in sensors})
-    d = hours_since_last_failure(d, pkeys, bucket_us=bucket_us)
     feats = feature_names(sensors)
     roc = [f"{s}_roc_1" for s in sensors]
     zero_after_fill = [c for c in feats if _is_filled_then_zero(c)]
@@ -67,7 +68,7 @@ def build_features(df: DataFrame, keys: Sequence[str] = ("entity_id",), sensors:
     # raw sensors are part of the global forward fill as well
     fill_only += [s for s in sensors]
     d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in roc})
-    d = carry_last(d, pkeys, "rn", zero_after_fill + fill_only, block_rows=block_rows)
+    d = carry_last(d, pkeys, "rn", zero_after_fill + fill_only, block_rows=block_rows, total="_n")
     d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero_after_fill})
     out = d.select(*[c for c in base_cols if c not in sensors], *feats)
     if drop_incomplete:

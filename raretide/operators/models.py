@@ -20,7 +20,7 @@ SEED = 42
 MODEL_TYPES = ("logistic_regression", "random_forest", "gbt", "gbt_leaf")
 
 # Fixed values of the reference's model configurations.
-LR_PARAMS = {"maxIter": 1000, "C": 1.0}
+LR_PARAMS = {"maxIter": 1000, "C": 1.0, "tol": 1e-4}
 RF_PARAMS = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5}
 GBT_PARAMS = {"stepSize": 0.1, "maxDepth": 6, "maxIter": 100, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 GBT_LEAF_PARAMS = {"stepSize": 0.1, "maxDepth": 6, "maxIter": 100, "subsamplingRate": 0.8,
@@ -38,8 +38,8 @@ def make_estimator(model_type: str, params: dict | None = None, n_rows: int | No
         c = p.pop("C", LR_PARAMS["C"])
         reg = 1.0 / (c * n_rows) if n_rows else 0.0   # liblinear C with sum of balanced weights = n
         return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                  maxIter=p.get("maxIter", LR_PARAMS["maxIter"]), regParam=reg, elasticNetParam=0.0,
-                                  standardization=False)
+                                  maxIter=p.get("maxIter", LR_PARAMS["maxIter"]), tol=p.get("tol", LR_PARAMS["tol"]),
+                                  regParam=reg, elasticNetParam=0.0, standardization=False)
     if model_type == "random_forest":
         q = {**RF_PARAMS, **p}
         return RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",

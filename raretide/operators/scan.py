@@ -121,26 +121,36 @@ def time_halo(df: DataFrame, us: str, span_us: int, bucket_us: int = DEFAULT_BUC
 
 
 def carry_last(df: DataFrame, keys: Sequence[str], rn: str, cols: Sequence[str],
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int = DEFAULT_BLOCK_ROWS, total: str | None = None) -> DataFrame:
     """Forward fill: replace each column by its last non-null value at or before the row (by ``rn``).
 
-    Local fill per (keys, row block) plus the last non-null value of all earlier blocks, taken from the
-    first row of each block (which carries its block's last non-null values) — one row per block.
+    Local running fill per (keys, row block) plus the last non-null value of all earlier blocks.  With
+    ``total`` (rows of the series) the block summaries are the running values at each block's last
+    row; without it an extra whole-block frame provides them.  One summary row per block.
     """
     keys, cols = list(keys), list(cols)
     blk = F.floor((F.col(rn) - 1) / F.lit(block_rows)).cast("long")
     d = df.withColumn("_blk", blk)
     w = _part(keys, "_blk").orderBy(rn)
-    wl, wall = w.rowsBetween(_UNB, 0), w.rowsBetween(_UNB, Window.unboundedFollowing)
-    d = d.select(*[c for c in d.columns if c not in cols],
-                 *[F.last(c, ignorenulls=True).over(wl).alias(c) for c in cols],
-                 *[F.last(c, ignorenulls=True).over(wall).alias(f"_s{i}") for i, c in enumerate(cols)])
-    d = _shared(d)
-    summ = d.where(F.pmod(F.col(rn) - 1, F.lit(block_rows)) == 0).select(*keys, "_blk", *[f"_s{i}" for i in range(len(cols))])
+    wl = w.rowsBetween(_UNB, 0)
+    filled = [F.last(c, ignorenulls=True).over(wl).alias(c) for c in cols]
+    if total:
+        d = d.select(*[c for c in d.columns if c not in cols], *filled)
+        last_row = (F.pmod(F.col(rn), F.lit(block_rows)) == 0) | (F.col(rn) == F.col(total))
+        d = _shared(d)
+        summ = d.where(last_row).select(*keys, "_blk", *[F.col(c).alias(f"_s{i}") for i, c in enumerate(cols)])
+    else:
+        wall = w.rowsBetween(_UNB, Window.unboundedFollowing)
+        d = d.select(*[c for c in d.columns if c not in cols], *filled,
+                     *[F.last(c, ignorenulls=True).over(wall).alias(f"_s{i}") for i, c in enumerate(cols)])
+        d = _shared(d)
+        summ = d.where(F.pmod(F.col(rn) - 1, F.lit(block_rows)) == 0).select(
+            *keys, "_blk", *[f"_s{i}" for i in range(len(cols))])
+        d = d.drop(*[f"_s{i}" for i in range(len(cols))])
     sw = _series_window(keys, "_blk").rowsBetween(_UNB, -1)
     carry = summ.select(*keys, "_blk", *[F.last(f"_s{i}", ignorenulls=True).over(sw).alias(f"_c{i}")
                                          for i in range(len(cols))])
-    d = d.drop(*[f"_s{i}" for i in range(len(cols))]).join(carry, on=[*keys, "_blk"], how="inner")
+    d = d.join(carry, on=[*keys, "_blk"], how="inner")
     return d.select(*[F.coalesce(F.col(c), F.col(f"_c{cols.index(c)}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 

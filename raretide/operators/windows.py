@@ -32,11 +32,12 @@ EMA_TOLERANCE = 1e-20
 
 def with_order(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: str | None = "row_id",
                bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add ``_us`` (microseconds of ``ts``) and ``rn`` (row position in the series ``keys``)."""
+    """Add ``_us`` (microseconds of ``ts``), ``rn`` (row position in the series ``keys``) and ``_n`` (rows
+    of the series)."""
     d = df if "_us" in df.columns else df.withColumn("_us", ts_micros(ts))
     if "rn" not in d.columns:
         tb = tiebreak if tiebreak and tiebreak in d.columns else None
-        d = with_row_index(d, keys, "_us", tb, bucket_us)
+        d = with_row_index(d, keys, "_us", tb, bucket_us, total_name="_n")
     return d
 
 
@@ -48,7 +49,7 @@ def label_lead(df: DataFrame, keys: Sequence[str] = ("entity_id",), horizon: int
     d = with_order(df, keys, ts, tiebreak, bucket_us)
     d = row_block_halo(d, "rn", max(block_rows, horizon), after=horizon)
     d = d.withColumn(name, F.lead(col, horizon).over(Window.partitionBy(*keys, "_hb").orderBy("rn")))
-    return d.where("_home").drop("_hb", "_home", "_us", "rn")
+    return d.where("_home").drop("_hb", "_home", "_us", "rn", "_n")
 
 
 def drop_unlabelled(df: DataFrame, label: str = "failure_24h") -> DataFrame:
