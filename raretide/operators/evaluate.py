@@ -78,6 +78,7 @@ def precision_at_top_k(scored: DataFrame, ks: Sequence[int] = TOP_K, score: str
     One TakeOrderedAndProject of max(k) rows; each partition keeps only its own top max(k)."""
     kmax = max(ks)
     top = scored.orderBy(F.col(score).desc(), F.col(order_id).desc()).limit(kmax)
+    # a window over the max(k) rows of the limit: bounded by the largest k
     top = top.withColumn("_r", F.row_number().over(Window.orderBy(F.col(score).desc(), F.col(order_id).desc())))
     tot = totals(scored, label)
     ksdf = literal_table(scored.sparkSession, [(int(k),) for k in ks], ["k"])

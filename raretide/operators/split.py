@@ -68,7 +68,7 @@ def is_sorted_violations(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts"
     from raretide.operators.scan import row_block_halo
     keys = list(keys)
     d = df.withColumn("_us", F.col(tiebreak).cast("long"))
-    d = with_row_index(d, keys, "_us", None, bucket_us=1 << 40, name="rn")
+    d = with_row_index(d, keys, "_us", None, bucket_us=65_536, name="rn")   # buckets of 65,536 ids
     d = row_block_halo(d, "rn", 65_536, before=1)
     prev = F.lag(ts, 1).over(Window.partitionBy(*keys, "_hb").orderBy("rn"))
     d = d.withColumn("_dec", (prev > F.col(ts)).cast("int")).where("_home")
