@@ -140,6 +140,8 @@ def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
     Python cost does not grow with the number of series.
     """
     keys = list(keys)
+    if not spans:
+        return lag_features(df, keys, sensors, lags, block_rows)
     halo = max([ema_halo_rows(s) for s in spans] + list(lags) + [1])
     c = max(block_rows, 4 * halo)
     d = row_block_halo(df, "rn", c, before=halo)
@@ -184,3 +186,18 @@ def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
     d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn")
     return d.mapInPandas(per_partition, out_schema)
 
+
+
+def lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], lags: Sequence[int] = LAGS,
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Lags and 1-row rate of change with built-in windows only: row blocks with a halo of max(lags)
+    rows from the previous block, ``lag`` per (keys, block).  Requires ``rn``."""
+    keys = list(keys)
+    d = row_block_halo(df, "rn", max(block_rows, max(lags)), before=max(lags))
+    w = Window.partitionBy(*keys, "_hb").orderBy("rn")
+    cols = {}
+    for s in sensors:
+        for k in lags:
+            cols[f"{s}_lag_{k}"] = F.lag(F.col(s).cast("double"), k).over(w)
+        cols[f"{s}_roc_1"] = F.col(s) - F.lag(F.col(s).cast("double"), 1).over(w)
+    return d.withColumns(cols).where("_home").drop("_hb", "_home")
