@@ -18,8 +18,9 @@ _MOD = 4294967296
 
 
 def sample_key(id_col: str = "row_id", seed: int = SAMPLE_SEED) -> Column:
-    """Deterministic pseudo-random order key (multiplicative hash of the id), identical in any SQL engine."""
-    return F.pmod(F.col(id_col) * F.lit(_MULT) + F.lit(seed), F.lit(_MOD))
+    """Deterministic pseudo-random order key (multiplicative hash of the id), identical in any SQL engine.
+    The id is first reduced mod 2^31 so that the product stays inside BIGINT."""
+    return F.pmod(F.pmod(F.col(id_col), F.lit(1 << 31)) * F.lit(_MULT) + F.lit(seed), F.lit(_MOD))
 
 
 def sample_rows(df: DataFrame, n: int = SAMPLE_SIZE, id_col: str = "row_id", seed: int = SAMPLE_SEED) -> DataFrame:

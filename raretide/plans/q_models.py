@@ -58,7 +58,7 @@ def q_apply_scaler(spark, sf_dir):
     return apply_scaler(f, stats, FEATURES).select("ts", "split", *FEATURES)
 
 
-_SAMPLE_KEY = "((row_id * 2654435761 + 42) % 4294967296)"
+_SAMPLE_KEY = "(((row_id % 2147483648) * 2654435761 + 42) % 4294967296)"
 
 
 @register("sample_rows", "row_id:l entity_id:l ts:t temperature:d", with_ctes(READINGS) +
@@ -325,3 +325,98 @@ def q_stream_features(spark, sf_dir):
     out = S.run_available_now(stream_features(r), "features")
     return out.select("entity_id", "row_id", "ts", "temperature_rolling_mean_6h", "temperature_ema_12",
                       "pressure_rolling_slope_6h", "hours_since_last_failure")
+
+
+# ---------------------------------------------------------------- remaining inventory keys
+
+from raretide.operators.scale import align_schema, select_features  # noqa: E402
+from raretide.operators.windows import drop_unlabelled, label_lead  # noqa: E402
+from raretide.operators.scan import carry_last as _carry_last  # noqa: E402
+from raretide.operators.windows import with_order as _with_order  # noqa: E402
+from raretide.plans.oracle import HOURLY_GAPS  # noqa: E402
+from raretide.plans.q_misc import _REQ_SQL  # noqa: E402
+
+
+@register("cast_timestamp", "row_id:l ts:t hour:t", with_ctes(READINGS) + """
+SELECT row_id, CAST(strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) AS ts, date_trunc('hour', ts) AS hour FROM readings""")
+def q_cast_timestamp(spark, sf_dir):
+    """Timestamp text -> TIMESTAMP_NTZ (time-zone independent), and its hour."""
+    from raretide.functions.timecols import trunc_hour
+    r = fx.readings(spark, sf_dir).select("row_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t"))
+    return r.select("row_id", F.col("t").cast("timestamp_ntz").alias("ts"), trunc_hour(F.col("t").cast("timestamp_ntz")).alias("hour"))
+
+
+@register("drop_unlabelled", "entity_id:l rows:l positives:l", with_ctes(READINGS) + """
+SELECT entity_id, count(*) AS rows, sum(failure_24h) AS positives FROM (
+  SELECT entity_id, lead(failure, 24) OVER (PARTITION BY entity_id ORDER BY ts, row_id) AS failure_24h FROM readings)
+WHERE failure_24h IS NOT NULL GROUP BY entity_id""")
+def q_drop_unlabelled(spark, sf_dir):
+    """Rows keeping a label 24 rows ahead, per entity."""
+    d = drop_unlabelled(label_lead(fx.readings(spark, sf_dir), ["entity_id"]))
+    return d.groupBy("entity_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("failure_24h").alias("positives"))
+
+
+@register("select_features", "position:i feature:s", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{c}')" for i, c in enumerate(sorted(FEATURES))) + ") AS t(position, feature)")
+def q_select_features(spark, sf_dir):
+    """Model column contract: every feature-table column except ts/failure/label, sorted."""
+    f = build_features(labelled_split(spark, sf_dir, "hourly"), [], SENSORS, split_col="split", tiebreak=None)
+    cols = select_features(f, keep=()).drop("split").columns
+    from raretide.functions.scalar import literal_table
+    return literal_table(spark, [(i, c) for i, c in enumerate(cols)], ["position", "feature"])
+
+
+_ALIGN = ["temperature", "vibration", "pressure_missing", "pressure"]
+
+
+@register("align_schema", "row_id:l temperature:d vibration:d pressure_missing:d pressure:d", with_ctes(READINGS) +
+          "SELECT row_id, temperature, vibration, 0.0 AS pressure_missing, pressure FROM readings")
+def q_align_schema(spark, sf_dir):
+    """Reindex to a column contract: order as the contract, missing columns as 0, extra columns dropped."""
+    return align_schema(fx.readings(spark, sf_dir), _ALIGN, keep=["row_id"])
+
+
+@register("forward_fill_hourly_gaps", "ts:t temperature:d vibration:d pressure:d", with_ctes(READINGS, HOURLY_GAPS) + """
+SELECT ts, last_value(temperature IGNORE NULLS) OVER w AS temperature, last_value(vibration IGNORE NULLS) OVER w AS vibration,
+       last_value(pressure IGNORE NULLS) OVER w AS pressure
+FROM hourly_gaps WINDOW w AS (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def q_forward_fill(spark, sf_dir):
+    """Last non-null value of each sensor over the single hourly series with null runs."""
+    d = _with_order(fx.hourly_gaps(spark, sf_dir), [], tiebreak=None)
+    return _carry_last(d, [], "rn", SENSORS, block_rows=64, total="_n").select("ts", *SENSORS)
+
+
+_CONTRIB_SQL = _FEAT_HOURLY + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
+SELECT ts, feature, value, weight * (value - mean) AS contribution FROM long JOIN wts USING (feature)"""
+
+
+@register("contributions", "ts:t feature:s value:v contribution:v", _CONTRIB_SQL)
+def q_contributions(spark, sf_dir):
+    """Per validation row and feature: additive contribution w * (x - mean) of the linear separation scorer."""
+    f = hourly_features(spark, sf_dir)
+    stats = fit_scaler(f.where("split = 'train'"), FEATURES)
+    w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
+    c = contributions(f.where("split = 'val'"), w, FEATURES, id_col="ts")
+    return c
+
+
+@register("stream_validate", _REQ_SPEC_STREAM := "row_id:l ts:t temperature:d vibration:d pressure:d error:s valid:b",
+          f"SELECT *, error IS NULL AS valid FROM ({_REQ_SQL})")
+def q_stream_validate(spark, sf_dir):
+    """Request validation on the event stream; rejected rows keep their error (file sink)."""
+    return S.run_available_now(S.stream_validate(S.read_events_stream(spark, sf_dir)), "validate")
+
+
+@register("explain_failures", "kind:s name:s value:d")
+def q_explain_failures(spark, sf_dir):
+    """Top-10 global importances and the contributions of one positive validation row."""
+    f = hourly_features(spark, sf_dir)
+    stats = fit_scaler(f.where("split = 'train'"), FEATURES)
+    w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
+    val = f.where("split = 'val'").withColumn("row_id", F.timestamp_diff("HOUR", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")))
+    top = mean_abs_contribution(contributions(val, w, FEATURES)).limit(10)
+    one = pick_failure_row(val, "failure_24h")
+    c1 = contributions(one, w, FEATURES)
+    return (top.select(F.lit("global").alias("kind"), F.col("feature").alias("name"), F.col("importance").alias("value"))
+            .unionByName(c1.select(F.lit("failure_row").alias("kind"), F.col("feature").alias("name"),
+                                   F.col("contribution").alias("value"))))
