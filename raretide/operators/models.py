@@ -67,7 +67,9 @@ def predict(model, df: DataFrame, features: Sequence[str], keep: Sequence[str] =
     out = model.transform(assemble(df, features))
     keep = [c for c in keep if c in df.columns]
     return out.select(*keep, F.col(label).cast("int").alias("label"),
-                      vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("prediction"))
+                      # a model trained on one class has a 1-element probability: positive probability 0
+                      F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0)).alias("score"),
+                      F.col("prediction").cast("int").alias("prediction"))
 
 
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
