@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from raretide.functions.scalar import decision_alert, round_response
+from raretide.functions.timecols import ts_micros
 from raretide.session import checkpoint_dir
 from raretide.sources.fixtures import readings_from_events
 from raretide.sources.requests import parse_requests
@@ -22,6 +23,18 @@ EVENTS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 ALERT_THRESHOLD = 0.3
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def as_instant(ts: str = "ts"):
+    """TIMESTAMP_NTZ -> TIMESTAMP holding the same wall-clock value as UTC (watermarks need TIMESTAMP);
+    independent of the session time zone."""
+    return F.timestamp_micros(ts_micros(ts))
+
+
+def from_instant(c):
+    """Inverse of ``as_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(_EPOCH_NTZ))
 
 
 def read_events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
@@ -48,17 +61,17 @@ def stream_alert_volume(events: DataFrame, window: str = "1 day", watermark: str
     """Alerts (score >= threshold) and readings per tumbling window; a window is emitted once the
     watermark passes its end (append mode)."""
     r = readings_from_events(events).withColumn("score", score_column())
-    r = r.withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", watermark)
+    r = r.withColumn("ets", as_instant("ts")).withWatermark("ets", watermark)
     g = r.groupBy(F.window("ets", window).alias("w")).agg(
         F.count(F.when(F.col("score") >= F.lit(threshold), F.lit(1))).alias("alerts"),
         F.count(F.lit(1)).alias("readings"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "alerts", "readings")
+    return g.select(from_instant(F.col("w.start")).alias("window_start"),
+                    from_instant(F.col("w.end")).alias("window_end"), "alerts", "readings")
 
 
 def stream_dedupe(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Drop repeated readings of the same entity and time, keeping state only within the watermark."""
-    r = readings_from_events(events).withColumn("ets", F.col("ts").cast("timestamp")).withWatermark("ets", watermark)
+    r = readings_from_events(events).withColumn("ets", as_instant("ts")).withWatermark("ets", watermark)
     return r.dropDuplicatesWithinWatermark(["entity_id", "ts"]).drop("ets")
 
 
