@@ -7,13 +7,10 @@ collinear ROC points, a cross join with the threshold grid, and ``row_number`` f
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import functions as F
-
 from raretide.operators import curves as C
 from raretide.operators import evaluate as E
 from raretide.operators import thresholds as T
-from raretide.plans.oracle import READINGS, SCORED, SCORED_SECOND, with_ctes
+from raretide.plans.oracle import READINGS, SCORED, with_ctes
 from raretide.plans.registry import register
 from raretide.sources import fixtures as fx
 
@@ -135,13 +132,6 @@ for _b in T.ALERT_BUDGETS:
         lambda spark, sf, _b=_b: T.for_alert_budget(scored(spark, sf), _b))
 
 
-def _union_sql() -> str:
-    parts = []
-    for r in T.RECALL_TARGETS:
-        parts.append(_metric_sql("recall", r).split("\n", 0)[0])
-    return None
-
-
 @register("threshold_table", "threshold:d precision:d recall:d f1:d alert_rate:d alerts_per_day:d alerts_per_day_scaled:d",
           CURVE + """SELECT threshold, precision, recall, f1, alert_rate, alert_rate * 24 AS alerts_per_day,
        alert_rate * (n_rows::DOUBLE / 24) AS alerts_per_day_scaled FROM tr""")

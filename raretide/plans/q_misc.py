@@ -3,28 +3,24 @@ sampling and linear explanations."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from raretide.functions.scalar import decision_alert, decision_risk, round_response, threshold_predict
 from raretide.operators import evaluate as E
 from raretide.operators import thresholds as T
-from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights
-from raretide.operators.scale import align_schema, apply_scaler, fit_scaler
 from raretide.operators.split import is_sorted_violations, time_series_folds
 from raretide.operators.weights import class_distribution, class_weights, data_profile, scale_pos_weight, split_period
 from raretide.functions.timecols import ts_micros
 from raretide.operators.curves import totals
 from raretide.operators.scan import carry_max
-from raretide.plans.oracle import READINGS, SCORED, SCORED_SECOND, with_ctes
-from raretide.plans.q_eval import CURVE, _metric_sql
+from raretide.plans.oracle import READINGS, SCORED, with_ctes
+from raretide.plans.q_eval import _metric_sql
 from raretide.plans.registry import ORACLES as _OR
 
 ORACLE_FPR = _OR["recall_at_fixed_fpr"]
 ORACLE_TOPK = _OR["precision_at_top_k"]
-from raretide.plans.q_series import FEATURES, SENSORS, _FIXTURES, labelled_split, split_sql
-from raretide.plans.oracle_features import features_sql
+from raretide.plans.q_series import labelled_split, split_sql
 from raretide.plans.registry import register
-from raretide.operators.features import build_features
 from raretide.sources import fixtures as fx
 from raretide.sources.requests import parse_requests
 

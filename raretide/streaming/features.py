@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from raretide.functions.timecols import HOUR_US, parse_span_us

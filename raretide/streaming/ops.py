@@ -77,7 +77,6 @@ def stream_dedupe(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 def stream_validate(events: DataFrame) -> DataFrame:
     """Stateless parse of request bodies built from the stream; rejected rows keep their error."""
-    from raretide.sources.fixtures import requests as _requests_bodies  # noqa: F401  (batch twin)
     r = readings_from_events(events)
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     temp = F.when(F.pmod("row_id", F.lit(23)) == 0, F.lit('"bad"')).otherwise(F.col("temperature").cast("string"))
