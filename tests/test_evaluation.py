@@ -57,3 +57,18 @@ def test_bucket_topk_null_below_24_rows(spark):
 def test_sweep_grid_matches_numpy():
     import numpy as np
     assert T.sweep_grid() == [float(v) for v in np.linspace(0.01, 0.99, 50)]
+
+
+def test_threshold_sweep_equals_brute_force(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows = [(int(rng.random() < 0.2), float(np.round(rng.random(), 2))) for _ in range(300)]
+    s = _scored(spark, rows)
+    grid = T.sweep_grid() + [0.5, 0.0, 1.0]
+    got = {r["threshold"]: (r["tp"], r["fp"], r["fn"], r["tn"]) for r in T.threshold_sweep(s, grid).collect()}
+    for t in set(grid):
+        tp = sum(1 for y, sc in rows if sc >= t and y == 1)
+        fp = sum(1 for y, sc in rows if sc >= t and y == 0)
+        fn = sum(1 for y, sc in rows if sc < t and y == 1)
+        tn = sum(1 for y, sc in rows if sc < t and y == 0)
+        assert got[t] == (tp, fp, fn, tn), t
