@@ -3,35 +3,17 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType
 
-from raretide.session import checkpoint_dir
+from raretide.session import scratch_path, written  # noqa: F401  (used by the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder; the driver removes it when it ends."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/raretide-{uuid.uuid4().hex}-{name}"
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(hadoop).deleteOnExit(folder)
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: lineage ends there, and a lost
-    executor costs nothing but a second read."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(doc_id: Column | str, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod`` (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % mod

@@ -153,16 +153,16 @@ def learn(docs: DataFrame, snippets: int = SNIPPETS, size: int = SNIPPET) -> tup
     return tuple((r["lang"], r["t"]) for r in picked.orderBy("lang").collect())
 
 
-def predict(docs: DataFrame, training: tuple[tuple[str, str], ...], keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` with ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, training: tuple[tuple[str, str], ...], keep: list[str], out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``docs`` with the language and its score, named as ``out``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tv.slices(batch, "text"):
                 lang, score = identify(part.column("text").to_pylist(), training)
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lang), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lang), pa.array(score, pa.float64())], names=[*keep, *out])
 
     fields = docs.select(*keep).schema
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{out[0]} string", f"{out[1]} double"])
     return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
 
 

@@ -131,11 +131,11 @@ def strength(text: str | None, terms: tuple, exceptions: frozenset[str]) -> floa
     return total / (1 + math.log1p(s.count(" ") / 100) / 4)
 
 
-def _map_strength(columns: list[str], terms: tuple, exceptions: frozenset[str], schema: pa.Schema):
+def _map_strength(columns: list[str], terms: tuple, exceptions: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [strength(t, terms, exceptions) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [pa.array(x, pa.float64())], names=columns + ["x"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in columns] + [pa.array(x, pa.float64())], names=columns + ["__x"])
     return run
 
 
@@ -187,8 +187,8 @@ def learn(train: DataFrame, exceptions: frozenset[str] = frozenset()) -> dict:
                .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
                .where((F.col("n0") >= 2) & (F.col("n1") == 0)).orderBy(F.desc("n0"), "phrase").limit(MAX_TERMS).collect())
     exceptions = exceptions | frozenset(r["phrase"] for r in phrases)
-    scored = train.mapInArrow(_map_strength(["toxic"], terms, exceptions, None), "toxic int, x double")
-    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+    scored = train.mapInArrow(_map_strength(["toxic"], terms, exceptions), "toxic int, __x double")
+    data = VectorAssembler(inputCols=["__x"], outputCol="features").transform(
         scored.withColumn("weight", F.when(F.col("toxic") == 1, 0.5 / n1).otherwise(0.5 / n0) * (n0 + n1)))
     fitted = LogisticRegression(labelCol="toxic", weightCol="weight", regParam=1e-4, standardization=True).fit(data)
     return {"terms": terms, "exceptions": exceptions, "slope": float(fitted.coefficients[0]), "offset": float(fitted.intercept)}
@@ -235,14 +235,14 @@ def _explaining(train: DataFrame, candidates: list, n1: int, n0: int, chance: fl
     return tuple((names[i], float(weight[i])) for i in sorted({*chosen, *np.flatnonzero(alike).tolist()}))
 
 
-def score(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` and ``score``."""
+def score(docs: DataFrame, model: dict, keep: list[str], out: str = "score") -> DataFrame:
+    """``keep`` columns of ``docs`` and the score, named ``out``."""
     fields = docs.select(*keep).schema
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["x double"])
-    out = docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(_map_strength(keep, model["terms"], model["exceptions"], None), schema)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["__x double"])
+    found = docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(_map_strength(keep, model["terms"], model["exceptions"]), schema)
     if model["offset"] is None:
-        return out.select(*keep, F.lit(0.0).alias("score"))
-    return out.select(*keep, (1 / (1 + F.exp(-(F.col("x") * model["slope"] + model["offset"])))).alias("score"))
+        return found.select(*keep, F.lit(0.0).alias(out))
+    return found.select(*keep, (1 / (1 + F.exp(-(F.col("__x") * model["slope"] + model["offset"])))).alias(out))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
