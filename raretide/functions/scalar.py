@@ -48,8 +48,13 @@ DEFAULT_INTERACTIONS = [("temperature", "vibration", "mul"), ("temperature", "pr
                         ("vibration", "pressure", "mul")]
 
 
+def interactions_of(sensors) -> list[tuple[str, str, str]]:
+    """The default interactions between the given sensors."""
+    return [p for p in DEFAULT_INTERACTIONS if p[0] in sensors and p[1] in sensors]
+
+
 def interaction_names(pairs: list[tuple[str, str, str]] | None = None) -> list[str]:
-    return [f"{a}_{b}" for a, b, _ in (pairs or DEFAULT_INTERACTIONS)]
+    return [f"{a}_{b}" for a, b, _ in (DEFAULT_INTERACTIONS if pairs is None else pairs)]
 
 
 def interaction_columns(pairs: list[tuple[str, str, str]] | None = None) -> dict[str, Column]:
@@ -58,7 +63,7 @@ def interaction_columns(pairs: list[tuple[str, str, str]] | None = None) -> dict
     The default reproduces the reference: temperature*vibration, temperature/(pressure+1e-9)
     (named temperature_pressure although it is a ratio), vibration*pressure.
     """
-    pairs = pairs or DEFAULT_INTERACTIONS
+    pairs = DEFAULT_INTERACTIONS if pairs is None else pairs
     out = {}
     for a, b, op in pairs:
         if op == "mul":

@@ -2,7 +2,7 @@
 
 One grouped pass turns the scored table into one row per distinct score (positives, negatives at that
 score; map-side partial aggregation, so a score shared by a third of all rows is one row).  Cumulative
-counts over distinct scores come from two-level prefix sums (per score bucket + carried bucket totals),
+counts over distinct scores come from two-level prefix sums (per even score range + carried totals),
 so no step sorts the whole table in one task.  All curve quantities of the reference derive from:
 
   tp(t) = #positives with score >= t,  fp(t) = #negatives with score >= t,
@@ -14,14 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from raretide.functions.scalar import safe_div
-from raretide.operators.scan import prefix_sums
-
-SCORE_BUCKETS = 4096   # order-preserving bucket = floor(score * 4096): ~4k carry rows for scores in [0, 1]
-
-
-def _bucket(score: str = "score"):
-    return F.floor(F.col(score) * F.lit(float(SCORE_BUCKETS))).cast("long")
-
+from raretide.operators.scan import prefix_sums, previous_rows, range_cuts, range_piece
+from raretide.session import written
 
 def score_counts(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """One row per distinct score: pos, neg."""
@@ -38,22 +32,27 @@ def totals(scored: DataFrame, label: str = "label") -> DataFrame:
                       (F.count(F.lit(1)) - F.coalesce(F.sum(y), F.lit(0))).alias("n_neg"))
 
 
-def curve_points(scored: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+def curve_points(scored: DataFrame, score: str = "score", label: str = "label", neighbours: bool = False) -> DataFrame:
     """One row per distinct score t with tp, fp, fn, tn, precision, recall, and the previous (next higher
     threshold) point ``precision_prev``, ``recall_prev`` ((1, 0) above the highest score), plus n, P, N,
-    ``is_max`` (t is the highest score).
+    ``is_max`` (t is the highest score).  With ``neighbours`` also ``pos_lo, neg_lo``, the counts at the next lower
+    score (null at the lowest).  The scored table is read once; its scores are cut into even ranges by quantiles, so
+    scores crowded at 0 or unbounded margins balance as well.
 
     recall is 1 everywhere when there are no positives, as in the reference's curve function.
     """
-    sc = score_counts(scored, score, label)
-    ps = prefix_sums(sc, [], "score", _bucket(), ["pos", "neg"], prefix="below_", inclusive=False)
+    sc = written(score_counts(scored, score, label), "scores")
+    piece = range_piece("score", range_cuts(sc, "score"))
+    ps = prefix_sums(sc, [], "score", piece, ["pos", "neg"], prefix="below_", inclusive=False)
+    if neighbours:
+        ps = previous_rows(ps, "score", piece, {"pos": "pos_lo", "neg": "neg_lo"})
     # totals from the per-score counts (no second scan of the scored table)
     tot = sc.agg((F.sum("pos") + F.sum("neg")).alias("n_rows"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     # one-row table: broadcast is size-proven
     d = ps.crossJoin(F.broadcast(tot))
     tp = F.col("n_pos") - F.col("below_pos")
     fp = F.col("n_neg") - F.col("below_neg")
-    d = d.select("score", "pos", "neg", "n_rows", "n_pos", "n_neg", tp.alias("tp"), fp.alias("fp"))
+    d = d.select("score", "pos", "neg", "n_rows", "n_pos", "n_neg", tp.alias("tp"), fp.alias("fp"), *(["pos_lo", "neg_lo"] if neighbours else []))
     d = d.withColumns({"fn": F.col("n_pos") - F.col("tp"), "tn": F.col("n_neg") - F.col("fp"),
                        "tp_prev": F.col("tp") - F.col("pos"), "fp_prev": F.col("fp") - F.col("neg")})
     rec = lambda t: F.when(F.col("n_pos") == 0, F.lit(1.0)).otherwise(t.cast("double") / F.col("n_pos"))
@@ -78,7 +77,10 @@ def pr_curve(scored: DataFrame, drop_max_threshold: bool = False, **kw) -> DataF
 def pr_areas(scored: DataFrame, **kw) -> DataFrame:
     """One row: pr_auc (trapezoid incl. the (r=0, p=1) end point), average_precision (step sum),
     avg_precision / avg_recall (plain means of the curve points incl. the end point), n_points."""
-    pts = curve_points(scored, **kw)
+    return area_aggregates(curve_points(scored, **kw))
+
+
+def area_aggregates(pts: DataFrame) -> DataFrame:
     dr = F.col("recall") - F.col("recall_prev")
     return pts.agg(
         F.sum(dr * (F.col("precision") + F.col("precision_prev")) / F.lit(2.0)).alias("pr_auc"),
@@ -92,12 +94,7 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = True, **kw) -> DataFr
     """ROC vertices (threshold, fpr, tpr, tp, fp) in the reference library's form: a start point (0, 0)
     with threshold +inf, then distinct scores descending; with ``drop_intermediate`` only the first, the
     last and the points where the slope changes are kept (second difference of fp or tp non-zero)."""
-    pts = curve_points(scored, **kw)
-    # the next lower distinct score: its dense rank is one less (rank by a two-level count over buckets)
-    ranked = _rank_scores(pts)
-    cols = ["threshold", "tp", "fp", "pos", "neg", "n_pos", "n_neg", "n_rows", "is_max", "_k"]
-    lower = ranked.select((F.col("_k") + 1).alias("_k"), F.col("pos").alias("pos_lo"), F.col("neg").alias("neg_lo"))
-    d = ranked.select(*cols).join(lower, "_k", "left")
+    d = curve_points(scored, neighbours=True, **kw)
     first_or_last = F.col("pos_lo").isNull() | F.col("is_max")
     keep = first_or_last | (F.col("pos_lo") != F.col("pos")) | (F.col("neg_lo") != F.col("neg"))
     if drop_intermediate:
@@ -105,19 +102,11 @@ def roc_curve(scored: DataFrame, drop_intermediate: bool = True, **kw) -> DataFr
     fpr = lambda c: safe_div(F.col(c), F.col("n_neg"), None)
     tpr = lambda c: safe_div(F.col(c), F.col("n_pos"), None)
     verts = d.select("threshold", "tp", "fp", "n_rows", "n_pos", "n_neg", fpr("fp").alias("fpr"), tpr("tp").alias("tpr"))
-    start = totals(scored, kw.get("label", "label")).select(F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"),
-                                F.lit(0).cast("long").alias("fp"), "n_rows", "n_pos", "n_neg",
-                                F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    start = d.where("is_max").select(F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"),
+                                     "n_rows", "n_pos", "n_neg", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return verts.unionByName(start)
 
 
-def _rank_scores(pts: DataFrame) -> DataFrame:
-    """Dense rank ``_k`` (1 = lowest) of the distinct scores, two-level over score buckets."""
-    one = pts.withColumn("_one", F.lit(1))
-    r = prefix_sums(one, [], "threshold", _bucket("threshold"), ["_one"], prefix="_r", inclusive=True)
-    return r.withColumnRenamed("_r_one", "_k").drop("_one")
-
-
 def roc_auc(scored: DataFrame, **kw) -> DataFrame:
     """One row: roc_auc = trapezoid over all distinct thresholds (collinear points do not change it)."""
     pts = curve_points(scored, **kw)

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from raretide.functions.scalar import fmt_fixed, literal_table, safe_div, threshold_predict
 from raretide.operators.curves import curve_points, roc_curve, totals
-from raretide.operators.scan import with_row_index
+from raretide.operators.split import position_buckets
+from raretide.session import written
 from raretide.operators.thresholds import HOURS_PER_DAY, threshold_sweep
-from raretide.functions.timecols import ts_micros
 
 # Fixed values of the reference's report.
 FPR_TARGETS = [0.01, 0.05, 0.10]
@@ -95,11 +95,11 @@ def precision_at_top_k(scored: DataFrame, ks: Sequence[int] = TOP_K, score: str
 def recall_at_fixed_fpr(scored: DataFrame, targets: Sequence[float] = FPR_TARGETS, **kw) -> DataFrame:
     """For each target FPR: the ROC vertex nearest to it (ties: highest threshold; the (0,0) start point
     has threshold +inf and raises no alert), and recall, precision, fpr, alert_rate there."""
-    roc = roc_curve(scored, **kw)
-    t = literal_table(scored.sparkSession, [(float(x),) for x in targets], ["target_fpr"])
-    j = roc.crossJoin(F.broadcast(t))      # vertices x 3 targets
-    key = F.struct(F.abs(F.col("fpr") - F.col("target_fpr")), -F.col("threshold"))
-    best = j.groupBy("target_fpr").agg(F.min_by(F.struct("threshold", "tp", "fp", "n_rows", "n_pos", "n_neg"), key).alias("v"))
+    picks = []
+    for target in targets:  # one min_by per target, all in one aggregate over the vertices
+        near = F.struct(F.abs(F.col("fpr") - F.lit(float(target))), -F.col("threshold"))
+        picks.append(F.struct(F.lit(float(target)).alias("target_fpr"), F.min_by(F.struct("threshold", "tp", "fp", "n_rows", "n_pos", "n_neg"), near).alias("v")))
+    best = roc_curve(scored, **kw).agg(F.array(*picks).alias("a")).select(F.inline("a"))
     v = lambda c: F.col(f"v.{c}")
     return best.select("target_fpr", v("threshold").alias("threshold"),
                        safe_div(v("tp"), v("n_pos")).alias("recall"),
@@ -117,13 +117,13 @@ def bucket_topk_precision(scored: DataFrame, top: int = TOP_PER_BUCKET, n_bucket
 
     Top-5 per bucket in two phases (per (bucket, salt), then per bucket over <= 5*salts rows), so a bucket
     holding 1/24 of the table is not one task."""
-    d = scored.withColumn("_us", ts_micros(ts))
-    d = with_row_index(d, [], "_us", order_id, name="_pos", total_name="_n")
-    size = F.floor(F.col("_n") / F.lit(n_buckets)).cast("long")
-    d = d.where(size > 0).withColumn("_b", F.floor((F.col("_pos") - 1) / size).cast("long"))
-    d = d.where(F.col("_b") < F.least(F.lit(n_buckets), F.floor(F.col("_n") / size)))
-    d = d.withColumn("_salt", F.pmod(F.xxhash64("_pos"), F.lit(salts)))
-    order = [F.col(score).desc(), F.col("_pos").desc()]
+    scored = written(scored.select(*dict.fromkeys([score, label, ts, order_id])), "topk")
+    size = scored.count() // n_buckets
+    if not size:
+        return scored.agg(F.lit(None).cast("double").alias("top_5_precision"))
+    d = position_buckets(scored, [i * size for i in range(1, n_buckets + 1)], ts, order_id).where(F.col("_b") < n_buckets)
+    d = d.withColumn("_salt", F.pmod(F.xxhash64(order_id), F.lit(salts)))
+    order = [F.col(score).desc(), F.col(ts).desc(), F.col(order_id).desc()]
     d = d.withColumn("_r1", F.row_number().over(Window.partitionBy("_b", "_salt").orderBy(*order))).where(f"_r1 <= {top}")
     d = d.withColumn("_r2", F.row_number().over(Window.partitionBy("_b").orderBy(*order))).where(f"_r2 <= {top}")
     per = d.groupBy("_b").agg(F.avg(F.col(label).cast("double")).alias("_p"))
@@ -192,23 +192,52 @@ def pr_auc_only(scored: DataFrame, **kw) -> DataFrame:
     return pts.agg(F.sum(dr * (F.col("precision") + F.col("precision_prev")) / F.lit(2.0)).alias("pr_auc"))
 
 
-def model_metrics(scored: DataFrame, model: str, **kw) -> DataFrame:
+def model_metrics(scored: DataFrame, model: str, total_samples: int | None = None, **kw) -> DataFrame:
     """One comparison row: pr_auc, accuracy and failure-class precision/recall/f1 at 0.5, the best-F1
-    threshold of the report table and the 60 %-precision threshold with its alerts/day and FP per 1000."""
-    from raretide.operators.curves import pr_areas
-    from raretide.operators.thresholds import best_f1_threshold, for_precision
-    auc = pr_areas(scored, **kw).select("pr_auc")
-    cm = confusion(scored, 0.5, **kw)
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    p, r = safe_div(tp, tp + fp), safe_div(tp, tp + fn)
-    fc = cm.select(p.alias("failure_precision"), r.alias("failure_recall"),
-                   F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0)).alias("failure_f1"))
-    acc = accuracy(scored, 0.5, **kw)
-    best = best_f1_threshold(scored, **kw)
-    pt = for_precision(scored, **kw).crossJoin(F.broadcast(totals(scored)))
-    pt = pt.select(F.col("threshold").alias("precision_threshold"), F.col("precision").alias("precision_at_threshold"),
-                   F.col("recall").alias("recall_at_threshold"), (F.col("alert_rate") * 24).alias("alerts_per_day"),
-                   (F.col("fp").cast("double") / F.col("n_rows") * 1000).alias("false_positives_per_1000"))
-    # every part is a one-row aggregate
-    out = auc.crossJoin(acc).crossJoin(fc).crossJoin(best).crossJoin(pt)
-    return out.select(F.lit(model).alias("model"), "*")
+    threshold of the report table and the 60 %-precision threshold with its alerts/day and FP per 1000 of
+    ``total_samples`` (default: the scored rows).  All are aggregates of one pass over one curve."""
+    from raretide.operators.thresholds import F1_EPS, MIN_PRECISION, with_metrics
+    c = with_metrics(curve_points(scored, **kw))
+    p, r, inner = F.col("precision"), F.col("recall"), ~F.col("is_max")
+    f1 = F.coalesce(F.lit(2.0) * p * r / (p + r + F.lit(F1_EPS)), F.lit(0.0))
+    dr = r - F.col("recall_prev")
+    first, fallback = (F.min_by(*x) for x in _inner_choices("precision", MIN_PRECISION, inner))
+    high = F.col("threshold") >= F.lit(0.5)  # counts at 0.5 are those of the lowest threshold from there on
+    a = c.agg(
+        F.sum(dr * (p + F.col("precision_prev")) / F.lit(2.0)).alias("pr_auc"), F.max("n_rows").alias("n"), F.max("n_pos").alias("np"),
+        F.coalesce(F.max(F.when(high, F.col("tp"))), F.lit(0)).alias("tp5"), F.coalesce(F.max(F.when(high, F.col("fp"))), F.lit(0)).alias("fp5"),
+        F.min_by(F.struct("threshold", "precision", "recall", f1.alias("f1")), F.when(inner, F.struct(-f1, "threshold"))).alias("b"),
+        F.coalesce(first, fallback).alias("t"))
+    tp, fp, n = F.col("tp5"), F.col("fp5"), F.col("n")
+    fprec, frec = safe_div(tp, tp + fp), safe_div(tp, F.col("np"))
+    total = n if total_samples is None else F.lit(total_samples)
+    return a.select(
+        F.lit(model).alias("model"), "pr_auc", ((n - F.col("np") - fp + tp).cast("double") / n).alias("accuracy"),
+        fprec.alias("failure_precision"), frec.alias("failure_recall"),
+        F.when(fprec + frec > 0, F.lit(2.0) * fprec * frec / (fprec + frec)).otherwise(F.lit(0.0)).alias("failure_f1"),
+        F.col("b.threshold").alias("best_threshold"), F.col("b.precision").alias("best_precision"), F.col("b.recall").alias("best_recall"), F.col("b.f1").alias("best_f1"),
+        F.col("t.threshold").alias("precision_threshold"), F.col("t.precision").alias("precision_at_threshold"), F.col("t.recall").alias("recall_at_threshold"),
+        (F.col("t.alert_rate") * 24).alias("alerts_per_day"), (F.col("t.fp").cast("double") / total * 1000).alias("false_positives_per_1000"))
+
+
+def _inner_choices(rule: str, target: float, inner: Column):
+    """Value and order of the precision search and its fallback among the thresholds below the highest score."""
+    row = F.struct("threshold", "precision", "recall", "fp", "alert_rate")
+    p, r, t = F.col("precision"), F.col("recall"), F.col("threshold")
+    return (row, F.when(inner & (p >= F.lit(target)), F.struct(-r, t))), (row, F.when(inner, F.struct(-p, t)))
+
+
+def evaluation_report(scored: DataFrame, total_samples: int | None = None, **kw) -> dict[str, DataFrame]:
+    """The whole evaluation of one scored table: basic areas, threshold table, the precision-driven threshold, recall
+    and budget searches, rare-event rows and the alert simulation."""
+    from raretide.operators.curves import pr_areas, roc_auc
+    from raretide.operators.thresholds import daily_alert_simulation, for_precision, optimize_thresholds, threshold_table
+    return {
+        "basic_metrics": pr_areas(scored, **kw).select("pr_auc", "avg_precision", "avg_recall").crossJoin(roc_auc(scored, **kw)),
+        "classification_report": classification_report(scored, 0.5, **kw),
+        "threshold_table": threshold_table(scored, **kw),
+        "precision_threshold": for_precision(scored, **kw),
+        "threshold_optimization": optimize_thresholds(scored, total_samples=total_samples, **kw),
+        "rare_event_metrics": rare_event_metrics(scored, **kw),
+        "daily_alert_simulation": daily_alert_simulation(scored, **kw),
+    }

@@ -13,10 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from raretide.functions.scalar import interaction_columns, interaction_names
+from raretide.functions.scalar import interaction_columns, interaction_names, interactions_of
 from raretide.operators.scan import DEFAULT_BLOCK_ROWS, DEFAULT_BUCKET_US, carry_last
-from raretide.operators.windows import (EMA_SPANS, LAGS, ROLLING_SPANS, SLOPE_SPAN, ema_lag_features,
-                                        hours_since_last_failure, rolling_features, with_order)
+from raretide.operators.windows import (EMA_SPANS, LAGS, ROLLING_SPANS, SLOPE_SPAN, ema_features, hours_since_last_failure,
+                                        lag_features, rolling_features, with_order)
 
 SENSORS = ["temperature", "vibration", "pressure"]
 NON_FEATURES = ("ts", "timestamp", "failure", "failure_24h")
@@ -32,7 +32,7 @@ def feature_names(sensors: Sequence[str] = SENSORS, spans: Sequence[str] = ROLLI
             names += [f"{s}_rolling_{st}_{span}" for st in ("mean", "std", "var", "max", "min", "range")]
         names += [f"{s}_ema_{e}" for e in ema_spans] + [f"{s}_lag_{k}" for k in lags]
         names += [f"{s}_roc_1", f"{s}_rolling_slope_{SLOPE_SPAN}", f"{s}_delta_mean_1h_6h"]
-    names += list(interactions if interactions is not None else interaction_names())
+    names += list(interactions if interactions is not None else interaction_names(interactions_of(sensors)))
     names.append("hours_since_last_failure")
     return sorted(names)
 
@@ -44,33 +44,45 @@ def _is_filled_then_zero(name: str) -> bool:
 def build_features(df: DataFrame, keys: Sequence[str] = ("entity_id",), sensors: Sequence[str] = SENSORS,
                    split_col: str | None = None, ts: str = "ts", tiebreak: str | None = "row_id",
                    block_rows: int = DEFAULT_BLOCK_ROWS, bucket_us: int = DEFAULT_BUCKET_US,
-                   drop_incomplete: bool = True) -> DataFrame:
-    """All features of ``create_time_series_features`` for every series ``keys`` (+ ``split_col``).
+                   drop_incomplete: bool = True, only: Sequence[str] | None = None) -> DataFrame:
+    """All features of ``create_time_series_features`` for every series ``keys`` (+ ``split_col``), or the features
+    ``only``: operators that none of them needs do not run.
 
-    Output: the input columns, then the sorted feature columns; row order is not defined.
+    Output: the input columns, then the feature columns; row order is not defined.  Rows that hold a null in the full
+    table are dropped in either case: those before a series' first complete reading.
     """
     pkeys = list(keys) + ([split_col] if split_col else [])
     base_cols = df.columns
+    every = feature_names(sensors)
+    feats = every if only is None else [c for c in only]
+    if unknown := set(feats) - set(every):
+        raise ValueError(f"unknown features: {sorted(unknown)}")
     d = with_order(df, pkeys, ts, tiebreak, bucket_us)
     # the as-of scan needs only keys, time and failure: run it while the table is still narrow
-    d = hours_since_last_failure(d, pkeys, bucket_us=bucket_us)
-    d = ema_lag_features(d, pkeys, sensors, block_rows=block_rows)
-    d = rolling_features(d, pkeys, sensors, bucket_us=bucket_us)
-    inter = interaction_columns()
+    if "hours_since_last_failure" in feats:
+        d = hours_since_last_failure(d, pkeys, bucket_us=bucket_us)
+
+    def of(mark: str) -> list[str]:
+        return [s for s in sensors if any(c.startswith(f"{s}_") and mark in c for c in feats)]
+
+    deltas = of("_delta_mean")
+    rolled = {c for c in feats if "_rolling_" in c} | {f"{s}_rolling_mean_{h}" for s in deltas for h in ("1h", "6h")}
+    if steps := [s for s in sensors if s in of("_lag_") or s in of("_roc_")]:
+        d = lag_features(d, pkeys, steps, LAGS, block_rows)
+    if smooth := of("_ema_"):
+        d = ema_features(d, pkeys, smooth, EMA_SPANS, block_rows)
+    if rolled:
+        d = rolling_features(d, pkeys, sensors, bucket_us=bucket_us, only=rolled)
+    inter = interaction_columns(interactions_of(sensors))
     d = d.withColumns(inter)
-    d = d.withColumns({f"{s}_delta_mean_1h_6h": F.col(f"{s}_rolling_mean_1h") - F.col(f"{s}_rolling_mean_6h")
-                       for s in sensors})
-    feats = feature_names(sensors)
-    roc = [f"{s}_roc_1" for s in sensors]
+    d = d.withColumns({f"{s}_delta_mean_1h_6h": F.col(f"{s}_rolling_mean_1h") - F.col(f"{s}_rolling_mean_6h") for s in deltas})
+    d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in (f"{s}_roc_1" for s in steps)})
     zero_after_fill = [c for c in feats if _is_filled_then_zero(c)]
-    fill_only = [c for c in feats if c not in zero_after_fill and c not in roc
-                 and c != "hours_since_last_failure" and c not in sensors]
-    # raw sensors are part of the global forward fill as well
-    fill_only += [s for s in sensors]
-    d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in roc})
+    # raw sensors and interactions decide which rows are complete, so they are filled in any case
+    fill_only = [*inter, *sensors, *(f"{s}_delta_mean_1h_6h" for s in deltas)]
     d = carry_last(d, pkeys, "rn", zero_after_fill + fill_only, block_rows=block_rows, total="_n")
     d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero_after_fill})
-    out = d.select(*[c for c in base_cols if c not in sensors], *feats)
+    kept = [c for c in base_cols if c not in sensors]
     if drop_incomplete:
-        out = out.na.drop(how="any")
-    return out
+        d = d.na.drop(how="any", subset=[*kept, *inter, *sensors, *feats])
+    return d.select(*kept, *feats)

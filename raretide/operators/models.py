@@ -55,7 +55,11 @@ def train(df: DataFrame, features: Sequence[str], model_type: str = "gbt", label
     """Fit a class-weighted classifier; returns the fitted model."""
     if model_type not in MODEL_TYPES:
         raise ValueError(f"Unknown model_type: {model_type}")
+    params = dict(params or {})
+    positive = params.pop("positiveWeight", None)
     d = with_weights(df, label).withColumn("label", F.col(label).cast("double"))
+    if positive is not None:  # in place of the balanced weights
+        d = d.withColumn("weight", F.when(F.col("label") == 1, F.lit(float(positive))).otherwise(F.lit(1.0)))
     d = assemble(d, features)
     n = d.count() if model_type == "logistic_regression" else None
     return make_estimator(model_type, params, n, seed).fit(d)
@@ -72,6 +76,33 @@ def predict(model, df: DataFrame, features: Sequence[str], keep: Sequence[str] =
                       F.col("prediction").cast("int").alias("prediction"))
 
 
+def evaluate(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """One row: areas, accuracy, weighted and failure-class precision / recall / F1 and the confusion counts of a
+    scored table."""
+    from raretide.operators import evaluate as E
+    from raretide.operators.curves import pr_areas, totals
+    report = E.classification_report(scored, threshold)
+    parts = {name: report.where(F.col("class") == cls).select(*[F.col(c).alias(f"{name}_{c}") for c in ("precision", "recall", "f1")])
+             for name, cls in (("failure", "1"), ("weighted", "weighted avg"))}
+    # every part is a one-row aggregate
+    return (pr_areas(scored).select("pr_auc", "average_precision").crossJoin(E.accuracy(scored, threshold)).crossJoin(parts["weighted"])
+            .crossJoin(parts["failure"]).crossJoin(E.confusion(scored, threshold)).crossJoin(totals(scored)))
+
+
+def time_series_cv(df: DataFrame, features: Sequence[str], model_type: str = "gbt", label: str = "failure_24h", params: dict | None = None,
+                   n_splits: int = 3, seed: int = SEED) -> list[float]:
+    """Average precision of each expanding fold.  ``df`` may already hold ``fold``."""
+    from raretide.operators.curves import pr_areas
+    from raretide.operators.split import time_series_folds
+    folded = df if "fold" in df.columns else time_series_folds(df, n_splits)
+    out = []
+    for fold in range(1, n_splits + 1):
+        fitted = train(folded.where(F.col("fold") < fold), features, model_type, label, params, seed)
+        found = predict(fitted, folded.where(F.col("fold") == fold), features, label=label)
+        out.append(float(pr_areas(found).select("average_precision").first()[0] or 0.0))
+    return out
+
+
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     """(feature, importance) highest first: tree importances or |coefficients| of a linear model."""
     if hasattr(model, "featureImportances"):
@@ -83,10 +114,12 @@ def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     return t.orderBy(F.col("importance").desc(), F.col("feature"))
 
 
-# search space of the reference's tuner: (kind, low, high)
+# The search space of the reference's tuner, (kind, low, high).  Spark's names: the weight of the positive
+# class scales the row weights, featureSubsetStrategy is the share of columns, minInfoGain the least gain of a cut.
 SEARCH_SPACE = {
     "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3), "maxIter": ("int", 50, 300),
-    "subsamplingRate": ("uniform", 0.6, 1.0), "minInstancesPerNode": ("int", 1, 10),
+    "subsamplingRate": ("uniform", 0.6, 1.0), "featureSubsetStrategy": ("uniform", 0.6, 1.0),
+    "minInstancesPerNode": ("int", 1, 10), "minInfoGain": ("uniform", 0.0, 5.0), "positiveWeight": ("uniform", 1.0, 10.0),
 }
 
 
@@ -100,6 +133,7 @@ def sample_params(rng: random.Random) -> dict:
             out[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
         else:
             out[k] = rng.uniform(lo, hi)
+    out["featureSubsetStrategy"] = f"{out['featureSubsetStrategy']:.3f}"
     return out
 
 
@@ -107,26 +141,33 @@ def tune(df: DataFrame, features: Sequence[str], n_trials: int = 50, label: str
          seed: int = SEED, model_type: str = "gbt") -> DataFrame:
     """Seeded random search with 3 expanding time-series folds, scored by average precision.
 
-    Returns one row per trial (trial, params as map, mean_average_precision); the caller picks the best
-    with ``max_by``.  Each fold is a Spark ML fit on the cached training table."""
+    Returns one row per trial (trial, params as map, mean_average_precision).  Each fold is a Spark ML fit on the
+    folded table, written once."""
     from raretide.operators.split import time_series_folds
-    from raretide.operators.curves import pr_areas
-    spark = df.sparkSession
-    folded = time_series_folds(df).persist()
+    from raretide.session import written
+    folded = written(time_series_folds(df), "tune")
     rng = random.Random(seed)
     rows = []
     for trial in range(n_trials):
         params = sample_params(rng)
-        scores = []
-        for fold in (1, 2, 3):
-            tr, te = folded.where(F.col("fold") < fold), folded.where(F.col("fold") == fold)
-            m = train(tr, features, model_type, label, params, seed)
-            s = predict(m, te, features, label=label)
-            ap = pr_areas(s).select("average_precision").first()[0]
-            scores.append(float(ap or 0.0))
+        scores = time_series_cv(folded, features, model_type, label, params, seed=seed)
         rows.append((trial, {k: str(v) for k, v in params.items()}, sum(scores) / len(scores)))
-    folded.unpersist()
-    return spark.createDataFrame(rows, "trial int, params map<string,string>, mean_average_precision double")
+    return df.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, mean_average_precision double")
+
+
+def best_params(trials: DataFrame) -> dict:
+    """Parameters of the best trial (ties: the first), typed for ``train``."""
+    row = trials.orderBy(F.desc("mean_average_precision"), "trial").first()
+    if row is None:
+        return {}
+    return {k: int(v) if SEARCH_SPACE[k][0] == "int" else v if k == "featureSubsetStrategy" else float(v) for k, v in row["params"].items()}
+
+
+def train_tuned(df: DataFrame, features: Sequence[str], n_trials: int = 50, label: str = "failure_24h", seed: int = SEED, model_type: str = "gbt"):
+    """Tune, then fit on all rows with the best parameters: (model, parameters, trials)."""
+    trials = tune(df, features, n_trials, label, seed, model_type)
+    params = best_params(trials)
+    return train(df, features, model_type, label, params, seed), params, trials
 
 
 def save_model(model, path: str, features: Sequence[str], model_type: str, spark, params: dict | None = None,

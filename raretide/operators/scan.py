@@ -13,18 +13,22 @@ all rows.  The helpers below split every series into bounded pieces and stitch t
 * ``carry_last`` / ``carry_max``   unbounded scans (forward fill, last failure): local running value
                         per piece, combined with the value carried in from all earlier pieces.
 
+* ``nth_keys``          the row at a position, by narrowing counts; no row is moved.
+* ``range_cuts``        even pieces of any distribution, from quantiles.
+
 The per-piece summary tables hold one row per (keys, piece); they are joined back by an ordinary join
 that adaptive execution turns into a broadcast only when its measured size is under the threshold.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from raretide.functions.timecols import DAY_US
+from raretide.session import written
 
 DEFAULT_BUCKET_US = DAY_US
 DEFAULT_BLOCK_ROWS = 65_536
@@ -33,12 +37,21 @@ _UNB = Window.unboundedPreceding
 
 
 def _shared(d: DataFrame) -> DataFrame:
-    """Persist a windowed pass that feeds both the row side and the per-piece summary.
+    """Write a windowed pass that feeds both the row side and the per-piece summary to the shared folder.
 
     Column pruning makes the two consumers' plans differ, so Spark would not reuse the shuffle and would
-    recompute the whole upstream lineage once per consumer (doubling at every nested scan).  Blocks
-    spill to disk and are recomputed from lineage if an executor is lost."""
-    return d.persist(StorageLevel.MEMORY_AND_DISK)
+    recompute the whole upstream lineage once per consumer (doubling at every nested scan).  A written
+    table also ends the plan's growth, survives lost executors and leaves nothing cached."""
+    return written(d, "scan")
+
+
+def join_pieces(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join the one-row-per-piece ``summary`` back to its rows; NULL keys are keys like any other."""
+    renamed = summary.select(*[F.col(c).alias(f"_on{on.index(c)}") if c in on else F.col(c) for c in summary.columns])
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(c).eqNullSafe(F.col(f"_on{i}"))
+    return rows.join(renamed, same).drop(*[f"_on{i}" for i in range(len(on))])
 
 
 def _part(keys: Sequence[str], *extra: str) -> Window:
@@ -80,7 +93,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str], us: str = "_us", tiebreak
     if total_name:
         offs = offs.withColumn(total_name, F.sum("_bn").over(_part(keys)))
         cols.append(total_name)
-    d = d.drop("_bn").join(offs.select(*cols), on=[*keys, "_bkt"], how="inner")
+    d = join_pieces(d.drop("_bn"), offs.select(*cols), [*keys, "_bkt"])
     return d.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_off", "_lrn", "_bkt")
 
 
@@ -150,7 +163,7 @@ def carry_last(df: DataFrame, keys: Sequence[str], rn: str, cols: Sequence[str],
     sw = _series_window(keys, "_blk").rowsBetween(_UNB, -1)
     carry = summ.select(*keys, "_blk", *[F.last(f"_s{i}", ignorenulls=True).over(sw).alias(f"_c{i}")
                                          for i in range(len(cols))])
-    d = d.join(carry, on=[*keys, "_blk"], how="inner")
+    d = join_pieces(d, carry, [*keys, "_blk"])
     return d.select(*[F.coalesce(F.col(c), F.col(f"_c{cols.index(c)}")).alias(c) if c in cols else F.col(c)
                       for c in df.columns])
 
@@ -172,7 +185,7 @@ def carry_max(df: DataFrame, keys: Sequence[str], us: str, value: Column, name:
     d = _shared(d)
     summ = d.where(F.col("_r") == 1).select(*keys, "_bkt", "_s")
     carry = summ.select(*keys, "_bkt", F.max("_s").over(_series_window(keys, "_bkt").rowsBetween(_UNB, -1)).alias("_c"))
-    d = d.drop("_s", "_r").join(carry, on=[*keys, "_bkt"], how="inner")
+    d = join_pieces(d.drop("_s", "_r"), carry, [*keys, "_bkt"])
     return d.withColumn(name, F.greatest("_loc", "_c")).drop("_bkt", "_v", "_loc", "_c")
 
 
@@ -197,6 +210,118 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
     sw = _series_window(keys, "_bkt").rowsBetween(_UNB, -1)
     carry = summ.select(*keys, "_bkt", *[F.coalesce(F.sum(f"_s{i}").over(sw), F.lit(0)).alias(f"_c{i}")
                                          for i in range(len(cols))])
-    d = d.drop("_r", *[f"_s{i}" for i in range(len(cols))]).join(carry, on=[*keys, "_bkt"], how="inner")
+    d = join_pieces(d.drop("_r", *[f"_s{i}" for i in range(len(cols))]), carry, [*keys, "_bkt"])
     d = d.select("*", *[(F.col(f"_l{i}") + F.col(f"_c{i}")).alias(f"{prefix}{c}") for i, c in enumerate(cols)])
     return d.drop("_bkt", *[f"_l{i}" for i in range(len(cols))], *[f"_c{i}" for i in range(len(cols))])
+
+
+def previous_rows(df: DataFrame, order: str, piece: Column, cols: dict[str, str]) -> DataFrame:
+    """Add each column's value in the row before (by ``order``, unique) under a new name: ``lag`` inside a piece, and
+    the last row of the piece before for its first row."""
+    d = df.withColumn("_bkt", piece)
+    w = Window.partitionBy("_bkt").orderBy(order)
+    d = d.select("*", *[F.lag(c).over(w).alias(new) for c, new in cols.items()], F.row_number().over(w).alias("_r"))
+    last = df.withColumn("_bkt", piece).groupBy("_bkt").agg(*[F.max_by(c, order).alias(f"_s{i}") for i, c in enumerate(cols)])
+    carry = last.select("_bkt", *[F.lag(f"_s{i}").over(Window.orderBy("_bkt")).alias(f"_c{i}") for i in range(len(cols))])
+    d = join_pieces(d, carry, ["_bkt"])
+    first = F.col("_r") == 1
+    return d.withColumns({new: F.when(first, F.col(f"_c{i}")).otherwise(F.col(new)) for i, new in enumerate(cols.values())}).drop(
+        "_bkt", "_r", *[f"_c{i}" for i in range(len(cols))])
+
+
+def range_cuts(df: DataFrame, col: str, rows_per_piece: int = DEFAULT_BLOCK_ROWS) -> list:
+    """Values that cut ``df`` into ranges of ``col`` of about ``rows_per_piece`` rows, whatever its distribution."""
+    n = df.count()
+    pieces = -(-n // rows_per_piece)
+    if pieces < 2:
+        return []
+    share = [i / pieces for i in range(1, pieces)]
+    return sorted(set(df.agg(F.percentile_approx(col, share, max(10_000, 10 * pieces))).first()[0]))
+
+
+def range_piece(col: str | Column, cuts: list) -> Column:
+    """Number of the range a value lies in: 0 below the first cut.  Two short searches, on the JVM."""
+    c = F.col(col) if isinstance(col, str) else col
+    if not cuts:
+        return F.lit(0).cast("long")
+    step = math.isqrt(len(cuts)) + 1
+    block = F.size(F.filter(F.lit([*cuts[::step]]), lambda x: x <= c))
+    inside = F.size(F.filter(F.slice(F.lit([*cuts]), F.greatest(block - 1, F.lit(0)) * step + 1, step), lambda x: x <= c))
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + inside).cast("long")
+
+
+def nth_keys(df: DataFrame, order: Sequence[str], positions: Sequence[int], bins: int = 65_536,
+             small: int = 1_000) -> list[tuple | None]:
+    """The values of the integer columns ``order`` in the rows at 1-based ``positions`` (None beyond the ends).
+
+    Exact and without a sort or a shuffle of rows.  Each pass counts rows in equal parts of the ranges that still
+    hold a position (``bins`` parts in all), for all positions at once, then narrows the ranges; one column after
+    another, so ties and a table whose rows share one value cost no more.  Ranges of at most ``small`` rows are
+    read out.  NULLs come first.  Only counts and such small ranges come to the driver."""
+    order = list(order)
+
+    def same(prefix: tuple) -> Column:
+        out = F.lit(True)
+        for c, v in zip(order, prefix):
+            out = out & F.col(c).eqNullSafe(F.lit(v))
+        return out
+
+    def tagged(conditions: list[Column]) -> DataFrame:
+        tags = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)]))
+        return df.select(*order, F.explode(tags).alias("_i"))
+
+    found: dict[int, tuple | None] = {}
+    rest = {p: ((), p) for p in positions}  # values of the columns so far, rank among the rows that have them
+    for c in order:
+        if not rest:
+            break
+        prefixes = list(dict.fromkeys(prefix for prefix, _ in rest.values()))
+        stats = {r["_i"]: r for r in tagged([same(x) for x in prefixes]).groupBy("_i").agg(
+            F.min(c).alias("low"), F.max(c).alias("high"), F.count_if(F.col(c).isNull()).alias("nulls"), F.count(F.lit(1)).alias("n")).collect()}
+        spans: dict[int, tuple] = {}
+        for p, (prefix, at) in rest.items():
+            s = stats.get(prefixes.index(prefix))
+            if s is None or not 1 <= at <= s["n"]:
+                found[p] = None
+            elif at <= s["nulls"]:
+                spans[p] = (prefix, None, None, at, s["nulls"])
+            else:
+                spans[p] = (prefix, s["low"], s["high"], at - s["nulls"], s["n"] - s["nulls"])
+        while wide := {p: x for p, x in spans.items() if x[1] is not None and x[1] < x[2]}:
+            ranges = list(dict.fromkeys(x[:3] for x in wide.values()))
+            inside = [same(prefix) & F.col(c).between(low, high) for prefix, low, high in ranges]
+            if all(x[4] <= small for x in wide.values()):
+                rows: dict[int, list] = {}
+                for r in tagged(inside).collect():
+                    rows.setdefault(r["_i"], []).append(tuple(r[k] for k in order))
+                for p, x in wide.items():
+                    found[p] = sorted(rows[ranges.index(x[:3])], key=lambda k: [(v is not None, v or 0) for v in k])[x[3] - 1]
+                    del spans[p]
+                break
+            parts = max(2, bins // len(ranges))
+            widths = [max(1, -(-(high - low + 1) // parts)) for _, low, high in ranges]
+            at_range = lambda values: F.get(F.lit([int(v) for v in values]).cast("array<bigint>"), F.col("_i"))
+            part = F.call_function("div", F.col(c) - at_range([r[1] for r in ranges]), at_range(widths))
+            counts: dict[int, list] = {}
+            for r in tagged(inside).groupBy("_i", part.alias("b")).count().collect():
+                counts.setdefault(r["_i"], []).append((r["b"], r["count"]))
+            for p, (prefix, low, high, at, _) in wide.items():
+                i = ranges.index((prefix, low, high))
+                for b, k in sorted(counts[i]):
+                    if at <= k:
+                        break
+                    at -= k
+                spans[p] = (prefix, low + b * widths[i], min(high, low + (b + 1) * widths[i] - 1), at, k)
+        rest = {p: ((*x[0], x[1]), x[3]) for p, x in spans.items()}
+    found |= {p: prefix for p, (prefix, _) in rest.items()}
+    return [found[p] for p in positions]
+
+
+def at_or_before(order: Sequence[str], key: tuple) -> Column:
+    """Whether a row's ``order`` columns are at or before ``key`` (NULLs first)."""
+    after, same = F.lit(False), F.lit(True)
+    for c, v in zip(order, key):
+        col = F.col(c)
+        after = after | (same & (col.isNotNull() if v is None else F.coalesce(col > F.lit(v), F.lit(False))))
+        same = same & col.eqNullSafe(F.lit(v))
+    return ~after

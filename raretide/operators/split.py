@@ -1,17 +1,19 @@
-"""Chronological split and expanding time-series folds, from a global row position.
+"""Chronological split and expanding time-series folds.
 
-The position comes from ``with_row_index`` over time buckets (no single-task global window); the
-table size travels with it, so no count action is needed.
+Only the rows at the boundaries are looked for (``nth_keys``: counts in ever narrower ranges); every other row gets
+its part by comparing its time and tiebreak with them.  No row is shuffled or ranked, so a table whose rows all
+share a day, or a microsecond, is no special case.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from raretide.functions.timecols import ts_micros
-from raretide.operators.scan import DEFAULT_BUCKET_US, with_row_index
+from raretide.operators.scan import at_or_before, nth_keys, with_row_index
+from raretide.session import written
 
 # Fixed values of the reference's split.
 TRAIN_RATIO = 0.7
@@ -19,43 +21,60 @@ VAL_RATIO = 0.3
 N_FOLDS = 3
 
 
-def global_position(df: DataFrame, ts: str = "ts", tiebreak: str | None = "row_id", keys: Sequence[str] = (),
-                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
-    """Add ``_pos`` (1-based position by ts, tiebreak) and ``_n`` (rows in the table or in ``keys``)."""
-    d = df.withColumn("_us", ts_micros(ts))
-    tb = tiebreak if tiebreak and tiebreak in df.columns else None
-    return with_row_index(d, list(keys), "_us", tb, bucket_us, name="_pos", total_name="_n").drop("_us")
+def _ordered(df: DataFrame, ts: str, tiebreak: str | None) -> tuple[DataFrame, list[str]]:
+    """``df`` written once with its integer order columns: time, the tiebreak, and a hash of the row for the rest."""
+    tb = [tiebreak] if tiebreak and tiebreak in df.columns else []
+    d = df.withColumn("_us", ts_micros(ts)).withColumn("_h", F.shiftright(F.xxhash64(*df.columns), 2))
+    if tb:
+        d = d.withColumn("_tb", F.col(tb[0]).cast("long"))
+    return written(d, "split"), ["_us", *(["_tb"] if tb else []), "_h"]
+
+
+def _cut_at(d: DataFrame, order: list[str], positions: Sequence[int]) -> list[Column]:
+    """For each position whether a row is among the first so many (equal rows go together)."""
+    narrow = d.select(*order)
+    n = narrow.count()
+    inner = [p for p in positions if 0 < p < n]
+    keys = dict(zip(inner, nth_keys(narrow, order, inner)))
+    return [F.lit(p >= n) if p not in keys else at_or_before(order, keys[p]) for p in positions]
+
+
+def position_buckets(df: DataFrame, firsts: list[int], ts: str = "ts", tiebreak: str | None = "row_id", name: str = "_b") -> DataFrame:
+    """Add ``name``: how many of the row counts ``firsts`` (ascending) lie before the row's position by (ts, tiebreak).
+
+    Counts narrow down the cut rows; the rows themselves are only compared with them, never shuffled."""
+    d, order = _ordered(df, ts, tiebreak)
+    bucket = sum((F.when(c, 0).otherwise(1) for c in _cut_at(d, order, firsts)), F.lit(0))
+    return d.withColumn(name, bucket.cast("int")).drop("_us", "_tb", "_h")
 
 
 def chrono_split(df: DataFrame, train_ratio: float = TRAIN_RATIO, val_ratio: float = VAL_RATIO,
                  ts: str = "ts", tiebreak: str | None = "row_id", split_col: str = "split",
-                 embargo_rows: int = 0, bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                 embargo_rows: int = 0) -> DataFrame:
     """First int(n*train_ratio) rows 'train', the next int(n*val_ratio) rows 'val'; the rest is dropped.
 
     ``embargo_rows`` > 0 drops that many train rows before the boundary (labels that look ahead);
     0 reproduces the reference.
     """
-    d = global_position(df, ts, tiebreak, bucket_us=bucket_us)
-    n = F.col("_n")
-    n_train = (n.cast("double") * F.lit(float(train_ratio))).cast("long")
-    n_val = F.least((n.cast("double") * F.lit(float(val_ratio))).cast("long"), n - n_train)
-    pos = F.col("_pos")
-    split = (F.when(pos <= n_train - F.lit(embargo_rows), F.lit("train"))
-              .when((pos > n_train) & (pos <= n_train + n_val), F.lit("val")))
-    return d.withColumn(split_col, split).where(F.col(split_col).isNotNull()).drop("_pos", "_n")
+    d, order = _ordered(df, ts, tiebreak)
+    n = d.select(*order).count()
+    n_train = int(n * float(train_ratio))
+    n_val = min(int(n * float(val_ratio)), n - n_train)
+    safe, train, val = _cut_at(d, order, [n_train - embargo_rows, n_train, n_train + n_val])
+    split = F.when(safe, F.lit("train")).when(~train & val, F.lit("val"))
+    return d.withColumn(split_col, split).where(F.col(split_col).isNotNull()).drop("_us", "_tb", "_h")
 
 
 def time_series_folds(df: DataFrame, n_splits: int = N_FOLDS, ts: str = "ts", tiebreak: str | None = "row_id",
-                      fold_col: str = "fold", bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                      fold_col: str = "fold") -> DataFrame:
     """Expanding-window folds: test block size n div (n_splits+1); fold i (1..n_splits) tests the i-th of the
     last n_splits blocks and trains on every earlier row.  ``fold`` = 0 for rows before the first test block.
     Train rows of fold i are ``fold < i``."""
-    d = global_position(df, ts, tiebreak, bucket_us=bucket_us)
-    size = F.floor(F.col("_n") / F.lit(n_splits + 1)).cast("long")
-    first_test = F.col("_n") - F.lit(n_splits) * size
-    fold = F.when(F.col("_pos") <= first_test, F.lit(0)).otherwise(
-        F.floor((F.col("_pos") - first_test - 1) / size).cast("int") + 1)
-    return d.withColumn(fold_col, fold.cast("int")).drop("_pos", "_n")
+    df = written(df, "folds")
+    n = df.count()
+    size = n // (n_splits + 1)
+    first = n - n_splits * size
+    return position_buckets(df, [first + i * size for i in range(n_splits)] if size else [], ts, tiebreak, fold_col)
 
 
 def is_sorted_violations(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts",

@@ -30,70 +30,82 @@ def _f1(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
-def with_metrics(curve: DataFrame) -> DataFrame:
-    """Add f1, alert_rate, alerts_per_day (rate*24), alerts_per_day_scaled (rate*n/24), specificity."""
+def with_metrics(curve: DataFrame, total_samples: int | None = None) -> DataFrame:
+    """Add f1, alert_rate, alerts_per_day (rate*24), alerts_per_day_scaled (rate*total/24), specificity."""
     rate = (F.col("tp") + F.col("fp")).cast("double") / F.col("n_rows")
     return curve.withColumns({
         "f1": _f1(F.col("precision"), F.col("recall")),
         "alert_rate": rate,
         "alerts_per_day": rate * F.lit(float(HOURS_PER_DAY)),
-        "alerts_per_day_scaled": rate * (F.col("n_rows").cast("double") / F.lit(float(HOURS_PER_DAY))),
+        "alerts_per_day_scaled": rate * (_samples(total_samples) / F.lit(float(HOURS_PER_DAY))),
         "specificity": safe_div(F.col("tn"), F.col("tn") + F.col("fp")),
     })
 
 
-def _pick(curve: DataFrame, valid: Column | None, order: list[Column]) -> Column:
+def _samples(total_samples: int | None) -> Column:
+    """Rows that alert volumes refer to: the whole data set's if given, else the scored rows."""
+    return F.col("n_rows").cast("double") if total_samples is None else F.lit(float(total_samples))
+
+
+def _pick(valid: Column | None, order: list[Column]) -> Column:
     """min_by over the curve of the metric struct, restricted to ``valid`` rows, on ``order`` keys."""
     s = F.struct(*[F.col(c) for c in METRIC_COLS])
     key = F.struct(*order)
     return F.min_by(s, key if valid is None else F.when(valid, key))
 
 
-def _search(scored: DataFrame, rule: str, target: float, **kw) -> DataFrame:
-    curve = with_metrics(pr_curve(scored, drop_max_threshold=True, **kw))
+def _choice(rule: str, target: float, total_samples: int | None) -> tuple[Column, Column]:
+    """The metric structs of a search's best threshold and of its fallback, as aggregates over the curve."""
     p, r, t = F.col("precision"), F.col("recall"), F.col("threshold")
     if rule == "precision":
-        first = _pick(curve, p >= F.lit(target), [-r, t])
-        fallback = _pick(curve, None, [-p, t])
-    elif rule == "recall":
-        first = _pick(curve, r >= F.lit(target), [-p, t])
-        fallback = _pick(curve, None, [-r, t])
-    elif rule == "budget":
-        max_rate = F.lit(float(target)) / (F.col("n_rows").cast("double") / F.lit(float(HOURS_PER_DAY)))
-        first = _pick(curve, F.col("alert_rate") <= max_rate, [-p, -t])
-        fallback = F.coalesce(_pick(curve, r >= F.lit(BUDGET_FALLBACK_RECALL), [-p, t]), _pick(curve, None, [-r, t]))
-    else:
-        raise ValueError(rule)
-    res = curve.agg(first.alias("a"), fallback.alias("b")).select(
-        F.coalesce("a", "b").alias("m"), F.col("a").isNull().alias("fallback"))
-    return res.select(F.lit(rule).alias("strategy"), F.lit(float(target)).alias("target"), "m.*", "fallback")
+        return _pick(p >= F.lit(target), [-r, t]), _pick(None, [-p, t])
+    if rule == "recall":
+        return _pick(r >= F.lit(target), [-p, t]), _pick(None, [-r, t])
+    if rule == "budget":
+        max_rate = F.lit(float(target)) / (_samples(total_samples) / F.lit(float(HOURS_PER_DAY)))
+        return (_pick(F.col("alert_rate") <= max_rate, [-p, -t]),
+                F.coalesce(_pick(r >= F.lit(BUDGET_FALLBACK_RECALL), [-p, t]), _pick(None, [-r, t])))
+    raise ValueError(rule)
+
+
+def _search(scored: DataFrame, rules: list[tuple[str, float]], total_samples: int | None = None, **kw) -> DataFrame:
+    """One row per (rule, target): every search is a pair of aggregates over one pass of one curve."""
+    curve = with_metrics(pr_curve(scored, drop_max_threshold=True, **kw), total_samples)
+    return search_curve(curve, rules, total_samples)
+
+
+def search_curve(curve: DataFrame, rules: list[tuple[str, float]], total_samples: int | None = None) -> DataFrame:
+    picks = [_choice(rule, target, total_samples) for rule, target in rules]
+    row = curve.agg(*[c.alias(f"{k}{i}") for i, pair in enumerate(picks) for k, c in zip("ab", pair)])
+    found = [F.struct(F.lit(rule).alias("strategy"), F.lit(float(target)).alias("target"),
+                      F.coalesce(f"a{i}", f"b{i}").alias("m"), F.col(f"a{i}").isNull().alias("fallback"))
+             for i, (rule, target) in enumerate(rules)]
+    return row.select(F.inline(F.array(*found))).select("strategy", "target", "m.*", "fallback")
 
 
 def for_precision(scored: DataFrame, min_precision: float = MIN_PRECISION, **kw) -> DataFrame:
     """Among thresholds with precision >= p the highest recall (ties: lowest threshold); else the highest
     precision (ties: lowest threshold)."""
-    return _search(scored, "precision", min_precision, **kw)
+    return _search(scored, [("precision", min_precision)], **kw)
 
 
 def for_recall(scored: DataFrame, target_recall: float, **kw) -> DataFrame:
     """Among thresholds with recall >= r the highest precision (ties: lowest threshold); else the highest
     recall."""
-    return _search(scored, "recall", target_recall, **kw)
+    return _search(scored, [("recall", target_recall)], **kw)
 
 
-def for_alert_budget(scored: DataFrame, alerts_per_day: float, **kw) -> DataFrame:
-    """Alert rate <= budget / (n / 24): the highest precision (ties: highest threshold); else the recall-0.1
-    search."""
-    return _search(scored, "budget", alerts_per_day, **kw)
+def for_alert_budget(scored: DataFrame, alerts_per_day: float, total_samples: int | None = None, **kw) -> DataFrame:
+    """Alert rate <= budget / (total_samples / 24): the highest precision (ties: highest threshold); else the
+    recall-0.1 search.  ``total_samples`` is the size of the data set that the scored rows stand for (default: their
+    number)."""
+    return _search(scored, [("budget", alerts_per_day)], total_samples, **kw)
 
 
-def optimize_thresholds(scored: DataFrame, recall_targets=RECALL_TARGETS, budgets=ALERT_BUDGETS, **kw) -> DataFrame:
-    """Union of the recall-target and alert-budget searches, one row per strategy/target."""
-    parts = [for_recall(scored, r, **kw) for r in recall_targets] + [for_alert_budget(scored, b, **kw) for b in budgets]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def optimize_thresholds(scored: DataFrame, recall_targets=RECALL_TARGETS, budgets=ALERT_BUDGETS,
+                        total_samples: int | None = None, **kw) -> DataFrame:
+    """The recall-target and alert-budget searches, one row per strategy/target, from one aggregate."""
+    return _search(scored, [*(("recall", r) for r in recall_targets), *(("budget", b) for b in budgets)], total_samples, **kw)
 
 
 def threshold_table(scored: DataFrame, **kw) -> DataFrame:
@@ -113,7 +125,10 @@ def threshold_table_eps(scored: DataFrame, **kw) -> DataFrame:
 
 def best_f1_threshold(scored: DataFrame, **kw) -> DataFrame:
     """Row of the eps threshold table with the highest f1 (ties: lowest threshold)."""
-    t = threshold_table_eps(scored, **kw)
+    return best_f1(threshold_table_eps(scored, **kw))
+
+
+def best_f1(t: DataFrame) -> DataFrame:
     best = F.min_by(F.struct("threshold", "precision", "recall", "f1"), F.struct(-F.col("f1"), F.col("threshold")))
     return t.agg(best.alias("b")).select(F.col("b.threshold").alias("best_threshold"),
                                          F.col("b.precision").alias("best_precision"),

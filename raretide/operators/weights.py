@@ -47,12 +47,13 @@ def with_weights(df: DataFrame, label: str = "failure_24h", weight_col: str = "w
 
 
 def data_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Long table (column, rows, nulls, distinct_values) — integrity check before training."""
+    """Long table (column, rows, nulls, distinct_values) — integrity check before training.  Distinct values are exact:
+    one pass per column, grouped by value with map-side combine."""
     cols = list(cols or df.columns)
-    aggs = []
+    out = None
     for c in cols:
-        aggs += [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"{c}__nulls"),
-                 F.approx_count_distinct(c).alias(f"{c}__distinct")]
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    stack = ", ".join(f"'{c}', `{c}__nulls`, `{c}__distinct`" for c in cols)
-    return wide.selectExpr("_rows AS rows", f"stack({len(cols)}, {stack}) AS (column, nulls, distinct_values)")
+        by_value = df.groupBy(F.col(f"`{c}`").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        part = by_value.agg(F.lit(c).alias("column"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                            F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).alias("nulls"), F.count("_v").alias("distinct_values"))
+        out = part if out is None else out.unionByName(part)
+    return out.select("rows", "column", "nulls", "distinct_values")

@@ -7,16 +7,16 @@ helpers, so no window ever holds a whole series in one task.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from raretide.functions.timecols import half_open_us, hours_between, parse_span_us, ts_micros
-from raretide.operators.scan import (DEFAULT_BLOCK_ROWS, DEFAULT_BUCKET_US, carry_max, row_block_halo,
+from raretide.operators.scan import (DEFAULT_BLOCK_ROWS, DEFAULT_BUCKET_US, carry_max, join_pieces, row_block_halo,
                                      time_halo, with_row_index)
+from raretide.session import written
 
 # Fixed values of the reference's feature set.
 ROLLING_SPANS = ["1h", "6h", "12h"]
@@ -26,9 +26,6 @@ SLOPE_SPAN = "6h"
 NO_FAILURE_HOURS = 9999.0
 LABEL_HORIZON = 24
 
-# Weight below which history no longer changes a double result (relative 1e-20 << 2**-52).
-EMA_TOLERANCE = 1e-20
-
 
 def with_order(df: DataFrame, keys: Sequence[str], ts: str = "ts", tiebreak: str | None = "row_id",
                bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
@@ -64,14 +61,20 @@ def rolling_columns(sensors: Sequence[str], spans: Sequence[str] = ROLLING_SPANS
 def rolling_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
                      spans: Sequence[str] = ROLLING_SPANS, slope_span: str | None = SLOPE_SPAN,
                      with_last_failure: bool = False, failure: str = "failure",
-                     bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                     bucket_us: int = DEFAULT_BUCKET_US, only: set[str] | None = None) -> DataFrame:
     """Rolling mean/std/var/max/min/range over half-open time windows, and the rolling OLS slope.
 
     Requires ``_us`` and ``rn``.  min_periods as in the reference: 1 for mean/max/min, 2 for std/var/slope
     (counted on non-null values).  The slope regresses on row position; it is shift-invariant, so the
-    series position ``rn`` serves for every window.  Runs per (keys, day bucket) with a time halo.
+    series position ``rn`` serves for every window.  Runs per (keys, day bucket) with a time halo.  ``only`` names
+    the columns to compute (default: all).
     """
     keys = list(keys)
+    wanted = (lambda c: True) if only is None else only.__contains__
+    spans = [sp for sp in spans if any(wanted(c) for c in rolling_columns(sensors, [sp]))]
+    slope_span = slope_span if slope_span and any(wanted(f"{s}_rolling_slope_{slope_span}") for s in sensors) else None
+    if not spans and not slope_span:
+        return df
     horizon = max([parse_span_us(s) for s in spans] + ([parse_span_us(slope_span)] if slope_span else []))
     d = time_halo(df, "_us", horizon, bucket_us)
     base = Window.partitionBy(*keys, "_hb").orderBy("_us")
@@ -83,7 +86,7 @@ def rolling_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
             w = base.rangeBetween(half_open_us(span), 0)
             n = F.count(x).over(w)
             mx, mn = F.max(x).over(w), F.min(x).over(w)
-            cols += [
+            stats = [
                 F.avg(x).over(w).alias(f"{s}_rolling_mean_{span}"),
                 F.when(n >= 2, F.stddev_samp(x).over(w)).alias(f"{s}_rolling_std_{span}"),
                 F.when(n >= 2, F.var_samp(x).over(w)).alias(f"{s}_rolling_var_{span}"),
@@ -91,7 +94,8 @@ def rolling_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
                 mn.alias(f"{s}_rolling_min_{span}"),
                 (mx - mn).alias(f"{s}_rolling_range_{span}"),
             ]
-        if slope_span:
+            cols += [c for c, name in zip(stats, rolling_columns([s], [span])) if wanted(name)]
+        if slope_span and wanted(f"{s}_rolling_slope_{slope_span}"):
             w = base.rangeBetween(half_open_us(slope_span), 0)
             cols.append(F.when(F.count(x).over(w) >= 2, F.regr_slope(x, pos).over(w))
                         .alias(f"{s}_rolling_slope_{slope_span}"))
@@ -111,71 +115,83 @@ def hours_since_last_failure(df: DataFrame, keys: Sequence[str], failure: str =
     return out if "_us" in df.columns else out.drop("_us")
 
 
-@lru_cache(maxsize=None)
-def ema_halo_rows(span: int, tol: float = EMA_TOLERANCE) -> int:
-    """Rows of history after which a state change moves an adjust=False EMA by less than ``tol`` (relative).
-
-    After g missing rows the old state keeps weight a = w/(w+alpha), w = (1-alpha)^(g+1); the slowest decay
-    per row, max over g of a^(1/(g+1)), bounds the influence of anything M rows back by rate^M.
-    """
-    alpha = 2.0 / (span + 1.0)
-    rate = 0.0
-    for g in range(0, 20_000):
-        w = (1.0 - alpha) ** (g + 1)
-        if w == 0.0:
-            break
-        rate = max(rate, (w / (w + alpha)) ** (1.0 / (g + 1)))
-    return int(math.ceil(math.log(tol) / math.log(rate)))
-
-
-def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
-                     spans: Sequence[int] = EMA_SPANS, lags: Sequence[int] = LAGS,
-                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """EMA (adjust=False, row-based span, seed = first value), lags and 1-row rate of change.
+def _ema_carry(alphas: dict[str, float]):
+    """State before each block of one series: last EMA and rows without a reading since, block by block."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_blk")
+        out = {"_blk": pdf["_blk"].to_numpy()}
+        for name, alpha in alphas.items():
+            y, gap = np.nan, 0
+            before, gaps = [], []
+            rows = zip(*(pdf[f"{c}{name}"].to_numpy() for c in ("_lead_", "_first_", "_coef_", "_end_", "_trail_")), pdf["_rows"].to_numpy())
+            for lead, first, coef, end, trail, n in rows:
+                before.append(y)
+                gaps.append(gap)
+                if np.isnan(first):  # no reading in this block
+                    gap += int(n)
+                else:
+                    if not np.isnan(y):
+                        w = (1.0 - alpha) ** (gap + int(lead) + 1)
+                        end = end + coef * ((w * y + alpha * first) / (w + alpha) - first)
+                    y, gap = end, int(trail)
+            out[f"_y_{name}"], out[f"_g_{name}"] = before, gaps
+        res = pd.DataFrame(out)
+        for i, k in enumerate(key):
+            res.insert(i, f"_key{i}", k)
+        return res
+    return run
+
+
+def ema_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], spans: Sequence[int] = EMA_SPANS,
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """EMA (adjust=False, row-based span, seed = first value, missing values as in pandas).  Requires ``rn``.
 
-    The EMA recursion has no built-in; it runs in pandas per (keys, block of C rows) with a halo of the
-    previous M rows, M from ``ema_halo_rows`` (history further back has weight below 1e-20, i.e. it
-    cannot change a double).  Lags use the same halo.  Requires ``rn``.  Pieces are hash-distributed and
-    sorted by (keys, block, rn); each Arrow batch is processed by one vectorised pandas group-by, so the
-    Python cost does not grow with the number of series.
+    The recursion has no built-in; pandas ``ewm`` runs per (keys, block of rows) from a cold start.  From its first
+    reading on a block is an affine map of the EMA before it, so each row also keeps its coefficient; one summary row
+    per block (first reading, its place, closing value, closing coefficient) gives the state before every block, and
+    rows add coefficient * (warm first value - cold first value).  Exact for every block size, however far back a
+    value lies.  Pieces are hash-distributed and sorted by (keys, block, rn).
     """
-    keys = list(keys)
-    if not spans:
-        return lag_features(df, keys, sensors, lags, block_rows)
-    halo = max([ema_halo_rows(s) for s in spans] + list(lags) + [1])
-    c = max(block_rows, 4 * halo)
-    d = row_block_halo(df, "rn", c, before=halo)
-    new = []
-    for s in sensors:
-        new += [f"{s}_ema_{sp}" for sp in spans] + [f"{s}_lag_{k}" for k in lags] + [f"{s}_roc_1"]
-    out_schema = T.StructType([f for f in d.schema.fields if f.name not in ("_hb", "_home")]
-                              + [T.StructField(n, T.DoubleType(), True) for n in new])
-    out_names = [f.name for f in out_schema.fields]
-    gcols = keys + ["_hb"]
-    sensors_, spans_, lags_ = list(sensors), list(spans), list(lags)
+    keys, sensors, spans = list(keys), list(sensors), list(spans)
+    gcols = [*keys, "_blk"]
+    d = df.withColumn("_blk", F.floor((F.col("rn") - 1) / F.lit(block_rows)).cast("long"))
+    names = {f"{s}_ema_{sp}": 2.0 / (sp + 1.0) for s in sensors for sp in spans}
+    new = [c for n in names for c in (f"_cold_{n}", f"_coef_{n}")]
+    schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.DoubleType(), True) for c in new]])
 
     def process(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.reset_index(drop=True)
         g = pdf.groupby(gcols, sort=False, dropna=False)
-        for s in sensors_:
-            pdf[s] = pdf[s].astype("float64")
-            for sp in spans_:
-                e = g[s].ewm(span=sp, adjust=False).mean()
-                pdf[f"{s}_ema_{sp}"] = e.reset_index(level=list(range(len(gcols))), drop=True)
-            for k in lags_:
-                pdf[f"{s}_lag_{k}"] = g[s].shift(k)
-            pdf[f"{s}_roc_1"] = pdf[s] - g[s].shift(1)
-        return pdf.loc[pdf["_home"], out_names]
+        levels = list(range(len(gcols)))
+        add = {}
+        for s in sensors:
+            x = pdf[s].astype("float64")
+            seen = x.notna()
+            count = seen.astype("int64").groupby(g.ngroup()).cumsum()
+            at = pd.Series(np.arange(len(pdf), dtype="float64")).where(seen)
+            last = at.groupby(g.ngroup()).ffill().groupby(g.ngroup()).shift(1)  # row of the reading before
+            gap = pd.Series(np.arange(len(pdf), dtype="float64")) - last
+            for sp in spans:
+                alpha = names[f"{s}_ema_{sp}"]
+                pdf[s] = x
+                add[f"_cold_{s}_ema_{sp}"] = g[s].ewm(span=sp, adjust=False).mean().reset_index(level=levels, drop=True).sort_index()
+                w = (1.0 - alpha) ** gap
+                step = (w / (w + alpha)).where(seen & (count > 1), 1.0)
+                coef = step.groupby(g.ngroup()).cumprod()
+                add[f"_coef_{s}_ema_{sp}"] = coef.where(count > 0)
+        return pd.concat([pdf, pd.DataFrame(add)], axis=1)[[f.name for f in schema.fields]]
 
     def per_partition(batches):
-        # rows arrive sorted by (keys, _hb, rn); a group may continue in the next batch, so the last
-        # group of each batch waits (at most block + halo rows)
+        # rows arrive sorted by (keys, block, rn); a group may go on in the next batch, so the last group of each
+        # batch waits (at most one block)
         pending = None
         for pdf in batches:
             if pending is not None and len(pending):
                 pdf = pd.concat([pending, pdf], ignore_index=True)
-            last = pdf.iloc[-1][gcols]
-            tail = (pdf[gcols] == last.values).all(axis=1)
+            tail = pd.Series(True, index=pdf.index)
+            for c in gcols:
+                last = pdf[c].iloc[-1]
+                tail &= pdf[c].isna() if pd.isna(last) else pdf[c] == last
             pending = pdf[tail]
             done = pdf[~tail]
             if len(done):
@@ -183,9 +199,40 @@ def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
         if pending is not None and len(pending):
             yield process(pending)
 
-    d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn")
-    return d.mapInPandas(per_partition, out_schema)
+    d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn").mapInPandas(per_partition, schema)
+    d = written(d, "ema")
+    parts = [F.count(F.lit(1)).alias("_rows")]
+    start, stop = F.min("rn"), F.max("rn")
+    for n in names:
+        x = F.col(n.split("_ema_")[0])
+        at = F.when(x.isNotNull(), F.col("rn"))
+        parts += [F.coalesce(F.min(at) - start, F.count(F.lit(1))).cast("double").alias(f"_lead_{n}"),
+                  F.min_by(x.cast("double"), at).alias(f"_first_{n}"), F.max_by(f"_coef_{n}", "rn").alias(f"_coef_{n}"),
+                  F.max_by(f"_cold_{n}", "rn").alias(f"_end_{n}"), F.coalesce(stop - F.max(at), F.lit(0)).cast("double").alias(f"_trail_{n}")]
+    summary = d.groupBy(*gcols).agg(*parts)
+    key_fields = [T.StructField(f"_key{i}", d.schema[k].dataType, True) for i, k in enumerate(keys)]
+    carry_schema = T.StructType([*key_fields, T.StructField("_blk", T.LongType()),
+                                 *[f for n in names for f in (T.StructField(f"_y_{n}", T.DoubleType()), T.StructField(f"_g_{n}", T.LongType()))]])
+    carry = summary.groupBy(*keys).applyInPandas(_ema_carry(names), carry_schema)
+    for i, k in enumerate(keys):
+        carry = carry.withColumnRenamed(f"_key{i}", k)
+    firsts = summary.select(*gcols, *[c for n in names for c in (f"_lead_{n}", f"_first_{n}")])
+    d = join_pieces(join_pieces(d, carry, gcols), firsts, gcols)
+    out = []
+    for n, alpha in names.items():
+        y, cold, first = F.col(f"_y_{n}"), F.col(f"_cold_{n}"), F.col(f"_first_{n}")
+        w = F.pow(F.lit(1.0 - alpha), F.col(f"_g_{n}") + F.col(f"_lead_{n}") + 1)
+        warm = cold + F.col(f"_coef_{n}") * ((w * y + F.lit(alpha) * first) / (w + F.lit(alpha)) - first)
+        out.append(F.when(y.isNull(), cold).when(cold.isNull(), y).otherwise(warm).alias(n))
+    return d.select(*df.columns, *out)
+
 
+def ema_lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str],
+                     spans: Sequence[int] = EMA_SPANS, lags: Sequence[int] = LAGS,
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """EMA, lags and 1-row rate of change: ``ema_features`` and ``lag_features``.  Requires ``rn``."""
+    d = lag_features(df, keys, sensors, lags, block_rows)
+    return ema_features(d, keys, sensors, spans, block_rows) if spans else d
 
 
 def lag_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], lags: Sequence[int] = LAGS,

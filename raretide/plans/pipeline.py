@@ -3,8 +3,8 @@
 Steps: readings -> 24-row label -> chronological split -> features per (entity, split) -> scaler fit on
 train -> class-weighted baselines (LR, RF) and production model (GBT) -> threshold optimisation and
 evaluation on validation scores -> model comparison -> report tables written to ``out_dir``.
-Intermediate tables that several steps read (features, scaled features) are checkpointed into the
-session's checkpoint folder, which cuts lineage and survives executor loss.
+Intermediate tables that several steps read (features, scaled features, scores) are written into fresh folders
+under the session's checkpoint folder: runs don't meet, lineage is cut and a lost executor costs little.
 """
 
 from __future__ import annotations
@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from raretide.operators import evaluate as E
 from raretide.operators import models as M
-from raretide.operators import thresholds as T
-from raretide.operators.curves import pr_areas
 from raretide.operators.features import SENSORS, build_features, feature_names
 from raretide.operators.scale import apply_scaler, fit_scaler, save_scaler
 from raretide.operators.split import chrono_split
 from raretide.operators.windows import drop_unlabelled, label_lead
-from raretide.session import checkpoint_dir
+from raretide.session import written
 from raretide.sources.io import write_reports
 
+BASELINES = ("logistic_regression", "random_forest")
+
 
 def feature_pipeline(readings: DataFrame, keys=("entity_id",), sensors=SENSORS, tiebreak: str | None = "row_id"):
     """Label, split, features per (keys, split), scaler fitted on train; returns (scaled, stats)."""
@@ -29,46 +29,50 @@ def feature_pipeline(readings: DataFrame, keys=("entity_id",), sensors=SENSORS,
     sp = chrono_split(lab, tiebreak=tiebreak)
     feats = feature_names(sensors)
     f = build_features(sp, list(keys), sensors, split_col="split", tiebreak=tiebreak)
-    p = _path(readings.sparkSession, "features")
-    f.write.mode("overwrite").parquet(p)            # read by the scaler fit and by every model
-    f = readings.sparkSession.read.parquet(p)
+    f = written(f, "features")            # read by the scaler fit and by every model
     stats = fit_scaler(f.where("split = 'train'"), feats)
     return apply_scaler(f, stats, feats), stats
 
 
-def _path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/pipeline/{name}"
+def run_baselines(scaled: DataFrame, feats, out_dir: str | None = None, label: str = "failure_24h"):
+    """Train both baselines, score the validation rows; returns (best name, scored tables, evaluation rows).
+
+    The forest wins only if its PR-AUC is strictly greater."""
+    scored = {name: _train_and_score(scaled, feats, name, out_dir, label) for name in BASELINES}
+    evaluated = None
+    for name in BASELINES:
+        row = M.evaluate(scored[name]).select(F.lit(name).alias("model"), "*")
+        evaluated = row if evaluated is None else evaluated.unionByName(row)
+    evaluated = written(evaluated, "baselines")
+    area = {r["model"]: r["pr_auc"] or 0.0 for r in evaluated.select("model", "pr_auc").collect()}  # two rows
+    best = "random_forest" if area["random_forest"] > area["logistic_regression"] else "logistic_regression"
+    return best, scored, evaluated
+
+
+def run_production(scaled: DataFrame, feats, out_dir: str | None = None, model_type: str = "gbt", n_trials: int = 0, label: str = "failure_24h"):
+    """Train the production model (tuned with ``n_trials`` > 0) and score the validation rows: (scored, parameters)."""
+    train = scaled.where("split = 'train'")
+    params = M.best_params(M.tune(train, feats, n_trials, label, model_type=model_type)) if n_trials else {}
+    return _train_and_score(scaled, feats, model_type, out_dir, label, params), params
+
+
+def _train_and_score(scaled: DataFrame, feats, name: str, out_dir: str | None, label: str, params: dict | None = None) -> DataFrame:
+    model = M.train(scaled.where("split = 'train'"), feats, name, label, params)
+    if out_dir:
+        M.save_model(model, f"{out_dir}/models/{name}", feats, name, scaled.sparkSession, params)
+    return written(M.predict(model, scaled.where("split = 'val'"), feats, keep=("row_id", "ts"), label=label), f"scored-{name}")
 
 
 def run_pipeline(spark: SparkSession, readings: DataFrame, out_dir: str, production_model: str = "gbt",
-                 keys=("entity_id",), tiebreak: str | None = "row_id") -> dict[str, DataFrame]:
+                 keys=("entity_id",), tiebreak: str | None = "row_id", n_trials: int = 0, total_samples: int | None = None) -> dict[str, DataFrame]:
     """The full pipeline; returns the report tables (also written as CSV under ``out_dir``)."""
     feats = feature_names(SENSORS)
     scaled, stats = feature_pipeline(readings, keys, SENSORS, tiebreak)
+    scaled = written(scaled, "scaled")
     save_scaler(stats, f"{out_dir}/scaler")
-    train, val = scaled.where("split = 'train'"), scaled.where("split = 'val'")
-    scored = {}
-    for name in ("logistic_regression", "random_forest", production_model):
-        model = M.train(train, feats, name)
-        M.save_model(model, f"{out_dir}/models/{name}", feats, name, spark)
-        s = M.predict(model, val, feats, keep=("row_id", "ts"))
-        p = _path(spark, f"scored_{name}")
-        s.write.mode("overwrite").parquet(p)
-        scored[name] = spark.read.parquet(p)
-    lr, rf = (pr_areas(scored[n]).select("pr_auc").first()[0] for n in ("logistic_regression", "random_forest"))
-    best_baseline = "random_forest" if (rf or 0) > (lr or 0) else "logistic_regression"   # RF only if strictly greater
-    comparison = None
-    for name in (best_baseline, production_model):
-        row = E.model_metrics(scored[name], name)
-        comparison = row if comparison is None else comparison.unionByName(row)
-    prod = scored[production_model]
-    reports = {
-        "model_comparison": comparison.orderBy(F.col("pr_auc").desc()),
-        "threshold_optimization": T.optimize_thresholds(prod),
-        "threshold_table": T.threshold_table(prod),
-        "rare_event_metrics": E.rare_event_metrics(prod),
-        "daily_alert_simulation": T.daily_alert_simulation(prod),
-        "precision_threshold": T.for_precision(prod),
-    }
+    best_baseline, scored, evaluated = run_baselines(scaled, feats, out_dir)
+    prod, _ = run_production(scaled, feats, out_dir, production_model, n_trials)
+    comparison = E.model_metrics(scored[best_baseline], best_baseline, total_samples).unionByName(E.model_metrics(prod, production_model, total_samples))
+    reports = {"model_comparison": comparison.orderBy(F.col("pr_auc").desc()), "baselines": evaluated, **E.evaluation_report(prod, total_samples)}
     write_reports(reports, f"{out_dir}/reports")
     return reports

@@ -43,8 +43,9 @@ METRIC_SPEC = ("strategy:s target:d threshold:d precision:d recall:d f1:d tp:l f
                "alerts_per_day_scaled:d specificity:d fallback:b")
 
 
-def _metric_sql(rule: str, target: float) -> str:
-    cols = ("threshold, precision, recall, f1, tp, fp, fn, tn, alert_rate, alert_rate * (n_rows::DOUBLE / 24) AS "
+def _metric_sql(rule: str, target: float, total: int | None = None) -> str:
+    n = "n_rows" if total is None else str(total)
+    cols = ("threshold, precision, recall, f1, tp, fp, fn, tn, alert_rate, alert_rate * (" + n + "::DOUBLE / 24) AS "
             "alerts_per_day_scaled, specificity")
     if rule == "precision":
         first = f"(SELECT {cols} FROM tr WHERE precision >= {target}::DOUBLE ORDER BY recall DESC, threshold LIMIT 1)"
@@ -53,7 +54,7 @@ def _metric_sql(rule: str, target: float) -> str:
         first = f"(SELECT {cols} FROM tr WHERE recall >= {target}::DOUBLE ORDER BY precision DESC, threshold LIMIT 1)"
         fb = f"(SELECT {cols} FROM tr ORDER BY recall DESC, threshold LIMIT 1)"
     else:
-        first = (f"(SELECT {cols} FROM tr WHERE alert_rate <= {float(target)}::DOUBLE / (n_rows::DOUBLE / 24) "
+        first = (f"(SELECT {cols} FROM tr WHERE alert_rate <= {float(target)}::DOUBLE / ({n}::DOUBLE / 24) "
                  f"ORDER BY precision DESC, threshold DESC LIMIT 1)")
         fb = (f"(SELECT * FROM (SELECT 1 AS o, {cols} FROM tr WHERE recall >= 0.1::DOUBLE "
               f"UNION ALL SELECT 2 AS o, {cols} FROM tr) ORDER BY o, "

@@ -28,12 +28,12 @@ from raretide.sources.requests import parse_requests
 
 _REQ_SQL = with_ctes(READINGS) + """, req AS (
   SELECT row_id, CASE WHEN row_id % 17 = 0
-           THEN json_object('ts', ts, 'temperature', CASE WHEN row_id % 23 = 0 THEN to_json('bad') ELSE to_json(temperature) END,
+           THEN json_object('timestamp', ts, 'temperature', CASE WHEN row_id % 23 = 0 THEN to_json('bad') ELSE to_json(temperature) END,
                             'vibration', vibration)
-           ELSE json_object('ts', ts, 'temperature', CASE WHEN row_id % 23 = 0 THEN to_json('bad') ELSE to_json(temperature) END,
+           ELSE json_object('timestamp', ts, 'temperature', CASE WHEN row_id % 23 = 0 THEN to_json('bad') ELSE to_json(temperature) END,
                             'vibration', vibration, 'pressure', pressure) END AS request
   FROM readings),
-raw AS (SELECT row_id, json_extract_string(request, '$.ts') AS r_ts, json_extract_string(request, '$.temperature') AS r_t,
+raw AS (SELECT row_id, json_extract_string(request, '$.timestamp') AS r_ts, json_extract_string(request, '$.temperature') AS r_t,
                json_extract_string(request, '$.vibration') AS r_v, json_extract_string(request, '$.pressure') AS r_p FROM req),
 typed AS (SELECT *, TRY_CAST(r_ts AS TIMESTAMP) AS ts, TRY_CAST(r_t AS DOUBLE) AS temperature,
                  TRY_CAST(r_v AS DOUBLE) AS vibration, TRY_CAST(r_p AS DOUBLE) AS pressure FROM raw)
@@ -130,14 +130,12 @@ def q_scale_pos_weight(spark, sf_dir):
     return scale_pos_weight(labelled_split(spark, sf_dir, "readings").where("split = 'train'"))
 
 
-@register("data_profile", "rows:l column:s nulls:l", with_ctes(READINGS) + """
-SELECT count(*) AS rows, c.column, CASE c.column WHEN 'temperature' THEN count(*) - count(temperature)
-  WHEN 'vibration' THEN count(*) - count(vibration) WHEN 'pressure' THEN count(*) - count(pressure)
-  ELSE count(*) - count(failure) END AS nulls
-FROM readings CROSS JOIN (SELECT unnest(['temperature', 'vibration', 'pressure', 'failure']) AS column) c GROUP BY c.column""")
+@register("data_profile", "rows:l column:s nulls:l distinct_values:l", with_ctes(READINGS) + "\nUNION ALL ".join(
+    ["\nSELECT 0 AS rows, '' AS column, 0 AS nulls, 0 AS distinct_values WHERE false"] +
+    [f"SELECT count(*), '{c}', count(*) - count({c}), count(DISTINCT {c}) FROM readings" for c in ("temperature", "vibration", "pressure", "failure")]))
 def q_data_profile(spark, sf_dir):
-    """Rows and null counts per column (integrity check)."""
-    return data_profile(fx.readings(spark, sf_dir), ["temperature", "vibration", "pressure", "failure"]).drop("distinct_values")
+    """Rows, nulls and exact distinct values per column (integrity check)."""
+    return data_profile(fx.readings(spark, sf_dir), ["temperature", "vibration", "pressure", "failure"])
 
 
 @register("time_series_folds", "fold:i rows:l positives:l start_ts:t end_ts:t", split_sql("readings") + """,

@@ -16,19 +16,18 @@ from raretide.plans.oracle import READINGS, SCORED, scored_cte, with_ctes
 from raretide.plans.oracle_features import features_sql
 from raretide.plans.q_eval import CURVE
 from raretide.plans.q_series import FEATURES, SENSORS, labelled_split, split_sql
-from raretide.plans.registry import register
+from raretide.plans.registry import ORACLES, register
+from raretide.session import written
 from raretide.sources import fixtures as fx
 from raretide.streaming import ops as S
 
-_FEAT_HOURLY = split_sql("hourly") + ",\n" + features_sql("sp", ["split"], SENSORS, None, ["split", "ts", "failure", "failure_24h"])
+_FEAT = split_sql("readings") + ",\n" + features_sql("sp", ["entity_id", "split"], SENSORS, "row_id",
+                                                      ["row_id", "entity_id", "split", "ts", "failure", "failure_24h"])
 
 
-def hourly_features(spark, sf_dir):
-    """Feature table of the hourly series; persisted because statistics, scaling and explanations all
-    read it (spills to disk; recomputed from lineage if an executor is lost)."""
-    from pyspark import StorageLevel
-    f = build_features(labelled_split(spark, sf_dir, "hourly"), [], SENSORS, split_col="split", tiebreak=None)
-    return f.persist(StorageLevel.MEMORY_AND_DISK)
+def reading_features(spark, sf_dir):
+    """Feature table of the readings, written once: statistics, scaling, models and explanations all read it."""
+    return written(build_features(labelled_split(spark, sf_dir, "readings"), ["entity_id"], SENSORS, split_col="split"), "features")
 
 
 def _stats_sql() -> str:
@@ -37,10 +36,10 @@ def _stats_sql() -> str:
     return "stats AS MATERIALIZED (" + "\nUNION ALL ".join(parts) + ")"
 
 
-@register("fit_scaler", "feature:s mean:v scale:v", _FEAT_HOURLY + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
+@register("fit_scaler", "feature:s mean:v scale:v", _FEAT + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
 def q_fit_scaler(spark, sf_dir):
     """Population mean / std per feature on the training split (std 0 -> 1)."""
-    f = hourly_features(spark, sf_dir)
+    f = reading_features(spark, sf_dir)
     return fit_scaler(f.where("split = 'train'"), FEATURES)
 
 
@@ -49,13 +48,13 @@ _STATS_WIDE = "sw AS (SELECT " + ", ".join(
     for i, c in enumerate(FEATURES)) + " FROM stats)"
 
 
-@register("apply_scaler", "ts:t split:s " + " ".join(f"{c}:v" for c in FEATURES), _FEAT_HOURLY + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + """
-SELECT ts, split, """ + ", ".join(f"({c} - m_{i}) / s_{i} AS {c}" for i, c in enumerate(FEATURES)) + " FROM feat CROSS JOIN sw")
+@register("apply_scaler", "row_id:l split:s " + " ".join(f"{c}:v" for c in FEATURES), _FEAT + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + """
+SELECT row_id, split, """ + ", ".join(f"({c} - m_{i}) / s_{i} AS {c}" for i, c in enumerate(FEATURES)) + " FROM feat CROSS JOIN sw")
 def q_apply_scaler(spark, sf_dir):
     """Train and validation features scaled with the training statistics."""
-    f = hourly_features(spark, sf_dir)
+    f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
-    return apply_scaler(f, stats, FEATURES).select("ts", "split", *FEATURES)
+    return apply_scaler(f, stats, FEATURES).select("row_id", "split", *FEATURES)
 
 
 _SAMPLE_KEY = "(((row_id % 2147483648) * 2654435761 + 42) % 4294967296)"
@@ -82,14 +81,14 @@ def _weights_sql() -> str:
     return "wts AS (" + "\nUNION ALL ".join(parts) + ")"
 
 
-_LONG = "long AS (" + "\nUNION ALL ".join(f"SELECT ts, '{c}' AS feature, {c} AS value FROM feat WHERE split = 'val'" for c in FEATURES) + ")"
+_LONG = "long AS (" + "\nUNION ALL ".join(f"SELECT row_id, '{c}' AS feature, {c} AS value FROM feat WHERE split = 'val'" for c in FEATURES) + ")"
 
 
-@register("global_explanation", "feature:s importance:v", _FEAT_HOURLY + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
+@register("global_explanation", "feature:s importance:v", _FEAT + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
 SELECT feature, avg(abs(weight * (value - mean))) AS importance FROM long JOIN wts USING (feature) GROUP BY feature""")
 def q_global_explanation(spark, sf_dir):
     """Mean |contribution| per feature of the linear separation scorer on the validation split."""
-    f = hourly_features(spark, sf_dir).withColumn("row_id", F.unix_micros(F.col("ts").cast("timestamp")))
+    f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
     w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
     c = contributions(f.where("split = 'val'"), w, FEATURES)
@@ -161,47 +160,74 @@ def q_compare_baselines(spark, sf_dir):
     return a.crossJoin(b).select(F.when(F.col("b") > F.col("a"), "model_b").otherwise("model_a").alias("best_baseline"))
 
 
-# ---------------------------------------------------------------- Spark ML models (rows-only checks)
+# ---------------------------------------------------------------- Spark ML models
+
+# A fitted model's scores are no SQL; what can be checked is: every validation row once with its label, a probability,
+# and the class that follows from it.
+_VAL_SQL = split_sql("readings") + " SELECT row_id, failure_24h AS label, true AS is_probability, true AS class_follows FROM sp WHERE split = 'val'"
+_VAL_SPEC = "row_id:l label:i is_probability:b class_follows:b"
+
 
 def _train_and_score(spark, sf_dir, model_type):
-    f = hourly_features(spark, sf_dir)
+    f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
-    scaled = apply_scaler(f, stats, FEATURES).persist()
+    scaled = written(apply_scaler(f, stats, FEATURES), "scaled")
     model = M.train(scaled.where("split = 'train'"), FEATURES, model_type)
-    return M.predict(model, scaled.where("split = 'val'"), FEATURES, keep=("ts",))
+    return M.predict(model, scaled.where("split = 'val'"), FEATURES, keep=("row_id",))
+
+
+def _checked(scored):
+    return scored.select("row_id", "label", F.col("score").between(0, 1).alias("is_probability"),
+                         (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("class_follows"))
 
 
 for _mt in ("logistic_regression", "random_forest", "gbt"):
-    register(f"train_{_mt}", "ts:t label:i score:d prediction:i")(
-        lambda spark, sf, _mt=_mt: _train_and_score(spark, sf, _mt))
+    register(f"train_{_mt}", _VAL_SPEC, _VAL_SQL)(
+        lambda spark, sf, _mt=_mt: _checked(_train_and_score(spark, sf, _mt)))
 
 
-@register("evaluate_model", "pr_auc:d average_precision:d")
+@register("evaluate_model", "rows:l positives:l areas_valid:b accuracy_valid:b recall_matches:b",
+          split_sql("readings") + """ SELECT count(*) AS rows, sum(failure_24h) AS positives, true AS areas_valid, true AS accuracy_valid, true AS recall_matches
+FROM sp WHERE split = 'val'""")
 def q_evaluate_model(spark, sf_dir):
-    """PR-AUC and average precision of the class-weighted logistic model on the validation split."""
-    return pr_areas(_train_and_score(spark, sf_dir, "logistic_regression")).select("pr_auc", "average_precision")
+    """Full evaluation of the class-weighted logistic model on the validation split; the report's own sums are checked."""
+    scored = written(_train_and_score(spark, sf_dir, "logistic_regression"), "evaluated")
+    e = M.evaluate(scored)
+    n, pos = (F.col(c) for c in ("n_rows", "n_pos"))
+    recall = F.when(pos > 0, F.col("tp") / pos).otherwise(0.0)
+    return e.select(n.alias("rows"), pos.alias("positives"), (F.col("pr_auc").between(0, 1) & F.col("average_precision").between(0, 1)).alias("areas_valid"),
+                    (F.abs(F.col("accuracy") - (F.col("tp") + F.col("tn")) / n) < 1e-9).alias("accuracy_valid"),
+                    (F.abs(F.col("failure_recall") - recall) < 1e-9).alias("recall_matches"))
 
 
 # ---------------------------------------------------------------- streaming (availableNow replay)
 
-_LAST_OPEN = "(SELECT max(ts) FROM readings) - INTERVAL 1 HOUR"
+_VOLUME = """SELECT w AS window_start, w + INTERVAL {span} AS window_end, count(*) FILTER (WHERE score >= 0.3::DOUBLE) AS alerts, count(*) AS readings
+FROM (SELECT r.ts, s.score, unnest([time_bucket(INTERVAL {slide}, r.ts) - i * INTERVAL {slide} FOR i IN range({copies})]) AS w
+      FROM readings r JOIN scored s USING (row_id)) GROUP BY 1, 2"""
 
 
-@register("stream_alert_volume", "window_start:t window_end:t alerts:l readings:l", with_ctes(READINGS, SCORED) + f"""
-SELECT time_bucket(INTERVAL 1 DAY, r.ts) AS window_start, time_bucket(INTERVAL 1 DAY, r.ts) + INTERVAL 1 DAY AS window_end,
-       count(*) FILTER (WHERE s.score >= 0.3::DOUBLE) AS alerts, count(*) AS readings
-FROM readings r JOIN scored s USING (row_id)
-GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 DAY, r.ts) + INTERVAL 1 DAY <= {_LAST_OPEN}""")
+@register("stream_alert_volume", "window_start:t window_end:t alerts:l readings:l",
+          with_ctes(READINGS, SCORED) + "\n" + _VOLUME.format(span="1 DAY", slide="1 DAY", copies=1))
 def q_stream_alert_volume(spark, sf_dir):
-    """Daily alert volume from a watermarked streaming aggregation (the still-open last day is not emitted)."""
-    return S.run_available_now(S.stream_alert_volume(S.read_events_stream(spark, sf_dir)), "alert_volume")
+    """Daily alert volume from a streaming aggregation, the last day included (complete mode)."""
+    return S.run_complete(S.stream_alert_volume(S.read_events_stream(spark, sf_dir)), "alert_volume")
+
+
+@register("stream_alert_volume_sliding", "window_start:t window_end:t alerts:l readings:l",
+          with_ctes(READINGS, SCORED) + "\n" + _VOLUME.format(span="6 HOUR", slide="1 HOUR", copies=6))
+def q_stream_alert_volume_sliding(spark, sf_dir):
+    """Alert volume of 6 h windows that slide by 1 h."""
+    return S.run_complete(S.stream_alert_volume(S.read_events_stream(spark, sf_dir), window="6 hours", slide="1 hour"), "alert_volume_sliding")
 
 
 @register("stream_dedupe", "entity_id:l readings:l", with_ctes(READINGS) +
           "SELECT entity_id, count(*) AS readings FROM (SELECT DISTINCT entity_id, ts FROM readings) GROUP BY entity_id")
 def q_stream_dedupe(spark, sf_dir):
-    """Readings per entity after streaming de-duplication within the watermark."""
-    d = S.run_available_now(S.stream_dedupe(S.read_events_stream(spark, sf_dir)), "dedupe")
+    """Readings per entity after streaming de-duplication; every third reading is sent twice."""
+    events = S.read_events_stream(spark, sf_dir)
+    twice = events.unionByName(events.where(F.pmod("event_id", F.lit(3)) == 0))
+    d = S.run_available_now(S.stream_dedupe(twice), "dedupe")
     return d.groupBy("entity_id").agg(F.count(F.lit(1)).alias("readings"))
 
 
@@ -232,9 +258,7 @@ def q_read_readings_csv(spark, sf_dir):
     p = _scratch(spark, "readings_csv")
     IO.write_readings_csv(fx.readings(spark, sf_dir), p)
     schema = "row_id long, entity_id long, temperature double, vibration double, pressure double, failure int, timestamp string"
-    from pyspark.sql import types as T
-    st = T._parse_datatype_string(schema)
-    return IO.read_readings(spark, p, schema=st)
+    return IO.read_readings(spark, p, schema=schema)
 
 
 @register("write_splits", "split:s rows:l", split_sql("readings") + " SELECT split, count(*) AS rows FROM sp GROUP BY split")
@@ -245,15 +269,19 @@ def q_write_splits(spark, sf_dir):
     return spark.read.parquet(p).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("save_load_scaler", "feature:s mean:v scale:v", _FEAT_HOURLY + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
+@register("save_load_scaler", "feature:s mean:v scale:v", _FEAT + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
 def q_save_load_scaler(spark, sf_dir):
     """Scaler statistics saved to parquet and loaded back."""
     p = _scratch(spark, "scaler")
-    save_scaler(fit_scaler(hourly_features(spark, sf_dir).where("split = 'train'"), FEATURES), p)
+    save_scaler(fit_scaler(reading_features(spark, sf_dir).where("split = 'train'"), FEATURES), p)
     return load_scaler(spark, p)
 
 
-@register("write_reports", "report:s rows:l")
+_REPORT_COUNTS = "\nUNION ALL ".join(f"SELECT '{n}' AS report, count(*) AS rows FROM ({q})" for n, q in (
+    ("threshold_table", ORACLES["threshold_table"]), ("rare_event_metrics", ORACLES["rare_event_metrics"]), ("model_comparison", _CMP_SQL)))
+
+
+@register("write_reports", "report:s rows:l", _REPORT_COUNTS)
 def q_write_reports(spark, sf_dir):
     """Report tables (threshold table, rare-event metrics, model comparison) written as CSV and re-read."""
     s = fx.scored(spark, sf_dir)
@@ -269,23 +297,25 @@ def q_write_reports(spark, sf_dir):
     return out
 
 
-@register("save_load_model", "ts:t label:i score:d prediction:i")
+@register("save_load_model", _VAL_SPEC, _VAL_SQL)
 def q_save_load_model(spark, sf_dir):
     """Class-weighted logistic model saved with its metadata, loaded and used to score validation rows."""
-    f = hourly_features(spark, sf_dir)
+    f = reading_features(spark, sf_dir)
     model = M.train(f.where("split = 'train'"), FEATURES, "logistic_regression")
     p = _scratch(spark, "model")
     M.save_model(model, p, FEATURES, "logistic_regression", spark)
     loaded, feats, _ = M.load_model(p, spark)
-    return M.predict(loaded, f.where("split = 'val'"), feats, keep=("ts",))
+    return _checked(M.predict(loaded, f.where("split = 'val'"), feats, keep=("row_id",)))
 
 
-@register("feature_importance", "feature:s importance:d")
+@register("feature_importance", "features:l total:d train_rows:l", split_sql("readings") +
+          f" SELECT {len(FEATURES)} AS features, 1.0 AS total, count(*) AS train_rows FROM sp WHERE split = 'train'")
 def q_feature_importance(spark, sf_dir):
-    """Random-forest feature importances, highest first."""
-    f = hourly_features(spark, sf_dir)
-    model = M.train(f.where("split = 'train'"), FEATURES, "random_forest")
-    return M.feature_importance(model, FEATURES, spark)
+    """Random-forest feature importances: one per feature, summing to 1."""
+    f = reading_features(spark, sf_dir)
+    train = f.where("split = 'train'")
+    found = M.feature_importance(M.train(train, FEATURES, "random_forest"), FEATURES, spark)
+    return found.agg(F.count_distinct("feature").alias("features"), F.sum("importance").alias("total")).crossJoin(train.agg(F.count(F.lit(1)).alias("train_rows")))
 
 
 # ---------------------------------------------------------------- report unions
@@ -305,9 +335,9 @@ def q_optimize_thresholds(spark, sf_dir):
 
 
 @register("evaluation_basic_metrics", "pr_auc:d roc_auc:d avg_precision:d avg_recall:d",
-          "SELECT a.pr_auc, b.roc_auc, c.avg_precision, c.avg_recall FROM (" + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["pr_auc"]
-          + ") a, (" + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["roc_auc"] + ") b, ("
-          + __import__("raretide.plans.registry", fromlist=["x"]).ORACLES["curve_means"] + ") c")
+          "SELECT a.pr_auc, b.roc_auc, c.avg_precision, c.avg_recall FROM (" + ORACLES["pr_auc"]
+          + ") a, (" + ORACLES["roc_auc"] + ") b, ("
+          + ORACLES["curve_means"] + ") c")
 def q_eval_basic(spark, sf_dir):
     """Basic block of the evaluation report: PR-AUC, ROC-AUC, mean precision and recall of the curve."""
     from raretide.operators.curves import roc_auc
@@ -316,7 +346,9 @@ def q_eval_basic(spark, sf_dir):
 
 
 @register("stream_features", "entity_id:l row_id:l ts:t temperature_rolling_mean_6h:d temperature_ema_12:d "
-          "pressure_rolling_slope_6h:d hours_since_last_failure:d")
+          "pressure_rolling_slope_6h:d hours_since_last_failure:d", with_ctes(READINGS).replace("WITH ", "WITH RECURSIVE ", 1) + ",\n"
+          + features_sql("readings", ["entity_id"], SENSORS, "row_id", ["row_id", "entity_id", "ts", "failure"]) + """
+SELECT entity_id, row_id, ts, temperature_rolling_mean_6h, temperature_ema_12, pressure_rolling_slope_6h, hours_since_last_failure FROM feat""")
 def q_stream_features(spark, sf_dir):
     """Stateful per-entity features from the event stream (availableNow replay into a file sink)."""
     from raretide.sources.fixtures import readings_from_events
@@ -356,14 +388,13 @@ def q_drop_unlabelled(spark, sf_dir):
     return d.groupBy("entity_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("failure_24h").alias("positives"))
 
 
-@register("select_features", "position:i feature:s", "SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{c}')" for i, c in enumerate(sorted(FEATURES))) + ") AS t(position, feature)")
+@register("select_features", "feature:s rows:l total:v", _FEAT + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS rows, avg({c}) AS total FROM feat" for c in sorted(FEATURES)))
 def q_select_features(spark, sf_dir):
-    """Model column contract: every feature-table column except ts/failure/label, sorted."""
-    f = build_features(labelled_split(spark, sf_dir, "hourly"), [], SENSORS, split_col="split", tiebreak=None)
-    cols = select_features(f, keep=()).drop("split").columns
-    from raretide.functions.scalar import literal_table
-    return literal_table(spark, [(i, c) for i, c in enumerate(cols)], ["position", "feature"])
+    """Model column contract, every feature-table column except keys, time and labels: rows and mean of each."""
+    f = select_features(reading_features(spark, sf_dir), keep=()).drop("split", "row_id", "entity_id")
+    row = f.agg(*[F.struct(F.count(c).alias("rows"), F.avg(c).alias("total")).alias(c) for c in f.columns])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}.rows"), F.col(f"{c}.total")) for c in f.columns])))
 
 
 _ALIGN = ["temperature", "vibration", "pressure_missing", "pressure"]
@@ -386,17 +417,17 @@ def q_forward_fill(spark, sf_dir):
     return _carry_last(d, [], "rn", SENSORS, block_rows=64, total="_n").select("ts", *SENSORS)
 
 
-_CONTRIB_SQL = _FEAT_HOURLY + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
-SELECT ts, feature, value, weight * (value - mean) AS contribution FROM long JOIN wts USING (feature)"""
+_CONTRIB_SQL = _FEAT + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
+SELECT row_id, feature, value, weight * (value - mean) AS contribution FROM long JOIN wts USING (feature)"""
 
 
-@register("contributions", "ts:t feature:s value:v contribution:v", _CONTRIB_SQL)
+@register("contributions", "row_id:l feature:s value:v contribution:v", _CONTRIB_SQL)
 def q_contributions(spark, sf_dir):
     """Per validation row and feature: additive contribution w * (x - mean) of the linear separation scorer."""
-    f = hourly_features(spark, sf_dir)
+    f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
     w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
-    c = contributions(f.where("split = 'val'"), w, FEATURES, id_col="ts")
+    c = contributions(f.where("split = 'val'"), w, FEATURES, id_col="row_id")
     return c
 
 
@@ -407,16 +438,61 @@ def q_stream_validate(spark, sf_dir):
     return S.run_available_now(S.stream_validate(S.read_events_stream(spark, sf_dir)), "validate")
 
 
-@register("explain_failures", "kind:s name:s value:d")
+_EXPLAIN_SQL = _CONTRIB_SQL.replace("\nSELECT row_id, feature, value, weight", ",\ncon AS (SELECT row_id, feature, value, weight", 1) + f"""),
+one AS (SELECT row_id FROM feat WHERE split = 'val' AND failure_24h = 1 ORDER BY {_SAMPLE_KEY}, row_id LIMIT 1)
+SELECT 'global' AS kind, feature AS name, avg(abs(contribution)) AS value FROM con GROUP BY feature
+UNION ALL SELECT 'failure_row' AS kind, feature AS name, contribution AS value FROM con JOIN one USING (row_id)"""
+
+
+@register("explain_failures", "kind:s name:s value:v", _EXPLAIN_SQL)
 def q_explain_failures(spark, sf_dir):
-    """Top-10 global importances and the contributions of one positive validation row."""
-    f = hourly_features(spark, sf_dir)
+    """Global importance of every feature and the contributions of one positive validation row."""
+    f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
     w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
-    val = f.where("split = 'val'").withColumn("row_id", F.timestamp_diff("HOUR", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")))
-    top = mean_abs_contribution(contributions(val, w, FEATURES)).limit(10)
-    one = pick_failure_row(val, "failure_24h")
-    c1 = contributions(one, w, FEATURES)
-    return (top.select(F.lit("global").alias("kind"), F.col("feature").alias("name"), F.col("importance").alias("value"))
-            .unionByName(c1.select(F.lit("failure_row").alias("kind"), F.col("feature").alias("name"),
-                                   F.col("contribution").alias("value"))))
+    val = f.where("split = 'val'")
+    every = mean_abs_contribution(contributions(val, w, FEATURES))
+    one = contributions(pick_failure_row(val, "failure_24h"), w, FEATURES)
+    return (every.select(F.lit("global").alias("kind"), F.col("feature").alias("name"), F.col("importance").alias("value"))
+            .unionByName(one.select(F.lit("failure_row").alias("kind"), F.col("feature").alias("name"), F.col("contribution").alias("value"))))
+
+
+# ---------------------------------------------------------------- request forms, budgets of a larger data set, null keys
+
+_THREE_SQL = f"SELECT row_id, temperature, vibration, pressure, CASE WHEN error LIKE '%: timestamp' THEN NULL ELSE error END AS error FROM ({_REQ_SQL})"
+
+
+@register("parse_requests_without_time", "row_id:l temperature:d vibration:d pressure:d error:s stamped:b", f"SELECT *, true AS stamped FROM ({_THREE_SQL})")
+def q_parse_requests_without_time(spark, sf_dir):
+    """The three-field request form: stamped with the arrival time."""
+    from raretide.sources.requests import REQUIRED_WITHOUT_TIME, parse_requests
+    p = parse_requests(fx.requests(spark, sf_dir), required=REQUIRED_WITHOUT_TIME)
+    return p.withColumn("stamped", F.col("ts").isNotNull())
+
+
+@register("parse_requests_batch", "n:l row_id:l temperature:d error:s", f"""SELECT row_id // 4 AS n, row_id, temperature, error FROM ({_REQ_SQL})""")
+def q_parse_requests_batch(spark, sf_dir):
+    """Array bodies, four requests each: one row per request, in order."""
+    from raretide.sources.requests import parse_requests
+    r = fx.requests(spark, sf_dir).withColumn("n", F.floor(F.col("row_id") / 4).cast("long"))
+    bodies = r.groupBy("n").agg(F.array_sort(F.collect_list(F.struct("row_id", "request"))).alias("a"))
+    bodies = bodies.select("n", F.col("a.row_id").alias("ids"), F.concat(F.lit("["), F.array_join(F.col("a.request"), ","), F.lit("]")).alias("request"))
+    from raretide.sources.requests import request_objects
+    items = request_objects(bodies).select("n", F.get("ids", F.col("_item")).alias("row_id"), F.to_json("_j").alias("request"))
+    return parse_requests(items)
+
+
+@register("threshold_for_alert_budget_of_total", "strategy:s target:d threshold:d precision:d recall:d f1:d tp:l fp:l fn:l tn:l "
+          "alert_rate:d alerts_per_day_scaled:d specificity:d fallback:b", _msql("budget", 5, 10_000))
+def q_budget_total(spark, sf_dir):
+    """Alert budget where the scored rows stand for a data set of 10,000 rows."""
+    return T.for_alert_budget(fx.scored(spark, sf_dir), 5, total_samples=10_000)
+
+
+@register("label_lead_null_keys", "row_id:l entity_id:l failure_24h:i", with_ctes(READINGS) + """
+SELECT row_id, e AS entity_id, lead(failure, 24) OVER (PARTITION BY e ORDER BY ts, row_id) AS failure_24h
+FROM (SELECT *, CASE WHEN entity_id % 5 <> 0 THEN entity_id END AS e FROM readings)""")
+def q_label_lead_null_keys(spark, sf_dir):
+    """Label lead where a fifth of the rows has no entity: they are one series."""
+    r = fx.readings(spark, sf_dir).withColumn("entity_id", F.when(F.col("entity_id") % 5 != 0, F.col("entity_id")))
+    return label_lead(r, ["entity_id"]).select("row_id", "entity_id", "failure_24h")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from raretide.operators.features import build_features
 from raretide.operators.split import chrono_split
-from raretide.operators.weights import class_distribution
 from raretide.operators.windows import (drop_unlabelled, ema_lag_features, label_lead, rolling_features,
                                         hours_since_last_failure, with_order)
 from raretide.plans.oracle import READINGS, with_ctes
@@ -41,13 +40,13 @@ def flagship(spark, sf_dir):
     d = rolling_features(d, keys, ["temperature"], spans=["6h"], slope_span=None)
     d = hours_since_last_failure(d, keys)
     d = d.withColumn("temperature_lag_1", F.coalesce("temperature_lag_1", F.lit(0.0)))
-    dist = class_distribution(d, "failure_24h", by=["split"])
-    feats = d.groupBy("split").agg(
+    y = F.col("failure_24h")
+    return d.groupBy("split").agg(
+        F.count(F.lit(1)).alias("total"), F.sum(y).alias("positives"), F.sum(1 - y).alias("negatives"), F.avg(y.cast("double")).alias("positive_rate"),
         F.min("ts").alias("start_ts"), F.max("ts").alias("end_ts"),
         F.avg("temperature_rolling_mean_6h").alias("avg_rolling_mean_6h"),
         F.avg("temperature_lag_1").alias("avg_lag_1"),
         F.avg("hours_since_last_failure").alias("avg_hours_since_last_failure"))
-    return dist.join(feats, "split")
 
 
 FLAGSHIP_SPEC = ("split:s total:l positives:l negatives:l positive_rate:d start_ts:t end_ts:t "
@@ -136,7 +135,7 @@ def _features_query(fixture: str, cols: list[str]):
 
     def run(spark, sf_dir):
         d = labelled_split(spark, sf_dir, fixture)
-        return build_features(d, keys, SENSORS, split_col="split", tiebreak=tb)
+        return build_features(d, keys, SENSORS, split_col="split", tiebreak=tb, only=cols)
     return spec, sql, run
 
 

@@ -79,7 +79,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     temp = F.when(F.pmod("row_id", F.lit(23)) == 0, F.lit('"bad"')).otherwise(F.col("temperature").cast("string"))
     pres = F.when(F.pmod("row_id", F.lit(17)) == 0, F.lit("")).otherwise(
         F.concat(F.lit(', "pressure": '), F.col("pressure").cast("string")))
-    body = F.concat(F.lit('{"ts": "'), ts, F.lit('", "temperature": '), temp,
+    body = F.concat(F.lit('{"timestamp": "'), ts, F.lit('", "temperature": '), temp,
                     F.lit(', "vibration": '), F.col("vibration").cast("string"), pres, F.lit("}"))
     return r.select("row_id", body.alias("request"))
 

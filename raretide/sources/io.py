@@ -12,7 +12,7 @@ READING_SCHEMA = T.StructType([
     T.StructField("failure", T.IntegerType())])
 
 
-def read_readings(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None) -> DataFrame:
+def read_readings(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | str | None = None) -> DataFrame:
     """Reading table with a fixed schema (no inference); ``timestamp`` parsed to TIMESTAMP_NTZ as ``ts``;
     NaN sensor values become NULL."""
     if fmt == "csv":
@@ -38,6 +38,6 @@ def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str =
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str) -> None:
-    """Small report tables (one file each) as CSV with header."""
+    """Report tables as CSV with header, one folder each; a table that grows (one row per score) keeps its partitions."""
     for name, df in reports.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")

@@ -1,31 +1,47 @@
 """Request parsing and validation (batch and streaming share it).
 
-Bodies are parsed with ``from_json`` into string fields, then ``try_cast``; the first missing field or
-the first field that is not a number rejects the request, as in the reference's online path."""
+A body is one JSON object or an array of objects (a batch request: one row each).  Fields are parsed as text and
+cast with ``try_cast``; the first missing field, or else the first that is not a value of its type, rejects the
+request, as in the reference's online path.  A field whose value is JSON ``null`` counts as missing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from collections.abc import Sequence
 
-# Required fields in the reference's order.
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+# Required fields in the reference's order; the second form is stamped with the arrival time.
 REQUIRED = ["timestamp", "temperature", "vibration", "pressure"]
-_JSON_NAME = {"timestamp": "ts"}
+REQUIRED_WITHOUT_TIME = ["temperature", "vibration", "pressure"]
+
+
+def _schema(required: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(f, T.StringType(), True) for f in required])
+
+
+def request_objects(df: DataFrame, body: str = "request", required: Sequence[str] = REQUIRED) -> DataFrame:
+    """One row per request object: ``_j`` (its required fields as text) and ``_item`` (place in an array body, 0 for a
+    single object).  A body that is neither gives one row with ``_j`` null; an empty array gives none."""
+    schema = _schema(required)
+    is_array = F.col(body).rlike(r"^\s*\[")
+    many = F.from_json(F.col(body), T.ArrayType(schema))
+    items = F.when(is_array, F.coalesce(many, F.array(F.lit(None).cast(schema)))).otherwise(F.array(F.from_json(F.col(body), schema)))
+    return df.select("*", F.posexplode(items).alias("_item", "_j"))
 
-REQUEST_SCHEMA = T.StructType([T.StructField(_JSON_NAME.get(f, f), T.StringType(), True) for f in REQUIRED])
 
+def parse_requests(df: DataFrame, body: str = "request", required: Sequence[str] = REQUIRED,
+                   received: Column | None = None) -> DataFrame:
+    """Adds ``ts``, the sensor fields (typed, NULL when missing or bad), ``valid`` and ``error``.
 
-def parse_requests(df: DataFrame, body: str = "request", required=REQUIRED) -> DataFrame:
-    """Adds ts, temperature, vibration, pressure (typed, NULL when missing or bad), ``valid`` and ``error``."""
-    j = F.from_json(F.col(body), REQUEST_SCHEMA)
-    d = df.withColumn("_j", j)
-    raw = {f: F.col(f"_j.{_JSON_NAME.get(f, f)}") for f in required}
-    typed = {f: (raw[f].try_cast("timestamp_ntz") if f == "timestamp" else raw[f].try_cast("double"))
-             for f in required}
+    Without ``timestamp`` among ``required``, ``ts`` is ``received`` (default: the current time)."""
+    d = request_objects(df, body, required)
+    raw = {f: F.col("_j").getField(f) for f in required}
+    typed = {f: (raw[f].try_cast("timestamp_ntz") if f == "timestamp" else raw[f].try_cast("double")) for f in required}
     missing = [F.when(raw[f].isNull(), F.lit(f"Missing required field: {f}")) for f in required]
     invalid = [F.when(raw[f].isNotNull() & typed[f].isNull(), F.lit(f"Invalid input data: {f}")) for f in required]
-    err = F.coalesce(*missing, *invalid)
-    out = d.select(*[c for c in df.columns], typed["timestamp"].alias("ts"),
-                   *[typed[f].alias(f) for f in required if f != "timestamp"], err.alias("error"))
+    ts = typed["timestamp"] if "timestamp" in typed else (F.localtimestamp() if received is None else received)
+    out = d.select(*df.columns, ts.alias("ts"), *[typed[f].alias(f) for f in required if f != "timestamp"],
+                   F.coalesce(*missing, *invalid).alias("error"))
     return out.withColumn("valid", F.col("error").isNull())
 
 

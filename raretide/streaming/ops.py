@@ -56,13 +56,28 @@ def score_column():
     return F.floor(raw * F.lit(10000.0)).cast("double") / F.lit(10000.0)
 
 
+def run_complete(df: DataFrame, name: str) -> DataFrame:
+    """Drain an aggregation in complete mode: every batch replaces the result table, so the last run holds all
+    windows, open ones too."""
+    spark = df.sparkSession
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out")
+
+    q = (df.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/checkpoint")
+         .foreachBatch(replace).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
+
+
 def stream_alert_volume(events: DataFrame, window: str = "1 day", watermark: str = "1 hour",
-                        threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """Alerts (score >= threshold) and readings per tumbling window; a window is emitted once the
-    watermark passes its end (append mode)."""
+                        threshold: float = ALERT_THRESHOLD, slide: str | None = None) -> DataFrame:
+    """Alerts (score >= threshold) and readings per tumbling or sliding window.  In append mode a window is emitted
+    once the watermark passes its end; ``run_complete`` gives the open ones too."""
     r = readings_from_events(events).withColumn("score", score_column())
     r = r.withColumn("ets", as_instant("ts")).withWatermark("ets", watermark)
-    g = r.groupBy(F.window("ets", window).alias("w")).agg(
+    g = r.groupBy(F.window("ets", window, slide or window).alias("w")).agg(
         F.count(F.when(F.col("score") >= F.lit(threshold), F.lit(1))).alias("alerts"),
         F.count(F.lit(1)).alias("readings"))
     return g.select(from_instant(F.col("w.start")).alias("window_start"),
@@ -82,7 +97,7 @@ def stream_validate(events: DataFrame) -> DataFrame:
     temp = F.when(F.pmod("row_id", F.lit(23)) == 0, F.lit('"bad"')).otherwise(F.col("temperature").cast("string"))
     pres = F.when(F.pmod("row_id", F.lit(17)) == 0, F.lit("")).otherwise(
         F.concat(F.lit(', "pressure": '), F.col("pressure").cast("string")))
-    body = F.concat(F.lit('{"ts": "'), ts, F.lit('", "temperature": '), temp,
+    body = F.concat(F.lit('{"timestamp": "'), ts, F.lit('", "temperature": '), temp,
                     F.lit(', "vibration": '), F.col("vibration").cast("string"), pres, F.lit("}"))
     return parse_requests(r.select("row_id", body.alias("request"))).drop("request")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from raretide.functions.timecols import ts_micros
 from raretide.operators.scan import carry_last, with_row_index
-from raretide.operators.windows import ema_halo_rows, ema_lag_features, label_lead, rolling_features, with_order
+from raretide.operators.windows import ema_lag_features, label_lead, rolling_features, with_order
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -53,24 +53,60 @@ def test_irregular_series_matches_pandas(spark):
         np.testing.assert_allclose(got[~np.isnan(got)], exp[~np.isnan(exp)], rtol=1e-9)
 
 
-def test_ema_with_nulls_matches_pandas_across_blocks(spark):
-    halo = max(ema_halo_rows(12), ema_halo_rows(24))
-    n = 4 * halo + 500          # more rows than one block: the halo path is exercised
-    rng = np.random.default_rng(3)
+@pytest.mark.parametrize("block", [1, 7, 64, 100_000])
+def test_ema_equals_pandas_at_every_block_size(spark, block):
+    n, rng = 700, np.random.default_rng(3)
     vals = list(rng.normal(0, 1, n))
-    for i in list(range(0, 3)) + list(range(100, 140)) + list(range(4 * halo - 5, 4 * halo + 5)):
+    for i in [*range(0, 3), *range(100, 240), *range(600, 605)]:
         vals[i] = None
+    vals[50] = 1e12            # one reading far larger than all that follow
     df = with_order(_series(spark, vals), ["entity_id"])
-    out = ema_lag_features(df, ["entity_id"], ["x"], block_rows=1).orderBy("rn").toPandas()
+    out = ema_lag_features(df, ["entity_id"], ["x"], block_rows=block).orderBy("rn").toPandas()
     s = pd.Series([np.nan if v is None else v for v in vals], dtype="float64")
     for span in (12, 24):
         exp = s.ewm(span=span, adjust=False).mean().to_numpy()
         got = out[f"x_ema_{span}"].to_numpy(dtype=float)
         assert np.array_equal(np.isnan(exp), np.isnan(got))
-        np.testing.assert_allclose(got[~np.isnan(got)], exp[~np.isnan(exp)], rtol=1e-12, atol=1e-12)
+        np.testing.assert_allclose(got[~np.isnan(got)], exp[~np.isnan(exp)], rtol=1e-9, atol=1e-9)
     np.testing.assert_allclose(out["x_lag_2"].to_numpy(dtype=float)[3:], s.shift(2).to_numpy()[3:], equal_nan=True)
 
 
+def test_sparse_readings_keep_a_far_value(spark):
+    """A reading every 13th row: one large early value still counts thousands of rows later."""
+    n = 4000
+    vals = [None] * n
+    for i in range(0, n, 13):
+        vals[i] = 1.0
+    vals[0] = 1e200
+    df = with_order(_series(spark, vals), ["entity_id"])
+    out = ema_lag_features(df, ["entity_id"], ["x"], spans=[24], lags=[1], block_rows=128).orderBy("rn").toPandas()
+    exp = pd.Series([np.nan if v is None else v for v in vals]).ewm(span=24, adjust=False).mean().to_numpy()
+    np.testing.assert_allclose(out["x_ema_24"].to_numpy(dtype=float), exp, rtol=1e-9)
+
+
+def test_rows_without_a_key_are_a_series(spark):
+    df = _series(spark, list(range(40))).withColumn("entity_id", F.when(F.col("row_id") % 5 != 0, F.col("entity_id")))
+    lab = label_lead(df.withColumn("failure", F.col("x").cast("int")), ["entity_id"], horizon=2, block_rows=4).collect()
+    got = {r["row_id"]: r["failure_24h"] for r in lab}
+    assert len(got) == 40 and got[0] == 10 and got[35] is None and got[1] == 3
+    d = with_order(df, ["entity_id"])
+    out = ema_lag_features(d, ["entity_id"], ["x"], spans=[12], lags=[1], block_rows=3)
+    exp = {r["row_id"]: r["e"] for r in df.toPandas().assign(e=lambda p: p.groupby("entity_id", dropna=False)["x"].transform(
+        lambda s: s.ewm(span=12, adjust=False).mean())).to_dict("records")}
+    assert {r["row_id"]: r["x_ema_12"] for r in out.collect()} == pytest.approx(exp)
+
+
+@pytest.mark.parametrize("same_time", [False, True])
+def test_split_is_exact_wherever_rows_crowd(spark, same_time):
+    from raretide.operators.split import chrono_split, time_series_folds
+    t = (lambda i: T0) if same_time else (lambda i: T0 + dt.timedelta(microseconds=i // 3))
+    df = spark.createDataFrame([(i, t(i)) for i in range(997)], "row_id long, ts timestamp_ntz")
+    got = {r["row_id"]: r["split"] for r in chrono_split(df).collect()}
+    assert got == {i: "train" if i < 697 else "val" for i in range(996)}
+    folds = {r["row_id"]: r["fold"] for r in time_series_folds(df).collect()}
+    assert folds == {i: 0 if i < 250 else (i - 250) // 249 + 1 for i in range(997)}
+
+
 def test_row_index_and_lead_across_small_blocks(spark):
     vals = list(range(40))
     df = _series(spark, vals, step_minutes=300)     # several day buckets
