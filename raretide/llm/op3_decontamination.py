@@ -16,11 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from raretide.llm.common import table, written
+from raretide.llm.common import broadcast_up_to, table, written
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # once A-Z is lower-cased; words are all else
 N = 10
 BLOCK = 400_000
+MAX_BROADCAST = 500_000  # contaminated documents to drop; beyond, the anti join shuffles
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -101,7 +102,8 @@ def judge(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; clean documents stay as they are."""
-    dirty = judge(docs, benchmark, n).where(F.col("n_hit") > 0).select("doc_id", "tie").distinct()
+    dirty = written(judge(docs, benchmark, n).where(F.col("n_hit") > 0).select("doc_id", "tie").distinct(), "contaminated")
+    dirty = broadcast_up_to(dirty, MAX_BROADCAST)
     tied = docs.withColumn("__tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
     return (tied.alias("d").join(dirty.alias("x"), F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")) & (F.col("d.__tie") == F.col("x.tie")), "left_anti")
             .drop("__tie"))
