@@ -348,7 +348,7 @@ def q_eval_basic(spark, sf_dir):
 @register("stream_features", "entity_id:l row_id:l ts:t temperature_rolling_mean_6h:d temperature_ema_12:d "
           "pressure_rolling_slope_6h:d hours_since_last_failure:d", with_ctes(READINGS).replace("WITH ", "WITH RECURSIVE ", 1) + ",\n"
           + features_sql("readings", ["entity_id"], SENSORS, "row_id", ["row_id", "entity_id", "ts", "failure"]) + """
-SELECT entity_id, row_id, ts, temperature_rolling_mean_6h, temperature_ema_12, pressure_rolling_slope_6h, hours_since_last_failure FROM feat""")
+SELECT entity_id, row_id, ts, temperature_rolling_mean_6h, temperature_ema_12, pressure_rolling_slope_6h, hours_since_last_failure FROM fpre""")
 def q_stream_features(spark, sf_dir):
     """Stateful per-entity features from the event stream (availableNow replay into a file sink)."""
     from raretide.sources.fixtures import readings_from_events
