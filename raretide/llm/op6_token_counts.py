@@ -5,7 +5,7 @@ after another character (checked on loading), so merges never cross that border.
 or digit followed by ``. , ; : ! ?`` or a line feed, the marks behind a word are cut off too.
 
 1. Every pre-token of the corpus is counted (per batch, then by shuffle) and encoded once: a written table.
-2. The ``TOP`` most frequent, a bounded table, are sent to all tasks; a second pass sums them in place and keeps
+2. The most frequent, at most ``TOP`` and so a bounded table, are sent to all tasks; a second pass sums them in place and keeps
    the rare rest of each document as (pre-token, frequency).
 3. The rest is joined to the table.  Frequent pre-tokens, the hot keys, never reach that shuffle.
 
@@ -15,6 +15,7 @@ Null texts count as empty (0 tokens); repeated rows keep a row each; other colum
 from __future__ import annotations
 
 import functools
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -167,12 +168,24 @@ def piece_table(docs: DataFrame, path: str) -> DataFrame:
     return written(counted.mapInArrow(_encode(path), "pre_token string, n long, pieces long"), "pieces")
 
 
+def _most_frequent(pieces: DataFrame, top: int) -> DataFrame:
+    """At most ``top`` short pre-tokens: all from a frequency on.  A histogram of a few hundred rows gives that
+    frequency, so the driver gets these rows and no candidates of every task."""
+    short = pieces.where((F.length("pre_token") <= 64) & (F.col("n") > 1)).withColumn("step", F.floor(F.log("n") / math.log(1.1)).cast("int"))
+    least, total = None, 0
+    for step, n in short.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += n
+        if total > top:
+            break
+        least = step
+    return short.where(F.lit(False) if least is None else F.col("step") >= least).select("pre_token", "pieces")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, top: int = TOP) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of each document's whole text."""
     spark = docs.sparkSession
     pieces = piece_table(docs, path)
-    best = (pieces.where((F.length("pre_token") <= 64) & (F.col("n") > 1)).orderBy(F.desc("n"), "pre_token").limit(top)
-            .select("pre_token", "pieces").collect())
+    best = _most_frequent(pieces, top).collect()
     frequent = spark.sparkContext.broadcast({r[0]: r[1] for r in best})
     per_doc = docs.select("doc_id", "text").mapInArrow(
         _sum(path, frequent, ["doc_id"]), "doc_id long, n_bytes long, known long, rest array<struct<pre_token:string,freq:long>>")
