@@ -25,6 +25,21 @@ def seeded(doc_id: Column | str, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(c.cast("string"), F.lit("null"))).cast("binary"))
 
 
+def below(key: Column, share: Column | float) -> Column:
+    """Whether a seeded hash lies in the lowest ``share`` (0 to 1) of all."""
+    return F.conv(F.substring(key, 1, 8), 16, 10).cast("double") <= F.lit(2.0 ** 32) * share
+
+
+def lowest(df: DataFrame, seed: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those whose ids have the lowest seeded hashes (ties: lowest id).
+
+    A share of the hashes that holds twice as many is cut out first, so the task that orders them reads about that
+    many, however many partitions the table has."""
+    n = df.count()
+    some = df if n <= 2 * rows else df.where(below(seeded("doc_id", seed), 2.0 * rows / n))
+    return some.orderBy(seeded("doc_id", seed), "doc_id").limit(rows)
+
+
 def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``rows`` rows; beyond, Spark shuffles."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import fold, seeded, table
+from raretide.llm.common import below, fold, seeded, table
 
 SNIPPETS, SNIPPET, BLOCK = 96, 320, 512
 UNKNOWN = "und"
@@ -144,10 +144,15 @@ def identify(texts: list[str | None], training: tuple[tuple[str, str], ...]) ->
 def learn(docs: DataFrame, snippets: int = SNIPPETS, size: int = SNIPPET) -> tuple[tuple[str, str], ...]:
     """Bounded training text of each language, from rows whose crc32(doc_id) mod 3 is not 1."""
     rows = docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    key = seeded("doc_id", "lang-1")
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if many := {lang: 4.0 * snippets / n for lang, n in counts.items() if n > 4 * snippets}:  # order a few of a frequent language's rows only
+        shares = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+        rows = rows.where(below(key, F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(1.0))))
     # the middle of a text: openings may be shared
     at = F.greatest(F.lit(1), (F.length("text") / 2 - size / 2).cast("int"))
     order = Window.partitionBy("lang").orderBy("key", "doc_id")
-    picked = (rows.select("lang", "doc_id", seeded("doc_id", "lang-1").alias("key"), F.substring("text", at, F.lit(size)).alias("s"))
+    picked = (rows.select("lang", "doc_id", key.alias("key"), F.substring("text", at, F.lit(size)).alias("s"))
               .withColumn("r", F.row_number().over(order)).where(F.col("r") <= snippets)
               .groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "s"))), lambda v: v["s"]), "\n").alias("t")))
     return tuple((r["lang"], r["t"]) for r in picked.orderBy("lang").collect())

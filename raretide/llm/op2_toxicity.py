@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import broadcast_up_to, fold, seeded, table, written
+from raretide.llm.common import broadcast_up_to, fold, lowest, table, written
 
 SAMPLE = 4000
 MIN_WEIGHT, MAX_TERMS = 2.0, 5000
@@ -155,7 +155,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> DataF
     rows = labels.where((fold("doc_id", 5) != 0) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     picked = None
     for label in (0, 1):
-        part = rows.where(F.col("toxic") == label).orderBy(seeded("doc_id", "toxic-1"), "doc_id").limit(per_label)
+        part = lowest(rows.where(F.col("toxic") == label), "toxic-1", per_label)
         picked = part if picked is None else picked.unionByName(part)
     picked = broadcast_up_to(written(picked, "toxic-ids"), 2 * per_label)
     return written(docs.select("doc_id", "text").join(picked, "doc_id").select("text", "toxic"), "toxic-sample")

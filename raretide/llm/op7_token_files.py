@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import ordered_pieces, scratch_path, seeded, table
+from raretide.llm.common import lowest, ordered_pieces, scratch_path, table
 
-END, SAMPLE, SAMPLE_IDS, DICTIONARY, LEVEL, BLOCK, CACHE = 0, 1000, 1024, 1 << 16, 1, 4 << 20, 500_000
+END, SAMPLE, SAMPLE_IDS, DICTIONARY, LEVEL, BLOCK, CACHE = 0, 1000, 1024, 1 << 16, 1, 2 << 20, 150_000
 
 # The characters that the vocabulary's pattern takes for white space.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -183,8 +183,7 @@ def train_dictionary(docs: DataFrame, path: str) -> tuple[str, bytes]:
             trained = b"".join(samples)[:DICTIONARY]
         yield pa.RecordBatch.from_pydict({"bytes": pa.array([trained], pa.binary())})
 
-    sample = (docs.select("doc_id", F.substring("text", 1, 16 * SAMPLE_IDS).alias("text")).orderBy(seeded("doc_id", "dictionary-1"), "doc_id")
-              .limit(SAMPLE).coalesce(1))
+    sample = lowest(docs.select("doc_id", F.substring("text", 1, 16 * SAMPLE_IDS).alias("text")), "dictionary-1", SAMPLE).coalesce(1)
     row = sample.mapInArrow(run, "bytes binary").first()
     raw = bytes(row["bytes"]) if row else b""
     return hashlib.sha256(raw).hexdigest(), raw
