@@ -308,14 +308,14 @@ def q_save_load_model(spark, sf_dir):
     return _checked(M.predict(loaded, f.where("split = 'val'"), feats, keep=("row_id",)))
 
 
-@register("feature_importance", "features:l total:d train_rows:l", split_sql("readings") +
-          f" SELECT {len(FEATURES)} AS features, 1.0 AS total, count(*) AS train_rows FROM sp WHERE split = 'train'")
+@register("feature_importance", "features:l shares:b train_rows:l", split_sql("readings") +
+          f" SELECT {len(FEATURES)} AS features, true AS shares, count(*) AS train_rows FROM sp WHERE split = 'train'")
 def q_feature_importance(spark, sf_dir):
-    """Random-forest feature importances: one per feature, summing to 1."""
+    """Random-forest feature importances: one per feature, summing to 1 (0 if no tree could split)."""
     f = reading_features(spark, sf_dir)
     train = f.where("split = 'train'")
     found = M.feature_importance(M.train(train, FEATURES, "random_forest"), FEATURES, spark)
-    return found.agg(F.count_distinct("feature").alias("features"), F.sum("importance").alias("total")).crossJoin(train.agg(F.count(F.lit(1)).alias("train_rows")))
+    return found.agg(F.count_distinct("feature").alias("features"), (F.least(F.abs(F.sum("importance") - 1), F.abs(F.sum("importance"))) < 1e-9).alias("shares")).crossJoin(train.agg(F.count(F.lit(1)).alias("train_rows")))
 
 
 # ---------------------------------------------------------------- report unions
