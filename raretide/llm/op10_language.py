@@ -37,40 +37,35 @@ def letters(text: str) -> np.ndarray:
 
 def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
     """Transitions (state x symbol) of the automaton of all substrings; 0 is the start, -1 no transition."""
-    nxt: list[dict[int, int]] = [{}]
+    nxt = np.full((2 * len(symbols) + 1, alphabet), -1, dtype=np.int32)
     link, length = [-1], [0]
-    last = 0
+    last, n = 0, 1
     for c in symbols.tolist():
-        cur = len(nxt)
-        nxt.append({})
+        cur, n = n, n + 1
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
+        while p >= 0 and nxt[p, c] < 0:
+            nxt[p, c] = cur
             p = link[p]
         if p >= 0:
-            q = nxt[p][c]
+            q = int(nxt[p, c])
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                twin = len(nxt)
-                nxt.append(dict(nxt[q]))
+                twin, n = n, n + 1
+                nxt[twin] = nxt[q]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and nxt[p].get(c) == q:
-                    nxt[p][c] = twin
+                while p >= 0 and nxt[p, c] == q:
+                    nxt[p, c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    out = np.full((len(nxt), alphabet), -1, dtype=np.int32)
-    for state, row in enumerate(nxt):
-        for c, to in row.items():
-            out[state, c] = to
-    return out
+    return nxt[:n]
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _build(training: tuple[tuple[str, str], ...]) -> tuple[list[str], np.ndarray, np.ndarray, list[int]]:
     """Languages, code point -> symbol (0: in no training text), all transitions in one table, start rows."""
     texts = [letters(t) for _, t in training]
@@ -165,6 +160,8 @@ def predict(docs: DataFrame, training: tuple[tuple[str, str], ...], keep: list[s
             for part in tv.slices(batch, "text"):
                 lang, score = identify(part.column("text").to_pylist(), training)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(lang), pa.array(score, pa.float64())], names=[*keep, *out])
+        _build.cache_clear()  # the worker goes on to other stages
+        tv.release()
 
     fields = docs.select(*keep).schema
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{out[0]} string", f"{out[1]} double"])

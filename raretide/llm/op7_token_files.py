@@ -75,6 +75,12 @@ class Encoder:
         self.special = special[0] if special else None
         self.alphabet = _ByteLetters()
 
+    def forget(self) -> None:
+        self.spaced.clear()
+        self.exact.clear()
+        self.alphabet.clear()
+        tv.release()
+
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -194,11 +200,13 @@ def _compress(path: str, raw: bytes):
         import zstandard
         c = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
         end = np.array([END], dtype="<u4").tobytes()
+        own = encoder(path)
         for batch in batches:
             for part in tv.slices(batch, "text"):
-                ids = [x + end for x in encoder(path).encode(_texts(part))]
+                ids = [x + end for x in own.encode(_texts(part))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([c.compress(x) for x in ids], pa.binary()),
                                                   pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "text", "n_tokens"])
+        own.forget()  # the worker goes on to other stages
     return run
 
 

@@ -76,6 +76,7 @@ def _signatures(width: int):
                     part.column("doc_id"), part.column("tie"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array(halves, pa.list_(pa.int64()))], names=["doc_id", "tie", "n", "cls", "half"])
+        tv.release()
     return run
 
 
@@ -85,19 +86,21 @@ def _full_sets(width: int):
             for part in tv.slices(batch, "text"):
                 sets = _sets(*_shingles(part.column("text"), width))
                 yield pa.RecordBatch.from_arrays([part.column("cid"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["cid", "s"])
+        tv.release()
     return run
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both, either = [], []
-        for a, b in zip(batch.column("sx").to_pylist(), batch.column("sp").to_pylist()):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        for a, b in zip(batch.column("sx"), batch.column("sp")):  # views, no copies
+            a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
             common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
             both.append(common)
             either.append(len(a) + len(b) - common)
         yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("p"), pa.array(both, pa.int64()), pa.array(either, pa.int64())],
                                          names=["x", "p", "both", "either"])
+    tv.release()
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:

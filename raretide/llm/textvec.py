@@ -168,3 +168,8 @@ def gaps_joined(cp: np.ndarray, is_letter: np.ndarray) -> np.ndarray:
     keep = is_letter.copy()
     keep[1:] |= is_letter[:-1]
     return np.where(is_letter, cp, 32)[keep]
+
+
+def release() -> None:
+    """Give Arrow's free memory back at the end of a task: the worker process goes on to others."""
+    pa.default_memory_pool().release_unused()
