@@ -10,9 +10,11 @@ Steps, all on written tables:
 2. Half keys that only one class has are dropped; what is left is paired to table keys.
 3. In each table every class is compared with the smallest only (never all pairs): first each class with its
    smallest partner, then pairs that are not yet known to be in one component.
-4. Classes whose likeness to a common partner is ``GLUE`` or more form a family.  Members outside a family's largest
-   component are compared with all its members, in blocks of bounded bytes, by an inverted index in each block;
-   no pair rows are made.  So no link between different texts is left out for having been no pivot's.
+4. Classes whose likeness to a common partner is ``GLUE`` or more form a family.  Each table's classes that are not
+   so near to its smallest that a near copy of theirs must be in the family are its rest.  Families, and rests of
+   more than one family, are groups: members outside a group's largest component are compared with all its members,
+   in blocks of bounded bytes, by an inverted index in each block; no pair rows are made.  So no link between two
+   classes that share a table is left out for having been no pivot's.
 5. Links confirmed on full sets are joined to components by large-star / small-star rounds.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased.  Null and empty texts and texts without
@@ -132,8 +134,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return labels.union(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
-def _candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (x, p): classes that share a table key, with that table's smallest class."""
+def _candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (x, p): classes that share a table key, with that table's smallest class; keys (cid, key) of the classes;
+    pivots (key, p, n) of the tables that n > 1 classes share."""
     halves = reps.select("cid", F.posexplode("half").alias("i", "h"))
     shared = halves.groupBy("h").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("h")
     left = halves.join(shared, "h").groupBy("cid").agg(
@@ -141,8 +144,8 @@ def _candidates(reps: DataFrame) -> DataFrame:
     keys = (left.select("cid", "b", F.explode("a").alias("ha")).select("cid", "ha", F.explode("b").alias("hb"))
             .select("cid", F.xxhash64("ha", "hb").alias("key")))
     keys = written(keys, "table-keys")
-    pivots = written(keys.groupBy("key").agg(F.min("cid").alias("p"), F.max("cid").alias("q")).where("p < q").select("key", "p"), "pivots")
-    return written(keys.join(pivots, "key").where("cid <> p").select(F.col("cid").alias("x"), "p").distinct(), "pairs")
+    pivots = written(keys.groupBy("key").agg(F.min("cid").alias("p"), F.max("cid").alias("q"), F.count("*").alias("n")).where("p < q").select("key", "p", "n"), "pivots")
+    return written(keys.join(pivots, "key").where("cid <> p").select(F.col("cid").alias("x"), "p").distinct(), "pairs"), keys, pivots
 
 
 def _linked(tested: DataFrame, percent: int) -> DataFrame:
@@ -172,18 +175,46 @@ def _block_links(threshold: int):
     return run
 
 
-def _family_links(glue: DataFrame, comps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Edges between components of one family that only members away from its pivots bear."""
-    families = components(glue, "families").withColumnRenamed("label", "family")
-    members = (families.join(comps, "node", "left").select(F.col("node").alias("cid"), "family", F.coalesce("label", "node").alias("comp"))
-               .join(sets, "cid").withColumn("bytes", F.length("s")))
+def _rests(keys: DataFrame, pivots: DataFrame, tested: DataFrame, families: DataFrame, sets: DataFrame, near: int) -> DataFrame:
+    """Members (cid, family) of the tables' rests that hold more than one family, equal rests once: each rest by itself,
+    or all rests that hang together as one group where that moves fewer bytes.
+
+    A class of likeness ``near`` percent or more to the pivot is no rest: by the triangle inequality of the Jaccard
+    distance all its near copies have ``GLUE`` or more to the pivot, so they are in its family."""
+    own = families.select(F.col("node").alias("cid"), F.col("family").alias("of"))
+    rows = (keys.join(pivots.where("n > 2"), "key").where("cid <> p").join(own, "cid", "left")
+            .select("key", "cid", "p", F.coalesce("of", "cid").alias("of")))
+    mixed = written(rows.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi")).where("lo < hi").select("key"), "mixed-tables")
+    done = _linked(tested, near).select(F.col("x").alias("cid"), "p")
+    rows = written(rows.join(mixed, "key").join(done, ["cid", "p"], "left_anti").select("key", "cid", "of"), "rests")
+    rests = rows.groupBy("key").agg(F.min("of").alias("lo"), F.max("of").alias("hi"), F.count("*").alias("n"),
+                                    F.bit_xor(F.xxhash64("cid")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("h2"))
+    once = rests.where("lo < hi").groupBy("n", "h1", "h2").agg(F.min("key").alias("key")).select("key")
+    rows = written(rows.join(written(once, "open-tables"), "key").join(sets.select("cid", F.length("s").alias("bytes")), "cid"), "open-rests")
+    if not rows.limit(1).count():
+        return rows.select("cid", F.col("key").alias("family"))
+    first = rows.groupBy("key").agg(F.min("cid").alias("b"))
+    pools = written(components(rows.join(first, "key").select(F.col("cid").alias("a"), "b"), "pools")
+                    .select(F.col("node").alias("cid"), F.col("label").alias("pool")), "rest-pools")
+    rows = written(rows.join(pools, "cid"), "pooled-rests")
+    moved = rows.groupBy("pool", "cid").agg(F.first("bytes").alias("bytes"), F.sum("bytes").alias("each"))
+    whole = written(moved.groupBy("pool").agg(F.sum("bytes").alias("bytes"), F.sum("each").alias("each"))
+                    .where(F.ceil(F.col("bytes") / BLOCK_BYTES) * F.col("bytes") <= F.col("each")).select("pool"), "whole-pools")
+    return (rows.join(whole, "pool", "left_anti").select("cid", F.col("key").alias("family"))
+            .union(pools.join(whole, "pool").select("cid", F.col("pool").alias("family"))))
+
+
+def _family_links(groups: DataFrame, comps: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Edges between components that share a group (rows cid, family) which only members away from the pivots bear."""
+    members = (groups.join(comps.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "family", F.coalesce("label", "cid").alias("comp"))
+               .join(sets.select("cid", F.length("s").alias("bytes")), "cid"))
     sizes = written(members.groupBy("family", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "family-sizes")
     plan = sizes.groupBy("family").agg(F.max(F.struct("n", F.negate("comp").alias("neg"), F.col("bytes"))).alias("m"), F.count("*").alias("k"), F.sum("bytes").alias("bytes")).where("k > 1")
     plan = written(plan.select("family", (-F.col("m.neg")).alias("main"), F.ceil(F.col("bytes") / BLOCK_BYTES).cast("long").alias("shards"),
                                F.ceil((F.col("bytes") - F.col("m.bytes")) / BLOCK_BYTES).cast("long").alias("blocks")), "family-plan")
     if not plan.limit(1).count():
         return plan.select(F.col("family").alias("a"), F.col("main").alias("b"))
-    open_ = written(members.join(plan, "family").select("family", "cid", "comp", "s", "main", "shards", "blocks"), "family-members")
+    open_ = written(members.join(plan, "family").join(sets, "cid").select("family", "cid", "comp", "s", "main", "shards", "blocks"), "family-members")
     spread = F.xxhash64("cid")
     outside = open_.where("comp <> main").select("family", F.pmod(spread, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), "cid", "comp", "s")
     inside = open_.select("family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(spread, "shards").alias("shard"), "cid", "comp", "s")
@@ -199,7 +230,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = THRESHOLD)
                   .withColumn("row", F.monotonically_increasing_id()), "signatures")
     reps = written(sig.where("n > 0").groupBy("cls").agg(F.min(F.struct("row", "doc_id", "tie", "half")).alias("m"))
                    .select("cls", F.col("m.row").alias("cid"), F.col("m.doc_id").alias("doc_id"), F.col("m.tie").alias("tie"), F.col("m.half").alias("half")), "classes")
-    pairs = _candidates(reps)
+    pairs, keys, pivots = _candidates(reps)
     wanted = pairs.select(F.col("x").alias("cid")).union(pairs.select(F.col("p").alias("cid"))).distinct()
     wanted = broadcast_up_to(written(reps.select("cid", "doc_id", "tie").join(wanted, "cid"), "candidates"), BROADCAST_ROWS)
     found = tied.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tie") == F.col("w.tie")))
@@ -215,9 +246,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: int = THRESHOLD)
     rest = rest.where(F.coalesce("to_x", "x") != F.coalesce("to_p", "p")).select("x", "p")
     tested = first.unionByName(confirm(rest, sets, "tested-2"))
 
+    least = min(GLUE, threshold)
     links = components(_linked(tested, threshold).select(F.col("x").alias("a"), F.col("p").alias("b")), "links")
-    glue = _linked(tested, min(GLUE, threshold)).select(F.col("x").alias("a"), F.col("p").alias("b"))
-    more = components(_family_links(glue, links, sets, threshold), "joined").select(F.col("node").alias("label"), F.col("label").alias("last"))
+    glue = _linked(tested, least).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    families = components(glue, "families").withColumnRenamed("label", "family")
+    groups = families.select(F.col("node").alias("cid"), "family").union(_rests(keys, pivots, tested, families, sets, 100 + least - threshold))
+    more = components(_family_links(groups, links, sets, threshold), "joined").select(F.col("node").alias("label"), F.col("label").alias("last"))
     named = reps.select("cls", "cid").join(links.withColumnRenamed("node", "cid"), "cid", "left")
     named = named.withColumn("label", F.coalesce("label", "cid")).join(more, "label", "left").select("cls", F.coalesce("last", "label").alias("label"))
     rows = written(sig.select("row", "doc_id", "tie", "n", "cls").join(written(named, "class-labels"), "cls", "left").drop("cls"), "labelled")

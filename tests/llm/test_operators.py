@@ -424,6 +424,30 @@ def test_near_duplicates_equal_all_pairs(spark, odd, width):
     assert kept.columns == docs.columns and kept.count() == groups
 
 
+def test_near_duplicates_behind_unlike_pivots(spark):
+    """One sentence pool: every table's pivot is unlike most of its classes, near copies are still found."""
+    from raretide.llm import op8_near_duplicates as o
+    pool, n, pairs, size, edits = 500, 1600, 750, 305, 33
+    rng = np.random.default_rng(11)
+    sets = np.zeros((n, pool), dtype=bool)
+    for i in range(n):
+        sets[i, rng.permutation(pool)[:size]] = True
+    for i in range(pairs):  # the last ones, so that tables have smaller classes
+        twin, own = sets[n - 2 * i - 1], sets[n - 2 * i - 2]
+        swap = rng.permutation(np.flatnonzero(own))[:edits], rng.permutation(np.flatnonzero(~own))[:edits]
+        twin[:] = own
+        twin[swap[0]], twin[swap[1]] = False, True
+    words = np.array([f"w{i}" for i in range(pool)])
+    docs = spark.createDataFrame([(i, " ".join(words[s])) for i, s in enumerate(sets)], "doc_id long, text string")
+    m = sets.astype(np.float32)
+    both = m @ m.T
+    either = 2 * size - both
+    near = both * 100 >= either * 80
+    assert near.sum() == n + 2 * pairs and 0.42 < np.median(both / either) < 0.45
+    got = {r["doc_id"]: r["component_id"] for r in o.near_duplicates(docs, 1).collect()}
+    assert [got[i] for i in range(n)] == near.argmax(axis=1).tolist()
+
+
 def test_near_duplicates_block_compare(monkeypatch):
     """Members that no pivot reaches are found by the blocks."""
     from raretide.llm import op8_near_duplicates as o
