@@ -2,9 +2,9 @@
 
 Every labelled page (``labels.doc_id`` = ``page_id``; to block: toxic 1 or quality 0) is a transaction of its URL's
 tokens and its verdict.  Spark's FP-growth mines the frequent combinations; rules whose consequence is a verdict are
-kept if confident and supported enough and if no shorter rule is as confident (at most ``MAX_RULES``, the most
-confident: the model's documented bound).  They match by an inverted index from token to rules: a rule fires when all
-its tokens are in the URL.  A URL is blocked if a block rule fires, else allowed.
+kept if confident and supported enough and if no shorter block rule is part of them (it fires wherever they do).  A rule
+fires when all its tokens are in the URL: by an inverted index from token to rules, or by a join on each rule's first
+token if there are more than ``MAX_RULES`` to send.  A URL is blocked if a block rule fires, else allowed.
 
 Tokens: host labels with their place from the right, path words (runs of digits as ``#``), the file ending and query
 keys, each once.  Null URLs and URLs without ``://`` have empty host and path and no tokens: allowed.  Without
@@ -66,8 +66,21 @@ def _tokenised(columns: list[str]):
     return run
 
 
-def mine(pages: DataFrame, labels: DataFrame) -> list[tuple[tuple[str, ...], float]]:
-    """Block rules (tokens, confidence) from labelled pages with ``host`` and ``path``."""
+def _shortest(rules: DataFrame) -> DataFrame:
+    """The rules (rule, confidence, n) that hold no shorter rule, size by size."""
+    rest, kept = written(rules, "url-rules"), None
+    while (n := rest.agg(F.min("n")).first()[0]) is not None:
+        own = rest.where(F.col("n") == n).select("rule", "confidence")
+        kept = own if kept is None else kept.union(own)
+        part = own.select(F.col("rule").alias("part"), F.col("rule")[0].alias("token"))
+        more = rest.where(F.col("n") > n)
+        longer = more.select("rule", F.explode("rule").alias("token")).join(part, "token").where(F.size(F.array_except("part", "rule")) == 0)
+        rest = written(more.join(longer.select("rule").distinct(), "rule", "left_anti"), "longer-rules")
+    return written(rules.select("rule", "confidence") if kept is None else kept, "shortest-rules")
+
+
+def mined_rules(pages: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """Block rules (rule: its tokens, confidence) from labelled pages with ``host`` and ``path``; None without any page."""
     from pyspark.ml.fpm import FPGrowth
     bad = F.when((F.col("toxic") == 1) | (F.col("quality") == 0), "verdict=block").otherwise("verdict=allow")
     known = labels.select(F.col("doc_id").alias("page_id"), bad.alias("verdict")).groupBy("page_id").agg(F.max("verdict").alias("verdict"))
@@ -75,19 +88,28 @@ def mine(pages: DataFrame, labels: DataFrame) -> list[tuple[tuple[str, ...], flo
                .select(F.array_append("items", F.col("verdict")).alias("items")))
     baskets = written(baskets, "url-baskets")
     if not baskets.limit(1).count():
-        return []
+        return None
     model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    best = (model.associationRules.where(F.array_contains("consequent", "verdict=block") & ~F.array_contains("antecedent", "verdict=allow"))
-            .select(F.array_sort("antecedent").alias("rule"), "confidence", F.size("antecedent").alias("n"))
-            .orderBy(F.desc("confidence"), "n", "rule").limit(MAX_RULES).collect())
-    kept: list[tuple[tuple[str, ...], float]] = []
-    sets: dict[str, list[frozenset]] = defaultdict(list)
-    for r in sorted(best, key=lambda r: (r["n"], -r["confidence"])):
-        own = frozenset(r["rule"])
-        if not any(s <= own for t in own for s in sets[t]):  # a shorter rule fires wherever this one does
-            kept.append((tuple(r["rule"]), r["confidence"]))
-            sets[min(own)].append(own)
-    return kept
+    return _shortest(model.associationRules.where(F.array_contains("consequent", "verdict=block") & ~F.array_contains("antecedent", "verdict=allow"))
+                     .select(F.array_sort("antecedent").alias("rule"), "confidence", F.size("antecedent").alias("n")))
+
+
+def _sent(rules: DataFrame | None) -> list[tuple[tuple[str, ...], float]]:
+    return [] if rules is None else [(tuple(r["rule"]), r["confidence"]) for r in rules.collect()]
+
+
+def mine(pages: DataFrame, labels: DataFrame) -> list[tuple[tuple[str, ...], float]]:
+    """All block rules (tokens, confidence), on the driver."""
+    return _sent(mined_rules(pages, labels))
+
+
+def _joined(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """page_id, host, path, mined by a join of the distinct token sets with the rules."""
+    rows = written(pages.select("page_id", "host", "path", "url").mapInArrow(_tokenised(["page_id", "host", "path"]), "page_id long, host string, path string, items array<string>"), "url-tokens")
+    sets = rows.select("items").distinct()
+    fired = (sets.select("items", F.explode("items").alias("token")).join(rules.select("rule", F.col("rule")[0].alias("token")), "token")
+             .where(F.size(F.array_except("rule", "items")) == 0).select("items").distinct().withColumn("mined", F.lit("block")))
+    return rows.join(fired, "items", "left").select("page_id", "host", "path", F.coalesce("mined", F.lit("allow")).alias("mined"))
 
 
 def _matched(columns: list[str], rules: list[tuple[tuple[str, ...], float]]):
@@ -117,8 +139,11 @@ def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict, mined (the association rules' own verdict) of every page."""
     host, path = host_path(F.col("url"))
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    rules = mine(parsed, labels)
-    out = parsed.mapInArrow(_matched(["page_id", "host", "path"], rules), "page_id long, host string, path string, mined string")
+    rules = mined_rules(parsed, labels)
+    if rules is not None and rules.limit(MAX_RULES + 1).count() > MAX_RULES:
+        out = _joined(parsed, rules)
+    else:
+        out = parsed.mapInArrow(_matched(["page_id", "host", "path"], _sent(rules)), "page_id long, host string, path string, mined string")
     name, verdict = rule_of(F.col("host"), F.col("path"))
     return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.col("mined")).alias("verdict"), "mined")
 

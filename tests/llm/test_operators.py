@@ -285,6 +285,20 @@ def test_mined_rules_equal_counting(spark):
     assert got == {i: "block" if any(rule <= b for rule in rules) else "allow" for i, (b, _) in enumerate(baskets)}
 
 
+@pytest.mark.parametrize("most", [4, 0])
+def test_no_rule_is_cut_off(spark, monkeypatch, most):
+    """Many redundant rules of confidence 1 leave the less confident ones in place, sent or joined."""
+    from raretide.llm import op4_url_rules as o
+    monkeypatch.setattr(o, "MAX_RULES", most)
+    urls = [("http://bad.org/telling/a/b/c/d", 0)] * 6 + [("http://odd.org/x", 0)] * 4 + [("http://odd.org/x", 1)] * 3 + [("http://fine.org/a/b/c/d", 1)] * 8
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(urls)], "doc_id long, quality int, toxic int")
+    host, path = o.host_path(F.col("url"))
+    assert {r for r, _ in o.mine(pages.select("*", host.alias("host"), path.alias("path")), labels)} == {("host1:bad",), ("path:telling",), ("host1:odd",), ("path:x",)}
+    got = {r["page_id"]: r["mined"] for r in o.judge(pages, labels).collect()}
+    assert got == {i: "allow" if "fine" in u else "block" for i, (u, _) in enumerate(urls)}
+
+
 # ---------------------------------------------------------------- 5 mixing
 
 def _fill(sizes, weights, share=1.5, most=2.0):
