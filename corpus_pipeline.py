@@ -15,7 +15,8 @@ from raretide.llm.common import scratch_path, table, written
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letter at all) go; the others stay as they are."""
-    judged = op10_language.predict(docs, op10_language.learn(docs), docs.columns, out=("__lang", "__score"))
+    training = op10_language.learn(docs) or (("any", ""),)  # nothing learned: one language that every letter fits
+    judged = op10_language.predict(docs, training, docs.columns, out=("__lang", "__score"))
     return judged.where(F.col("__lang") != op10_language.UNKNOWN).select(*docs.columns)
 
 

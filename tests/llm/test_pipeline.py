@@ -62,6 +62,14 @@ def test_clashing_columns_and_odd_rows(spark, corpus):
     assert p.STAGES[-1][1](spark, docs, corpus).count() == docs.count()
 
 
+def test_without_a_known_language_texts_with_letters_stay(spark, corpus):
+    import corpus_pipeline as p
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    kept = {r["doc_id"] for r in p.language(spark, docs, corpus).select("doc_id").collect()}
+    assert kept == (set(range(120)) | set(range(200, 207))) - {203, 204, 205}
+
+
 def test_an_empty_table_stays_empty(spark, corpus):
     import corpus_pipeline as p
     none = spark.read.parquet(f"{corpus}/documents.parquet").limit(0)
