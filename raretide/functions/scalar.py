@@ -38,6 +38,11 @@ def round_response(p: str | Column, digits: int = 4) -> Column:
     return F.round(_c(p), digits)
 
 
+def iso_time(ts: str | Column) -> Column:
+    """A time without zone as ISO 8601 text with microseconds."""
+    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def clean_double(c: str | Column) -> Column:
     """NaN -> NULL (Spark aggregates skip NULL but propagate NaN)."""
     x = _c(c).cast("double")

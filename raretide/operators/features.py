@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from raretide.functions.scalar import interaction_columns, interaction_names, interactions_of
 from raretide.operators.scan import DEFAULT_BLOCK_ROWS, DEFAULT_BUCKET_US, carry_last
-from raretide.operators.windows import (EMA_SPANS, LAGS, ROLLING_SPANS, SLOPE_SPAN, ema_features, hours_since_last_failure,
+from raretide.operators.windows import (EMA_SPANS, LAGS, NO_FAILURE_HOURS, ROLLING_SPANS, SLOPE_SPAN, ema_features, hours_since_last_failure,
                                         lag_features, rolling_features, with_order)
 
 SENSORS = ["temperature", "vibration", "pressure"]
@@ -37,7 +37,7 @@ def feature_names(sensors: Sequence[str] = SENSORS, spans: Sequence[str] = ROLLI
     return sorted(names)
 
 
-def _is_filled_then_zero(name: str) -> bool:
+def is_filled_then_zero(name: str) -> bool:
     return "_lag_" in name or "rolling_" in name or "ema_" in name
 
 
@@ -77,7 +77,7 @@ def build_features(df: DataFrame, keys: Sequence[str] = ("entity_id",), sensors:
     d = d.withColumns(inter)
     d = d.withColumns({f"{s}_delta_mean_1h_6h": F.col(f"{s}_rolling_mean_1h") - F.col(f"{s}_rolling_mean_6h") for s in deltas})
     d = d.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in (f"{s}_roc_1" for s in steps)})
-    zero_after_fill = [c for c in feats if _is_filled_then_zero(c)]
+    zero_after_fill = [c for c in feats if is_filled_then_zero(c)]
     # raw sensors and interactions decide which rows are complete, so they are filled in any case
     fill_only = [*inter, *sensors, *(f"{s}_delta_mean_1h_6h" for s in deltas)]
     d = carry_last(d, pkeys, "rn", zero_after_fill + fill_only, block_rows=block_rows, total="_n")
@@ -86,3 +86,17 @@ def build_features(df: DataFrame, keys: Sequence[str] = ("entity_id",), sensors:
     if drop_incomplete:
         d = d.na.drop(how="any", subset=[*kept, *inter, *sensors, *feats])
     return d.select(*kept, *feats)
+
+
+def single_reading_features(df: DataFrame, sensors: Sequence[str] = SENSORS) -> DataFrame:
+    """The features of readings that have no history, each a series of one row: column expressions only.
+
+    What ``build_features`` gives for a series with a single reading, as the online path does for a request; rows that miss a
+    sensor are dropped."""
+    names = feature_names(sensors)
+    same = {c: F.col(s).cast("double") for s in sensors for c in names if c.startswith(f"{s}_")
+            and ("_ema_" in c or any(f"_rolling_{st}_" in c for st in ("mean", "max", "min")))}
+    same |= {s: F.col(s).cast("double") for s in sensors} | interaction_columns(interactions_of(sensors))
+    same["hours_since_last_failure"] = F.lit(NO_FAILURE_HOURS)
+    rest = [c for c in df.columns if c not in sensors]
+    return df.na.drop(subset=list(sensors)).select(*rest, *[same.get(c, F.lit(0.0)).alias(c) for c in names])

@@ -3,7 +3,7 @@
 ``readings``  keyed, irregular series (entity = user); ``hourly`` one regular series without key;
 ``hourly_gaps`` the same with null runs; ``scored`` / ``scored_second`` labels and scores of two
 deterministic scorers; ``requests`` JSON request strings; ``failure_events`` the failure rows.
-All of them grow with ``events``.
+Row counts follow ``events``; the hourly series follow the time that the events span.
 """
 
 from __future__ import annotations
@@ -73,8 +73,11 @@ def scored(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return requests_of(readings(spark, sf_dir))
+
+
+def requests_of(r: DataFrame) -> DataFrame:
     """(row_id, request) JSON strings; pressure missing where row_id % 17 = 0, temperature "bad" where % 23 = 0."""
-    r = readings(spark, sf_dir)
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     temp = F.when(F.pmod("row_id", F.lit(23)) == 0, F.lit('"bad"')).otherwise(F.col("temperature").cast("string"))
     pres = F.when(F.pmod("row_id", F.lit(17)) == 0, F.lit("")).otherwise(

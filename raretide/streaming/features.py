@@ -1,140 +1,201 @@
-"""Stateful streaming features per entity (``applyInPandasWithState``).
-
-State per entity: the readings of the last 12 hours (time, position, sensor values), the EMA state
-(value, old weight) per sensor and span, the last two values per sensor, the row count and the last
-failure time.  Each micro-batch's rows of an entity are processed in time order and emit the raw
-(pre-fill) features of the batch operators, so a replay equals ``rolling_features`` +
-``ema_lag_features`` + ``hours_since_last_failure`` on the same rows.  The buffer is pruned to the
-longest window on every call, so state stays bounded by the reading rate, not by history.
+"""The feature table on a stream: all columns of ``build_features`` per entity (``applyInPandasWithState``).
+
+Order.  Readings may arrive out of order.  Each waits in its entity's state until the watermark (newest event time seen, less ``delay``)
+has passed it; then it is released together with all others of its time, in (time, row_id) order.  Late-row rule: a reading that arrives
+at or behind the watermark is dropped, as Spark does for every stateful operator, and counted in the query's progress.  So the output equals the
+batch operators on all readings but the late ones, whatever the files look like.  A reading without sensor values (a
+heartbeat) completes no row but moves the watermark.
+
+State of an entity: the readings of the last 12 hours, the waiting readings, EMA values and rows since the last value per sensor, the last two
+values, the last failure time, and the last value of every forward-filled column.  A release works on arrays: window borders by binary search,
+moments from prefix sums about the mean in extended precision, extremes from a table of doubling ranges; nothing is rebuilt per row.
+An event-time timeout releases what waits when no further reading comes, and removes an entity that was silent for
+``idle``; a reading after a longer gap than that starts a new series, whether the state was removed yet or not.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from raretide.functions.timecols import HOUR_US, parse_span_us
+from raretide.functions.scalar import RATIO_EPSILON, interactions_of
+from raretide.functions.timecols import HOUR_US, parse_span_us, ts_micros
+from raretide.operators.features import SENSORS, feature_names, is_filled_then_zero
 from raretide.operators.windows import EMA_SPANS, NO_FAILURE_HOURS, ROLLING_SPANS, SLOPE_SPAN
 
-SENSORS = ["temperature", "vibration", "pressure"]
-_STATS = ("mean", "std", "var", "max", "min", "range")
-
-
-def output_schema(sensors=SENSORS) -> T.StructType:
-    f = [T.StructField("entity_id", T.LongType()), T.StructField("row_id", T.LongType()),
-         T.StructField("ts", T.TimestampNTZType())]
-    for s in sensors:
-        f += [T.StructField(f"{s}_rolling_{st}_{sp}", T.DoubleType()) for sp in ROLLING_SPANS for st in _STATS]
-        f += [T.StructField(f"{s}_ema_{e}", T.DoubleType()) for e in EMA_SPANS]
-        f += [T.StructField(f"{s}_lag_{k}", T.DoubleType()) for k in (1, 2)]
-        f += [T.StructField(f"{s}_roc_1", T.DoubleType()), T.StructField(f"{s}_rolling_slope_{SLOPE_SPAN}", T.DoubleType())]
-    f.append(T.StructField("hours_since_last_failure", T.DoubleType()))
-    return T.StructType(f)
-
-
-STATE_SCHEMA = T.StructType([
-    T.StructField("buf_us", T.ArrayType(T.LongType())), T.StructField("buf_pos", T.ArrayType(T.LongType())),
-    T.StructField("buf_x", T.ArrayType(T.ArrayType(T.DoubleType()))),
-    T.StructField("ema", T.ArrayType(T.DoubleType())), T.StructField("lags", T.ArrayType(T.DoubleType())),
-    T.StructField("n", T.LongType()), T.StructField("last_fail", T.LongType())])
-
-
-def _nan(v):
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
-
-
-def _make_func(sensors):
-    spans_us = [(sp, parse_span_us(sp)) for sp in ROLLING_SPANS]
-    horizon = max(u for _, u in spans_us)
-    slope_us = parse_span_us(SLOPE_SPAN)
-    ns = len(sensors)
-    epoch = np.datetime64("1970-01-01T00:00:00", "us")
-
-    def func(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "row_id"], kind="stable")
-        if state.exists:
-            st = state.get
-            buf_us, buf_pos = list(st[0]), list(st[1])
-            buf_x = [list(v) for v in st[2]]
-            ema, lags, n, last_fail = list(st[3]), list(st[4]), int(st[5]), st[6]
-        else:
-            buf_us, buf_pos, buf_x = [], [], [[] for _ in sensors]
-            ema = [float("nan"), 1.0] * (ns * len(EMA_SPANS))
-            lags, n, last_fail = [float("nan")] * (2 * ns), 0, None
+DELAY, IDLE = "1 hour", "30 days"
+# Rows without a value after which an old EMA weighs nothing in double precision: (1 - 2/25)^5000 < 1e-180.
+MAX_GAP = 5000
+_LONGS, _DOUBLES = T.ArrayType(T.LongType()), T.ArrayType(T.DoubleType())
+STATE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
+    ("past_us", _LONGS), ("past_x", _DOUBLES), ("wait_us", _LONGS), ("wait_row", _LONGS), ("wait_failure", _LONGS), ("wait_x", _DOUBLES),
+    ("n", T.LongType()), ("last_us", T.LongType()), ("last_failure", T.LongType()), ("gap", _LONGS), ("ema", _DOUBLES), ("lags", _DOUBLES), ("fill", _DOUBLES))])
+
+
+def output_schema(sensors: Sequence[str] = SENSORS, key: str = "entity_id", key_type: T.DataType | None = None) -> T.StructType:
+    fields = [T.StructField(key, key_type or T.LongType()), T.StructField("row_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+              T.StructField("failure", T.IntegerType())]
+    return T.StructType(fields + [T.StructField(c, T.DoubleType()) for c in feature_names(sensors)])
+
+
+def _prefix(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros((1, *x.shape[1:]), x.dtype), np.cumsum(x, axis=0)])
+
+
+def range_max(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Maximum of x[lo:hi] of each pair (hi > lo) from maxima of doubling ranges."""
+    levels = [x]
+    while 2 * (step := 1 << (len(levels) - 1)) <= int((hi - lo).max(initial=1)):
+        levels.append(np.maximum(levels[-1][:-step], levels[-1][step:]))
+    k = np.frexp((hi - lo).astype(float))[1] - 1
+    out = np.empty((len(lo), x.shape[1]))
+    for level in np.unique(k):
+        at = k == level
+        out[at] = np.maximum(levels[level][lo[at]], levels[level][hi[at] - (1 << level)])
+    return out
+
+
+def windowed(us: np.ndarray, x: np.ndarray, at: int, sensors: Sequence[str]) -> dict[str, np.ndarray]:
+    """Rolling columns of the rows from ``at`` on; ``us`` ascends, ``x`` has a column per sensor, NaN is missing."""
+    out = {}
+    seen = ~np.isnan(x)
+    shift = np.where(seen.any(0), np.nansum(x, 0) / np.maximum(seen.sum(0), 1), 0.0)
+    d = np.where(seen, x - shift, 0.0).astype(np.longdouble)
+    pos = np.arange(len(us), dtype=np.longdouble)[:, None] * seen
+    count, s1, s2 = _prefix(seen.astype(np.int64)), _prefix(d), _prefix(d * d)
+    p1, p2, ps = _prefix(pos), _prefix(pos * pos), _prefix(pos * d)
+    high, low = np.where(seen, x, -np.inf), np.where(seen, -x, -np.inf)
+    hi = np.searchsorted(us, us[at:], side="right")  # rows of the same time belong to the window
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for span in dict.fromkeys([*ROLLING_SPANS, SLOPE_SPAN]):
+            lo = np.searchsorted(us, us[at:] - parse_span_us(span), side="right")
+            n = count[hi] - count[lo]
+            t1, t2 = s1[hi] - s1[lo], s2[hi] - s2[lo]
+            some, two = n >= 1, n >= 2
+            if span in ROLLING_SPANS:
+                var = np.where(two, np.maximum(t2 - t1 * t1 / n, 0) / (n - 1), np.nan).astype(float)
+                top, bottom = range_max(high, lo, hi), -range_max(low, lo, hi)
+                stats = {"mean": np.where(some, t1 / n + shift, np.nan).astype(float), "std": np.sqrt(var), "var": var,
+                         "max": np.where(some, top, np.nan), "min": np.where(some, bottom, np.nan), "range": np.where(some, top - bottom, np.nan)}
+                out |= {f"{s}_rolling_{stat}_{span}": v[:, j] for stat, v in stats.items() for j, s in enumerate(sensors)}
+            if span == SLOPE_SPAN:
+                q1, q2, qs = p1[hi] - p1[lo], p2[hi] - p2[lo], ps[hi] - ps[lo]
+                slope = np.where(two, (qs - q1 * t1 / n) / (q2 - q1 * q1 / n), np.nan).astype(float)
+                out |= {f"{s}_rolling_slope_{span}": slope[:, j] for j, s in enumerate(sensors)}
+    return out
+
+
+def filled(values: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Every column carried forward over its NaN, from ``before`` on."""
+    whole = np.vstack([before, values])
+    at = np.where(np.isnan(whole), 0, np.arange(len(whole))[:, None])
+    return np.take_along_axis(whole, np.maximum.accumulate(at, axis=0), axis=0)[1:]
+
+
+class Release:
+    """Feature rows of one entity's readings, with the state they leave."""
+
+    def __init__(self, sensors: Sequence[str]):
+        self.sensors, self.pairs = list(sensors), interactions_of(sensors)
+        self.names = feature_names(sensors)
+        self.inter = [f"{a}_{b}" for a, b, _ in self.pairs]
+        self.deltas = [f"{s}_delta_mean_1h_6h" for s in self.sensors]
+        self.zeroed = [c for c in self.names if is_filled_then_zero(c)]
+        self.carried = [*self.zeroed, *self.inter, *self.sensors, *self.deltas]
+
+    def empty(self) -> dict:
+        k = len(self.sensors)
+        return {"past_us": [], "past_x": [], "wait_us": [], "wait_row": [], "wait_failure": [], "wait_x": [], "n": 0, "last_us": None, "last_failure": None,
+                "gap": [0] * k, "ema": [np.nan] * (k * len(EMA_SPANS)), "lags": [np.nan] * (2 * k), "fill": [np.nan] * len(self.carried)}
+
+    def series(self, st: dict, us: np.ndarray, failure: np.ndarray, x: np.ndarray, idle_us: int) -> np.ndarray:
+        """``rows``, anew after every gap of more than ``idle_us``, whether or not the state was removed meanwhile."""
+        gap = np.diff(us, prepend=us[0] if st["last_us"] is None else st["last_us"]) > idle_us
         out = []
-        us_all = ((pdf["ts"].to_numpy().astype("datetime64[us]") - epoch).astype("int64"))
-        for i, row in enumerate(pdf.itertuples(index=False)):
-            us = int(us_all[i])
-            n += 1
-            buf_us.append(us)
-            buf_pos.append(n)
-            rec = {"entity_id": key[0], "row_id": row.row_id, "ts": row.ts}
-            for j, s in enumerate(sensors):
-                x = _nan(getattr(row, s))
-                buf_x[j].append(float("nan") if x is None else x)
-                arr_t, arr_x = np.array(buf_us), np.array(buf_x[j])
-                for sp, h in spans_us:
-                    m = arr_t > us - h
-                    v = arr_x[m]
-                    v = v[~np.isnan(v)]
-                    c = len(v)
-                    rec[f"{s}_rolling_mean_{sp}"] = float(v.mean()) if c else None
-                    rec[f"{s}_rolling_std_{sp}"] = float(v.std(ddof=1)) if c >= 2 else None
-                    rec[f"{s}_rolling_var_{sp}"] = float(v.var(ddof=1)) if c >= 2 else None
-                    rec[f"{s}_rolling_max_{sp}"] = float(v.max()) if c else None
-                    rec[f"{s}_rolling_min_{sp}"] = float(v.min()) if c else None
-                    rec[f"{s}_rolling_range_{sp}"] = float(v.max() - v.min()) if c else None
-                m = arr_t > us - slope_us
-                px, pv = np.array(buf_pos, dtype="float64")[m], arr_x[m]
-                ok = ~np.isnan(pv)
-                px, pv = px[ok], pv[ok]
-                if len(pv) >= 2:
-                    dx = px - px.mean()
-                    rec[f"{s}_rolling_slope_{SLOPE_SPAN}"] = float((dx * (pv - pv.mean())).sum() / (dx * dx).sum())
-                else:
-                    rec[f"{s}_rolling_slope_{SLOPE_SPAN}"] = None
-                for e, span in enumerate(EMA_SPANS):
-                    a = 2.0 / (span + 1.0)
-                    k = 2 * (j * len(EMA_SPANS) + e)
-                    y, w = ema[k], ema[k + 1]
-                    if not math.isnan(y):
-                        w = w * (1.0 - a)
-                        if x is not None:
-                            if y != x:
-                                y = (w * y + a * x) / (w + a)
-                            w = 1.0
-                    elif x is not None:
-                        y = x
-                    ema[k], ema[k + 1] = y, w
-                    rec[f"{s}_ema_{span}"] = None if math.isnan(y) else y
-                l1, l2 = lags[2 * j], lags[2 * j + 1]
-                rec[f"{s}_lag_1"] = None if math.isnan(l1) else l1
-                rec[f"{s}_lag_2"] = None if math.isnan(l2) else l2
-                rec[f"{s}_roc_1"] = None if (x is None or math.isnan(l1)) else x - l1
-                lags[2 * j], lags[2 * j + 1] = (float("nan") if x is None else x), l1
-            if int(row.failure) == 1:
-                last_fail = us
-            rec["hours_since_last_failure"] = (NO_FAILURE_HOURS if last_fail is None
-                                               else (us - last_fail) / float(HOUR_US))
-            out.append(rec)
-            # keep only what the longest window can still reach
-            keep = [t > us - horizon for t in buf_us]
-            if not all(keep):
-                buf_us = [t for t, k in zip(buf_us, keep) if k]
-                buf_pos = [p for p, k in zip(buf_pos, keep) if k]
-                buf_x = [[v for v, k in zip(col, keep) if k] for col in buf_x]
-        state.update((buf_us, buf_pos, buf_x, ema, lags, n, last_fail))
-        yield pd.DataFrame(out, columns=[f.name for f in output_schema(sensors).fields])
+        for part in np.split(np.arange(len(us)), np.flatnonzero(gap)):
+            if len(part):
+                if gap[part[0]]:
+                    st |= self.empty()
+                out.append(self.rows(st, us[part], failure[part], x[part]))
+        return np.vstack(out)
+
+    def rows(self, st: dict, us: np.ndarray, failure: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Features (columns ``names``) of readings in order, all behind those in ``st``, which is brought up to date."""
+        k = len(self.sensors)
+        past_us, past_x = np.array(st["past_us"], dtype=np.int64), np.array(st["past_x"], dtype=float).reshape(-1, k)
+        all_us, all_x, at = np.concatenate([past_us, us]), np.vstack([past_x, x]), len(past_us)
+        f = windowed(all_us, all_x, at, self.sensors)
+        lagged = np.vstack([np.array(st["lags"]).reshape(2, k), x])  # two rows ago, one row ago, now ...
+        for j, s in enumerate(self.sensors):
+            f[s] = x[:, j]
+            f[f"{s}_lag_1"], f[f"{s}_lag_2"] = lagged[1:-1, j], lagged[:-2, j]
+            f[f"{s}_roc_1"] = np.nan_to_num(x[:, j] - lagged[1:-1, j], nan=0.0)
+            f[f"{s}_delta_mean_1h_6h"] = f[f"{s}_rolling_mean_1h"] - f[f"{s}_rolling_mean_6h"]
+            for e, span in enumerate(EMA_SPANS):
+                old = st["ema"][j * len(EMA_SPANS) + e]
+                warm = [] if np.isnan(old) else [old, *[np.nan] * min(st["gap"][j], MAX_GAP)]
+                ema = pd.Series(np.concatenate([warm, x[:, j]])).ewm(span=span, adjust=False).mean().to_numpy()[len(warm):]
+                f[f"{s}_ema_{span}"] = ema
+                st["ema"][j * len(EMA_SPANS) + e] = float(ema[-1])
+            known = np.flatnonzero(~np.isnan(x[:, j]))
+            st["gap"][j] = int(len(x) - 1 - known[-1]) if len(known) else st["gap"][j] + len(x)
+        for a, b, op in self.pairs:
+            f[f"{a}_{b}"] = f[a] * f[b] if op == "mul" else f[a] / (f[b] + RATIO_EPSILON)
+        failed = np.concatenate([np.array([st["last_failure"]] if st["last_failure"] is not None else [], dtype=np.int64), us[failure == 1]])
+        last = np.searchsorted(failed, us, side="right") - 1
+        f["hours_since_last_failure"] = np.where(last >= 0, (us - failed[np.maximum(last, 0)]) / float(HOUR_US), NO_FAILURE_HOURS) if len(failed) else np.full(len(us), NO_FAILURE_HOURS)
+        full = filled(np.stack([f[c] for c in self.carried], axis=1), np.array(st["fill"], dtype=float))
+        f |= {c: full[:, i] for i, c in enumerate(self.carried)}
+        f |= {c: np.nan_to_num(f[c], nan=0.0) for c in self.zeroed}
+        keep = all_us > us[-1] - max(map(parse_span_us, [*ROLLING_SPANS, SLOPE_SPAN]))
+        st |= {"past_us": all_us[keep].tolist(), "past_x": all_x[keep].ravel().tolist(), "lags": lagged[-2:].ravel().tolist(), "fill": full[-1].tolist(),
+               "n": st["n"] + len(us), "last_us": int(us[-1]), "last_failure": int(failed[-1]) if len(failed) else None}
+        return np.stack([f[c] for c in self.names], axis=1)
+
+
+def _released(schema: T.StructType, sensors: Sequence[str], idle_us: int):
+    epoch = np.datetime64("1970-01-01T00:00:00", "us")
+    work, columns = Release(sensors), [f.name for f in schema.fields]
+
+    def func(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        st = {f.name: (list(v) if isinstance(v, (list, np.ndarray)) else v) for f, v in zip(STATE_SCHEMA.fields, state.get)} if state.exists else work.empty()
+        now = state.getCurrentWatermarkMs() * 1000
+        us, row, failure = (np.array(st[c], dtype=np.int64) for c in ("wait_us", "wait_row", "wait_failure"))
+        x = np.array(st["wait_x"], dtype=float).reshape(-1, len(sensors))
+        if not state.hasTimedOut:
+            new = pd.concat(list(chunks), ignore_index=True)
+            us = np.concatenate([us, (new["ts"].to_numpy().astype("datetime64[us]") - epoch).astype(np.int64)])
+            row, failure = np.concatenate([row, new["row_id"].to_numpy(np.int64)]), np.concatenate([failure, new["failure"].fillna(0).to_numpy(np.int64)])
+            x = np.vstack([x, new[list(sensors)].to_numpy(dtype=float, na_value=np.nan)])
+            order = np.lexsort((row, us))
+            us, row, failure, x = us[order], row[order], failure[order], x[order]
+        elif not len(us) and st["last_us"] is not None and st["last_us"] + idle_us < now:
+            state.remove()
+            return
+        ready = int(np.searchsorted(us, now, side="right"))
+        if ready:
+            out = work.series(st, us[:ready], failure[:ready], x[:ready], idle_us)
+            whole = ~np.isnan(out).any(axis=1)
+            frame = pd.DataFrame(out[whole], columns=work.names)
+            for i, v in enumerate((key[0], row[:ready][whole], (epoch + us[:ready][whole].astype("timedelta64[us]")), failure[:ready][whole].astype(np.int32))):
+                frame.insert(i, columns[i], v)
+            yield frame
+        st |= {"wait_us": us[ready:].tolist(), "wait_row": row[ready:].tolist(), "wait_failure": failure[ready:].tolist(), "wait_x": x[ready:].ravel().tolist()}
+        state.update(tuple(st[f.name] for f in STATE_SCHEMA.fields))
+        due = int(us[ready]) if ready < len(us) else st["last_us"] + idle_us
+        state.setTimeoutTimestamp(max(due // 1000, now // 1000 + 1))
 
     return func
 
 
-def stream_features(readings: DataFrame, sensors=SENSORS) -> DataFrame:
-    """Streaming (or batch) readings -> per-row raw features, one state per entity."""
-    return readings.groupBy("entity_id").applyInPandasWithState(
-        _make_func(list(sensors)), output_schema(sensors), STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+def stream_features(readings: DataFrame, sensors: Sequence[str] = SENSORS, key: str = "entity_id", delay: str = DELAY, idle: str = IDLE) -> DataFrame:
+    """A stream of readings (``key``, row_id, ts, sensors, failure) -> key, row_id, ts, failure and the feature columns."""
+    schema = output_schema(sensors, key, readings.schema[key].dataType)
+    ets = F.timestamp_micros(ts_micros("ts"))  # watermarks need an instant: the wall clock read as UTC, whatever the session's zone
+    rows = readings.select(key, "row_id", "ts", "failure", *sensors, ets.alias("ets")).withWatermark("ets", delay)
+    idle_us = int(pd.Timedelta(idle) / pd.Timedelta(microseconds=1))
+    return rows.groupBy(key).applyInPandasWithState(_released(schema, list(sensors), idle_us), schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

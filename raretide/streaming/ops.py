@@ -7,14 +7,17 @@ replayed query restarts from its checkpoint after a failure and nothing is colle
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
-from raretide.functions.scalar import decision_alert, round_response
+from raretide.functions.scalar import decision_alert, iso_time, round_response
 from raretide.functions.timecols import ts_micros
-from raretide.session import checkpoint_dir
-from raretide.sources.fixtures import readings_from_events
+from raretide.operators.features import SENSORS, single_reading_features
+from raretide.session import scratch_path
+from raretide.sources.fixtures import readings_from_events, requests_of
 from raretide.sources.requests import parse_requests
 
 EVENTS_SCHEMA = T.StructType([
@@ -44,7 +47,7 @@ def read_events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) ->
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    base = scratch_path(spark, f"stream-{name}")
     q = (df.writeStream.format("parquet").outputMode(mode).option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -52,6 +55,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append") -> DataFra
 
 
 def score_column():
+    """The deterministic fixture scorer of the alert-volume queries."""
     raw = (F.lit(0.7) * F.col("temperature") / (F.col("temperature") + F.lit(50.0)) + F.lit(0.03) * F.col("vibration"))
     return F.floor(raw * F.lit(10000.0)).cast("double") / F.lit(10000.0)
 
@@ -60,7 +64,7 @@ def run_complete(df: DataFrame, name: str) -> DataFrame:
     """Drain an aggregation in complete mode: every batch replaces the result table, so the last run holds all
     windows, open ones too."""
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    base = scratch_path(spark, f"stream-{name}")
 
     def replace(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/out")
@@ -92,19 +96,77 @@ def stream_dedupe(events: DataFrame, watermark: str = "1 hour") -> DataFrame:
 
 def stream_validate(events: DataFrame) -> DataFrame:
     """Stateless parse of request bodies built from the stream; rejected rows keep their error."""
-    r = readings_from_events(events)
-    ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    temp = F.when(F.pmod("row_id", F.lit(23)) == 0, F.lit('"bad"')).otherwise(F.col("temperature").cast("string"))
-    pres = F.when(F.pmod("row_id", F.lit(17)) == 0, F.lit("")).otherwise(
-        F.concat(F.lit(', "pressure": '), F.col("pressure").cast("string")))
-    body = F.concat(F.lit('{"timestamp": "'), ts, F.lit('", "temperature": '), temp,
-                    F.lit(', "vibration": '), F.col("vibration").cast("string"), pres, F.lit("}"))
-    return parse_requests(r.select("row_id", body.alias("request"))).drop("request")
-
-
-def stream_score(events: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
-    """Per reading: rounded failure probability and ALERT/SAFE decision (scorer: the deterministic
-    fixture scorer; a fitted model plugs in through ``PipelineModel.transform`` on the same stream)."""
-    r = readings_from_events(events).withColumn("p", score_column())
-    return r.select("row_id", "entity_id", "ts", round_response("p").alias("failure_probability"),
-                    decision_alert("p", threshold).alias("decision"))
+    return parse_requests(requests_of(readings_from_events(events))).drop("request")
+
+
+def stream_score(features: DataFrame, artifact: PipelineModel, threshold: float = ALERT_THRESHOLD, key: str = "entity_id") -> DataFrame:
+    """Streamed (or batch) features -> per reading the rounded failure probability, the ALERT/SAFE decision and the reading's time in ISO form."""
+    scored = artifact.transform(features)
+    return scored.select("row_id", key, "ts", iso_time("ts").alias("time"), round_response("score").alias("failure_probability"),
+                         decision_alert("score", threshold).alias("decision"))
+
+
+# ---------------------------------------------------------------- replays in several drains
+
+def run_slices(slices: Sequence[DataFrame], schema: T.StructType, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Deliver tables one after another to a source folder and drain the query that ``build`` makes of it after each: every drain is a restart
+    from the checkpoint.  Returns the file sink as a batch table."""
+    spark = slices[0].sparkSession
+    base = scratch_path(spark, f"stream-{name}")
+    for part in slices:
+        part.select(*schema.names).write.mode("append").parquet(f"{base}/in")
+        out = build(spark.readStream.schema(schema).parquet(f"{base}/in"))
+        (out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(out.schema).parquet(f"{base}/out")
+
+
+def heartbeat(events: DataFrame, after: str = "2 hours") -> DataFrame:
+    """One event without an entity and a value, ``after`` the last one: it moves the watermark past all that waits."""
+    last = events.agg((F.max("ts") + F.expr(f"INTERVAL {after}")).alias("ts"))
+    return last.select(*[F.col("ts") if f.name == "ts" else F.lit(-1 if f.name == "event_id" else None).cast(f.dataType).alias(f.name) for f in EVENTS_SCHEMA.fields])
+
+
+# ---------------------------------------------------------------- requests -> two sinks
+
+SINKS = ("predictions", "rejects")
+
+
+def score_requests(requests: DataFrame, artifact: PipelineModel, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """Requests (row_id, request) of a stream or a table, each answered by itself as the online path does: a valid one is a series of one reading.
+
+    Every request keeps a row; a rejected one has its ``error`` and no prediction."""
+    parsed = parse_requests(requests).drop("request")
+    # rejected ones go through the same expressions with neutral values, so that one stateless plan serves both sinks
+    neutral = parsed.withColumns({s: F.when(F.col("valid"), F.col(s)).otherwise(F.lit(0.0)) for s in SENSORS})
+    scored = artifact.transform(single_reading_features(neutral))
+    known = lambda c: F.when(F.col("valid"), c)
+    return scored.select("row_id", "ts", "valid", "error", known(round_response("score")).alias("failure_probability"),
+                         known(decision_alert("score", threshold)).alias("decision"), iso_time(F.localtimestamp()).alias("responded_at"))
+
+
+def two_sinks(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer: accepted rows to ``predictions``, the others with their error to ``rejects``.
+
+    Each batch owns a folder in either sink and replaces it, so a batch that runs again, for whatever reason, leaves the sinks as they were."""
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # one evaluation for both sinks: the response times agree
+        try:
+            accepted = batch.where("valid").select("row_id", "ts", "failure_probability", "decision", "responded_at")
+            rejected = batch.where("NOT valid").select("row_id", "error", "responded_at")
+            for name, rows in zip(SINKS, (accepted, rejected)):
+                rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+        finally:
+            batch.unpersist()
+    return write
+
+
+def serve_requests(requests: DataFrame, artifact: PipelineModel, path: str, threshold: float = ALERT_THRESHOLD) -> StreamingQuery:
+    """Start the query that answers a stream of requests into the two sinks under ``path``, draining what is there."""
+    return (score_requests(requests, artifact, threshold).writeStream.foreachBatch(two_sinks(path))
+            .option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start())
+
+
+def read_sink(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of the two sinks as a table, with the number of the batch that wrote each row."""
+    return spark.read.parquet(f"{path}/{name}")
