@@ -6,7 +6,6 @@ operators on the scored table (label, score)."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -14,9 +13,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from raretide.operators.weights import with_weights
+from raretide.operators.tuning import SEARCH_SPACES, Space, cross_validate, in_threads, search
+from raretide.operators.weights import scale_pos_weight, with_weights
 
 SEED = 42
+# Share of the largest gradient at zero below which a component counts as 0: the solver stops on relative changes of the loss.
+STATIONARY = 0.01
 MODEL_TYPES = ("logistic_regression", "random_forest", "gbt", "gbt_leaf")
 
 # Fixed values of the reference's model configurations.
@@ -90,17 +92,37 @@ def evaluate(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 
 def time_series_cv(df: DataFrame, features: Sequence[str], model_type: str = "gbt", label: str = "failure_24h", params: dict | None = None,
-                   n_splits: int = 3, seed: int = SEED) -> list[float]:
+                   n_splits: int = 3, seed: int = SEED, embargo_rows: int = 0, parallelism: int = 1) -> list[float]:
     """Average precision of each expanding fold.  ``df`` may already hold ``fold``."""
-    from raretide.operators.curves import pr_areas
     from raretide.operators.split import time_series_folds
-    folded = df if "fold" in df.columns else time_series_folds(df, n_splits)
-    out = []
-    for fold in range(1, n_splits + 1):
-        fitted = train(folded.where(F.col("fold") < fold), features, model_type, label, params, seed)
-        found = predict(fitted, folded.where(F.col("fold") == fold), features, label=label)
-        out.append(float(pr_areas(found).select("average_precision").first()[0] or 0.0))
-    return out
+    from raretide.session import written
+    folded = df if "fold" in df.columns else written(time_series_folds(df, n_splits, embargo_rows=embargo_rows), "cv")
+
+    def fit_and_score(train_rows: DataFrame, test_rows: DataFrame) -> DataFrame:
+        return predict(train(train_rows, features, model_type, label, params, seed), test_rows, features, label=label)
+
+    return [r["average_precision"] for r in cross_validate(folded, fit_and_score, n_splits, parallelism)]
+
+
+def penalised_gradient(model, df: DataFrame, features: Sequence[str], label: str = "failure_24h") -> DataFrame:
+    """Optimality certificate of a fitted logistic regression on its training rows, by one aggregate: (feature, gradient, at_zero).
+
+    ``gradient`` is that of the penalised weighted mean log loss at the coefficients (the constant under "(intercept)"), ``at_zero`` that of
+    the model that knows nothing; at the optimum every gradient is 0."""
+    names, coef = [*features, "(intercept)"], [*map(float, model.coefficients.toArray()), float(model.intercept)]
+    x = [F.col(c).cast("double") for c in features] + [F.lit(1.0)]
+    z = F.lit(0.0)
+    for c, w in zip(x, coef):
+        z = z + c * F.lit(w)
+    d = with_weights(df, label).select(*[c.alias(f"_x{i}") for i, c in enumerate(x)], F.col("weight").alias("_w"), F.col(label).cast("double").alias("_y"),
+                                       (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("_p"))
+    sums = [F.sum("_w").alias("_n")]
+    for i in range(len(names)):
+        sums += [F.sum(F.col("_w") * (p - F.col("_y")) * F.col(f"_x{i}")).alias(f"_{k}{i}") for k, p in (("g", F.col("_p")), ("z", F.lit(0.5)))]
+    reg = [*[model.getRegParam() * c for c in coef[:-1]], 0.0]  # the constant is not penalised
+    rows = [F.struct(F.lit(n).alias("feature"), (F.col(f"_g{i}") / F.col("_n") + F.lit(r)).alias("gradient"), (F.col(f"_z{i}") / F.col("_n")).alias("at_zero"))
+            for i, (n, r) in enumerate(zip(names, reg))]
+    return d.agg(*sums).select(F.inline(F.array(*rows)))
 
 
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
@@ -114,45 +136,30 @@ def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     return t.orderBy(F.col("importance").desc(), F.col("feature"))
 
 
-# The search space of the reference's tuner, (kind, low, high).  Spark's names: the weight of the positive
-# class scales the row weights, featureSubsetStrategy is the share of columns, minInfoGain the least gain of a cut.
-SEARCH_SPACE = {
-    "maxDepth": ("int", 3, 10), "stepSize": ("log", 0.01, 0.3), "maxIter": ("int", 50, 300),
-    "subsamplingRate": ("uniform", 0.6, 1.0), "featureSubsetStrategy": ("uniform", 0.6, 1.0),
-    "minInstancesPerNode": ("int", 1, 10), "minInfoGain": ("uniform", 0.0, 5.0), "positiveWeight": ("uniform", 1.0, 10.0),
-}
+def tune(df: DataFrame, features: Sequence[str], n_trials: int = 50, label: str = "failure_24h", seed: int = SEED, model_type: str = "gbt",
+         space: Space | None = None, at_once: int = 1, embargo_rows: int = 0, n_splits: int = 3) -> DataFrame:
+    """Parzen search (``tuning``) over expanding time-series folds, scored by mean average precision, ``at_once`` trials in parallel.
 
+    Returns one row per trial (trial, params as map, mean_average_precision).  Each fold is a Spark ML fit on the folded table, written once."""
+    from raretide.operators.split import time_series_folds
+    from raretide.session import written
+    spark, space = df.sparkSession, SEARCH_SPACES[model_type] if space is None else space
+    folded = written(time_series_folds(df, n_splits, embargo_rows=embargo_rows), "tune")
+    ratio = scale_pos_weight(folded, label).first()["scale_pos_weight"] or 1.0
 
-def sample_params(rng: random.Random) -> dict:
-    import math
-    out = {}
-    for k, (kind, lo, hi) in SEARCH_SPACE.items():
-        if kind == "int":
-            out[k] = rng.randint(lo, hi)
-        elif kind == "log":
-            out[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-        else:
-            out[k] = rng.uniform(lo, hi)
-    out["featureSubsetStrategy"] = f"{out['featureSubsetStrategy']:.3f}"
-    return out
+    def scaled(params: dict) -> dict:
+        return {k: v * ratio if k == "positiveWeight" else v for k, v in params.items()}
 
+    def score(params: dict) -> float:
+        found = time_series_cv(folded, features, model_type, label, scaled(params), n_splits, seed)
+        return sum(found) / len(found)
 
-def tune(df: DataFrame, features: Sequence[str], n_trials: int = 50, label: str = "failure_24h",
-         seed: int = SEED, model_type: str = "gbt") -> DataFrame:
-    """Seeded random search with 3 expanding time-series folds, scored by average precision.
+    trials = search(space, lambda asked: in_threads(spark, [lambda p=p: score(p) for p in asked], at_once, "trial"), n_trials, seed, at_once)
+    rows = [(i, {k: str(v) for k, v in scaled(p).items()}, s) for i, (p, s) in enumerate(trials)]
+    return spark.createDataFrame(rows, "trial int, params map<string,string>, mean_average_precision double")
 
-    Returns one row per trial (trial, params as map, mean_average_precision).  Each fold is a Spark ML fit on the
-    folded table, written once."""
-    from raretide.operators.split import time_series_folds
-    from raretide.session import written
-    folded = written(time_series_folds(df), "tune")
-    rng = random.Random(seed)
-    rows = []
-    for trial in range(n_trials):
-        params = sample_params(rng)
-        scores = time_series_cv(folded, features, model_type, label, params, seed=seed)
-        rows.append((trial, {k: str(v) for k, v in params.items()}, sum(scores) / len(scores)))
-    return df.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, mean_average_precision double")
+
+_INTEGERS = frozenset(k for space in SEARCH_SPACES.values() for k, v in space.items() if v[0] == "int")
 
 
 def best_params(trials: DataFrame) -> dict:
@@ -160,7 +167,7 @@ def best_params(trials: DataFrame) -> dict:
     row = trials.orderBy(F.desc("mean_average_precision"), "trial").first()
     if row is None:
         return {}
-    return {k: int(v) if SEARCH_SPACE[k][0] == "int" else v if k == "featureSubsetStrategy" else float(v) for k, v in row["params"].items()}
+    return {k: int(v) if k in _INTEGERS else v if k == "featureSubsetStrategy" else float(v) for k, v in row["params"].items()}
 
 
 def train_tuned(df: DataFrame, features: Sequence[str], n_trials: int = 50, label: str = "failure_24h", seed: int = SEED, model_type: str = "gbt"):

@@ -66,15 +66,23 @@ def chrono_split(df: DataFrame, train_ratio: float = TRAIN_RATIO, val_ratio: flo
 
 
 def time_series_folds(df: DataFrame, n_splits: int = N_FOLDS, ts: str = "ts", tiebreak: str | None = "row_id",
-                      fold_col: str = "fold") -> DataFrame:
+                      fold_col: str = "fold", embargo_rows: int = 0) -> DataFrame:
     """Expanding-window folds: test block size n div (n_splits+1); fold i (1..n_splits) tests the i-th of the
     last n_splits blocks and trains on every earlier row.  ``fold`` = 0 for rows before the first test block.
-    Train rows of fold i are ``fold < i``."""
+    Train rows of fold i are ``fold < i``.
+
+    With ``embargo_rows`` the column ``embargoed`` marks that many rows before each test block: labels that look ahead know that
+    block, so fold i trains without the marked rows of fold i - 1."""
     df = written(df, "folds")
     n = df.count()
     size = n // (n_splits + 1)
-    first = n - n_splits * size
-    return position_buckets(df, [first + i * size for i in range(n_splits)] if size else [], ts, tiebreak, fold_col)
+    firsts = [n - (n_splits - i) * size for i in range(n_splits)] if size else []
+    if not embargo_rows:
+        return position_buckets(df, firsts, ts, tiebreak, fold_col)
+    if embargo_rows >= size:
+        raise ValueError(f"an embargo of {embargo_rows} rows leaves nothing of blocks of {size} rows")
+    halves = position_buckets(df, [p for f in firsts for p in (f - embargo_rows, f)], ts, tiebreak, "_half")
+    return halves.withColumns({fold_col: F.floor(F.col("_half") / 2).cast("int"), "embargoed": F.col("_half") % 2 == 1}).drop("_half")
 
 
 def is_sorted_violations(df: DataFrame, keys: Sequence[str] = (), ts: str = "ts",

@@ -3,22 +3,27 @@ and the streaming operators (drained with availableNow; SQL twins on the batch t
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from raretide.operators import evaluate as E
 from raretide.operators import models as M
 from raretide.operators import thresholds as T
+from raretide.operators import trees as R
 from raretide.operators.curves import pr_areas
 from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights
 from raretide.operators.features import build_features
-from raretide.operators.scale import apply_scaler, fit_scaler
-from raretide.plans.oracle import READINGS, SCORED, scored_cte, with_ctes
+from raretide.operators.scale import align_schema, apply_scaler, fit_scaler, load_scaler, save_scaler, select_features
+from raretide.operators.scan import carry_last
+from raretide.operators.windows import drop_unlabelled, label_lead, with_order
+from raretide.plans.oracle import HOURLY_GAPS, READINGS, SCORED, scored_cte, with_ctes
 from raretide.plans.oracle_features import features_sql
-from raretide.plans.q_eval import CURVE
+from raretide.plans.q_eval import CURVE, _metric_sql
+from raretide.plans.q_misc import _REQ_SQL
 from raretide.plans.q_series import FEATURES, SENSORS, labelled_split, split_sql
 from raretide.plans.registry import ORACLES, register
-from raretide.session import written
+from raretide.session import scratch_path, written
 from raretide.sources import fixtures as fx
+from raretide.sources import io as IO
 from raretide.streaming import ops as S
 
 _FEAT = split_sql("readings") + ",\n" + features_sql("sp", ["entity_id", "split"], SENSORS, "row_id",
@@ -163,15 +168,19 @@ def q_compare_baselines(spark, sf_dir):
 # ---------------------------------------------------------------- Spark ML models
 
 # A fitted model's scores are no SQL; what can be checked is: every validation row once with its label, a probability,
-# and the class that follows from it.
+# and that walking the exported node table by expressions gives the model's own score.
 _VAL_SQL = split_sql("readings") + " SELECT row_id, failure_24h AS label, true AS is_probability, true AS class_follows FROM sp WHERE split = 'val'"
 _VAL_SPEC = "row_id:l label:i is_probability:b class_follows:b"
+_TREE_SQL = _VAL_SQL.replace("true AS class_follows", "true AS class_follows, true AS table_agrees")
 
 
-def _train_and_score(spark, sf_dir, model_type):
+def _scaled(spark, sf_dir):
     f = reading_features(spark, sf_dir)
-    stats = fit_scaler(f.where("split = 'train'"), FEATURES)
-    scaled = written(apply_scaler(f, stats, FEATURES), "scaled")
+    return written(apply_scaler(f, fit_scaler(f.where("split = 'train'"), FEATURES), FEATURES), "scaled")
+
+
+def _train_and_score(spark, sf_dir, model_type):
+    scaled = _scaled(spark, sf_dir)
     model = M.train(scaled.where("split = 'train'"), FEATURES, model_type)
     return M.predict(model, scaled.where("split = 'val'"), FEATURES, keep=("row_id",))
 
@@ -181,9 +190,33 @@ def _checked(scored):
                          (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("class_follows"))
 
 
-for _mt in ("logistic_regression", "random_forest", "gbt"):
-    register(f"train_{_mt}", _VAL_SPEC, _VAL_SQL)(
-        lambda spark, sf, _mt=_mt: _checked(_train_and_score(spark, sf, _mt)))
+register("train_logistic_regression", _VAL_SPEC, _VAL_SQL)(lambda spark, sf: _checked(_train_and_score(spark, sf, "logistic_regression")))
+
+
+def train_trees(spark, sf_dir, model_type):
+    """Class-weighted trees, scored by the model and by its exported node table."""
+    scaled = _scaled(spark, sf_dir)
+    model = M.train(scaled.where("split = 'train'"), FEATURES, model_type)
+    val = scaled.where("split = 'val'")
+    own = R.score_by_table(val, R.node_table(model, spark), FEATURES).select(
+        "row_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin"))) if R.is_boosted(model) else F.col("margin")).alias("own"))
+    scored = M.predict(model, val, FEATURES, keep=("row_id",))
+    agrees = (F.abs(F.col("own") - F.col("score")) < 1e-9).alias("table_agrees")
+    return scored.join(own, "row_id").select("row_id", "label", F.col("score").between(0, 1).alias("is_probability"),
+                                             (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("class_follows"), agrees)
+
+
+for _mt in ("random_forest", "gbt", "gbt_leaf"):
+    register(f"train_{_mt}", _VAL_SPEC + " table_agrees:b", _TREE_SQL)(lambda spark, sf, _mt=_mt: train_trees(spark, sf, _mt))
+
+
+@register("logistic_certificate", "feature:s stationary:b", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*FEATURES, "(intercept)"]) + "]) AS feature, true AS stationary")
+def q_logistic_certificate(spark, sf_dir):
+    """Each component of the penalised gradient of the fitted logistic regression, against the largest one of the model that knows nothing."""
+    train = _scaled(spark, sf_dir).where("split = 'train'")
+    g = M.penalised_gradient(M.train(train, FEATURES, "logistic_regression"), train, FEATURES)
+    most = F.max(F.abs("at_zero")).over(Window.partitionBy())  # one row a feature
+    return g.select("feature", (F.abs("gradient") <= F.lit(M.STATIONARY) * most).alias("stationary"))
 
 
 @register("evaluate_model", "rows:l positives:l areas_valid:b accuracy_valid:b recall_matches:b",
@@ -231,24 +264,11 @@ def q_stream_dedupe(spark, sf_dir):
     return d.groupBy("entity_id").agg(F.count(F.lit(1)).alias("readings"))
 
 
-@register("stream_score", "row_id:l failure_probability:d decision:s", with_ctes(READINGS, SCORED) + """
-SELECT row_id, round(score, 4) AS failure_probability, CASE WHEN score >= 0.3::DOUBLE THEN 'ALERT' ELSE 'SAFE' END AS decision FROM scored""")
-def q_stream_score(spark, sf_dir):
-    """Streaming decision per reading (file sink)."""
-    return S.run_available_now(S.stream_score(S.read_events_stream(spark, sf_dir)), "score").select(
-        "row_id", "failure_probability", "decision")
-
-
 # ---------------------------------------------------------------- sources and sinks (round trips)
 
-from raretide.session import checkpoint_dir  # noqa: E402
-from raretide.sources import io as IO  # noqa: E402
-from raretide.operators.scale import load_scaler, save_scaler  # noqa: E402
-import uuid as _uuid  # noqa: E402
-
 
 def _scratch(spark, name):
-    return f"{checkpoint_dir(spark).rstrip('/')}/io/{name}-{_uuid.uuid4().hex[:8]}"
+    return scratch_path(spark, f"io-{name}")
 
 
 @register("read_readings_csv", "row_id:l entity_id:l ts:t temperature:d vibration:d pressure:d failure:i",
@@ -308,23 +328,37 @@ def q_save_load_model(spark, sf_dir):
     return _checked(M.predict(loaded, f.where("split = 'val'"), feats, keep=("row_id",)))
 
 
-@register("feature_importance", "features:l shares:b train_rows:l", split_sql("readings") +
-          f" SELECT {len(FEATURES)} AS features, true AS shares, count(*) AS train_rows FROM sp WHERE split = 'train'")
+@register("feature_importance", "features:l shares:b agrees:b train_rows:l", split_sql("readings") +
+          f" SELECT {len(FEATURES)} AS features, true AS shares, true AS agrees, count(*) AS train_rows FROM sp WHERE split = 'train'")
 def q_feature_importance(spark, sf_dir):
-    """Random-forest feature importances: one per feature, summing to 1 (0 if no tree could split)."""
+    """Random-forest feature importances: one per feature, summing to 1 (0 if no tree could split), and equal to the gains in the node table."""
+    train = reading_features(spark, sf_dir).where("split = 'train'")
+    model = M.train(train, FEATURES, "random_forest")
+    own = R.importance_by_table(R.node_table(model, spark), FEATURES).withColumnRenamed("importance", "own")
+    found = M.feature_importance(model, FEATURES, spark).join(own, "feature", "left")
+    total = F.sum("importance")
+    return found.agg(F.count_distinct("feature").alias("features"), (F.least(F.abs(total - 1), F.abs(total)) < 1e-9).alias("shares"),
+                     F.bool_and(F.abs(F.col("importance") - F.coalesce("own", F.lit(0.0))) < 1e-9).alias("agrees")).crossJoin(train.agg(F.count(F.lit(1)).alias("train_rows")))
+
+
+@register("tree_contributions", "row_id:l features:l adds_up:b", split_sql("readings") + f" SELECT row_id, {len(FEATURES)} AS features, true AS adds_up FROM sp WHERE split = 'val'")
+def q_tree_contributions(spark, sf_dir):
+    """Exact Shapley contributions of a forest for every validation row: with the base value they add up to its probability."""
     f = reading_features(spark, sf_dir)
-    train = f.where("split = 'train'")
-    found = M.feature_importance(M.train(train, FEATURES, "random_forest"), FEATURES, spark)
-    return found.agg(F.count_distinct("feature").alias("features"), (F.least(F.abs(F.sum("importance") - 1), F.abs(F.sum("importance"))) < 1e-9).alias("shares")).crossJoin(train.agg(F.count(F.lit(1)).alias("train_rows")))
+    model = M.train(f.where("split = 'train'"), FEATURES, "random_forest", params={"numTrees": 20, "maxDepth": 5})
+    val = f.where("split = 'val'")
+    contrib, base = R.tree_contributions(val, R.node_table(model, spark), FEATURES)
+    sums = contrib.groupBy("row_id").agg(F.count_distinct("feature").alias("features"), F.sum("contribution").alias("total"))
+    scored = M.predict(model, val, FEATURES, keep=("row_id",))
+    return sums.join(scored, "row_id").select("row_id", "features", (F.abs(F.col("total") + F.lit(base) - F.col("score")) < 1e-9).alias("adds_up"))
 
 
 # ---------------------------------------------------------------- report unions
 
-from raretide.plans.q_eval import _metric_sql as _msql  # noqa: E402
 
 _OPT_SQL = "\nUNION ALL\n".join(
-    [f"SELECT * FROM ({_msql('recall', r)})" for r in T.RECALL_TARGETS] +
-    [f"SELECT * FROM ({_msql('budget', b)})" for b in T.ALERT_BUDGETS])
+    [f"SELECT * FROM ({_metric_sql('recall', r)})" for r in T.RECALL_TARGETS] +
+    [f"SELECT * FROM ({_metric_sql('budget', b)})" for b in T.ALERT_BUDGETS])
 
 
 @register("optimize_thresholds", "strategy:s target:d threshold:d precision:d recall:d f1:d tp:l fp:l fn:l tn:l "
@@ -345,29 +379,8 @@ def q_eval_basic(spark, sf_dir):
     return pr_areas(s).select("pr_auc", "avg_precision", "avg_recall").crossJoin(roc_auc(s))
 
 
-@register("stream_features", "entity_id:l row_id:l ts:t temperature_rolling_mean_6h:d temperature_ema_12:d "
-          "pressure_rolling_slope_6h:d hours_since_last_failure:d", with_ctes(READINGS).replace("WITH ", "WITH RECURSIVE ", 1) + ",\n"
-          + features_sql("readings", ["entity_id"], SENSORS, "row_id", ["row_id", "entity_id", "ts", "failure"]) + """
-SELECT entity_id, row_id, ts, temperature_rolling_mean_6h, temperature_ema_12, pressure_rolling_slope_6h, hours_since_last_failure FROM fpre""")
-def q_stream_features(spark, sf_dir):
-    """Stateful per-entity features from the event stream (availableNow replay into a file sink)."""
-    from raretide.sources.fixtures import readings_from_events
-    from raretide.streaming.features import stream_features
-    r = readings_from_events(S.read_events_stream(spark, sf_dir))
-    out = S.run_available_now(stream_features(r), "features")
-    return out.select("entity_id", "row_id", "ts", "temperature_rolling_mean_6h", "temperature_ema_12",
-                      "pressure_rolling_slope_6h", "hours_since_last_failure")
-
-
 # ---------------------------------------------------------------- remaining inventory keys
 
-from raretide.operators.scale import align_schema, select_features  # noqa: E402
-from raretide.operators.windows import drop_unlabelled, label_lead  # noqa: E402
-from raretide.operators.scan import carry_last as _carry_last  # noqa: E402
-from raretide.operators.windows import with_order as _with_order  # noqa: E402
-from raretide.plans.oracle import HOURLY_GAPS  # noqa: E402
-from raretide.plans.q_misc import _REQ_SQL  # noqa: E402
-
 
 @register("cast_timestamp", "row_id:l ts:t hour:t", with_ctes(READINGS) + """
 SELECT row_id, CAST(strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS TIMESTAMP) AS ts, date_trunc('hour', ts) AS hour FROM readings""")
@@ -413,8 +426,8 @@ SELECT ts, last_value(temperature IGNORE NULLS) OVER w AS temperature, last_valu
 FROM hourly_gaps WINDOW w AS (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_forward_fill(spark, sf_dir):
     """Last non-null value of each sensor over the single hourly series with null runs."""
-    d = _with_order(fx.hourly_gaps(spark, sf_dir), [], tiebreak=None)
-    return _carry_last(d, [], "rn", SENSORS, block_rows=64, total="_n").select("ts", *SENSORS)
+    d = with_order(fx.hourly_gaps(spark, sf_dir), [], tiebreak=None)
+    return carry_last(d, [], "rn", SENSORS, block_rows=64, total="_n").select("ts", *SENSORS)
 
 
 _CONTRIB_SQL = _FEAT + ",\n" + _stats_sql() + ",\n" + _STATS_WIDE + ",\n" + _weights_sql() + ",\n" + _LONG + """
@@ -483,10 +496,10 @@ def q_parse_requests_batch(spark, sf_dir):
 
 
 @register("threshold_for_alert_budget_of_total", "strategy:s target:d threshold:d precision:d recall:d f1:d tp:l fp:l fn:l tn:l "
-          "alert_rate:d alerts_per_day_scaled:d specificity:d fallback:b", _msql("budget", 5, 10_000))
+          "alert_rate:d alerts_per_day_scaled:d specificity:d fallback:b", _metric_sql("budget", 5, 40_000))
 def q_budget_total(spark, sf_dir):
-    """Alert budget where the scored rows stand for a data set of 10,000 rows."""
-    return T.for_alert_budget(fx.scored(spark, sf_dir), 5, total_samples=10_000)
+    """Alert budget where the scored rows stand for a data set of 40,000 rows."""
+    return T.for_alert_budget(fx.scored(spark, sf_dir), 5, total_samples=40_000)
 
 
 @register("label_lead_null_keys", "row_id:l entity_id:l failure_24h:i", with_ctes(READINGS) + """

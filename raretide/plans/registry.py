@@ -35,4 +35,4 @@ def register(name: str, spec: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from raretide.plans import q_series, q_eval, q_misc, q_models  # noqa: F401
+    from raretide.plans import q_series, q_eval, q_misc, q_models, q_online, q_training  # noqa: F401

@@ -180,10 +180,11 @@ def _released(schema: T.StructType, sensors: Sequence[str], idle_us: int):
         if ready:
             out = work.series(st, us[:ready], failure[:ready], x[:ready], idle_us)
             whole = ~np.isnan(out).any(axis=1)
-            frame = pd.DataFrame(out[whole], columns=work.names)
-            for i, v in enumerate((key[0], row[:ready][whole], (epoch + us[:ready][whole].astype("timedelta64[us]")), failure[:ready][whole].astype(np.int32))):
-                frame.insert(i, columns[i], v)
-            yield frame
+            if whole.any():
+                frame = pd.DataFrame(out[whole], columns=work.names)
+                for i, v in enumerate((key[0], row[:ready][whole], (epoch + us[:ready][whole].astype("timedelta64[us]")), failure[:ready][whole].astype(np.int32))):
+                    frame.insert(i, columns[i], v)
+                yield frame
         st |= {"wait_us": us[ready:].tolist(), "wait_row": row[ready:].tolist(), "wait_failure": failure[ready:].tolist(), "wait_x": x[ready:].ravel().tolist()}
         state.update(tuple(st[f.name] for f in STATE_SCHEMA.fields))
         due = int(us[ready]) if ready < len(us) else st["last_us"] + idle_us
