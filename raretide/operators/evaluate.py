@@ -118,10 +118,11 @@ def bucket_topk_precision(scored: DataFrame, top: int = TOP_PER_BUCKET, n_bucket
     Top-5 per bucket in two phases (per (bucket, salt), then per bucket over <= 5*salts rows), so a bucket
     holding 1/24 of the table is not one task."""
     scored = written(scored.select(*dict.fromkeys([score, label, ts, order_id])), "topk")
-    size = scored.count() // n_buckets
+    n = scored.count()
+    size = n // n_buckets
     if not size:
         return scored.agg(F.lit(None).cast("double").alias("top_5_precision"))
-    d = position_buckets(scored, [i * size for i in range(1, n_buckets + 1)], ts, order_id).where(F.col("_b") < n_buckets)
+    d = position_buckets(scored, [i * size for i in range(1, n_buckets + 1)], n, ts, order_id).where(F.col("_b") < n_buckets)
     d = d.withColumn("_salt", F.pmod(F.xxhash64(order_id), F.lit(salts)))
     order = [F.col(score).desc(), F.col(ts).desc(), F.col(order_id).desc()]
     d = d.withColumn("_r1", F.row_number().over(Window.partitionBy("_b", "_salt").orderBy(*order))).where(f"_r1 <= {top}")

@@ -230,9 +230,12 @@ def previous_rows(df: DataFrame, order: str, piece: Column, cols: dict[str, str]
 
 
 def range_cuts(df: DataFrame, col: str, rows_per_piece: int = DEFAULT_BLOCK_ROWS) -> list:
-    """Values that cut ``df`` into ranges of ``col`` of about ``rows_per_piece`` rows, whatever its distribution."""
+    """Values that cut ``df`` into ranges of ``col`` of about ``rows_per_piece`` rows, whatever its distribution.
+
+    There are no more cuts than a few times the session's shuffle partitions (they come to the driver and into the plan): beyond
+    that the ranges grow, and a range's sort spills."""
     n = df.count()
-    pieces = -(-n // rows_per_piece)
+    pieces = min(-(-n // rows_per_piece), max(1024, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     if pieces < 2:
         return []
     share = [i / pieces for i in range(1, pieces)]

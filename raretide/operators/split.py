@@ -21,30 +21,31 @@ VAL_RATIO = 0.3
 N_FOLDS = 3
 
 
-def _ordered(df: DataFrame, ts: str, tiebreak: str | None) -> tuple[DataFrame, list[str]]:
-    """``df`` written once with its integer order columns: time, the tiebreak, and a hash of the row for the rest."""
+def _ordered(df: DataFrame, ts: str, tiebreak: str | None, write: bool = True) -> tuple[DataFrame, list[str]]:
+    """``df`` with its integer order columns: time, the tiebreak, and a hash of the row for the rest; written once unless it
+    is a written table already."""
     tb = [tiebreak] if tiebreak and tiebreak in df.columns else []
     d = df.withColumn("_us", ts_micros(ts)).withColumn("_h", F.shiftright(F.xxhash64(*df.columns), 2))
     if tb:
         d = d.withColumn("_tb", F.col(tb[0]).cast("long"))
-    return written(d, "split"), ["_us", *(["_tb"] if tb else []), "_h"]
+    return written(d, "split") if write else d, ["_us", *(["_tb"] if tb else []), "_h"]
 
 
-def _cut_at(d: DataFrame, order: list[str], positions: Sequence[int]) -> list[Column]:
-    """For each position whether a row is among the first so many (equal rows go together)."""
+def _cut_at(d: DataFrame, order: list[str], positions: Sequence[int], n: int) -> list[Column]:
+    """For each position whether a row is among the first so many of all ``n`` (equal rows go together)."""
     narrow = d.select(*order)
-    n = narrow.count()
     inner = [p for p in positions if 0 < p < n]
     keys = dict(zip(inner, nth_keys(narrow, order, inner)))
     return [F.lit(p >= n) if p not in keys else at_or_before(order, keys[p]) for p in positions]
 
 
-def position_buckets(df: DataFrame, firsts: list[int], ts: str = "ts", tiebreak: str | None = "row_id", name: str = "_b") -> DataFrame:
+def position_buckets(df: DataFrame, firsts: list[int], n: int, ts: str = "ts", tiebreak: str | None = "row_id", name: str = "_b") -> DataFrame:
     """Add ``name``: how many of the row counts ``firsts`` (ascending) lie before the row's position by (ts, tiebreak).
 
-    Counts narrow down the cut rows; the rows themselves are only compared with them, never shuffled."""
-    d, order = _ordered(df, ts, tiebreak)
-    bucket = sum((F.when(c, 0).otherwise(1) for c in _cut_at(d, order, firsts)), F.lit(0))
+    ``df`` is a written table of ``n`` rows.  Counts narrow down the cut rows; the rows themselves are only compared with
+    them, never shuffled."""
+    d, order = _ordered(df, ts, tiebreak, write=False)
+    bucket = sum((F.when(c, 0).otherwise(1) for c in _cut_at(d, order, firsts, n)), F.lit(0))
     return d.withColumn(name, bucket.cast("int")).drop("_us", "_tb", "_h")
 
 
@@ -60,7 +61,7 @@ def chrono_split(df: DataFrame, train_ratio: float = TRAIN_RATIO, val_ratio: flo
     n = d.select(*order).count()
     n_train = int(n * float(train_ratio))
     n_val = min(int(n * float(val_ratio)), n - n_train)
-    safe, train, val = _cut_at(d, order, [n_train - embargo_rows, n_train, n_train + n_val])
+    safe, train, val = _cut_at(d, order, [n_train - embargo_rows, n_train, n_train + n_val], n)
     split = F.when(safe, F.lit("train")).when(~train & val, F.lit("val"))
     return d.withColumn(split_col, split).where(F.col(split_col).isNotNull()).drop("_us", "_tb", "_h")
 
@@ -78,10 +79,10 @@ def time_series_folds(df: DataFrame, n_splits: int = N_FOLDS, ts: str = "ts", ti
     size = n // (n_splits + 1)
     firsts = [n - (n_splits - i) * size for i in range(n_splits)] if size else []
     if not embargo_rows:
-        return position_buckets(df, firsts, ts, tiebreak, fold_col)
+        return position_buckets(df, firsts, n, ts, tiebreak, fold_col)
     if embargo_rows >= size:
         raise ValueError(f"an embargo of {embargo_rows} rows leaves nothing of blocks of {size} rows")
-    halves = position_buckets(df, [p for f in firsts for p in (f - embargo_rows, f)], ts, tiebreak, "_half")
+    halves = position_buckets(df, [p for f in firsts for p in (f - embargo_rows, f)], n, ts, tiebreak, "_half")
     return halves.withColumns({fold_col: F.floor(F.col("_half") / 2).cast("int"), "embargoed": F.col("_half") % 2 == 1}).drop("_half")
 
 

@@ -7,10 +7,11 @@ helpers, so no window ever holds a whole series in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from raretide.functions.timecols import half_open_us, hours_between, parse_span_us, ts_micros
@@ -115,38 +116,99 @@ def hours_since_last_failure(df: DataFrame, keys: Sequence[str], failure: str =
     return out if "_us" in df.columns else out.drop("_us")
 
 
-def _ema_carry(alphas: dict[str, float]):
-    """State before each block of one series: last EMA and rows without a reading since, block by block."""
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_blk")
-        out = {"_blk": pdf["_blk"].to_numpy()}
-        for name, alpha in alphas.items():
-            y, gap = np.nan, 0
-            before, gaps = [], []
-            rows = zip(*(pdf[f"{c}{name}"].to_numpy() for c in ("_lead_", "_first_", "_coef_", "_end_", "_trail_")), pdf["_rows"].to_numpy())
-            for lead, first, coef, end, trail, n in rows:
-                before.append(y)
-                gaps.append(gap)
-                if np.isnan(first):  # no reading in this block
-                    gap += int(n)
-                else:
-                    if not np.isnan(y):
-                        w = (1.0 - alpha) ** (gap + int(lead) + 1)
-                        end = end + coef * ((w * y + alpha * first) / (w + alpha) - first)
-                    y, gap = end, int(trail)
-            out[f"_y_{name}"], out[f"_g_{name}"] = before, gaps
-        res = pd.DataFrame(out)
-        for i, k in enumerate(key):
-            res.insert(i, f"_key{i}", k)
-        return res
-    return run
+def affine_scan(c: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """y[t] = c[t] * y[t-1] + b[t] for a whole array (c[0] = 0), by doubling ranges; ends once no row depends on an earlier one."""
+    c, y, step = c.copy(), b.copy(), 1
+    while step < len(y) and c.any():
+        y[step:] += c[step:] * y[:-step]
+        c[step:] *= c[:-step]
+        step *= 2
+    return y
+
+
+class _ColdEma:
+    """EMA of one sensor over sorted groups of rows that come in batches, each group from a cold start; a group may go on in the next batch."""
+
+    def __init__(self, alphas: Sequence[float]):
+        self.alphas = list(alphas)
+        self.y, self.log, self.gap, self.seen = [0.0] * len(self.alphas), [0.0] * len(self.alphas), 0, False
+
+    def batch(self, x: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(EMA, coefficient of the first reading) per alpha; ``starts`` marks the first row of each group."""
+        at = np.arange(len(x))
+        seen = ~np.isnan(x)
+        begin = np.maximum.accumulate(np.where(starts, at, 0))
+        last = np.maximum.accumulate(np.where(seen, at, -1))  # latest reading up to the row
+        before = np.concatenate([[-1], last[:-1]])
+        goes_on = (np.cumsum(starts) == 0) & self.seen  # rows of a group that has readings in earlier batches
+        inside = before >= begin
+        gap = np.where(inside, at - before, at + 1 + self.gap).astype(float)
+        warm = seen & (inside | goes_on)
+        known = (last >= begin) | goes_on
+        out = []
+        for i, alpha in enumerate(self.alphas):
+            w = (1.0 - alpha) ** gap
+            step = np.where(warm, w / (w + alpha), 1.0)
+            c = np.where(seen, np.where(warm, step, 0.0), known.astype(float))
+            b = np.where(seen, (1.0 - c) * np.nan_to_num(x), 0.0)
+            b[0] += c[0] * self.y[i]
+            c[0] = 0.0
+            y = affine_scan(c, b)
+            logs = np.log(step)
+            total = np.cumsum(logs)
+            log = total - (total - logs)[begin] + np.where(goes_on, self.log[i], 0.0)
+            out.append((np.where(known, y, np.nan), np.where(known, np.exp(log), np.nan)))
+            self.y[i], self.log[i] = float(y[-1]), float(log[-1])
+        self.gap = int(at[-1] - last[-1]) if last[-1] >= begin[-1] else self.gap + len(x)
+        self.seen = bool(known[-1])
+        return out
+
+
+class _BlockCarry:
+    """State before each block of a series, from block summaries that come in batches: last EMA and rows without a reading since."""
+
+    def __init__(self, alpha: float):
+        self.alpha, self.y, self.gap, self.seen = alpha, 0.0, 0.0, False
+
+    def batch(self, lead, first, coef, end, trail, rows, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.arange(len(rows))
+        seen = ~np.isnan(first)
+        begin = np.maximum.accumulate(np.where(starts, at, 0))
+        last = np.maximum.accumulate(np.where(seen, at, -1))
+        before = np.concatenate([[-1], last[:-1]])
+        goes_on, inside = (np.cumsum(starts) == 0) & self.seen, before >= begin
+        upto = np.cumsum(rows)
+        gap = np.where(inside, trail[before] + upto - rows - upto[before], self.gap + upto - rows)
+        warm, known = inside | goes_on, (last >= begin) | goes_on
+        w = (1.0 - self.alpha) ** (gap + lead + 1)
+        c = np.where(seen, np.where(warm, coef * w / (w + self.alpha), 0.0), known.astype(float))
+        b = np.where(seen, np.where(warm, end + coef * (self.alpha * first / (w + self.alpha) - first), end), 0.0)
+        b[0] += c[0] * self.y
+        c[0] = 0.0
+        y = affine_scan(c, b)
+        earlier = np.where(warm, np.concatenate([[self.y], y[:-1]]), np.nan)
+        out = earlier, np.where(warm, gap, 0).astype(np.int64)
+        self.y, self.seen = float(y[-1]), bool(known[-1])
+        self.gap = float(trail[-1] if seen[-1] else (gap[-1] if warm[-1] else 0) + rows[-1])
+        return out
+
+
+def group_starts(batch: pa.RecordBatch, columns: Sequence[str], before: tuple | None) -> np.ndarray:
+    """Whether each row's ``columns`` differ from those of the row before (``before``: the last row of the batch before); nulls are equal."""
+    n = batch.num_rows
+    starts = np.zeros(n, dtype=bool)
+    starts[0] = before is None or before != tuple(batch.column(c)[0].as_py() for c in columns)
+    for c in columns:
+        a, b = batch.column(c).slice(1), batch.column(c).slice(0, n - 1)
+        starts[1:] |= pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False) | (a.is_null().to_numpy(zero_copy_only=False) != b.is_null().to_numpy(zero_copy_only=False))
+    return starts
 
 
 def ema_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], spans: Sequence[int] = EMA_SPANS,
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """EMA (adjust=False, row-based span, seed = first value, missing values as in pandas).  Requires ``rn``.
 
-    The recursion has no built-in; pandas ``ewm`` runs per (keys, block of rows) from a cold start.  From its first
+    The recursion has no built-in; a scan over Arrow batches runs it per (keys, block of rows) from a cold start.  From its first
     reading on a block is an affine map of the EMA before it, so each row also keeps its coefficient; one summary row
     per block (first reading, its place, closing value, closing coefficient) gives the state before every block, and
     rows add coefficient * (warm first value - cold first value).  Exact for every block size, however far back a
@@ -159,47 +221,22 @@ def ema_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], spa
     new = [c for n in names for c in (f"_cold_{n}", f"_coef_{n}")]
     schema = T.StructType([*d.schema.fields, *[T.StructField(c, T.DoubleType(), True) for c in new]])
 
-    def process(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.reset_index(drop=True)
-        g = pdf.groupby(gcols, sort=False, dropna=False)
-        levels = list(range(len(gcols)))
-        add = {}
-        for s in sensors:
-            x = pdf[s].astype("float64")
-            seen = x.notna()
-            count = seen.astype("int64").groupby(g.ngroup()).cumsum()
-            at = pd.Series(np.arange(len(pdf), dtype="float64")).where(seen)
-            last = at.groupby(g.ngroup()).ffill().groupby(g.ngroup()).shift(1)  # row of the reading before
-            gap = pd.Series(np.arange(len(pdf), dtype="float64")) - last
-            for sp in spans:
-                alpha = names[f"{s}_ema_{sp}"]
-                pdf[s] = x
-                add[f"_cold_{s}_ema_{sp}"] = g[s].ewm(span=sp, adjust=False).mean().reset_index(level=levels, drop=True).sort_index()
-                w = (1.0 - alpha) ** gap
-                step = (w / (w + alpha)).where(seen & (count > 1), 1.0)
-                coef = step.groupby(g.ngroup()).cumprod()
-                add[f"_coef_{s}_ema_{sp}"] = coef.where(count > 0)
-        return pd.concat([pdf, pd.DataFrame(add)], axis=1)[[f.name for f in schema.fields]]
-
-    def per_partition(batches):
-        # rows arrive sorted by (keys, block, rn); a group may go on in the next batch, so the last group of each
-        # batch waits (at most one block)
-        pending = None
-        for pdf in batches:
-            if pending is not None and len(pending):
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            tail = pd.Series(True, index=pdf.index)
-            for c in gcols:
-                last = pdf[c].iloc[-1]
-                tail &= pdf[c].isna() if pd.isna(last) else pdf[c] == last
-            pending = pdf[tail]
-            done = pdf[~tail]
-            if len(done):
-                yield process(done)
-        if pending is not None and len(pending):
-            yield process(pending)
-
-    d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn").mapInPandas(per_partition, schema)
+    def per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows arrive sorted by (keys, block, rn)
+        states = {s: _ColdEma([2.0 / (sp + 1.0) for sp in spans]) for s in sensors}
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = group_starts(batch, gcols, before)
+            before = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in gcols)
+            add = []
+            for s in sensors:
+                x = batch.column(s).cast(pa.float64()).to_numpy(zero_copy_only=False)
+                add += [pa.array(v, from_pandas=True) for pair in states[s].batch(x, starts) for v in pair]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *add], names=schema.names)
+
+    d = d.repartition(*gcols).sortWithinPartitions(*gcols, "rn").mapInArrow(per_partition, schema)
     d = written(d, "ema")
     parts = [F.count(F.lit(1)).alias("_rows")]
     start, stop = F.min("rn"), F.max("rn")
@@ -210,12 +247,27 @@ def ema_features(df: DataFrame, keys: Sequence[str], sensors: Sequence[str], spa
                   F.min_by(x.cast("double"), at).alias(f"_first_{n}"), F.max_by(f"_coef_{n}", "rn").alias(f"_coef_{n}"),
                   F.max_by(f"_cold_{n}", "rn").alias(f"_end_{n}"), F.coalesce(stop - F.max(at), F.lit(0)).cast("double").alias(f"_trail_{n}")]
     summary = d.groupBy(*gcols).agg(*parts)
-    key_fields = [T.StructField(f"_key{i}", d.schema[k].dataType, True) for i, k in enumerate(keys)]
-    carry_schema = T.StructType([*key_fields, T.StructField("_blk", T.LongType()),
+    told = ("_lead_", "_first_", "_coef_", "_end_", "_trail_")
+    carry_schema = T.StructType([*[d.schema[c] for c in gcols],
                                  *[f for n in names for f in (T.StructField(f"_y_{n}", T.DoubleType()), T.StructField(f"_g_{n}", T.LongType()))]])
-    carry = summary.groupBy(*keys).applyInPandas(_ema_carry(names), carry_schema)
-    for i, k in enumerate(keys):
-        carry = carry.withColumnRenamed(f"_key{i}", k)
+
+    def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # summaries arrive sorted by (keys, block)
+        states, before = {n: _BlockCarry(alpha) for n, alpha in names.items()}, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = group_starts(batch, keys, before)
+            before = tuple(batch.column(c)[batch.num_rows - 1].as_py() for c in keys)
+            number = lambda c: batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False)  # noqa: E731,B023
+            add = []
+            for n, state in states.items():
+                y, gap = state.batch(*[np.where(np.isnan(v), 0.0, v) if c != "_first_" else v for c, v in ((c, number(c + n)) for c in told)], number("_rows"), starts)
+                add += [pa.array(y, from_pandas=True), pa.array(gap)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in gcols), *add], names=carry_schema.names)
+
+    spread = summary.repartition(*keys) if keys else summary.coalesce(1)  # one row a block
+    carry = spread.sortWithinPartitions(*gcols).mapInArrow(carried, carry_schema)
     firsts = summary.select(*gcols, *[c for n in names for c in (f"_lead_{n}", f"_first_{n}")])
     d = join_pieces(join_pieces(d, carry, gcols), firsts, gcols)
     out = []
