@@ -71,16 +71,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
         for block in range(blocks):
             part = grams if blocks == 1 else grams.where(F.pmod(F.col("h"), F.lit(blocks)) == block)
             places = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size, F.lit(step)))
-            looked = F.transform(places, lambda p: F.struct(p.alias("p"), F.xxhash64(F.slice("words", p + 1, size)).alias("g")))
+            # a gram's row carries the words that a window around it can reach, not the document
+            side = length - size
+            looked = F.transform(places, lambda p: F.struct(
+                p.alias("p"), F.xxhash64(F.slice("words", p + 1, size)).alias("g"),
+                F.slice("words", F.greatest(p - side, F.lit(0)) + 1, F.lit(size + 2 * side)).alias("near")))
             if first:  # the document's own row goes along, with no gram
-                own = F.array(F.struct(F.lit(-1).alias("p"), F.lit(None).cast("long").alias("g")))
-                looked = F.concat(own, F.coalesce(looked, F.array().cast("array<struct<p:int,g:bigint>>")))
-            rows = worded.select("doc_id", "tie", "words", F.inline(looked))
+                own = F.array(F.struct(F.lit(-1).alias("p"), F.lit(None).cast("long").alias("g"), F.lit(None).cast("array<string>").alias("near")))
+                looked = F.concat(own, F.coalesce(looked, F.array().cast("array<struct<p:int,g:bigint,near:array<string>>>")))
+            rows = worded.select("doc_id", "tie", F.size("words").alias("n_words"), F.inline(looked))
             joined = rows.join(F.broadcast(part), F.col("g") == F.col("h"), "left" if first else "inner")
             at = F.col("p") - F.col("o")
-            real = (at >= 0) & (F.slice("words", F.greatest(at, F.lit(0)) + 1, length) == F.col("w"))
+            inside = F.greatest(at - F.greatest(F.col("p") - side, F.lit(0)), F.lit(0))
+            real = (at >= 0) & (F.slice("near", inside + 1, length) == F.col("w"))
             kept = joined.where((F.col("p") == -1) | real if first else real).select(
-                "doc_id", "tie", F.size("words").alias("n_words"), F.when(F.col("p") == -1, -1).otherwise(at).alias("start"),
+                "doc_id", "tie", "n_words", F.when(F.col("p") == -1, -1).otherwise(at).alias("start"),
                 F.when(F.col("p") == -1, 0).otherwise(length).alias("length"), "items")
             out = kept if out is None else out.unionByName(kept)
             first = False
