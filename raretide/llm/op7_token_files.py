@@ -12,184 +12,59 @@ doc_id and documents are in ascending order in them, so a short document is read
 Null texts are empty: only the end id.  Repeated ids are in order of their texts' frames; documents without an id
 come first in their piece.  An empty table gives empty tables.  Other columns are ignored.
 
-Encoding: a text is cut where the byte-level vocabulary's pattern always cuts, before a space that follows a
-non-space.  The library encodes each distinct part once per worker and cache (rare parts once per batch); all else goes to it whole.
+Encoding: the byte-pair core over the vocabulary's own pattern (``op11_bpe_codec.Codec``) gives each whole text's ids as the
+tokenizers library does; it keeps no cache.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import lowest, ordered_pieces, scratch_path, table
-
-END, SAMPLE, SAMPLE_IDS, DICTIONARY, LEVEL, BLOCK, CACHE = 0, 1000, 1024, 1 << 16, 1, 2 << 20, 150_000
-
-# The characters that the vocabulary's pattern takes for white space.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0                　"
-_ASCII_RUNS = tuple(c + " " for c in WHITE if c.isascii())
-_RUNS = tuple(c + " " for c in WHITE)
-_MARKS = frozenset(".,;:!?")
-# Fixed value: the pattern by which byte-level vocabularies of this kind cut texts into pre-tokens.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from raretide.llm.common import lowest, ordered_pieces, scratch_path, seeded, table
+from raretide.llm.op11_bpe_codec import codec
 
+END, SAMPLE, SAMPLE_IDS, DICTIONARY, LEVEL, BLOCK = 0, 1000, 1024, 1 << 16, 1, 2 << 20
 
 def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _ByteLetters(dict):
-    """What the vocabulary writes for each character, asked from the library when first met."""
-
-    def __init__(self):
-        from tokenizers import pre_tokenizers
-        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def __missing__(self, cp: int) -> str:
-        self[cp] = out = self.level.pre_tokenize_str(chr(cp))[0][0]
-        return out
-
-
-class Encoder:
-    """Ids of whole texts as the library gives them, as little-endian bytes."""
-
-    def __init__(self, path: str):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
-        import regex
-        self.pattern = regex.compile(PATTERN)
-        self.spaced: dict[str, bytes] = {}  # part -> ids of " " + part
-        self.exact: dict[str, bytes] = {}
-        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = special[0] if special else None
-        self.alphabet = _ByteLetters()
-
-    def forget(self) -> None:
-        self.spaced.clear()
-        self.exact.clear()
-        self.alphabet.clear()
-        tv.release()
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _many(self, parts: list[str]) -> list[bytes]:
-        """Ids of distinct parts.  One word, alone or behind a space, is one pre-token: straight to the model."""
-        tokenize, alphabet = self.library.model.tokenize, self.alphabet
-        out: list = [None] * len(parts)
-        others = []
-        for i, p in enumerate(parts):
-            if (p[1:] if p[0] == " " else p).isalpha():
-                ids = [t.id for t in tokenize(p.translate(alphabet))]
-                out[i] = pack(f"<{len(ids)}I", *ids)
-            else:
-                others.append(i)
-        for i, ids in zip(others, self.whole([parts[i] for i in others]) if others else ()):
-            out[i] = ids
-        return out
-
-    def _learn(self, parts: dict[str, None], spaced: bool) -> dict[str, bytes]:
-        """Ids of every part (behind a space if ``spaced``), pre-token by pre-token: a word with or without one mark
-        behind it is plain to see, the vocabulary's pattern cuts the others."""
-        lead, cache, exact = " " if spaced else "", self.spaced, self.exact
-        out: dict[str, bytes] = {}
-        cuts: dict[str, list[str]] = {}
-        words: dict[str, None] = {}
-        for p in parts:
-            if p.isalpha():
-                cuts[p] = bits = [lead + p]
-            elif p[:-1].isalpha() and p[-1] in _MARKS:
-                cuts[p] = bits = [lead + p[:-1], p[-1]]
-            else:
-                cuts[p] = bits = self.pattern.findall(lead + p)
-            words.update(dict.fromkeys(bits))
-        known: dict[str, bytes] = {}
-        wanted = []
-        for w in words:
-            ids = cache.get(w[1:]) if w[:1] == " " else exact.get(w)
-            if ids is None:
-                wanted.append(w)
-            else:
-                known[w] = ids
-        known.update(zip(wanted, self._many(wanted)))
-        for w in wanted:
-            if w[0] != " ":
-                if len(exact) < CACHE:
-                    exact[w] = known[w]
-            elif len(cache) < CACHE:  # bounded: the frequent ones come first
-                cache[w[1:]] = known[w]
-        for p, bits in cuts.items():
-            out[p] = known[bits[0]] if len(bits) == 1 else b"".join([known[w] for w in bits])
-        if spaced and len(cache) < CACHE:
-            cache.update(out)
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        get = self.spaced.get
-        first, missing, found = {}, {}, []
-        whole = []
-        for i, t in enumerate(texts):
-            runs = _ASCII_RUNS if t.isascii() else _RUNS
-            if any(r in t for r in runs) or (self.special and self.special in t) or t[:1] == " ":
-                whole.append(i)
-                found.append(None)
-                continue
-            parts = t.split(" ")
-            first[parts[0]] = None
-            ids = list(map(get, parts))
-            lost = [k for k, x in enumerate(ids) if x is None and k]
-            missing.update((parts[k], None) for k in lost)
-            found.append((parts, ids, lost))
-        learned = self._learn(missing, True)
-        begin = self._learn(first, False)
-        out: list = []
-        for x in found:
-            if x:
-                parts, ids, lost = x
-                for k in lost:
-                    ids[k] = learned[parts[k]]
-                ids[0] = begin[parts[0]]
-                x = b"".join(ids)
-            out.append(x)
-        for i, ids in zip(whole, self.whole([texts[i] for i in whole]) if whole else ()):
-            out[i] = ids
-        return out
-
-
-@functools.lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
+def _ids(path: str, texts: list[str]) -> list[bytes]:
+    """Ids of each text, as little-endian bytes."""
+    own = codec(path)
+    return [np.array(own.encode(t), dtype="<u4").tobytes() for t in texts]
+
+
 def train_dictionary(docs: DataFrame, path: str) -> tuple[str, bytes]:
     """Hash and bytes of the shared dictionary; the sample is one bounded partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         samples = []
         for batch in batches:
-            samples += [ids[:4 * SAMPLE_IDS] for ids in encoder(path).encode(_texts(batch)) if ids]
+            samples += [ids[:4 * SAMPLE_IDS] for ids in _ids(path, _texts(batch)) if ids]
         try:
             trained = zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
         except zstandard.ZstdError:  # too few or too short samples: they are the dictionary's content themselves
             trained = b"".join(samples)[:DICTIONARY]
         yield pa.RecordBatch.from_pydict({"bytes": pa.array([trained], pa.binary())})
 
-    sample = lowest(docs.select("doc_id", F.substring("text", 1, 16 * SAMPLE_IDS).alias("text")), "dictionary-1", SAMPLE).coalesce(1)
+    # at most so many characters of a text, from a seeded place: not openings only
+    room = F.greatest(F.length("text") - 16 * SAMPLE_IDS, F.lit(0))
+    share = F.conv(F.substring(seeded("doc_id", "dictionary-2"), 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32)
+    at = F.floor(share * (room + 1)).cast("int") + 1
+    sample = lowest(docs.select("doc_id", F.substring("text", at, F.lit(16 * SAMPLE_IDS)).alias("text")), "dictionary-1", SAMPLE).coalesce(1)
     row = sample.mapInArrow(run, "bytes binary").first()
     raw = bytes(row["bytes"]) if row else b""
     return hashlib.sha256(raw).hexdigest(), raw
@@ -200,13 +75,12 @@ def _compress(path: str, raw: bytes):
         import zstandard
         c = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
         end = np.array([END], dtype="<u4").tobytes()
-        own = encoder(path)
         for batch in batches:
             for part in tv.slices(batch, "text"):
-                ids = [x + end for x in own.encode(_texts(part))]
+                ids = [x + end for x in _ids(path, _texts(part))]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([c.compress(x) for x in ids], pa.binary()),
                                                   pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "text", "n_tokens"])
-        own.forget()  # the worker goes on to other stages
+        tv.release()  # the worker goes on to other stages
     return run
 
 
@@ -285,6 +159,20 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return docs.join(F.broadcast(starts), "piece").select("doc_id", (F.col("piece_start") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def read_document(spark: SparkSession, folder: str, doc_id: int) -> list[np.ndarray]:
+    """The ids of one document (of each row with its id, in order), the end id included: its index rows, the blocks they name, a slice of each."""
+    rows = spark.read.parquet(f"{folder}/index").where(F.col("doc_id") == doc_id)
+    blocks = spark.read.parquet(f"{folder}/data").select("piece", "block", "dictionary", "payload")
+    found = rows.join(blocks, ["piece", "block"]).select(
+        "piece", "local_start", "dictionary", F.expr("substring(payload, cast(offset AS int) + 1, cast(length AS int))").alias("frame")).orderBy("piece", "local_start").collect()
+    name, raw = spark.read.parquet(f"{folder}/dictionary").first()
+    import zstandard
+    d = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(bytes(raw)) if raw else None)
+    if any(r["dictionary"] != name for r in found):
+        raise ValueError("data written under another dictionary")
+    return [np.frombuffer(d.decompress(bytes(r["frame"])), dtype="<u4") for r in found]
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary_path())
