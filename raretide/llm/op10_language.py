@@ -114,7 +114,7 @@ def identify(texts: list[str | None], training: tuple[tuple[str, str], ...]) ->
     has = np.zeros(len(texts), dtype=bool)
     for i, t in enumerate(texts):
         cp = letters(t) if t else np.zeros(0, np.uint32)
-        if len(cp) and (cp != 32).any():
+        if len(cp) and tv.base_letter_flags()[cp].any():  # marks alone are no letters
             has[i] = True
             sym = symbol[cp]
             n = -(-len(sym) // BLOCK)

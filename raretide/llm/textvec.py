@@ -8,6 +8,8 @@ modulo 2**64, taken from one running sum over the batch, then mixed.  Memory is
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import unicodedata
 from collections.abc import Iterator
@@ -157,6 +159,12 @@ def letter_flags() -> np.ndarray:
     return np.array([unicodedata.category(chr(cp))[0] in "LM" for cp in range(0x110000)])
 
 
+@functools.lru_cache(maxsize=1)
+def base_letter_flags() -> np.ndarray:
+    """Whether each code point is a letter itself."""
+    return np.array([unicodedata.category(chr(cp))[0] == "L" for cp in range(0x110000)])
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
@@ -171,5 +179,7 @@ def gaps_joined(cp: np.ndarray, is_letter: np.ndarray) -> np.ndarray:
 
 
 def release() -> None:
-    """Give Arrow's free memory back at the end of a task: the worker process goes on to others."""
+    """Give free memory, Arrow's and the C library's, back at the end of a task: the worker process goes on to others."""
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
