@@ -30,7 +30,7 @@ from raretide.llm import textvec as tv
 from raretide.llm.common import broadcast_up_to, fold, lowest, table, written
 
 SAMPLE = 4000
-MIN_WEIGHT, MAX_TERMS = 2.0, 5000
+MIN_WEIGHT = 2.0
 PREFIXES = range(4, 8)
 
 # Characters that imitate a Latin letter (Cyrillic, Greek, signs), and digits.
@@ -181,11 +181,13 @@ def learn(train: DataFrame, exceptions: frozenset[str] = frozenset()) -> dict:
     chance = 2 * math.log(1 + counts.count())
     best = (counts.where(F.col("n_toxic") > 0).withColumn("w", weight).withColumn("g", ratio)
             .where((F.col("w") >= MIN_WEIGHT) & (F.col("g") >= chance))
-            .orderBy(F.desc("g"), "term").limit(MAX_TERMS).collect())
+            .orderBy(F.desc("g"), "term").collect())  # no more than the bounded sample holds
     terms = _explaining(train, best, n1, n0, chance)
+    if not terms:  # nothing tells the labels apart
+        return empty
     phrases = (train.mapInArrow(_map_phrases(terms), "phrase string, toxic int").groupBy("phrase")
                .agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-               .where((F.col("n0") >= 2) & (F.col("n1") == 0)).orderBy(F.desc("n0"), "phrase").limit(MAX_TERMS).collect())
+               .where((F.col("n0") >= 2) & (F.col("n1") == 0)).collect())
     exceptions = exceptions | frozenset(r["phrase"] for r in phrases)
     scored = train.mapInArrow(_map_strength(["toxic"], terms, exceptions), "toxic int, __x double")
     data = VectorAssembler(inputCols=["__x"], outputCol="features").transform(
