@@ -1,18 +1,20 @@
 """URL filters: host and path rules first, then association rules mined with FP-growth.
 
 Every labelled page (``labels.doc_id`` = ``page_id``; to block: toxic 1 or quality 0) is a transaction of its URL's
-tokens and its verdict.  Spark's FP-growth mines the frequent combinations; rules whose consequence is a verdict are
-kept if confident and supported enough and if no shorter block rule is part of them (it fires wherever they do).  A rule
-fires when all its tokens are in the URL: by an inverted index from token to rules, or by a join on each rule's first
-token if there are more than ``MAX_RULES`` to send.  A URL is blocked if a block rule fires, else allowed.
+tokens and its verdict.  Tokens that occur in the same pages only are one class, mined as one item: a URL of many words of its own adds one
+item, not all their combinations, and any token of a class stands for it.  Spark's FP-growth mines the frequent combinations; rules whose
+consequence is a verdict are kept if confident, if supported by a share of the pages and ``MIN_PAGES`` of them, and if no shorter block rule is part of
+them (it fires wherever they do).  A rule fires when all its classes are met in the URL: by an inverted index from token to rules, or by a join on
+each rule's rarest class if there are more than ``MAX_RULES`` to send.  A URL is blocked if a block rule fires, else allowed.
 
 Tokens: host labels with their place from the right, path words (runs of digits as ``#``), the file ending and query
-keys, each once.  Null URLs and URLs without ``://`` have empty host and path and no tokens: allowed.  Without
+keys, each once.  Null URLs and URLs without ``://`` have empty host and path and no tokens: allowed; so has a URL without a host.  Without
 labelled pages there are no rules.  Repeated rows keep a row each; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,7 +26,7 @@ from raretide.llm.common import table, written
 
 # The explicit rules (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_RULES = 0.002, 0.5, 10_000
+MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MAX_RULES = 0.002, 3, 0.5, 10_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -79,44 +81,71 @@ def _shortest(rules: DataFrame) -> DataFrame:
     return written(rules.select("rule", "confidence") if kept is None else kept, "shortest-rules")
 
 
-def mined_rules(pages: DataFrame, labels: DataFrame) -> DataFrame | None:
-    """Block rules (rule: its tokens, confidence) from labelled pages with ``host`` and ``path``; None without any page."""
+def _classes(baskets: DataFrame, least: float) -> DataFrame:
+    """Every token of at least ``least`` baskets with its class (the least token that is in the same baskets) and the baskets' number."""
+    each = baskets.select("basket", F.explode("items").alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"), *[F.bit_xor(F.xxhash64(F.lit(seed), "basket")).alias(f"x{seed}") for seed in (1, 2)]).where(F.col("n") >= least)
+    each = written(each, "url-token-counts")
+    named = each.groupBy("n", "x1", "x2").agg(F.min("token").alias("class"))
+    return written(each.join(named, ["n", "x1", "x2"]).select("token", "class", "n"), "url-classes")
+
+
+def mined_rules(pages: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Block rules (rule: its classes, confidence) from labelled pages with ``host`` and ``path``, and the classes (token, class, n); None without any page."""
     from pyspark.ml.fpm import FPGrowth
     bad = F.when((F.col("toxic") == 1) | (F.col("quality") == 0), "verdict=block").otherwise("verdict=allow")
     known = labels.select(F.col("doc_id").alias("page_id"), bad.alias("verdict")).groupBy("page_id").agg(F.max("verdict").alias("verdict"))
-    baskets = (pages.join(known, "page_id").select("host", "path", "url", "verdict").mapInArrow(_tokenised(["verdict"]), "verdict string, items array<string>")
-               .select(F.array_append("items", F.col("verdict")).alias("items")))
-    baskets = written(baskets, "url-baskets")
-    if not baskets.limit(1).count():
+    baskets = pages.join(known, "page_id").select("host", "path", "url", "verdict").mapInArrow(_tokenised(["verdict"]), "verdict string, items array<string>")
+    baskets = written(baskets.withColumn("basket", F.monotonically_increasing_id()), "url-baskets")
+    total = baskets.count()
+    if not total:
         return None
-    model = FPGrowth(itemsCol="items", minSupport=MIN_SUPPORT, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    return _shortest(model.associationRules.where(F.array_contains("consequent", "verdict=block") & ~F.array_contains("antecedent", "verdict=allow"))
-                     .select(F.array_sort("antecedent").alias("rule"), "confidence", F.size("antecedent").alias("n")))
-
-
-def _sent(rules: DataFrame | None) -> list[tuple[tuple[str, ...], float]]:
-    return [] if rules is None else [(tuple(r["rule"]), r["confidence"]) for r in rules.collect()]
+    support = max(MIN_SUPPORT, min(1.0, MIN_PAGES / total))
+    classes = _classes(baskets, support * total)
+    merged = baskets.select("basket", F.explode("items").alias("token")).join(classes, "token").groupBy("basket").agg(F.collect_set("class").alias("items"))
+    merged = baskets.select("basket", "verdict").join(merged, "basket", "left").select(
+        F.array_append(F.coalesce("items", F.array().cast("array<string>")), F.col("verdict")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=MIN_CONFIDENCE).fit(written(merged, "url-merged"))
+    rules = _shortest(model.associationRules.where(F.array_contains("consequent", "verdict=block") & ~F.array_contains("antecedent", "verdict=allow"))
+                      .select(F.array_sort("antecedent").alias("rule"), "confidence", F.size("antecedent").alias("n")))
+    return rules, classes
+
+
+def _sent(found: tuple[DataFrame, DataFrame] | None) -> tuple[list[tuple[tuple[str, ...], float]], dict[str, str]]:
+    """Rules and the class of each token that they ask for."""
+    if found is None:
+        return [], {}
+    rules, classes = found
+    asked = rules.select(F.explode("rule").alias("class")).distinct()
+    return [(tuple(r["rule"]), r["confidence"]) for r in rules.collect()], {r["token"]: r["class"] for r in classes.join(asked, "class").collect()}
 
 
 def mine(pages: DataFrame, labels: DataFrame) -> list[tuple[tuple[str, ...], float]]:
-    """All block rules (tokens, confidence), on the driver."""
-    return _sent(mined_rules(pages, labels))
+    """All block rules (tokens, confidence), on the driver, written out for every token of a class."""
+    rules, classes = _sent(mined_rules(pages, labels))
+    members: dict[str, list[str]] = defaultdict(list)
+    for token, name in classes.items():
+        members[name].append(token)
+    return [(tuple(sorted(choice)), confidence) for rule, confidence in rules for choice in itertools.product(*(members[c] for c in rule))]
 
 
-def _joined(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """page_id, host, path, mined by a join of the distinct token sets with the rules."""
+def _joined(pages: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """page_id, host, path, mined by a join of the distinct sets of classes with the rules, each on its rarest class."""
     rows = written(pages.select("page_id", "host", "path", "url").mapInArrow(_tokenised(["page_id", "host", "path"]), "page_id long, host string, path string, items array<string>"), "url-tokens")
     sets = rows.select("items").distinct()
-    fired = (sets.select("items", F.explode("items").alias("token")).join(rules.select("rule", F.col("rule")[0].alias("token")), "token")
-             .where(F.size(F.array_except("rule", "items")) == 0).select("items").distinct().withColumn("mined", F.lit("block")))
+    met = sets.select("items", F.explode("items").alias("token")).join(classes.select("token", "class"), "token").groupBy("items").agg(F.collect_set("class").alias("met"))
+    counted = rules.select("rule", F.explode("rule").alias("class")).join(classes.select("class", "n").distinct(), "class")
+    rarest = counted.groupBy("rule").agg(F.min_by("class", F.struct("n", "class")).alias("class"))
+    fired = (met.select("items", "met", F.explode("met").alias("class")).join(rarest, "class")
+             .where(F.size(F.array_except("rule", "met")) == 0).select("items").distinct().withColumn("mined", F.lit("block")))
     return rows.join(fired, "items", "left").select("page_id", "host", "path", F.coalesce("mined", F.lit("allow")).alias("mined"))
 
 
-def _matched(columns: list[str], rules: list[tuple[tuple[str, ...], float]]):
+def _matched(columns: list[str], rules: list[tuple[tuple[str, ...], float]], classes: dict[str, str]):
     index: dict[str, list[int]] = defaultdict(list)
     for i, (rule, _) in enumerate(rules):
-        for t in rule:
-            index[t].append(i)
+        for c in rule:
+            index[c].append(i)
     need = [len(rule) for rule, _ in rules]
     index = dict(index)
 
@@ -126,8 +155,8 @@ def _matched(columns: list[str], rules: list[tuple[tuple[str, ...], float]]):
             for h, p, u in zip(*(batch.column(c).to_pylist() for c in ("host", "path", "url"))):
                 met: dict[int, int] = defaultdict(int)
                 fired = False
-                for t in tokens(h, p, u) if u and h else ():
-                    for i in index.get(t, ()):
+                for c in {classes[t] for t in tokens(h, p, u) if t in classes} if u and h else ():
+                    for i in index[c]:
                         met[i] += 1
                         fired = fired or met[i] == need[i]
                 out.append("block" if fired else "allow")
@@ -135,15 +164,21 @@ def _matched(columns: list[str], rules: list[tuple[tuple[str, ...], float]]):
     return run
 
 
+def _too_many(rules: DataFrame, classes: DataFrame) -> bool:
+    """Whether the rules, or the tokens that they ask for, are more than should be sent."""
+    asked = rules.select(F.explode("rule").alias("class")).distinct()
+    return rules.limit(MAX_RULES + 1).count() > MAX_RULES or classes.join(asked, "class").limit(10 * MAX_RULES + 1).count() > 10 * MAX_RULES
+
+
 def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict, mined (the association rules' own verdict) of every page."""
     host, path = host_path(F.col("url"))
     parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    rules = mined_rules(parsed, labels)
-    if rules is not None and rules.limit(MAX_RULES + 1).count() > MAX_RULES:
-        out = _joined(parsed, rules)
+    found = mined_rules(parsed, labels)
+    if found is not None and _too_many(*found):
+        out = _joined(parsed, *found)
     else:
-        out = parsed.mapInArrow(_matched(["page_id", "host", "path"], _sent(rules)), "page_id long, host string, path string, mined string")
+        out = parsed.mapInArrow(_matched(["page_id", "host", "path"], *_sent(found)), "page_id long, host string, path string, mined string")
     name, verdict = rule_of(F.col("host"), F.col("path"))
     return out.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.col("mined")).alias("verdict"), "mined")
 

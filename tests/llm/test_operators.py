@@ -189,6 +189,15 @@ def test_folding():
     assert found == {2: 2.0, 6: 1.0, 12: 2.0}
 
 
+def test_without_a_telling_term_nothing_is_toxic(spark):
+    """Labels that no word explains: the lowest score for all."""
+    from raretide.llm import op2_toxicity as o
+    docs = docs_frame(spark, [(i, "all the same words here", "en", "a") for i in range(60)])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = o.score(docs, o.learn(o.sample(docs, labels)), ["doc_id"]).collect()
+    assert {r["score"] for r in got} == {0.0}
+
+
 # ---------------------------------------------------------------- 3 decontamination
 
 def _op3_brute(docs, items, n=10):
@@ -276,7 +285,7 @@ def test_mined_rules_equal_counting(spark):
     for k in (1, 2, 3):
         for c in itertools.combinations(tokens, k):
             hit = [bad for b, bad in baskets if b >= set(c)]
-            if sum(hit) >= o.MIN_SUPPORT * len(baskets) and hit and sum(hit) / len(hit) >= o.MIN_CONFIDENCE and sum(hit):
+            if sum(hit) >= max(o.MIN_PAGES, o.MIN_SUPPORT * len(baskets)) and hit and sum(hit) / len(hit) >= o.MIN_CONFIDENCE and sum(hit):
                 if not any(set(g) < set(c) for g in good):
                     good[c] = sum(hit) / len(hit)
     assert {tuple(sorted(rule)): round(conf, 9) for rule, conf in mined if len(rule) <= 3} == {k: round(v, 9) for k, v in good.items()}
@@ -299,6 +308,21 @@ def test_no_rule_is_cut_off(spark, monkeypatch, most):
     assert got == {i: "allow" if "fine" in u else "block" for i, (u, _) in enumerate(urls)}
 
 
+def test_long_urls_and_lone_pages(spark):
+    """URLs of 200 path words, in several copies, end in seconds and one page alone makes no rule."""
+    import time
+
+    from raretide.llm import op4_url_rules as o
+    long = "http://long.org/" + "/".join(f"w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}" for i in range(200))
+    urls = [(long, 0)] * 4 + [("http://lone.org/only", 0)] + [(f"http://fine.org/p{i}", 1) for i in range(60)] + [("file:///en/x", 1), (None, 0)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, q, 0) for i, (_, q) in enumerate(urls)], "doc_id long, quality int, toxic int")
+    began = time.time()
+    got = {r["page_id"]: r["mined"] for r in o.judge(pages, labels).collect()}
+    assert time.time() - began < 60
+    assert got == {i: "block" if u == long else "allow" for i, (u, _) in enumerate(urls)}
+
+
 # ---------------------------------------------------------------- 5 mixing
 
 def _fill(sizes, weights, share=1.5, most=2.0):
@@ -388,6 +412,18 @@ def test_token_files_round_trip(spark, odd, none, tmp_path, monkeypatch):
     assert o.read_tokens(spark, _written(o, none, tmp_path / "v")).count() == 0
 
 
+def test_one_document_is_read_by_the_index(spark, odd, tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+    from raretide.llm import op7_token_files as o
+    monkeypatch.setattr(o, "BLOCK", 2000)  # many blocks
+    library = Tokenizer.from_file(o.vocabulary_path())
+    folder = _written(o, odd, tmp_path / "t")
+    for i, t in {r["doc_id"]: r["text"] for r in odd.where("doc_id IN (0, 3, 5, 9)").collect()}.items():
+        (ids,) = o.read_document(spark, folder, i)
+        assert ids.tolist() == library.encode(t or "", add_special_tokens=False).ids + [o.END]
+    assert len(o.read_document(spark, folder, 6)) == 2 and o.read_document(spark, folder, 12345) == []
+
+
 def _written(o, docs, path):
     o.write_tokens(docs, str(path), o.vocabulary_path())
     return str(path)
@@ -530,6 +566,13 @@ def test_suffix_automaton_parses_like_brute_force():
         assert o.phrases(lane, np.array([len(text)]), steps, 0)[0] == n
 
 
+def test_marks_alone_are_no_letters(spark):
+    from raretide.llm import op10_language as o
+    training = (("aa", "some training text"), ("bb", "andere woerter"))
+    lang, score = o.identify(["\u0301\u0308", "e\u0301", "\u0301 x", None, "12"], training)
+    assert lang[0] == lang[3] == lang[4] == o.UNKNOWN and lang[1] != o.UNKNOWN and lang[2] != o.UNKNOWN
+
+
 def test_language_is_told(spark, odd, none):
     from raretide.llm import op10_language as o
     r = random.Random(1)
