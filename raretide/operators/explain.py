@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from raretide.functions.scalar import literal_table
+
 SAMPLE_SIZE = 1000
 SAMPLE_SEED = 42
 _MULT = 2654435761
@@ -67,5 +69,5 @@ def separation_weights(train: DataFrame, stats: DataFrame, features: Sequence[st
 def weights_from_model(spark, model, features: Sequence[str], stats: DataFrame) -> DataFrame:
     """(feature, weight, mean) from a fitted Spark ML linear model (one row per feature)."""
     coef = [float(v) for v in model.coefficients.toArray()]
-    w = spark.createDataFrame(list(zip(features, coef)), "feature string, weight double")
+    w = literal_table(spark, list(zip(features, coef)), ["feature", "weight"])
     return w.join(F.broadcast(stats.select("feature", "mean")), "feature")

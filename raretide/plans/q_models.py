@@ -10,7 +10,7 @@ from raretide.operators import models as M
 from raretide.operators import thresholds as T
 from raretide.operators import trees as R
 from raretide.operators.curves import pr_areas
-from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights
+from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights, weights_from_model
 from raretide.operators.features import build_features
 from raretide.operators.scale import align_schema, apply_scaler, fit_scaler, load_scaler, save_scaler, select_features
 from raretide.operators.scan import carry_last
@@ -317,15 +317,33 @@ def q_write_reports(spark, sf_dir):
     return out
 
 
-@register("save_load_model", _VAL_SPEC, _VAL_SQL)
+@register("save_load_model", _VAL_SPEC + " same:b", _VAL_SQL.replace("true AS class_follows", "true AS class_follows, true AS same"))
 def q_save_load_model(spark, sf_dir):
-    """Class-weighted logistic model saved with its metadata, loaded and used to score validation rows."""
+    """Class-weighted logistic model saved with its metadata and loaded: it scores validation rows as the fitted one does."""
     f = reading_features(spark, sf_dir)
     model = M.train(f.where("split = 'train'"), FEATURES, "logistic_regression")
     p = _scratch(spark, "model")
     M.save_model(model, p, FEATURES, "logistic_regression", spark)
     loaded, feats, _ = M.load_model(p, spark)
-    return _checked(M.predict(loaded, f.where("split = 'val'"), feats, keep=("row_id",)))
+    val = f.where("split = 'val'")
+    own = M.predict(model, val, FEATURES, keep=("row_id",)).select("row_id", F.col("score").alias("own"))
+    return M.predict(loaded, val, feats, keep=("row_id",)).join(own, "row_id").select(
+        "row_id", "label", F.col("score").between(0, 1).alias("is_probability"), (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("class_follows"),
+        (F.col("own") == F.col("score")).alias("same"))
+
+
+@register("contributions_logistic", "row_id:l features:l adds_up:b", split_sql("readings") + f" SELECT row_id, {len(FEATURES)} AS features, true AS adds_up FROM sp WHERE split = 'val'")
+def q_contributions_logistic(spark, sf_dir):
+    """Contributions of the trained logistic model for every validation row: with the base value they add up to its margin."""
+    scaled = _scaled(spark, sf_dir)
+    train, val = scaled.where("split = 'train'"), scaled.where("split = 'val'")
+    model = M.train(train, FEATURES, "logistic_regression", params={"maxIter": 30})
+    weights = written(weights_from_model(spark, model, FEATURES, fit_scaler(train, FEATURES)), "weights")
+    base = float(model.intercept) + (weights.agg(F.sum(F.col("weight") * F.col("mean"))).first()[0] or 0.0)
+    sums = contributions(val, weights, FEATURES).groupBy("row_id").agg(F.count_distinct("feature").alias("features"), F.sum("contribution").alias("total"))
+    scored = M.predict(model, val, FEATURES, keep=("row_id",))
+    own = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("total") + F.lit(base))))
+    return sums.join(scored, "row_id").select("row_id", "features", (F.abs(own - F.col("score")) < 1e-9).alias("adds_up"))
 
 
 @register("feature_importance", "features:l shares:b agrees:b train_rows:l", split_sql("readings") +

@@ -54,13 +54,12 @@ def slices_of(rows, late_share, seed):
     return slices, kept
 
 
-@pytest.mark.parametrize("late_share", [0.0, 0.15])
-def test_streamed_features_equal_batch_on_all_but_late_rows(spark, late_share):
+def test_streamed_features_equal_batch_on_all_but_late_rows(spark):
     from raretide.operators.features import build_features, feature_names
     from raretide.streaming import ops as S
     from raretide.streaming.features import stream_features
-    slices, kept = slices_of(made_readings(), late_share, 5)
-    assert (len(kept) < 360) == (late_share > 0)
+    slices, kept = slices_of(made_readings(), 0.15, 5)
+    assert len(kept) < 360
     end = [(-1, None, T0 + timedelta(days=400), None, None, None, 0)]
     frames = [spark.createDataFrame(s, READING) for s in (*slices, end)]
     streamed = S.run_slices(frames, frames[0].schema, stream_features, "test")
@@ -127,7 +126,9 @@ def test_a_loaded_artifact_scores_alike_on_stream_and_batch(spark, fitted, kind,
     want = {r["row_id"]: r["score"] for r in A.score(artifacts[kind], feats).select("row_id", "score").collect()}
     assert {r["row_id"]: r["score"] for r in A.score(loaded, feats).select("row_id", "score").collect()} == want
     assert len(set(want.values())) > 2
-    slices, kept = slices_of(rows, 0.0, 4)
+    if kind != "random_forest":  # one kind on a stream: all are column expressions
+        return
+    slices, _ = slices_of(rows, 0.0, 4)
     frames = [spark.createDataFrame(s, READING) for s in (*slices, [(-1, None, T0 + timedelta(days=400), None, None, None, 0)])]
     got = S.run_slices(frames, frames[0].schema, lambda d: S.stream_score(stream_features(d), loaded), f"score-{kind}").collect()
     assert {r["row_id"] for r in got} == set(want)
