@@ -9,6 +9,8 @@ from pyspark.sql.types import LongType
 
 from raretide.session import scratch_path, written  # noqa: F401  (used by the operators)
 
+PIECE_ROWS, MAX_PIECES = 200_000, 20_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -49,6 +51,11 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def piece_count(docs: DataFrame) -> int:
+    """Pieces for tables of any size: the session's shuffle partitions, or more so that a piece has about ``PIECE_ROWS`` documents."""
+    return max(parallelism(docs.sparkSession), min(MAX_PIECES, -(-docs.count() // PIECE_ROWS)))
+
+
 def cut_points(docs: DataFrame, pieces: int) -> list[int]:
     """At most ``pieces`` ids, the first of each piece, that cut the non-null ids into even ranges."""
     share = [i / pieces for i in range(1, pieces)] or [0.5]
@@ -74,8 +81,8 @@ def ordered_pieces(docs: DataFrame, ids: DataFrame | None = None, halo: bool = F
     next piece (the last piece: of the first).  Documents without an id have no place in the order: they
     are spread by text hash and come first in their piece.  ``ids``, if given, is a cheaper frame of the same
     ids to take the cut points from."""
-    spark = docs.sparkSession
-    firsts = cut_points(docs if ids is None else ids, parallelism(spark))
+    ids = docs if ids is None else ids
+    firsts = cut_points(ids, piece_count(ids))
     n = max(1, len(firsts))
     doc_id = F.col("doc_id").cast(LongType())
     own = piece_of(doc_id, firsts) if firsts else F.lit(0)
