@@ -47,6 +47,24 @@ def broadcast_up_to(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def text_key() -> Column:
+    """A hash of the text; with doc_id it names a document and its equals."""
+    return F.coalesce(F.xxhash64("text"), F.lit(0))
+
+
+def without(docs: DataFrame, keys: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``docs`` but for the documents in ``keys`` (doc_id, tie), which is broadcast up to ``rows`` rows; all columns stay as they are."""
+    keys = broadcast_up_to(keys, rows)
+    tied = docs.withColumn("__tie", text_key())
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.__tie") == F.col("k.tie"))
+    return tied.alias("d").join(keys.alias("k"), same, "left_anti").drop("__tie")
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let batches to and from Python workers be of a few MB: their buffers stay with the executor, stage after stage."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

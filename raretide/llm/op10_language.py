@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import below, fold, seeded, table
+from raretide.llm.common import below, fold, seeded, table, text_key
 
 SNIPPETS, SNIPPET, BLOCK = 96, 320, 512
 UNKNOWN = "und"
@@ -168,6 +168,20 @@ def predict(docs: DataFrame, training: tuple[tuple[str, str], ...], keep: list[s
     return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
 
 
+def rejected(docs: DataFrame, training: tuple[tuple[str, str], ...]) -> DataFrame:
+    """doc_id and ``tie`` (text hash) of the documents without a language: only ids and texts go to the workers, only these come back."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tv.slices(batch, "text"):
+                lang, _ = identify(part.column("text").to_pylist(), training)
+                yield part.select(["doc_id", "tie"]).filter(pa.array([x == UNKNOWN for x in lang], pa.bool_()))
+        _build.cache_clear()
+        tv.release()
+
+    rows = docs.select("doc_id", text_key().alias("tie"), "text")
+    return rows.mapInArrow(run, rows.drop("text").schema).distinct()
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return predict(docs, learn(docs), ["doc_id"]).select(

@@ -101,7 +101,9 @@ class Codec:
 
 @functools.lru_cache(maxsize=1)
 def codec(path: str) -> Codec:
-    return Codec(path)
+    own = Codec(path)
+    tv.release()  # the parsed file
+    return own
 
 
 def splice(own: Codec, left: list[int], middle: bytes, right: list[int]) -> list[int]:
