@@ -1,27 +1,29 @@
 """The corpus pipeline: five stages, each on all that its predecessor kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet in the shared
-folder and reads it as the next stage's docs.  All stages but the last keep the columns of ``docs``.  Null texts
-have no language and go in the first stage; an empty table stays empty throughout.
+folder and reads it as the next stage's docs.  All stages but the last keep the columns of ``docs``, extra ones and any of
+clashing names included.  Null texts have no language and go in the first stage; an empty table stays empty throughout.  Of repeated rows
+and of ties the near-duplicate stage keeps one; very long texts are read whole in every stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from raretide.llm import op3_decontamination, op5_mixing, op7_token_files, op8_near_duplicates, op10_language
-from raretide.llm.common import scratch_path, table, written
+from raretide.llm.common import scratch_path, small_batches, table, without, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (no letter at all) go; the others stay as they are."""
     training = op10_language.learn(docs) or (("any", ""),)  # nothing learned: one language that every letter fits
-    judged = op10_language.predict(docs, training, docs.columns, out=("__lang", "__score"))
-    return judged.where(F.col("__lang") != op10_language.UNKNOWN).select(*docs.columns)
+    small_batches(spark)
+    return without(docs, written(op10_language.rejected(docs, training), "no-language"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, likeness 0.8 or more) stays."""
+    small_batches(spark)
     return op8_near_duplicates.keep_one(docs)
 
 
@@ -37,6 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed corpus as token files, read back: doc_id, start, n_tokens, ids_crc32 of each document."""
+    small_batches(spark)
     folder = scratch_path(spark, "tokens")
     op7_token_files.write_tokens(docs, folder, op7_token_files.vocabulary_path())
     return op7_token_files.read_tokens(spark, folder)
