@@ -6,11 +6,16 @@ the fewest phrases per letter wins (ties: the first by code point); score is 1 m
 the runner-up's (1 with a single language).
 
 Letters are lower-cased; every run of other characters is one gap.  A letter that no training text has is a phrase
-of its own.  Texts are parsed in blocks of ``BLOCK`` letters side by side, so phrases end at block ends: whole
-texts are read and memory stays bounded.  Training text is a bounded sample: ``SNIPPETS`` snippets of
-``SNIPPET`` characters a language, from the labelled rows of lowest seeded hash.
+of its own.  Whole texts are parsed, in blocks of ``BLOCK`` letters side by side so that memory stays bounded.  A block
+begins in the state its predecessor ends in: it is parsed from the start state first, then again from that state
+until both parses are in the same state, from where on they agree.  So the phrases are those of the whole text.
 
-Null texts and texts without a letter, and all texts if nothing was learned, are ``und`` with score 0.
+Training text is a bounded sample of labelled rows, whole texts in the order of a seeded hash: at most ``ROWS`` rows and
+``CHARS`` characters a language, among rows of at most ``LONGEST`` characters (a language without such rows: its
+shortest ones, one at least).
+
+Null texts and texts without a letter, and all texts if nothing was learned, are ``und`` with score 0.  Repeated rows get
+the same answer each; columns not asked for, extra ones among them, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,12 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from raretide.llm import textvec as tv
 from raretide.llm.common import below, fold, seeded, table, text_key
 
-SNIPPETS, SNIPPET, BLOCK = 96, 320, 512
+ROWS, CHARS, LONGEST, BLOCK = 64, 49_152, 16_384, 512
 UNKNOWN = "und"
 
 
@@ -82,35 +87,60 @@ def _build(training: tuple[tuple[str, str], ...]) -> tuple[list[str], np.ndarray
     return [lang for lang, _ in training], symbol, np.concatenate(tables).astype(np.int32), starts
 
 
-def phrases(lanes: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: int) -> np.ndarray:
-    """Greedy phrases of each lane (rows of symbols, longest first) under one language."""
+def _step(state: np.ndarray, symbols: np.ndarray, steps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """States after one more symbol, the lanes whose phrase ended before it, and how many phrases ended there."""
+    to = steps.reshape(-1)[state * np.int64(steps.shape[1]) + symbols]
+    where = np.flatnonzero(to < 0)
+    again = steps[start][symbols[where]]
+    to[where] = np.where(again < 0, start, again)
+    return to, where, (state[where] != start).astype(np.int32) + (again < 0)  # an unknown letter is a phrase by itself
+
+
+def phrases(lanes: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: int, before: np.ndarray | None = None) -> np.ndarray:
+    """Greedy phrases of each lane (rows of symbols, longest first) under one language.
+
+    ``before`` names the lane that a lane goes on from (-1: it begins a text); a phrase counts in the lane where it ends."""
     n = len(lanes)
-    state = np.full(n, start, dtype=np.int32)
+    before = np.full(n, -1) if before is None else before
+    end = np.full(n, start, dtype=np.int32)
     count = np.zeros(n, dtype=np.int32)
-    width = steps.shape[1]
-    flat = steps.reshape(-1)
-    begin = steps[start]
     alive = np.searchsorted(-lengths, -np.arange(lanes.shape[1]), side="left")  # lanes longer than each position
-    for i in range(lanes.shape[1]):
-        k = alive[i]
-        sym = lanes[:k, i]
-        to = flat[state[:k] * np.int64(width) + sym]
-        lost = to < 0
-        where = np.flatnonzero(lost)
-        if len(where):
-            count[where] += state[where] != start
-            again = begin[sym[where]]
-            count[where] += again < 0  # an unknown letter is a phrase by itself
-            to[where] = np.where(again < 0, start, again)
-        state[:k] = to
-    return count + (state != start)
+    for i, k in enumerate(alive):
+        end[:k], where, ended = _step(end[:k], lanes[:k, i], steps, start)
+        count[where] += ended
+    entry = np.full(n, start, dtype=np.int32)
+    while True:  # parse lanes again whose predecessor ends elsewhere than they began, until both parses agree
+        want = np.where(before >= 0, end[before], start)
+        live = np.flatnonzero(want != entry)
+        if not len(live):
+            break
+        old, new = entry[live], want[live]
+        entry[live] = new
+        for i in range(lanes.shape[1]):
+            inside = lengths[live] > i
+            if not inside.all():
+                end[live[~inside]] = new[~inside]
+                live, old, new = live[inside], old[inside], new[inside]
+            if not len(live):
+                break
+            symbols = lanes[live, i]
+            old, where, ended = _step(old, symbols, steps, start)
+            count[live[where]] -= ended
+            new, where, ended = _step(new, symbols, steps, start)
+            count[live[where]] += ended
+            apart = old != new
+            live, old, new = live[apart], old[apart], new[apart]
+        end[live] = new
+    last = np.ones(n, dtype=bool)
+    last[before[before >= 0]] = False
+    return count + (last & (end != start))
 
 
 def identify(texts: list[str | None], training: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float]]:
     if not training:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
     langs, symbol, steps, starts = _build(training)
-    own, owner = [], []
+    own, owner, first = [], [], []
     has = np.zeros(len(texts), dtype=bool)
     for i, t in enumerate(texts):
         cp = letters(t) if t else np.zeros(0, np.uint32)
@@ -120,36 +150,46 @@ def identify(texts: list[str | None], training: tuple[tuple[str, str], ...]) ->
             n = -(-len(sym) // BLOCK)
             own += np.array_split(sym, n)
             owner += [i] * n
+            first += [True] + [False] * (n - 1)
     counts = np.zeros((len(texts), len(langs)))
     if own:
         lengths = np.array([len(b) for b in own])
         order = np.argsort(-lengths, kind="stable")
         lanes = np.zeros((len(own), lengths.max()), dtype=np.uint16, order="F")
-        for row, j in enumerate(order):
-            lanes[row, :lengths[j]] = own[j]
+        for at, j in enumerate(order):
+            lanes[at, :lengths[j]] = own[j]
+        row = np.empty(len(order), dtype=np.int64)
+        row[order] = np.arange(len(order))
+        before = np.where(np.array(first), -1, np.roll(row, 1))[order]
         owners, lengths = np.array(owner)[order], lengths[order]
         for k, start in enumerate(starts):
-            counts[:, k] = np.bincount(owners, weights=phrases(lanes, lengths, steps, start), minlength=len(texts))
+            counts[:, k] = np.bincount(owners, weights=phrases(lanes, lengths, steps, start, before), minlength=len(texts))
     best = counts.argmin(axis=1)
     ranked = np.sort(counts, axis=1)
     score = 1 - ranked[:, 0] / np.maximum(ranked[:, 1], 1) if len(langs) > 1 else np.ones(len(texts))
     return [langs[b] if h else UNKNOWN for b, h in zip(best, has)], np.where(has, score, 0.0).tolist()
 
 
-def learn(docs: DataFrame, snippets: int = SNIPPETS, size: int = SNIPPET) -> tuple[tuple[str, str], ...]:
-    """Bounded training text of each language, from rows whose crc32(doc_id) mod 3 is not 1."""
-    rows = docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & (F.length("text") > 0))
+def learn(docs: DataFrame, rows: int = ROWS, chars: int = CHARS, longest: int = LONGEST) -> tuple[tuple[str, str], ...]:
+    """Bounded training text of each language, whole texts of rows whose crc32(doc_id) mod 3 is not 1."""
+    size = F.length("text")
+    known = docs.where((fold("doc_id", 3) != 1) & F.col("lang").isNotNull() & (size > 0))
+    stats = known.groupBy("lang").agg(F.count(F.when(size <= longest, 1)).alias("n"), F.min(size).alias("least")).collect()
+    if not stats:
+        return ()
+
+    def by_language(values: dict) -> Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col("lang"))
+
     key = seeded("doc_id", "lang-1")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if many := {lang: 4.0 * snippets / n for lang, n in counts.items() if n > 4 * snippets}:  # order a few of a frequent language's rows only
-        shares = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
-        rows = rows.where(below(key, F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(1.0))))
-    # the middle of a text: openings may be shared
-    at = F.greatest(F.lit(1), (F.length("text") / 2 - size / 2).cast("int"))
-    order = Window.partitionBy("lang").orderBy("key", "doc_id")
-    picked = (rows.select("lang", "doc_id", key.alias("key"), F.substring("text", at, F.lit(size)).alias("s"))
-              .withColumn("r", F.row_number().over(order)).where(F.col("r") <= snippets)
-              .groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "s"))), lambda v: v["s"]), "\n").alias("t")))
+    some = known.where(size <= by_language({r["lang"]: max(longest, r["least"]) for r in stats}))
+    # order a few of a frequent language's rows only
+    some = some.where(below(key, by_language({r["lang"]: min(1.0, 4.0 * rows / max(1, r["n"])) for r in stats})))
+    order = Window.partitionBy("lang").orderBy("key", "doc_id", "text")
+    picked = (some.select("lang", "doc_id", key.alias("key"), "text").withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows)
+              .withColumn("upto", F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+              .where((F.col("upto") <= chars) | (F.col("r") == 1))
+              .groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "text"))), lambda v: v["text"]), "\n").alias("t")))
     return tuple((r["lang"], r["t"]) for r in picked.orderBy("lang").collect())
 
 

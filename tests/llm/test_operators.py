@@ -600,3 +600,53 @@ def test_blocks_only_cut_phrases():
     lang, score = o.identify([long, long[:40], None, "12"], training)
     assert lang == ["aa", "aa", "und", "und"] and score[2:] == [0.0, 0.0] and score[0] > 0.3
     assert math.isclose(o.identify(["lomi"], training[:1])[1][0], 1.0)
+
+
+def test_block_parse_is_whole_text_parse(monkeypatch):
+    from raretide.llm import op10_language as o
+    r = random.Random(5)
+    training = (("aa", "".join(r.choice("ab ") for _ in range(70))), ("bb", "".join(r.choice("abc") for _ in range(60))), ("cc", "a" * 30))
+
+    def brute(text, train):
+        n, at = 0, 0
+        while at < len(text):
+            k = 0
+            while at + k < len(text) and text[at:at + k + 1] in train:
+                k += 1
+            at += max(k, 1)
+            n += 1
+        return n
+
+    def plain(text):
+        return "".join(map(chr, o.letters(text)))
+
+    texts = ["".join(r.choice("abcd ") for _ in range(r.randint(1, 300))) + "a" for _ in range(60)] + ["a" * 500, "ab" * 200, None, "..", "a"]
+    whole = {}
+    for block in (1, 2, 7, 64, 10_000):
+        monkeypatch.setattr(o, "BLOCK", block)
+        langs, scores = o.identify(texts, training)
+        for t, lang, score in zip(texts, langs, scores):
+            if not t or t == "..":
+                assert (lang, score) == (o.UNKNOWN, 0.0)
+                continue
+            counts = whole.setdefault(t, [brute(plain(t), plain(x)) for _, x in training])
+            low, second = sorted(counts)[:2]
+            assert lang == training[counts.index(low)][0] and math.isclose(score, 1 - low / max(second, 1))
+
+
+def test_training_texts_are_whole_and_bounded(spark):
+    from raretide.llm import op10_language as o
+    rows = [(i, chr(97 + i % 7) * (i % 40 + 1), "aa" if i % 3 else "bb", "s") for i in range(300)]
+    rows += [(1000, "x" * 900, "cc", "s"), (1002, "y" * 700, "cc", "s"), (1003, "y" * 700, "cc", "s"), (1004, "", "dd", "s"), (1005, None, "dd", "s")]
+    docs = docs_frame(spark, rows)
+    held = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 3 == 1}
+    got = dict(o.learn(docs, rows=12, chars=200, longest=30))
+    for lang, text in got.items():
+        parts = text.split("\n")
+        allowed = [t for i, t, known, _ in rows if known == lang and t and i not in held]
+        assert parts and all(p in allowed for p in parts)
+        if lang != "cc":
+            assert len(parts) <= 12 and sum(map(len, parts)) <= 200 and max(map(len, parts)) <= 30
+        else:  # no text is short enough: a shortest one, whole
+            assert len(parts) == 1 and len(parts[0]) == min(map(len, allowed))
+    assert "dd" not in got and o.learn(docs, rows=12, chars=200, longest=30) == o.learn(docs.repartition(5), rows=12, chars=200, longest=30)
