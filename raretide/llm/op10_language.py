@@ -31,6 +31,7 @@ from raretide.llm import textvec as tv
 from raretide.llm.common import below, fold, seeded, table, text_key
 
 ROWS, CHARS, LONGEST, BLOCK = 64, 49_152, 16_384, 512
+FEW = 32  # so many lanes or fewer go letter by letter
 UNKNOWN = "und"
 
 
@@ -96,6 +97,31 @@ def _step(state: np.ndarray, symbols: np.ndarray, steps: np.ndarray, start: int)
     return to, where, (state[where] != start).astype(np.int32) + (again < 0)  # an unknown letter is a phrase by itself
 
 
+def _meet(symbols: list[int], old: int, new: int, steps: np.ndarray, start: int) -> tuple[int, int | None]:
+    """Two parses of one lane, letter by letter until they agree: phrases of ``new`` less those of ``old``, and the last
+    state of ``new`` (None if they met)."""
+    width, at = steps.shape[1], steps.reshape(-1).item
+    more = 0
+    for c in symbols:
+        a, b = at(old * width + c), at(new * width + c)
+        if a < 0:
+            more -= old != start
+            a = at(start * width + c)
+            if a < 0:
+                more -= 1
+                a = start
+        if b < 0:
+            more += new != start
+            b = at(start * width + c)
+            if b < 0:
+                more += 1
+                b = start
+        if a == b:
+            return more, None
+        old, new = a, b
+    return more, new
+
+
 def phrases(lanes: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: int, before: np.ndarray | None = None) -> np.ndarray:
     """Greedy phrases of each lane (rows of symbols, longest first) under one language.
 
@@ -121,7 +147,12 @@ def phrases(lanes: np.ndarray, lengths: np.ndarray, steps: np.ndarray, start: in
             if not inside.all():
                 end[live[~inside]] = new[~inside]
                 live, old, new = live[inside], old[inside], new[inside]
-            if not len(live):
+            if len(live) <= FEW:
+                for row, x, y in zip(live.tolist(), old.tolist(), new.tolist()):
+                    more, last = _meet(lanes[row, i:lengths[row]].tolist(), x, y, steps, start)
+                    count[row] += more
+                    end[row] = end[row] if last is None else last
+                live, new = live[:0], new[:0]
                 break
             symbols = lanes[live, i]
             old, where, ended = _step(old, symbols, steps, start)

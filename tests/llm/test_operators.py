@@ -622,8 +622,9 @@ def test_block_parse_is_whole_text_parse(monkeypatch):
 
     texts = ["".join(r.choice("abcd ") for _ in range(r.randint(1, 300))) + "a" for _ in range(60)] + ["a" * 500, "ab" * 200, None, "..", "a"]
     whole = {}
-    for block in (1, 2, 7, 64, 10_000):
+    for block, few in itertools.product((1, 2, 7, 64, 10_000), (0, 3, 1000)):
         monkeypatch.setattr(o, "BLOCK", block)
+        monkeypatch.setattr(o, "FEW", few)
         langs, scores = o.identify(texts, training)
         for t, lang, score in zip(texts, langs, scores):
             if not t or t == "..":
