@@ -13,6 +13,8 @@ all rows.  The helpers below split every series into bounded pieces and stitch t
 * ``carry_last`` / ``carry_max``   unbounded scans (forward fill, last failure): local running value
                         per piece, combined with the value carried in from all earlier pieces.
 
+* ``in_pieces``         the time buckets of the scans above; a bucket that one key crowds is cut at measured points
+                        of its time, then of its tiebreak.
 * ``nth_keys``          the row at a position, by narrowing counts; no row is moved.
 * ``range_cuts``        even pieces of any distribution, from quantiles.
 
@@ -26,12 +28,16 @@ import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from raretide.functions.timecols import DAY_US
 from raretide.session import written
 
 DEFAULT_BUCKET_US = DAY_US
 DEFAULT_BLOCK_ROWS = 65_536
+CROWDED_ROWS = 1_000_000  # rows of one key in one time bucket beyond which the bucket is cut
+MAX_PARTS = 4_096  # parts of one crowded bucket
+MAX_CUTS_BROADCAST = 2_000_000  # 8 bytes each
 
 _UNB = Window.unboundedPreceding
 
@@ -45,13 +51,13 @@ def _shared(d: DataFrame) -> DataFrame:
     return written(d, "scan")
 
 
-def join_pieces(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+def join_pieces(rows: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join the one-row-per-piece ``summary`` back to its rows; NULL keys are keys like any other."""
     renamed = summary.select(*[F.col(c).alias(f"_on{on.index(c)}") if c in on else F.col(c) for c in summary.columns])
     same = F.lit(True)
     for i, c in enumerate(on):
         same = same & F.col(c).eqNullSafe(F.col(f"_on{i}"))
-    return rows.join(renamed, same).drop(*[f"_on{i}" for i in range(len(on))])
+    return rows.join(renamed, same, how).drop(*[f"_on{i}" for i in range(len(on))])
 
 
 def _part(keys: Sequence[str], *extra: str) -> Window:
@@ -69,20 +75,74 @@ def time_bucket(us: str | Column, bucket_us: int) -> Column:
     return F.floor(c / F.lit(bucket_us)).cast("long")
 
 
+def _crowded_cuts(d: DataFrame, groups: Sequence[str], by: str, rows: int, one: str | None) -> tuple[DataFrame, int] | None:
+    """Points of ``by`` that cut every group of more than ``rows`` rows into parts of about half as many, and the stride
+    of its index (``_coarse``); None if no group is so large.  With ``one`` only groups that hold a single value of it.
+
+    A value that fills several parts is cut off from the values above it, so it is alone in its part."""
+    told = [F.count(F.lit(1)).alias("_n")] + ([F.min(one).alias("_low"), F.max(one).alias("_high")] if one else [])
+    large = d.groupBy(*groups).agg(*told).where(F.col("_n") > rows)
+    large = large.where(F.col("_low").eqNullSafe(F.col("_high"))) if one else large
+    top = large.agg(F.max("_n")).first()[0]
+    if top is None:
+        return None
+    parts = min(MAX_PARTS, -(-2 * top // rows))
+    stride = math.isqrt(2 * parts) + 1
+    large = written(large.select(*groups, "_n"), "crowded")
+    share = [i / parts for i in range(1, parts)]
+    found = join_pieces(d.select(*groups, by), large, groups).groupBy(*groups, "_n").agg(
+        F.coalesce(F.percentile_approx(by, share, max(10_000, 10 * parts)), F.array().cast("array<long>")).alias("_v"))
+    step = F.greatest(F.lit(1), F.floor(F.lit(rows * parts) / (2 * F.col("_n")))).cast("int")
+    found = found.withColumn("_v", F.filter("_v", lambda x, i: (i + 1) % step == 0))
+    above = F.transform(F.filter("_v", lambda x, i: x == F.get("_v", i - 1)), lambda x: x + 1)
+    found = found.withColumn("_cuts", F.array_sort(F.array_distinct(F.concat("_v", above))))
+    cuts = written(found.select(*groups, "_cuts", F.filter("_cuts", lambda x, i: i % stride == 0).alias("_coarse")), "cuts")
+    return cuts, stride
+
+
+def in_pieces(df: DataFrame, keys: Sequence[str], us: str, bucket_us: int = DEFAULT_BUCKET_US, tiebreak: str | None = None,
+              rows: int = CROWDED_ROWS) -> DataFrame:
+    """Add ``_bkt``, the piece of its series a row lies in; pieces are ordered as (us, tiebreak) is.
+
+    A piece is a time bucket.  Where one key has more than ``rows`` rows in a bucket, the bucket is cut at measured points of
+    ``us`` and, where one instant alone has that many, of ``tiebreak`` (a number; other types and no tiebreak leave the instant
+    whole).  Rows of one instant are never parted without a tiebreak.  The usual case costs one narrow count."""
+    d = df.withColumn("_bkt", time_bucket(us, bucket_us))
+    groups = [*keys, "_bkt"]
+    for by, one in ((us, None), (tiebreak, us)):
+        if by is None or not isinstance(d.schema[by].dataType, IntegralType):
+            break
+        measured = _crowded_cuts(d, groups, by, rows, one)
+        if measured is None:
+            if one is None:
+                break  # no bucket is crowded, so no instant is
+            continue
+        cuts, stride = measured
+        if cuts.agg(F.sum(F.size("_cuts"))).first()[0] <= MAX_CUTS_BROADCAST:
+            cuts = F.broadcast(cuts)
+        d = join_pieces(d, cuts, groups, "left")
+        low = F.size(F.filter("_coarse", lambda x: x <= F.col(by)))
+        inside = F.size(F.filter(F.slice("_cuts", F.greatest(low - 1, F.lit(0)) * stride + 1, F.lit(stride)), lambda x: x <= F.col(by)))
+        part = F.when(low > 0, (low - 1) * stride + inside).otherwise(0)
+        d = d.withColumn("_bkt", F.struct(F.col("_bkt").alias("of"), part.alias("part"))).drop("_cuts", "_coarse")
+    return d
+
+
 def with_row_index(df: DataFrame, keys: Sequence[str], us: str = "_us", tiebreak: str | None = None,
                    bucket_us: int = DEFAULT_BUCKET_US, name: str = "rn",
-                   total_name: str | None = None) -> DataFrame:
+                   total_name: str | None = None, piece_rows: int = CROWDED_ROWS) -> DataFrame:
     """Add ``name`` = 1-based position of the row in its series ``keys`` ordered by (us, tiebreak).
 
     Optionally ``total_name`` = number of rows of the series.  Works for ``keys=[]`` (one global series):
     only the per-bucket count table is ordered globally, and it has one row per time bucket.  The bucket
     sizes come from the same windowed pass as the local row numbers (its first row per bucket), so the
-    input is shuffled once and the small summary reuses that exchange.
+    input is shuffled once and the small summary reuses that exchange.  A bucket that one key crowds is cut
+    (``in_pieces``), so no task holds many more than ``piece_rows`` rows of a series with a numeric tiebreak.
     """
     keys = list(keys)
     order = [F.col(us)] + ([F.col(tiebreak)] if tiebreak else [])
     w = _part(keys, "_bkt")
-    d = (df.withColumn("_bkt", time_bucket(us, bucket_us))
+    d = (in_pieces(df, keys, us, bucket_us, tiebreak, piece_rows)
            .withColumn("_lrn", F.row_number().over(w.orderBy(*order)))
            .withColumn("_bn", F.count(F.lit(1)).over(w)))
     d = _shared(d)
@@ -169,16 +229,16 @@ def carry_last(df: DataFrame, keys: Sequence[str], rn: str, cols: Sequence[str],
 
 
 def carry_max(df: DataFrame, keys: Sequence[str], us: str, value: Column, name: str,
-              bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+              bucket_us: int = DEFAULT_BUCKET_US, piece_rows: int = CROWDED_ROWS) -> DataFrame:
     """Running maximum of ``value`` over all rows with order key <= the row's (peers included).
 
     Per (keys, time bucket) a RANGE frame gives the local maximum; earlier buckets contribute through the
-    bucket maxima (read from the first row of each bucket of the same windowed pass).  Time buckets never
-    split rows with equal timestamps.
+    bucket maxima (read from the first row of each bucket of the same windowed pass).  Time buckets, and the
+    parts of crowded ones, never split rows with equal timestamps.
     """
     keys = list(keys)
     w = _part(keys, "_bkt").orderBy(us)
-    d = (df.withColumn("_bkt", time_bucket(us, bucket_us)).withColumn("_v", value)
+    d = (in_pieces(df, keys, us, bucket_us, rows=piece_rows).withColumn("_v", value)
            .withColumn("_loc", F.max("_v").over(w.rangeBetween(_UNB, 0)))
            .withColumn("_s", F.max("_v").over(w.rowsBetween(_UNB, Window.unboundedFollowing)))
            .withColumn("_r", F.row_number().over(w)))
