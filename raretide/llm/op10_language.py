@@ -41,13 +41,17 @@ def letters(text: str) -> np.ndarray:
     return tv.gaps_joined(cp, tv.letter_flags()[cp])
 
 
-def suffix_automaton(symbols: np.ndarray, alphabet: int) -> np.ndarray:
-    """Transitions (state x symbol) of the automaton of all substrings; 0 is the start, -1 no transition."""
-    nxt = np.full((2 * len(symbols) + 1, alphabet), -1, dtype=np.int32)
+def suffix_automaton(symbols: np.ndarray, alphabet: int, room: np.ndarray | None = None) -> np.ndarray:
+    """Transitions (state x symbol) of the automaton of all substrings; 0 is the start, -1 no transition.
+
+    They are written to the first rows of ``room`` (2 * symbols + 1 states at most, rows not set before); others stay untouched."""
+    nxt = np.empty((2 * len(symbols) + 1, alphabet), dtype=np.int32) if room is None else room
+    nxt[0] = -1
     link, length = [-1], [0]
     last, n = 0, 1
     for c in symbols.tolist():
         cur, n = n, n + 1
+        nxt[cur] = -1
         length.append(length[last] + 1)
         link.append(0)
         p = last
@@ -79,13 +83,15 @@ def _build(training: tuple[tuple[str, str], ...]) -> tuple[list[str], np.ndarray
     symbol = np.zeros(0x110000, dtype=np.uint16)
     symbol[known] = np.arange(1, len(known) + 1)
     width = len(known) + 1
-    tables, starts, at = [], [], 0
+    # every automaton is built at its place in one table; rows that no state takes are never touched and cost nothing
+    steps = np.empty((sum(2 * len(t) + 1 for t in texts), width), dtype=np.int32)
+    starts, at = [], 0
     for t in texts:
-        own = suffix_automaton(symbol[t], width)
-        tables.append(np.where(own >= 0, own + at, -1))
+        own = suffix_automaton(symbol[t], width, steps[at:])
+        np.add(own, at, out=own, where=own >= 0)
         starts.append(at)
         at += len(own)
-    return [lang for lang, _ in training], symbol, np.concatenate(tables).astype(np.int32), starts
+    return [lang for lang, _ in training], symbol, steps[:at], starts
 
 
 def _step(state: np.ndarray, symbols: np.ndarray, steps: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -150,6 +150,8 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
                     "piece": pa.array([piece] * len(docs), pa.int32()), "doc_id": pa.array([x["doc_id"] for x in docs], pa.int64()),
                     "local_start": pa.array([x["local_start"] for x in docs], pa.int64()), "n_tokens": pa.array(n, pa.int64()),
                     "ids_crc32": pa.array(crc, pa.int64())})
+        codec.cache_clear()  # all is encoded: the worker keeps no vocabulary
+        tv.release()
 
     index = spark.read.parquet(f"{folder}/index")
     before = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)  # one row a piece
