@@ -2,12 +2,12 @@
 
 Each low-quality training document is paired with ``PAIRS`` high-quality ones (by rank in a seeded order); a pair
 says that the second is preferred.  Logistic loss on the feature differences, without intercept, gives one weight
-per feature; a document's margin is their sum.  The threshold is the quantile of the sample's margins at its share
+per feature; a document's margin is their sum.  The threshold is the quantile of the training margins at their share
 of low-quality rows (halfway to the next margin), and the score is a logistic curve of the margin that is 0.3 there.
 
-The pairs, the quantile and the curve come from a bounded sample: the ``SAMPLE`` labelled training rows of lowest
-seeded hash.  Features are shares and counts of the whole text only.  Null and empty texts have all features 0.
-Without both labels in the sample every score is the share of label 1 (or 1).
+The pairs, the quantile and the curve come from all labelled training rows.  Ranks are counted by pieces and quantiles
+by narrowing counts, so no task and no driver holds them all.  Features are shares and counts of the whole text only.
+Null and empty texts have all features 0.  Without both labels every score is the share of label 1 (or 1).
 """
 
 from __future__ import annotations
@@ -17,12 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, Window
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from raretide.llm import textvec as tv
-from raretide.llm.common import broadcast_up_to, fold, lowest, seeded, table, written
+from raretide.llm.common import PIECE_ROWS, broadcast_up_to, fold, seeded, table, written
+from raretide.operators.scan import nth_keys, with_row_index
 
-SAMPLE, PAIRS, DECISION = 20_000, 8, 0.3
+PAIRS, DECISION = 8, 0.3
+FINE = 2 ** 30  # parts of 1 in which margins are counted for quantiles
 
 
 def _bytes(chars: str) -> np.ndarray:
@@ -107,25 +109,33 @@ def _map_margin(columns: list[str], weights: list[float]):
     return run
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
-    """``doc_id, quality, x`` of the bounded training sample; training rows: crc32(doc_id) mod 5 is not 0."""
+def training(docs: DataFrame, labels: DataFrame, small: int = 1_000_000) -> DataFrame:
+    """``doc_id, quality, x`` of all labelled training rows: crc32(doc_id) mod 5 is not 0.  At most ``small`` labels are broadcast."""
     known = labels.where((fold("doc_id", 5) != 0) & F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("quality"))
-    picked = lowest(known, "quality-1", rows)
-    picked = broadcast_up_to(written(picked, "quality-ids"), rows)
-    joined = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "quality", "text")
-    return written(joined.mapInArrow(_map_features(["doc_id", "quality"]), "doc_id long, quality int, x array<double>"), "quality-sample")
+    joined = docs.select("doc_id", "text").join(broadcast_up_to(known, small), "doc_id").select("doc_id", "quality", "text")
+    return written(joined.mapInArrow(_map_features(["doc_id", "quality"]), "doc_id long, quality int, x array<double>"), "quality-training")
+
+
+sample = training  # its name while the rows were a sample
+
+
+def middle(rows: DataFrame, low: int, high: int) -> float:
+    """The mean of the values at two 1-based positions of the only column, whole numbers."""
+    found = nth_keys(rows, rows.columns, list(dict.fromkeys([low, high])))
+    return (found[0][0] + found[-1][0]) / 2
 
 
 def learn(train: DataFrame, pairs: int = PAIRS) -> dict:
-    """Feature weights, threshold and curve from ``doc_id, quality, x`` rows (a bounded table)."""
+    """Feature weights, threshold and curve from ``doc_id, quality, x`` rows, a written table."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
     sizes = {r["quality"]: r["count"] for r in train.groupBy("quality").count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
         return {"weights": [0.0] * len(FEATURES), "threshold": 0.0, "slope": 0.0, "level": n1 / max(1, n0 + n1) if n0 + n1 else 1.0}
-    order = Window.partitionBy("quality").orderBy(seeded("doc_id", "pair-1"), "doc_id")
-    ranked = train.withColumn("r", F.row_number().over(order) - 1)
+    place = F.conv(F.substring(seeded("doc_id", "pair-1"), 1, 15), 16, 10).cast("long")
+    piece = 2 ** 60 // -(-(n0 + n1) // PIECE_ROWS)
+    ranked = with_row_index(train.withColumn("_place", place), ["quality"], "_place", "doc_id", piece, name="r").withColumn("r", F.col("r") - 1)
     low = ranked.where("quality = 0").select(F.col("x").alias("x0"), F.col("r").alias("r0"), F.explode(F.sequence(F.lit(0), F.lit(min(pairs, n1) - 1))).alias("j"))
     low = low.withColumn("r", (F.col("r0") * pairs + F.col("j")) % n1)
     both = low.join(ranked.where("quality = 1").select("r", F.col("x").alias("x1")), "r")
@@ -136,11 +146,11 @@ def learn(train: DataFrame, pairs: int = PAIRS) -> dict:
         data.select(array_to_vector("d").alias("features"), "label"))
     w = [float(v) for v in model.coefficients]
     margin = F.aggregate(F.zip_with("x", F.lit(w), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    rows = train.select(margin.alias("m"), "quality").orderBy("m").collect()  # two numbers a row of the bounded sample
-    m = np.array([r["m"] for r in rows])
-    threshold = float((m[n0 - 1] + m[n0]) / 2)
-    spread = float(np.median(np.abs(m - threshold))) or 1.0
-    return {"weights": w, "threshold": threshold, "slope": 4.0 / spread, "level": DECISION}
+    margins = written(train.select(F.floor(margin * FINE).alias("m")), "quality-margins")
+    threshold = middle(margins, n0, n0 + 1)
+    far = margins.select(F.abs(2 * F.col("m") - int(2 * threshold)).alias("m"))  # twice the distance, a whole number
+    spread = middle(far, (n0 + n1 + 1) // 2, (n0 + n1) // 2 + 1) / 2 / FINE or 1.0
+    return {"weights": w, "threshold": threshold / FINE, "slope": 4.0 / spread, "level": DECISION}
 
 
 def score(docs: DataFrame, model: dict, keep: list[str], out: str = "score") -> DataFrame:

@@ -545,6 +545,23 @@ def test_quality_prefers_and_thresholds(spark, odd, none):
     assert all(r["score"] == pytest.approx(1.0) for r in o.score(odd, flat, ["doc_id"]).collect())
 
 
+def test_quality_learns_from_all_labelled_rows(spark):
+    from raretide.llm import op9_quality as o
+    docs = spark.range(26_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("BUY NOW!! "), "id")).otherwise(
+        F.concat(F.lit("a quiet line of words "), "id")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 != 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    train = o.training(docs, labels)
+    known = [i for i in range(26_000) if zlib.crc32(str(i).encode()) % 5]
+    assert len(known) > 20_000 and train.count() == len(known)
+    model = o.learn(train)
+    # threshold and slope are the quantile and the median distance of all margins
+    x = np.array([r["x"] for r in train.select("x").collect()])
+    m, n0 = np.sort(x @ np.array(model["weights"])), sum(i % 3 == 0 for i in known)
+    assert model["threshold"] == pytest.approx((m[n0 - 1] + m[n0]) / 2, abs=1e-8)
+    assert model["slope"] == pytest.approx(4 / np.median(np.abs(m - model["threshold"])), rel=1e-6)
+    assert o.learn(train.where("quality = 1"))["level"] == 1.0
+
+
 # ---------------------------------------------------------------- 10 language
 
 def test_suffix_automaton_parses_like_brute_force():
