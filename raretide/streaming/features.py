@@ -68,7 +68,7 @@ def windowed(us: np.ndarray, x: np.ndarray, at: int, sensors: Sequence[str]) ->
     pos = np.arange(len(us), dtype=np.longdouble)[:, None] * seen
     count, s1, s2 = _prefix(seen.astype(np.int64)), _prefix(d), _prefix(d * d)
     p1, p2, ps = _prefix(pos), _prefix(pos * pos), _prefix(pos * d)
-    high, low = np.where(seen, x, -np.inf), np.where(seen, -x, -np.inf)
+    ends = np.where(np.hstack([seen, seen]), np.hstack([x, -x]), -np.inf)
     hi = np.searchsorted(us, us[at:], side="right")  # rows of the same time belong to the window
     with np.errstate(invalid="ignore", divide="ignore"):
         for span in dict.fromkeys([*ROLLING_SPANS, SLOPE_SPAN]):
@@ -78,7 +78,8 @@ def windowed(us: np.ndarray, x: np.ndarray, at: int, sensors: Sequence[str]) ->
             some, two = n >= 1, n >= 2
             if span in ROLLING_SPANS:
                 var = np.where(two, np.maximum(t2 - t1 * t1 / n, 0) / (n - 1), np.nan).astype(float)
-                top, bottom = range_max(high, lo, hi), -range_max(low, lo, hi)
+                top, bottom = np.hsplit(range_max(ends, lo, hi), 2)
+                bottom = -bottom
                 stats = {"mean": np.where(some, t1 / n + shift, np.nan).astype(float), "std": np.sqrt(var), "var": var,
                          "max": np.where(some, top, np.nan), "min": np.where(some, bottom, np.nan), "range": np.where(some, top - bottom, np.nan)}
                 out |= {f"{s}_rolling_{stat}_{span}": v[:, j] for stat, v in stats.items() for j, s in enumerate(sensors)}
@@ -96,6 +97,22 @@ def filled(values: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.take_along_axis(whole, np.maximum.accumulate(at, axis=0), axis=0)[1:]
 
 
+def ema_after(values: list[float], alpha: float, y: float, gap: int) -> list[float]:
+    """EMA (adjust=False, NaN as missing) of ``values`` after an EMA ``y`` (NaN: none) that is ``gap`` rows without a value old."""
+    keep, out = 1.0 - alpha, []
+    old = keep ** gap
+    for v in values:
+        old *= keep
+        if v == v:
+            if y != y:
+                y = v
+            elif y != v:
+                y = (old * y + alpha * v) / (old + alpha)
+            old = 1.0
+        out.append(y)
+    return out
+
+
 class Release:
     """Feature rows of one entity's readings, with the state they leave."""
 
@@ -106,6 +123,8 @@ class Release:
         self.deltas = [f"{s}_delta_mean_1h_6h" for s in self.sensors]
         self.zeroed = [c for c in self.names if is_filled_then_zero(c)]
         self.carried = [*self.zeroed, *self.inter, *self.sensors, *self.deltas]
+        made = [*self.carried, *(f"{s}_roc_1" for s in self.sensors), "hours_since_last_failure"]
+        self.place = np.array([made.index(c) for c in self.names])
 
     def empty(self) -> dict:
         k = len(self.sensors)
@@ -130,34 +149,37 @@ class Release:
         all_us, all_x, at = np.concatenate([past_us, us]), np.vstack([past_x, x]), len(past_us)
         f = windowed(all_us, all_x, at, self.sensors)
         lagged = np.vstack([np.array(st["lags"]).reshape(2, k), x])  # two rows ago, one row ago, now ...
+        roc = x - lagged[1:-1]
+        seen = ~np.isnan(x)
         for j, s in enumerate(self.sensors):
             f[s] = x[:, j]
             f[f"{s}_lag_1"], f[f"{s}_lag_2"] = lagged[1:-1, j], lagged[:-2, j]
-            f[f"{s}_roc_1"] = np.nan_to_num(x[:, j] - lagged[1:-1, j], nan=0.0)
             f[f"{s}_delta_mean_1h_6h"] = f[f"{s}_rolling_mean_1h"] - f[f"{s}_rolling_mean_6h"]
+            values = x[:, j].tolist()
             for e, span in enumerate(EMA_SPANS):
-                old = st["ema"][j * len(EMA_SPANS) + e]
-                warm = [] if np.isnan(old) else [old, *[np.nan] * min(st["gap"][j], MAX_GAP)]
-                ema = pd.Series(np.concatenate([warm, x[:, j]])).ewm(span=span, adjust=False).mean().to_numpy()[len(warm):]
+                ema = ema_after(values, 2.0 / (span + 1.0), st["ema"][j * len(EMA_SPANS) + e], min(st["gap"][j], MAX_GAP))
                 f[f"{s}_ema_{span}"] = ema
-                st["ema"][j * len(EMA_SPANS) + e] = float(ema[-1])
-            known = np.flatnonzero(~np.isnan(x[:, j]))
+                st["ema"][j * len(EMA_SPANS) + e] = ema[-1]
+            known = np.flatnonzero(seen[:, j])
             st["gap"][j] = int(len(x) - 1 - known[-1]) if len(known) else st["gap"][j] + len(x)
         for a, b, op in self.pairs:
             f[f"{a}_{b}"] = f[a] * f[b] if op == "mul" else f[a] / (f[b] + RATIO_EPSILON)
         failed = np.concatenate([np.array([st["last_failure"]] if st["last_failure"] is not None else [], dtype=np.int64), us[failure == 1]])
         last = np.searchsorted(failed, us, side="right") - 1
-        f["hours_since_last_failure"] = np.where(last >= 0, (us - failed[np.maximum(last, 0)]) / float(HOUR_US), NO_FAILURE_HOURS) if len(failed) else np.full(len(us), NO_FAILURE_HOURS)
+        hours = np.where(last >= 0, (us - failed[np.maximum(last, 0)]) / float(HOUR_US), NO_FAILURE_HOURS) if len(failed) else np.full(len(us), NO_FAILURE_HOURS)
         full = filled(np.stack([f[c] for c in self.carried], axis=1), np.array(st["fill"], dtype=float))
-        f |= {c: full[:, i] for i, c in enumerate(self.carried)}
-        f |= {c: np.nan_to_num(f[c], nan=0.0) for c in self.zeroed}
+        zeros = np.hstack([full[:, :len(self.zeroed)], roc])
+        zeros[np.isnan(zeros)] = 0.0
+        made = np.hstack([zeros[:, :len(self.zeroed)], full[:, len(self.zeroed):], zeros[:, len(self.zeroed):], hours[:, None]])
         keep = all_us > us[-1] - max(map(parse_span_us, [*ROLLING_SPANS, SLOPE_SPAN]))
         st |= {"past_us": all_us[keep].tolist(), "past_x": all_x[keep].ravel().tolist(), "lags": lagged[-2:].ravel().tolist(), "fill": full[-1].tolist(),
                "n": st["n"] + len(us), "last_us": int(us[-1]), "last_failure": int(failed[-1]) if len(failed) else None}
-        return np.stack([f[c] for c in self.names], axis=1)
+        return made[:, self.place]
 
 
 def _released(schema: T.StructType, sensors: Sequence[str], idle_us: int):
+    """Rows leave as ``schema``: the key, row_id, ts, failure and all features in one array, as a frame of many columns costs
+    more than its few rows."""
     epoch = np.datetime64("1970-01-01T00:00:00", "us")
     work, columns = Release(sensors), [f.name for f in schema.fields]
 
@@ -167,10 +189,11 @@ def _released(schema: T.StructType, sensors: Sequence[str], idle_us: int):
         us, row, failure = (np.array(st[c], dtype=np.int64) for c in ("wait_us", "wait_row", "wait_failure"))
         x = np.array(st["wait_x"], dtype=float).reshape(-1, len(sensors))
         if not state.hasTimedOut:
-            new = pd.concat(list(chunks), ignore_index=True)
+            parts = list(chunks)
+            new = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
             us = np.concatenate([us, (new["ts"].to_numpy().astype("datetime64[us]") - epoch).astype(np.int64)])
             row, failure = np.concatenate([row, new["row_id"].to_numpy(np.int64)]), np.concatenate([failure, new["failure"].fillna(0).to_numpy(np.int64)])
-            x = np.vstack([x, new[list(sensors)].to_numpy(dtype=float, na_value=np.nan)])
+            x = np.vstack([x, np.column_stack([new[s].to_numpy(dtype=float, na_value=np.nan) for s in sensors])])
             order = np.lexsort((row, us))
             us, row, failure, x = us[order], row[order], failure[order], x[order]
         elif not len(us) and st["last_us"] is not None and st["last_us"] + idle_us < now:
@@ -181,10 +204,8 @@ def _released(schema: T.StructType, sensors: Sequence[str], idle_us: int):
             out = work.series(st, us[:ready], failure[:ready], x[:ready], idle_us)
             whole = ~np.isnan(out).any(axis=1)
             if whole.any():
-                frame = pd.DataFrame(out[whole], columns=work.names)
-                for i, v in enumerate((key[0], row[:ready][whole], (epoch + us[:ready][whole].astype("timedelta64[us]")), failure[:ready][whole].astype(np.int32))):
-                    frame.insert(i, columns[i], v)
-                yield frame
+                yield pd.DataFrame(dict(zip(columns, (key[0], row[:ready][whole], epoch + us[:ready][whole].astype("timedelta64[us]"),
+                                                      failure[:ready][whole].astype(np.int32), list(out[whole])))))
         st |= {"wait_us": us[ready:].tolist(), "wait_row": row[ready:].tolist(), "wait_failure": failure[ready:].tolist(), "wait_x": x[ready:].ravel().tolist()}
         state.update(tuple(st[f.name] for f in STATE_SCHEMA.fields))
         due = int(us[ready]) if ready < len(us) else st["last_us"] + idle_us
@@ -199,4 +220,6 @@ def stream_features(readings: DataFrame, sensors: Sequence[str] = SENSORS, key:
     ets = F.timestamp_micros(ts_micros("ts"))  # watermarks need an instant: the wall clock read as UTC, whatever the session's zone
     rows = readings.select(key, "row_id", "ts", "failure", *sensors, ets.alias("ets")).withWatermark("ets", delay)
     idle_us = int(pd.Timedelta(idle) / pd.Timedelta(microseconds=1))
-    return rows.groupBy(key).applyInPandasWithState(_released(schema, list(sensors), idle_us), schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    packed = T.StructType([*schema.fields[:4], T.StructField("_x", _DOUBLES)])
+    made = rows.groupBy(key).applyInPandasWithState(_released(packed, list(sensors), idle_us), packed, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return made.select(*packed.names[:4], *[F.col("_x")[i].alias(f.name) for i, f in enumerate(schema.fields[4:])])
