@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from raretide.functions.scalar import literal_table
+from raretide.operators.scale import long_rows, per_feature
 
 SAMPLE_SIZE = 1000
 SAMPLE_SEED = 42
@@ -37,9 +38,8 @@ def pick_failure_row(df: DataFrame, label: str = "failure_24h", id_col: str = "r
 
 def contributions(df: DataFrame, weights: DataFrame, features: Sequence[str], id_col: str = "row_id") -> DataFrame:
     """Long table (id, feature, value, contribution) with contribution = weight * (value - mean)."""
-    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in features)
-    long = df.selectExpr(id_col, f"stack({len(features)}, {stack}) AS (feature, value)")
-    j = long.join(F.broadcast(weights.select("feature", "weight", "mean")), "feature")
+    numbered = literal_table(df.sparkSession, list(enumerate(features)), ["_i", "feature"]).join(weights.select("feature", "weight", "mean"), "feature")
+    j = long_rows(df, features, [id_col]).join(F.broadcast(numbered), "_i")  # one row a feature
     return j.select(id_col, "feature", "value", (F.col("weight") * (F.col("value") - F.col("mean"))).alias("contribution"))
 
 
@@ -55,12 +55,7 @@ def separation_weights(train: DataFrame, stats: DataFrame, features: Sequence[st
     Deterministic and exact, so its explanations are SQL-checkable; trained Spark ML linear models use
     ``weights_from_model``."""
     y = F.col(label) == 1
-    aggs = []
-    for c in features:
-        aggs += [F.avg(F.when(y, F.col(c))).alias(f"{c}__p"), F.avg(F.when(~y, F.col(c))).alias(f"{c}__n")]
-    wide = train.agg(*aggs)
-    stack = ", ".join(f"'{c}', `{c}__p`, `{c}__n`" for c in features)
-    long = wide.selectExpr(f"stack({len(features)}, {stack}) AS (feature, mean_pos, mean_neg)")
+    long = per_feature(train, features, [F.avg(F.when(y, F.col("value"))).alias("mean_pos"), F.avg(F.when(~y, F.col("value"))).alias("mean_neg")], [label])
     j = long.join(F.broadcast(stats), "feature")
     return j.select("feature", (F.coalesce(F.col("mean_pos") - F.col("mean_neg"), F.lit(0.0)) / F.col("scale")).alias("weight"),
                     "mean")

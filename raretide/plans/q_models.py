@@ -12,7 +12,7 @@ from raretide.operators import trees as R
 from raretide.operators.curves import pr_areas
 from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights, weights_from_model
 from raretide.operators.features import build_features
-from raretide.operators.scale import align_schema, apply_scaler, fit_scaler, load_scaler, save_scaler, select_features
+from raretide.operators.scale import align_schema, apply_scaler, fit_scaler, load_scaler, per_feature, save_scaler, select_features
 from raretide.operators.scan import carry_last
 from raretide.operators.windows import drop_unlabelled, label_lead, with_order
 from raretide.plans.oracle import HOURLY_GAPS, READINGS, SCORED, scored_cte, with_ctes
@@ -424,8 +424,8 @@ def q_drop_unlabelled(spark, sf_dir):
 def q_select_features(spark, sf_dir):
     """Model column contract, every feature-table column except keys, time and labels: rows and mean of each."""
     f = select_features(reading_features(spark, sf_dir), keep=()).drop("split", "row_id", "entity_id")
-    row = f.agg(*[F.struct(F.count(c).alias("rows"), F.avg(c).alias("total")).alias(c) for c in f.columns])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"{c}.rows"), F.col(f"{c}.total")) for c in f.columns])))
+    found = per_feature(f, f.columns, [F.count("value").alias("rows"), F.avg("value").alias("total")])
+    return found.select("feature", F.coalesce("rows", F.lit(0)).alias("rows"), "total")
 
 
 _ALIGN = ["temperature", "vibration", "pressure_missing", "pressure"]

@@ -130,3 +130,35 @@ def test_unknown_span_rejected():
     from raretide.functions.timecols import parse_span_us
     with pytest.raises(ValueError):
         parse_span_us("6 fortnights")
+
+
+@pytest.mark.parametrize("gaps", [False, True])
+def test_short_series_are_made_whole_and_long_ones_in_pieces(spark, monkeypatch, gaps):
+    from raretide.operators import features, scan, windows
+    names = []
+    real = scan.written
+    for module in (scan, windows):
+        monkeypatch.setattr(module, "written", lambda d, name: names.append(name) or real(d, name))
+    rng = np.random.default_rng(3)
+    rows = []
+    for key, n in ((1, 90), (2, 7), (None, 30), (4, 1)):
+        for i in range(n):
+            x = [None if gaps and rng.random() < 0.2 else float(v) for v in rng.integers(1, 99, 3)]
+            rows.append((len(rows), key, T0 + dt.timedelta(minutes=int(rng.integers(0, 5000))), *x, int(rng.random() < 0.1)))
+    df = spark.createDataFrame(rows, "row_id long, entity_id long, ts timestamp_ntz, temperature double, vibration double, pressure double, failure int")
+    feats = features.feature_names()
+
+    def table(block):
+        names.clear()
+        return features.build_features(df, ["entity_id"], block_rows=block).orderBy("row_id").toPandas()
+
+    whole, told = table(1000), list(names)
+    assert not told  # no summaries, no tables on the way
+    mixed, told = table(40), list(names)
+    assert "long" in told and "ema" in told
+    pieces = table(2 if not gaps else 5)
+    for other in (mixed, pieces):
+        assert whole["row_id"].tolist() == other["row_id"].tolist()
+        np.testing.assert_allclose(whole[feats].to_numpy(float), other[feats].to_numpy(float), rtol=1e-9, atol=1e-9)
+    leads = [windows.label_lead(df, ["entity_id"], horizon=3, block_rows=b).orderBy("row_id").select("row_id", "failure_24h").collect() for b in (1000, 40, 4)]
+    assert leads[0] == leads[1] == leads[2]
