@@ -144,7 +144,8 @@ def test_short_series_are_made_whole_and_long_ones_in_pieces(spark, monkeypatch,
     for key, n in ((1, 90), (2, 7), (None, 30), (4, 1)):
         for i in range(n):
             x = [None if gaps and rng.random() < 0.2 else float(v) for v in rng.integers(1, 99, 3)]
-            rows.append((len(rows), key, T0 + dt.timedelta(minutes=int(rng.integers(0, 5000))), *x, int(rng.random() < 0.1)))
+            t = None if gaps and i % 17 in (3, 4) else T0 + dt.timedelta(minutes=int(rng.integers(0, 5000)))
+            rows.append((len(rows), key, t, *x, int(rng.random() < 0.1)))
     df = spark.createDataFrame(rows, "row_id long, entity_id long, ts timestamp_ntz, temperature double, vibration double, pressure double, failure int")
     feats = features.feature_names()
 
