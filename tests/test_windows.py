@@ -163,3 +163,19 @@ def test_short_series_are_made_whole_and_long_ones_in_pieces(spark, monkeypatch,
         np.testing.assert_allclose(whole[feats].to_numpy(float), other[feats].to_numpy(float), rtol=1e-9, atol=1e-9)
     leads = [windows.label_lead(df, ["entity_id"], horizon=3, block_rows=b).orderBy("row_id").select("row_id", "failure_24h").collect() for b in (1000, 40, 4)]
     assert leads[0] == leads[1] == leads[2]
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_short_series_are_sorted_while_they_are_narrow(spark):
+    from raretide.operators import features
+    rows = [(i, i % 3, T0 + dt.timedelta(minutes=37 * i), float(i % 7), float(i % 5), float(i % 11), int(i % 13 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, entity_id long, ts timestamp_ntz, temperature double, vibration double, pressure double, failure int")
+    assert _plan(label_lead(df, ["entity_id"], horizon=3)).count("Sort [") == 1
+    lines = _plan(features.build_features(df, ["entity_id"])).splitlines()  # the last operator first
+    sorts = [line for line in lines if "Sort [" in line]
+    assert len(sorts) == 3
+    last_sort = lines.index(sorts[0])
+    assert any("Window [lag(" in line for line in lines[:last_sort]) and not any("MapInArrow" in line for line in lines[:last_sort])
