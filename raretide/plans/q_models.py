@@ -30,9 +30,12 @@ _FEAT = split_sql("readings") + ",\n" + features_sql("sp", ["entity_id", "split"
                                                       ["row_id", "entity_id", "split", "ts", "failure", "failure_24h"])
 
 
-def reading_features(spark, sf_dir):
-    """Feature table of the readings, written once: statistics, scaling, models and explanations all read it."""
-    return written(build_features(labelled_split(spark, sf_dir, "readings"), ["entity_id"], SENSORS, split_col="split"), "features")
+def reading_features(spark, sf_dir, split=None):
+    """Feature table of the readings, written once: statistics, scaling, models and explanations all read it.  Both splits, or the rows
+    of one, whose series are its own."""
+    rows = labelled_split(spark, sf_dir, "readings")
+    rows = rows.where(F.col("split") == split) if split else rows
+    return written(build_features(rows, ["entity_id"], SENSORS, split_col="split"), "features")
 
 
 def _stats_sql() -> str:
@@ -44,8 +47,7 @@ def _stats_sql() -> str:
 @register("fit_scaler", "feature:s mean:v scale:v", _FEAT + ",\n" + _stats_sql() + "\nSELECT * FROM stats")
 def q_fit_scaler(spark, sf_dir):
     """Population mean / std per feature on the training split (std 0 -> 1)."""
-    f = reading_features(spark, sf_dir)
-    return fit_scaler(f.where("split = 'train'"), FEATURES)
+    return fit_scaler(reading_features(spark, sf_dir, "train"), FEATURES)
 
 
 _STATS_WIDE = "sw AS (SELECT " + ", ".join(
@@ -174,8 +176,8 @@ _VAL_SPEC = "row_id:l label:i is_probability:b class_follows:b"
 _TREE_SQL = _VAL_SQL.replace("true AS class_follows", "true AS class_follows, true AS table_agrees")
 
 
-def _scaled(spark, sf_dir):
-    f = reading_features(spark, sf_dir)
+def _scaled(spark, sf_dir, split=None):
+    f = reading_features(spark, sf_dir, split)
     return written(apply_scaler(f, fit_scaler(f.where("split = 'train'"), FEATURES), FEATURES), "scaled")
 
 
@@ -213,7 +215,7 @@ for _mt in ("random_forest", "gbt", "gbt_leaf"):
 @register("logistic_certificate", "feature:s stationary:b", "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*FEATURES, "(intercept)"]) + "]) AS feature, true AS stationary")
 def q_logistic_certificate(spark, sf_dir):
     """Each component of the penalised gradient of the fitted logistic regression, against the largest one of the model that knows nothing."""
-    train = _scaled(spark, sf_dir).where("split = 'train'")
+    train = _scaled(spark, sf_dir, "train")
     g = M.penalised_gradient(M.train(train, FEATURES, "logistic_regression"), train, FEATURES)
     most = F.max(F.abs("at_zero")).over(Window.partitionBy())  # one row a feature
     return g.select("feature", (F.abs("gradient") <= F.lit(M.STATIONARY) * most).alias("stationary"))
@@ -293,7 +295,7 @@ def q_write_splits(spark, sf_dir):
 def q_save_load_scaler(spark, sf_dir):
     """Scaler statistics saved to parquet and loaded back."""
     p = _scratch(spark, "scaler")
-    save_scaler(fit_scaler(reading_features(spark, sf_dir).where("split = 'train'"), FEATURES), p)
+    save_scaler(fit_scaler(reading_features(spark, sf_dir, "train"), FEATURES), p)
     return load_scaler(spark, p)
 
 
@@ -350,7 +352,7 @@ def q_contributions_logistic(spark, sf_dir):
           f" SELECT {len(FEATURES)} AS features, true AS shares, true AS agrees, count(*) AS train_rows FROM sp WHERE split = 'train'")
 def q_feature_importance(spark, sf_dir):
     """Random-forest feature importances: one per feature, summing to 1 (0 if no tree could split), and equal to the gains in the node table."""
-    train = reading_features(spark, sf_dir).where("split = 'train'")
+    train = reading_features(spark, sf_dir, "train")
     model = M.train(train, FEATURES, "random_forest")
     own = R.importance_by_table(R.node_table(model, spark), FEATURES).withColumnRenamed("importance", "own")
     found = M.feature_importance(model, FEATURES, spark).join(own, "feature", "left")

@@ -179,3 +179,14 @@ def test_short_series_are_sorted_while_they_are_narrow(spark):
     assert len(sorts) == 3
     last_sort = lines.index(sorts[0])
     assert any("Window [lag(" in line for line in lines[:last_sort]) and not any("MapInArrow" in line for line in lines[:last_sort])
+
+
+def test_features_of_one_split_are_those_of_both(spark, tmp_path):
+    from raretide.plans.q_models import reading_features
+    rows = [(i, i % 4 or None, T0 + dt.timedelta(minutes=31 * i), "error" if i % 9 == 0 else "view", float(i * 7 % 300), '{"k": %d}' % (i % 50)) for i in range(400)]
+    spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    both = reading_features(spark, str(tmp_path))
+    for split in ("train", "val"):
+        one = reading_features(spark, str(tmp_path), split)
+        assert one.count() == both.where(F.col("split") == split).count() > 0
+        assert one.exceptAll(both).count() == 0
