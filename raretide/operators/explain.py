@@ -43,6 +43,14 @@ def contributions(df: DataFrame, weights: DataFrame, features: Sequence[str], id
     return j.select(id_col, "feature", "value", (F.col("weight") * (F.col("value") - F.col("mean"))).alias("contribution"))
 
 
+def contribution_sums(df: DataFrame, weights: DataFrame, features: Sequence[str], id_col: str = "row_id") -> DataFrame:
+    """(id, features = how many have a contribution, total = their sum).
+
+    Rows are dealt out by id while they are wide, so the long rows, one a feature, are not shuffled."""
+    long = contributions(df.repartition(id_col), weights, features, id_col)
+    return long.groupBy(id_col).agg(F.count_distinct("feature").alias("features"), F.sum("contribution").alias("total"))
+
+
 def mean_abs_contribution(contrib: DataFrame) -> DataFrame:
     """(feature, importance = mean |contribution|), highest first."""
     return (contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))

@@ -10,7 +10,7 @@ from raretide.operators import models as M
 from raretide.operators import thresholds as T
 from raretide.operators import trees as R
 from raretide.operators.curves import pr_areas
-from raretide.operators.explain import contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights, weights_from_model
+from raretide.operators.explain import contribution_sums, contributions, mean_abs_contribution, pick_failure_row, sample_rows, separation_weights, weights_from_model
 from raretide.operators.features import build_features
 from raretide.operators.scale import align_schema, apply_scaler, fit_scaler, load_scaler, per_feature, save_scaler, select_features
 from raretide.operators.scan import carry_last
@@ -342,7 +342,7 @@ def q_contributions_logistic(spark, sf_dir):
     model = M.train(train, FEATURES, "logistic_regression", params={"maxIter": 30})
     weights = written(weights_from_model(spark, model, FEATURES, fit_scaler(train, FEATURES)), "weights")
     base = float(model.intercept) + (weights.agg(F.sum(F.col("weight") * F.col("mean"))).first()[0] or 0.0)
-    sums = contributions(val, weights, FEATURES).groupBy("row_id").agg(F.count_distinct("feature").alias("features"), F.sum("contribution").alias("total"))
+    sums = contribution_sums(val, weights, FEATURES)
     scored = M.predict(model, val, FEATURES, keep=("row_id",))
     own = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("total") + F.lit(base))))
     return sums.join(scored, "row_id").select("row_id", "features", (F.abs(own - F.col("score")) < 1e-9).alias("adds_up"))

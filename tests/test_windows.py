@@ -190,3 +190,14 @@ def test_features_of_one_split_are_those_of_both(spark, tmp_path):
         one = reading_features(spark, str(tmp_path), split)
         assert one.count() == both.where(F.col("split") == split).count() > 0
         assert one.exceptAll(both).count() == 0
+
+
+def test_contribution_sums_shuffle_no_long_rows(spark):
+    from raretide.operators.explain import contribution_sums, contributions
+    df = spark.createDataFrame([(1, 1.0, 2.0), (1, 3.0, None), (None, 5.0, 1.0), (2, 0.5, 0.25)], "row_id long, a double, b double")
+    weights = spark.createDataFrame([("a", 2.0, 1.0), ("b", -1.0, 0.5)], "feature string, weight double, mean double")
+    found = contribution_sums(df, weights, ["a", "b"])
+    long = contributions(df, weights, ["a", "b"]).groupBy("row_id").agg(F.count_distinct("feature").alias("features"), F.sum("contribution").alias("total"))
+    assert sorted(map(str, found.collect())) == sorted(map(str, long.collect()))
+    above = _plan(found).split("Generate")[0]  # what comes after the long rows
+    assert "hashpartitioning" not in above and "hashpartitioning" in _plan(found)
