@@ -1,4 +1,4 @@
-"""Fitted forests as a relational table, scored by expressions, and exact Shapley contributions.
+"""Fitted forests as a relational table, scored by walking it, and exact Shapley contributions.
 
 ``node_table`` exports a random forest or boosted trees to one row per node, from which SQL alone can score: a row's margin is the sum over trees of weight *
 value of the leaf it falls into.  For a forest the margin is the probability of class 1; for boosted trees the probability is
@@ -17,7 +17,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from raretide.session import scratch_path, written
 
@@ -48,32 +48,66 @@ def node_table(model, spark) -> DataFrame:
         F.get(F.array(*map(F.lit, weights)), F.col("treeID")).alias("weight")), "nodes")
 
 
-def score_by_table(df: DataFrame, nodes: DataFrame, features: Sequence[str], name: str = "margin") -> DataFrame:
-    """``df`` with the margin of every row, computed from the node table by expressions.
+class Walk:
+    """A tree as arrays by position in preorder; a leaf leads to itself."""
+
+    def __init__(self, rows: Sequence):
+        rows = sorted(rows, key=lambda r: r["node"])
+        at = {r["node"]: i for i, r in enumerate(rows)}
+        inner = [r["feature"] is not None for r in rows]
+        self.feature = np.array([r["feature"] if k else 0 for r, k in zip(rows, inner)], dtype=int)
+        self.threshold = np.array([r["threshold"] if k else 0.0 for r, k in zip(rows, inner)])
+        self.left, self.right = (np.array([at[r[side]] if k else i for i, (r, k) in enumerate(zip(rows, inner))]) for side in ("left", "right"))
+        self.value = np.array([r["value"] * r["weight"] for r in rows])
+        level = np.zeros(len(rows), dtype=int)
+        for i, k in enumerate(inner):  # parents come first
+            if k:
+                level[self.left[i]] = level[self.right[i]] = level[i] + 1
+        self.depth = int(level.max())
+
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """The value of the leaf each row falls into; a missing value is not below any threshold."""
+        at, every = np.zeros(len(x), dtype=int), np.arange(len(x))
+        with np.errstate(invalid="ignore"):
+            for _ in range(self.depth):
+                at = np.where(x[every, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+        return self.value[at]
+
 
-    The table goes to all tasks as one row: its size is the model's (trees times nodes of a tree), not the data's."""
-    per_tree = nodes.groupBy("tree").agg(F.sort_array(F.collect_list(F.struct("node", "feature", "threshold", "left", "right", "value"))).alias("n"),
-                                         F.max("weight").alias("w"))
-    per_tree = per_tree.select(F.struct(*[F.col(f"n.{c}").alias(c) for c in ("feature", "threshold", "left", "right", "value")], "w", F.size("n").alias("size")).alias("t"))
-    forest = F.broadcast(per_tree.agg(F.collect_list("t").alias("__forest")))
+def node_rows(nodes: DataFrame) -> list[list]:
+    """Every tree's node rows, by tree; the table has the size of the model."""
+    trees: dict[int, list] = {}
+    for r in nodes.collect():
+        trees.setdefault(r["tree"], []).append(r)
+    return [trees[t] for t in sorted(trees)]
 
-    def fall(tree: Column) -> Column:
-        def one(at: Column, _: Column) -> Column:
-            feature = F.get(tree.feature, at)
-            left = F.get(F.col("__x"), feature) <= F.get(tree.threshold, at)
-            return F.when(feature.isNull(), at).when(left, F.get(tree.left, at)).otherwise(F.get(tree.right, at))
-        return F.aggregate(F.sequence(F.lit(1), F.col("__depth")), F.lit(0), one)
 
-    depth = F.broadcast(tree_depth(nodes))
-    d = df.withColumn("__x", F.array(*[F.col(c).cast("double") for c in features])).crossJoin(forest).crossJoin(depth)
-    total = F.aggregate(F.transform("__forest", lambda t: t.w * F.get(t.value, fall(t))), F.lit(0.0), lambda a, x: a + x)
-    return d.withColumn(name, total).drop("__x", "__forest", "__depth")
+def matrix(part: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    """Columns of a batch as an array, a row of it per row; nulls are missing values."""
+    return np.stack([part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns], axis=1)
 
 
-def tree_depth(nodes: DataFrame) -> DataFrame:
-    """One row: no walk from a root is longer than the greatest number of inner nodes of a tree, nor than 30 (Spark's limit of depth)."""
-    inner = nodes.groupBy("tree").agg(F.count("feature").alias("inner"))
-    return inner.agg(F.least(F.greatest(F.max("inner"), F.lit(1)), F.lit(30)).cast("int").alias("__depth"))
+def score_by_table(df: DataFrame, nodes: DataFrame, features: Sequence[str], name: str = "margin", keep: Sequence[str] | None = None,
+                   rows_at_once: int = 2000) -> DataFrame:
+    """``df`` (its columns ``keep``; default: all) with the margin of every row, by walking the node table.
+
+    The table goes to all tasks once: its size is the model's (trees times nodes of a tree), not the data's.  A batch takes
+    each tree's steps together, as many as the tree is deep."""
+    kept = list(df.columns if keep is None else keep)
+    numbers = [f"__x{i}" for i in range(len(features))]
+    sent = df.sparkSession.sparkContext.broadcast([Walk(rows) for rows in node_rows(nodes)])
+    kind = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(at, rows_at_once)
+                x, total = matrix(part, numbers), np.zeros(part.num_rows)
+                for tree in sent.value:
+                    total += tree.margins(x)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(total)], names=kind.names)
+
+    return df.select(*kept, *[F.col(c).cast("double").alias(n) for c, n in zip(features, numbers)]).mapInArrow(run, kind)
 
 
 def importance_by_table(nodes: DataFrame, features: Sequence[str], per_tree: bool = True) -> DataFrame:
@@ -143,11 +177,8 @@ def leaves(rows: Sequence) -> list[Leaf]:
 
 
 def forest_leaves(nodes: DataFrame) -> list[list[Leaf]]:
-    """Every tree's leaves; the table has the size of the model."""
-    trees: dict[int, list] = {}
-    for r in nodes.collect():
-        trees.setdefault(r["tree"], []).append(r)
-    return [leaves(trees[t]) for t in sorted(trees)]
+    """Every tree's leaves."""
+    return [leaves(rows) for rows in node_rows(nodes)]
 
 
 def base_value(forest: list[list[Leaf]]) -> float:
@@ -179,7 +210,7 @@ def tree_contributions(df: DataFrame, nodes: DataFrame, features: Sequence[str],
         for batch in batches:
             for at in range(0, batch.num_rows, rows_at_once):
                 part = batch.slice(at, rows_at_once)
-                x = np.stack([part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names], axis=1)
+                x = matrix(part, names)
                 ids = part.column(id_col).take(pa.array(np.repeat(np.arange(part.num_rows), len(names))))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(names * part.num_rows), pa.array(x.ravel()), pa.array(shapley(sent.value, x).ravel())],
                                                  names=[id_col, "feature", "value", "contribution"])

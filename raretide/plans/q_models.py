@@ -170,7 +170,7 @@ def q_compare_baselines(spark, sf_dir):
 # ---------------------------------------------------------------- Spark ML models
 
 # A fitted model's scores are no SQL; what can be checked is: every validation row once with its label, a probability,
-# and that walking the exported node table by expressions gives the model's own score.
+# and that walking the exported node table gives the model's own score.
 _VAL_SQL = split_sql("readings") + " SELECT row_id, failure_24h AS label, true AS is_probability, true AS class_follows FROM sp WHERE split = 'val'"
 _VAL_SPEC = "row_id:l label:i is_probability:b class_follows:b"
 _TREE_SQL = _VAL_SQL.replace("true AS class_follows", "true AS class_follows, true AS table_agrees")
@@ -200,7 +200,7 @@ def train_trees(spark, sf_dir, model_type):
     scaled = _scaled(spark, sf_dir)
     model = M.train(scaled.where("split = 'train'"), FEATURES, model_type)
     val = scaled.where("split = 'val'")
-    own = R.score_by_table(val, R.node_table(model, spark), FEATURES).select(
+    own = R.score_by_table(val, R.node_table(model, spark), FEATURES, keep=("row_id",)).select(
         "row_id", (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * F.col("margin"))) if R.is_boosted(model) else F.col("margin")).alias("own"))
     scored = M.predict(model, val, FEATURES, keep=("row_id",))
     agrees = (F.abs(F.col("own") - F.col("score")) < 1e-9).alias("table_agrees")
@@ -482,7 +482,7 @@ def q_explain_failures(spark, sf_dir):
     """Global importance of every feature and the contributions of one positive validation row."""
     f = reading_features(spark, sf_dir)
     stats = fit_scaler(f.where("split = 'train'"), FEATURES)
-    w = separation_weights(f.where("split = 'train'"), stats, FEATURES)
+    w = written(separation_weights(f.where("split = 'train'"), stats, FEATURES), "weights")  # both parts read it
     val = f.where("split = 'val'")
     every = mean_abs_contribution(contributions(val, w, FEATURES))
     one = contributions(pick_failure_row(val, "failure_24h"), w, FEATURES)

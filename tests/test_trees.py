@@ -102,3 +102,21 @@ def test_missing_values_and_single_leaves(spark):
     forest = [R.leaves(rows), R.leaves([{"node": 0, "feature": None, "value": 5.0, "cover": 4.0, "weight": 1.0}])]
     assert R.base_value(forest) == 7.5
     assert R.shapley(forest, np.array([[np.nan], [0.0], [1.0], [2.0]])).ravel().tolist() == [0.5, -1.5, -1.5, 0.5]
+
+
+def test_scores_are_made_in_as_many_steps_as_a_tree_is_deep(spark):
+    """Batches, kept columns, nulls and clashing names; the plan walks arrays and evaluates no expression per tree."""
+    from raretide.operators import trees as R
+    schema = R.NODES
+    nodes = spark.createDataFrame([(0, 0, 0, 1.0, 1, 2, 0.0, 4.0, 1.0, 0.5), (0, 1, None, None, None, None, 1.0, 1.0, None, 0.5), (0, 2, 1, 5.0, 3, 4, 0.0, 3.0, 1.0, 0.5),
+                                   (0, 3, None, None, None, None, 3.0, 2.0, None, 0.5), (0, 4, None, None, None, None, 7.0, 1.0, None, 0.5),
+                                   (1, 0, None, None, None, None, 10.0, 4.0, None, 0.5)], schema)
+    rows = spark.createDataFrame([(1, 0.0, 9.0, "a"), (2, 1.0, 9.0, "b"), (3, 2.0, 5.0, None), (4, 2.0, 6.0, "c"), (5, None, 1.0, "d"), (None, float("nan"), None, "e")],
+                                 "id long, x0 double, x1 double, tag string")
+    want = {1: 5.5, 2: 5.5, 3: 6.5, 4: 8.5, 5: 6.5, None: 8.5}
+    scored = R.score_by_table(rows, nodes, ["x0", "x1"], rows_at_once=2)
+    assert scored.columns == ["id", "x0", "x1", "tag", "margin"] and {r["id"]: r["margin"] for r in scored.collect()} == want
+    few = R.score_by_table(rows, nodes, ["x0", "x1"], name="m", keep=("id",))
+    assert few.columns == ["id", "m"] and {r["id"]: r["m"] for r in few.collect()} == want
+    assert R.score_by_table(rows.limit(0), nodes, ["x0", "x1"]).count() == 0
+    assert R.Walk([r for r in nodes.collect() if r["tree"] == 0]).depth == 2 and R.Walk([r for r in nodes.collect() if r["tree"] == 1]).depth == 0
