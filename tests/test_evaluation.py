@@ -72,3 +72,17 @@ def test_threshold_sweep_equals_brute_force(spark):
         fn = sum(1 for y, sc in rows if sc < t and y == 1)
         tn = sum(1 for y, sc in rows if sc < t and y == 0)
         assert got[t] == (tp, fp, fn, tn), t
+
+
+def test_rounding_of_narrow_results_is_that_of_round(spark):
+    """Bit for bit, on halves, large and special values; away from a half no decimal is made."""
+    from pyspark.sql import functions as F
+    from raretide.plans.spec import rounded, spark_project
+    odd = [None, float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 1e300, -1e18, 5e-7, -5e-7, 1e-320, 0.0000015, 2.5, 123456789.1234565, -7.00005, 0.30000000000000004]
+    d = spark.createDataFrame([(v,) for v in odd], "x double").union(
+        spark.range(20000).select(F.expr("CASE pmod(id, 3) WHEN 0 THEN (id + 0.5D) / 1e6D WHEN 1 THEN -(id * 10 + 5) / 1e5D ELSE exp(id / 400D - 25) END")))
+    for k in (4, 6):
+        same = F.hex(F.xxhash64(rounded(F.col("x"), k) + F.lit(0.0))) == F.hex(F.xxhash64(F.round("x", k) + F.lit(0.0)))
+        assert d.where(~same).count() == 0
+    plan = spark_project(d, "x:v")._jdf.queryExecution().analyzed().toString().lower()
+    assert "case when" in plan
