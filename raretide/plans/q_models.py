@@ -35,7 +35,7 @@ def reading_features(spark, sf_dir, split=None):
     of one, whose series are its own."""
     rows = labelled_split(spark, sf_dir, "readings")
     rows = rows.where(F.col("split") == split) if split else rows
-    return written(build_features(rows, ["entity_id"], SENSORS, split_col="split"), "features")
+    return written(build_features(rows, ["entity_id"], SENSORS, split_col="split", one_pass=True), "features")
 
 
 def _stats_sql() -> str:
