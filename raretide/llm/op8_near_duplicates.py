@@ -112,24 +112,23 @@ def confirm(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
                    .select("x", "p", "sx", "sp").mapInArrow(_confirm, "x long, p long, both long, either long"), name)
 
 
+def _is_open(edges: DataFrame) -> bool:
+    """Whether ``a, b`` edges (a > b, each once) are not yet stars around the smallest nodes: a node with two edges down, or one down and one up."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.agg(F.count_if(F.expr("down > 1 OR (down > 0 AND up > 0)"))).first()[0] > 0
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """``node, label`` (the smallest node of its component) for every node of ``a, b`` edges."""
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-
-    def mark(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    seen = mark(now)
-    while seen[0]:
+    while _is_open(now):  # stars need no round, nor one that finds no change
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         now = written(small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(), name)
-        before, seen = seen, mark(now)
-        if before == seen:
-            break
     labels = now.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.union(labels.select(F.col("label").alias("node"), "label").distinct())
 

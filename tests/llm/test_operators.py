@@ -512,6 +512,23 @@ def test_near_duplicates_of_nothing(none):
     assert o.near_duplicates(none).count() == 0 and o.keep_one(none).count() == 0
 
 
+def test_components_end_with_the_round_that_makes_stars(spark, monkeypatch):
+    """No round over stars, and none that only finds that nothing changes: each is some ten stages that the driver keeps track of."""
+    from raretide.llm import op8_near_duplicates as o
+    tables, kept = [], o.written
+    monkeypatch.setattr(o, "written", lambda df, name: tables.append(name) or kept(df, name))
+
+    def found(edges):
+        tables.clear()
+        got = {x["node"]: x["label"] for x in o.components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+        return got, len(tables)
+
+    assert found([(5, 1), (1, 4), (4, 1), (9, 8), (3, 3)]) == ({5: 1, 4: 1, 1: 1, 9: 8, 8: 8}, 1)
+    assert found([]) == ({}, 1)
+    assert found([(3, 1), (3, 2)]) == ({1: 1, 2: 1, 3: 1}, 2)  # two smaller neighbours
+    assert found([(2, 1), (3, 2)]) == ({1: 1, 2: 1, 3: 1}, 2)  # a chain
+
+
 def test_components_of_chains_and_stars(spark):
     from raretide.llm import op8_near_duplicates as o
     r = random.Random(3)
