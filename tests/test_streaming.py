@@ -89,6 +89,56 @@ def test_release_in_any_pieces_gives_the_same(spark):
         assert st["n"] == len(us) and len(st["past_us"]) < len(us)
 
 
+@pytest.mark.parametrize("n, minutes", [(25, 300), (300, 9)])
+def test_entities_released_together_equal_each_alone(n, minutes):
+    """One release of many series, with short and long windows, gaps, equal times and an infinity that stays with its series."""
+    from raretide.streaming.features import Release
+    work, r, idle = Release(["temperature", "vibration", "pressure"]), np.random.default_rng(n), int(30 * 86400e6)
+    m = 5
+    together, alone, last = work.empty(m), [work.empty() for _ in range(m)], np.zeros(m, dtype=np.int64)
+    for release in range(3):
+        of = np.repeat([e for e in range(m) if e != release], n)
+        step = r.choice([0, 1, minutes, 2 * minutes], len(of)) * 60_000_000
+        step[0::n] += 40 * 86_400_000_000 if release == 2 else 1  # the last one after a silence
+        us = np.concatenate([last[e] + np.cumsum(step[of == e]) for e in np.unique(of)])
+        last[np.unique(of)] = us[n - 1::n]
+        x = r.normal(1e4, 3.0, (len(of), 3))
+        x[r.random(x.shape) < 0.2] = np.nan
+        x[of == 4] *= 1e6
+        if release != 1:
+            x[n // 2, 0] = np.inf
+        failure = (r.random(len(of)) < 0.1).astype(int)
+        out = work.series(together, of, us, failure, x, idle)
+        for e in np.unique(of):
+            at = of == e
+            own = work.series(alone[e], np.zeros(n, dtype=np.int64), us[at], failure[at], x[at], idle)
+            np.testing.assert_array_equal(out[at], own)
+            assert np.isfinite(own[:, 10:]).any() and (e == of[0] or not np.isinf(own).any())
+
+
+def test_entities_share_a_state(spark, tmp_path):
+    """The state has a row a bucket, whatever the number of entities; keys may be null or beyond 2^53, and readings without a time are left out."""
+    from raretide.operators.features import build_features, feature_names
+    from raretide.streaming.features import stream_features
+    keys = [None, 2**53 + 1, 2**53 + 2, *range(297)]
+    rows = [(4 * i + j, k, T0 + timedelta(hours=5 * j, minutes=i % 50), 20.0 + i % 7 + j, 1.0 + j * i % 3, 100.0 - j, int(i % 9 == j)) for i, k in enumerate(keys) for j in range(4)]
+    untimed = [(9000 + i, k, None, 50.0, 5.0, 50.0, 1) for i, k in enumerate(keys[:5])]
+    end = [(-1, None, T0 + timedelta(days=3), None, None, None, 0)]
+    progress = []
+    for part in (rows[::2] + rows[1::2] + untimed, end):
+        spark.createDataFrame(part, READING).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(READING).parquet(f"{tmp_path}/in")
+        q = (stream_features(stream, buckets=4).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+             .option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        progress.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert 0 < max(progress) <= 4
+    streamed = spark.read.parquet(f"{tmp_path}/out").where("row_id >= 0")
+    assert {r[0] for r in streamed.select("entity_id").distinct().collect()} == set(keys)
+    known = [(i, -5 if k is None else k, *rest) for i, k, *rest in rows]  # the batch operator leaves out rows without a key
+    equal_tables(streamed, build_features(spark.createDataFrame(known, READING), ["entity_id"]), feature_names())
+
+
 def test_silent_entities_leave_the_state(spark):
     from raretide.streaming import ops as S
     from raretide.streaming.features import stream_features
