@@ -73,7 +73,7 @@ def q_stream_score(spark, sf_dir):
     for m in marks[1:]:
         mark = mark.unionByName(m)  # one row a delivery
     kept = events.join(F.broadcast(mark), "arrival").where(F.col("mark").isNull() | (F.col("ts") > F.col("mark")))
-    train = written(build_features(fx.readings_from_events(kept), ["entity_id"], SENSORS), "train")
+    train = written(build_features(fx.readings_from_events(kept), ["entity_id"], SENSORS, one_pass=True), "train")
     path = scratch_path(spark, "artifact")
     A.save_artifact(A.fit_linear_artifact(train, FEATURES, "failure"), path)
     artifact = A.load_artifact(path)
