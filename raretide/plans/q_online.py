@@ -12,7 +12,7 @@ from raretide.plans.oracle_features import features_sql
 from raretide.plans.q_models import _FEAT, _STATS_WIDE, _stats_sql, reading_features
 from raretide.plans.q_series import FEATURES, SENSORS, labelled_split
 from raretide.plans.registry import register
-from raretide.session import scratch_path, written
+from raretide.session import PLAIN, scratch_path, written
 from raretide.sources import fixtures as fx
 from raretide.streaming import ops as S
 from raretide.streaming.features import stream_features
@@ -36,7 +36,7 @@ def deliveries(spark, sf_dir):
 
 
 def replayed(spark, sf_dir, build, name):
-    return S.run_slices(deliveries(spark, sf_dir), S.EVENTS_SCHEMA, lambda events: build(stream_features(fx.readings_from_events(events))), name)
+    return S.run_slices(deliveries(spark, sf_dir), S.EVENTS_SCHEMA, lambda events: build(stream_features(fx.readings_from_events(events))), name, **PLAIN)
 
 
 _CARRY = ["row_id", "entity_id", "ts", "failure"]
@@ -73,7 +73,7 @@ def q_stream_score(spark, sf_dir):
     for m in marks[1:]:
         mark = mark.unionByName(m)  # one row a delivery
     kept = events.join(F.broadcast(mark), "arrival").where(F.col("mark").isNull() | (F.col("ts") > F.col("mark")))
-    train = written(build_features(fx.readings_from_events(kept), ["entity_id"], SENSORS, one_pass=True), "train")
+    train = written(build_features(fx.readings_from_events(kept), ["entity_id"], SENSORS, one_pass=True), "train", **PLAIN)
     path = scratch_path(spark, "artifact")
     A.save_artifact(A.fit_linear_artifact(train, FEATURES, "failure"), path)
     artifact = A.load_artifact(path)

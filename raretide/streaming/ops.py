@@ -108,15 +108,15 @@ def stream_score(features: DataFrame, artifact: PipelineModel, threshold: float
 
 # ---------------------------------------------------------------- replays in several drains
 
-def run_slices(slices: Sequence[DataFrame], schema: T.StructType, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def run_slices(slices: Sequence[DataFrame], schema: T.StructType, build: Callable[[DataFrame], DataFrame], name: str, **options: str) -> DataFrame:
     """Deliver tables one after another to a source folder and drain the query that ``build`` makes of it after each: every drain is a restart
-    from the checkpoint.  Returns the file sink as a batch table."""
+    from the checkpoint.  Returns the file sink (``options`` of its writer) as a batch table."""
     spark = slices[0].sparkSession
     base = scratch_path(spark, f"stream-{name}")
     for part in slices:
         part.select(*schema.names).write.mode("append").parquet(f"{base}/in")
         out = build(spark.readStream.schema(schema).parquet(f"{base}/in"))
-        (out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
+        (out.writeStream.format("parquet").outputMode("append").options(**options).option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination())
     return spark.read.schema(out.schema).parquet(f"{base}/out")
 
