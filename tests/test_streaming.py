@@ -187,6 +187,22 @@ def test_a_loaded_artifact_scores_alike_on_stream_and_batch(spark, fitted, kind,
         assert r["time"] == r["ts"].isoformat(timespec="microseconds")
 
 
+def test_the_linear_score_is_code_that_can_be_compiled(spark, fitted):
+    """No generated method is beyond the 8,000 bytes that the JVM compiles, and the score is the sum's logistic."""
+    from raretide.operators import artifact as A
+    from raretide.operators.features import feature_names
+    from raretide.streaming import ops as S
+    _, feats, artifacts = fitted
+    plan = S.stream_score(feats, artifacts["linear"])._jdf.queryExecution().executedPlan()
+    stages = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenStringSeq(plan)
+    assert all(stages.apply(i)._3().maxMethodCodeSize() <= 8000 for i in range(stages.size()))
+    scaler, scorer = artifacts["linear"].stages
+    means, scales, weights = (np.array(m.getOrDefault(p)) for m, p in ((scaler, "means"), (scaler, "scales"), (scorer, "weights")))
+    rows = A.score(artifacts["linear"], feats).select("score", "row_id").join(feats.select("row_id", *feature_names()), "row_id").toPandas()
+    x = rows[feature_names()].to_numpy(dtype=float)
+    np.testing.assert_allclose(rows["score"], 1 / (1 + np.exp(-(scorer.getOrDefault("intercept") + ((x - means) / scales) @ weights))), rtol=1e-12)
+
+
 def test_an_artifact_loads_in_a_fresh_session(spark, fitted, tmp_path):
     """Another Python process reads the artifact and the features from disk and gives the same scores."""
     import subprocess
